@@ -11,14 +11,17 @@ from pyspark.sql import functions as F
 from .joins import null_safe_join
 
 
-def concat_in_order(df: DataFrame, keys: Sequence[str], text: str, order: str, out: str) -> DataFrame:
-    """Text fragments of a group joined in ``order``, plus the first row's columns.
+def concat_in_order(
+    df: DataFrame, keys: Sequence[str], text: str, order: str, out: str, *others: Column
+) -> DataFrame:
+    """Text fragments of a group joined in ``order``, with further aggregates if given.
 
     The result cell *is* the group's text, so its size is set by the result
     itself; fragments are pre-collected per task before the shuffle.
     """
     pieces = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(text).alias("t"))))
-    return df.groupBy(*keys).agg(F.array_join(F.transform(pieces, lambda p: p["t"]), "").alias(out))
+    joined = F.array_join(F.transform(pieces, lambda p: p["t"]), "")
+    return df.groupBy(*keys).agg(joined.alias(out), *others)
 
 
 def first_by(df: DataFrame, keys: Sequence[str], value: str, order: str, out: str) -> DataFrame:

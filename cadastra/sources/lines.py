@@ -14,13 +14,19 @@ from pyspark.sql import functions as F
 BLOCK = ["file_path", "_block"]
 
 
+def plain_path(path: Column | str) -> Column:
+    """One spelling for local paths: readers give both ``file:/x`` and ``file:///x``."""
+    path = F.col(path) if isinstance(path, str) else path
+    return F.regexp_replace(F.regexp_replace(path, "^file:/+", "file:/"), "^/", "file:/")
+
+
 def read_lines(spark: SparkSession, paths: str | list[str], glob: str | None = None) -> DataFrame:
     """Raw lines (carriage returns kept) with their file and block."""
     reader = spark.read.option("lineSep", "\n").option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     return reader.text(paths).select(
-        F.col("_metadata.file_path").alias("file_path"),
+        plain_path("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_seq"),
         F.col("value"),

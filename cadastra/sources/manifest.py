@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.readers import DATE_FILE_NAME
+from .lines import plain_path
 
 CHECKPOINT_SUFFIX = "-checkpoint.DAT"
 
@@ -20,7 +21,7 @@ def list_files(spark: SparkSession, root: str, glob: str = "*.DAT") -> DataFrame
         .option("recursiveFileLookup", "true")
         .load(root)
     )
-    return files.select(F.col("path").alias("file_path"), F.col("length").alias("size"))
+    return files.select(plain_path("path").alias("file_path"), F.col("length").alias("size"))
 
 
 def download_date(path: Column | str) -> Column:

@@ -7,8 +7,6 @@ trailer.  A record may run over several lines; the records behind the first
 
 from __future__ import annotations
 
-from datetime import date
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,7 +14,7 @@ from ..functions import readers as rd
 from ..functions.codes import zone_standard
 from ..operators.quality import split_rejects
 from ..schemas import TABLES, table_schema
-from .lines import number_lines, read_lines
+from .lines import number_lines, plain_path, read_lines
 
 # Semicolons per record kind and layout, longest variant first.
 LAYOUTS = {
@@ -98,7 +96,7 @@ def read_records(lines: DataFrame, manifest: DataFrame) -> DataFrame:
     starts = F.col("value").rlike(RECORD_START)
     trailer = F.col("value").rlike(r"^\s*Z;")
     counters = {"_starts": starts.cast("int"), "_trailers": trailer.cast("int")}
-    facts = manifest.select("file_path", "published_year", "layout")
+    facts = manifest.select(plain_path("file_path").alias("file_path"), "published_year", "layout")
     numbered = number_lines(lines, {"record": counters["_starts"], "trailers": counters["_trailers"]}, facts)
     own = numbered.withColumn("record", F.col("record") + F.col("value").rlike(RECORD_START).cast("int"))
     live = own.filter((F.col("trailers") == 0) & (F.col("record") > 0))
@@ -133,7 +131,11 @@ def _cut_fields(records: DataFrame) -> DataFrame:
     # The header of 2001 to 2012 has no file type.
     untyped = (F.col("kind") == "A") & F.col("layout").isin("2001-07", "2002")
     typed = F.concat(F.array(F.lit("")), F.col("_parts"))
-    return cut.withColumn("well_formed", F.coalesce(F.array_contains(counts, F.col("semicolons")), F.lit(False))).select(
+    # A trailer is read up to its last known field; whatever follows it is not read.
+    fits = F.when(F.col("kind") == "Z", F.col("semicolons") >= F.try_element_at(counts, F.lit(1))).otherwise(
+        F.array_contains(counts, F.col("semicolons"))
+    )
+    return cut.withColumn("well_formed", F.coalesce(fits, F.lit(False))).select(
         "file_path",
         "position",
         "published_year",
@@ -216,5 +218,3 @@ def no_layout(manifest: DataFrame) -> DataFrame:
     """Files whose layout cannot be told (published after 2001, no download date)."""
     return manifest.filter(F.col("layout").isNull())
 
-
-FIRST_CURRENT_DAY = date(2012, 3, 13)
