@@ -73,7 +73,7 @@ def trailing_rate(
     ``seconds * slice_factor``; a row is copied into the next slice only when
     it can still be seen from there, so no window ever spans a whole key.
     """
-    micros = F.unix_micros(F.col(stamp))
+    micros = F.unix_micros(F.col(stamp).cast("timestamp"))
     reach = seconds * 1_000_000
     width = reach * slice_factor
     own = F.floor(micros / width)

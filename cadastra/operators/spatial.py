@@ -283,14 +283,17 @@ def _overlap(a: list[np.ndarray], b: list[np.ndarray]) -> float:
     inside the other area; pieces common to both borders count once, when both
     run in the same direction.
     """
-    return _border_integral(a, b, True) + _border_integral(b, a, False)
+    # Both integrals run over parts of one closed border, so they share an origin.
+    origin = a[0][0]
+    return _border_integral(a, b, True, origin) + _border_integral(b, a, False, origin)
 
 
-def _border_integral(rings: list[np.ndarray], other: list[np.ndarray], keep_shared: bool) -> float:
+def _border_integral(
+    rings: list[np.ndarray], other: list[np.ndarray], keep_shared: bool, origin: np.ndarray
+) -> float:
     q0 = np.concatenate([r[:-1] for r in other])
     q1 = np.concatenate([r[1:] for r in other])
     dq = q1 - q0
-    origin = q0[0]
     total = 0.0
     for ring in rings:
         for p, r in zip(ring[:-1], np.diff(ring, axis=0)):
