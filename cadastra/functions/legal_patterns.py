@@ -3,14 +3,14 @@
 Order matters everywhere: a match is cut out before the next pattern is tried.
 """
 
-# Marks put before wording that only looks like a parcel (pattern, replacement).
+# Marks put before wording that only looks like a parcel: (words it holds, pattern, replacement).
 MARK = "$$$$ "
 MARK_BEFORE = [
-    (r" \(", r" \$\$\$\$ ("),
-    (r" HCP([\w+/]+)", r" \$\$\$\$ HCP$1"),
-    (r" PM([\w+/]+)", r" \$\$\$\$ PM$1"),
-    (r"(PTARC)/(\w+)", r" \$\$\$\$ $1/$2"),
-    (r"(PTARC)(\w+)", r" \$\$\$\$ $1 $2"),
+    (" (", r" \(", r" \$\$\$\$ ("),
+    (" HCP", r" HCP([\w+/]+)", r" \$\$\$\$ HCP$1"),
+    (" PM", r" PM([\w+/]+)", r" \$\$\$\$ PM$1"),
+    ("PTARC/", r"(PTARC)/(\w+)", r" \$\$\$\$ $1/$2"),
+    ("PTARC", r"(PTARC)(\w+)", r" \$\$\$\$ $1 $2"),
 ]
 
 # Labelled ids: (kind, pattern); group 1 is the id.

@@ -10,6 +10,7 @@ repetition is possessive.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -42,14 +43,15 @@ def _col(c: Column | str) -> Column:
 
 
 def _one_space(text: Column) -> Column:
-    return F.regexp_replace(text, r"\s+", " ")
+    """Every run of white space as one blank; text already in that form is left alone."""
+    return F.regexp_replace(text, r"(?U)\s{2,}|[\s&&[^ ]]", " ")
 
 
 def mark(text: Column | str) -> Column:
     """Put the stop mark before wording the parcel reader must not enter."""
     out = _col(text)
-    for pattern, replacement in lp.MARK_BEFORE:
-        out = F.regexp_replace(out, pattern, replacement)
+    for words, pattern, replacement in lp.MARK_BEFORE:
+        out = F.when(F.contains(out, F.lit(words)), F.regexp_replace(out, pattern, replacement)).otherwise(out)
     return _one_space(out)
 
 
@@ -86,52 +88,75 @@ def expand_parcels(df: DataFrame, text: str, folios: str = "folios", remains: st
     )
 
 
-def _item(kind: str, id_: Column, id_b: Column, part: Column) -> Column:
-    return F.struct(F.lit(kind).alias("kind"), id_.alias("id"), id_b.alias("id_b"), part.alias("part"))
+def _quoted(text: str) -> str:
+    return f'r"{text}"'
 
 
-def _take(df: DataFrame, kind: str, pattern: str, id_group: int | None, id_b_group: int | None, part) -> DataFrame:
-    """Append every match as an item and cut it out of the text."""
-    nothing = F.lit(None).cast("string")
+def _gate(pattern: str) -> str:
+    """Cheap test that must hold before a pattern is worth trying: its leading literal words."""
+    ignore_case = pattern.startswith("(?i)")
+    words = re.match(r"[A-Za-z -]+", pattern.removeprefix("(?i)")).group(0).rstrip(" ")
+    if ignore_case:
+        return f"contains(lower(_text), '{words.lower()}')"
+    return f"contains(_text, '{words}')"
 
-    def group(match: Column, number: int | None) -> Column:
-        return nothing if number is None else F.nullif(F.regexp_extract(match, pattern, number), F.lit(""))
 
-    def as_item(match: Column) -> Column:
-        flag = group(match, part).isNotNull() if isinstance(part, int) and part is not True else F.lit(part is True)
-        return _item(kind, group(match, id_group), group(match, id_b_group), flag)
+def _take(source: str, keep: str, kind: str, pattern: str, id_: int | None, id_b: int | None, part) -> str:
+    """SQL step: append every match as an item and cut it out of the text."""
+    rx, gate = _quoted(pattern), _gate(pattern)
 
-    found = F.transform(F.regexp_extract_all(F.col("_text"), F.lit(pattern), F.lit(0)), as_item)
-    others = [c for c in df.columns if c not in ("_text", "items")]
-    return df.select(
-        *others,
-        F.concat(F.col("items"), found).alias("items"),
-        F.regexp_replace("_text", pattern, "").alias("_text"),
-    )
+    def group(number: int | None) -> str:
+        return "CAST(NULL AS STRING)" if number is None else f"nullif(regexp_extract(m, {rx}, {number}), '')"
+
+    flag = "true" if part is True else "false" if part is None else f"{group(part)} IS NOT NULL"
+    item = f"named_struct('kind', '{kind}', 'id', {group(id_)}, 'id_b', {group(id_b)}, 'part', {flag})"
+    return f"""SELECT {keep},
+      CASE WHEN {gate} THEN concat(items, transform(regexp_extract_all(_text, {rx}, 0), m -> {item})) ELSE items END AS items,
+      CASE WHEN {gate} THEN regexp_replace(_text, {rx}, '') ELSE _text END AS _text
+      FROM ({source})"""
 
 
 def parse_descriptions(df: DataFrame, text: str = "legal_description") -> DataFrame:
-    """Add ``items`` (parcels first, then labelled ids in reading order) and ``remains``."""
+    """Add ``items`` (parcels first, then labelled ids in pattern order) and ``remains``.
+
+    The patterns form one chain of projections inside a single narrow stage;
+    a pattern is only tried on texts holding its leading words.
+    """
     out = df.withColumn("_marked", mark(text))
     out = expand_parcels(out, "_marked", "_folios", "_behind")
     parcels = F.transform(
-        "_folios", lambda f: _item("folio", f["id"], F.lit(None).cast("string"), f["part"])
+        "_folios",
+        lambda f: F.struct(
+            F.lit("folio").alias("kind"), f["id"].alias("id"), F.lit(None).cast("string").alias("id_b"), f["part"].alias("part")
+        ),
     )
     rest = F.replace(F.col("_behind"), F.lit(lp.MARK), F.lit(""))
     for pattern in lp.IGNORE_BEFORE:
         rest = F.regexp_replace(rest, pattern, "")
-    out = out.select(*df.columns, parcels.cast(f"array<{ITEM}>").alias("items"), rest.alias("_text"))
+    start = out.select(*df.columns, parcels.cast(f"array<{ITEM}>").alias("items"), rest.alias("_text"))
+
+    keep = ", ".join(f"`{c}`" for c in df.columns)
+    chain = "SELECT * FROM {start}"
     for kind, pattern in lp.LABELLED_IDS:
-        out = _take(out, kind, pattern, 1, None, None)
+        chain = _take(chain, keep, kind, pattern, 1, None, None)
     for kind, pattern, first, second, part in lp.NAMED_GROUPS:
-        out = _take(out, kind, pattern, first, second, part)
+        chain = _take(chain, keep, kind, pattern, first, second, part)
     for kind, pattern in lp.FLAGS:
-        out = _take(out, kind, pattern, None, None, None)
+        chain = _take(chain, keep, kind, pattern, None, None, None)
+    taken = df.sparkSession.sql(chain, start=start)
+
     rest = F.col("_text")
     for pattern in lp.IGNORE_AFTER:
         rest = F.regexp_replace(rest, pattern, "")
-    rest = _one_space(rest)
-    return out.withColumn("remains", F.when(rest == " ", "").otherwise(rest)).drop("_text")
+    rest = F.when(F.trim("_text") == "", F.col("_text")).otherwise(rest)
+    cleaned = taken.withColumn("_rest", _one_space(rest))
+    # A filter on the results would be copied through the chain, doubling at
+    # every step; a row-dependent condition that always holds keeps it above.
+    always = F.monotonically_increasing_id() >= 0
+    remains = F.when(F.col("_rest") == " ", "").otherwise(F.col("_rest"))
+    return cleaned.select(
+        *df.columns, F.when(always, F.col("items")).alias("items"), F.when(always, remains).alias("remains")
+    )
 
 
 def split_folio(folio: Column | str) -> Column:

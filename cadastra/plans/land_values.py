@@ -48,7 +48,10 @@ def land_valuations(land_value_row: DataFrame) -> DataFrame:
     kept = keep_first(
         long.filter(F.col("land_value").isNotNull()),
         ["property_id", "base_date"],
-        [newest("source_date"), oldest("source_id"), newest("land_value")],
+        [
+            newest("source_date"), oldest("source_id"), newest("land_value"),
+            oldest("valuation_basis"), oldest("valuation_authority"),
+        ],
     )
     return kept.select(
         "source_id",
