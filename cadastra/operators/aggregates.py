@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .joins import null_safe_join
 
 
@@ -83,17 +84,17 @@ def completion(df: DataFrame, keys: Sequence[str], done: Column, total: Column)
 def running_position(hist: DataFrame, keys: Sequence[str], value: str, n: str) -> DataFrame:
     """Rows before each value within its group, from a histogram with one row per value.
 
-    Equi-depth cut points of the value split every group, so the ordered
-    windows run over (group, slice) and a group holding most of the table is
-    spread over all slices.  Slice totals (at most one row per group and slice)
-    then give the offset of each slice.  ``value`` must be numeric.
+    The histogram is written once, range-partitioned by value, each row with
+    the number of its slice.  The ordered windows then run over (group, slice),
+    so a group holding most of the table is spread over all slices, and slice
+    totals (one row per group and slice) give the offset of each slice.
     """
     keys = list(keys)
     spark = hist.sparkSession
-    slices = max(2, min(200, int(spark.conf.get("spark.sql.shuffle.partitions", "200"))))
-    cuts = sorted(set(hist.approxQuantile(value, [i / slices for i in range(1, slices)], 0.01)))
-    points = F.array(*[F.lit(c) for c in cuts]) if cuts else F.array().cast("array<double>")
-    sliced = hist.withColumn("_slice", F.size(F.filter(points, lambda c: c <= F.col(value))))
+    slices = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    sliced = cut_lineage(
+        hist.repartitionByRange(slices, value).withColumn("_slice", F.spark_partition_id()), "histogram"
+    )
 
     within = Window.partitionBy(*keys, "_slice").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     local = sliced.withColumn("_local", F.coalesce(F.sum(n).over(within), F.lit(0)))

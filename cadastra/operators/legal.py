@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from ..functions import legal_patterns as lp
 from ..functions.codes import KIND_AFTER, base_parcel_id, base_parcel_kind
 from ..session import cut_lineage
+from .hold import hold
 from .keys import keep_first
 
 _LOT = r"[A-Za-z0-9]{1,5}"
@@ -150,13 +151,9 @@ def parse_descriptions(df: DataFrame, text: str = "legal_description") -> DataFr
         rest = F.regexp_replace(rest, pattern, "")
     rest = F.when(F.trim("_text") == "", F.col("_text")).otherwise(rest)
     cleaned = taken.withColumn("_rest", _one_space(rest))
-    # A filter on the results would be copied through the chain, doubling at
-    # every step; a row-dependent condition that always holds keeps it above.
-    always = F.monotonically_increasing_id() >= 0
+    # A filter on the results would be copied through the chain, doubling at every step.
     remains = F.when(F.col("_rest") == " ", "").otherwise(F.col("_rest"))
-    return cleaned.select(
-        *df.columns, F.when(always, F.col("items")).alias("items"), F.when(always, remains).alias("remains")
-    )
+    return cleaned.select(*df.columns, hold(F.col("items")).alias("items"), hold(remains).alias("remains"))
 
 
 def split_folio(folio: Column | str) -> Column:

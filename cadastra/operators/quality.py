@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.readers import unreadable
+from .hold import hold
 
 
 class ConstraintError(ValueError):
@@ -53,16 +54,19 @@ def split_rejects(
     with any unreadable or missing required field goes to the rejects with the
     names of its bad fields.
     """
+    texts = list(dict.fromkeys(t for t, _ in readings.values()))
+    untouched = [c for c in raw.columns if c not in texts]
+    read = raw.select(*untouched, *texts, *[hold(value).alias(f"_read_{n}") for n, (_, value) in readings.items()])
     bad = [
-        F.when(unreadable(text, value, name in required), F.lit(name))
-        for name, (text, value) in readings.items()
+        F.when(unreadable(text, F.col(f"_read_{name}"), name in required), F.lit(name))
+        for name, (text, _) in readings.items()
     ]
-    checked = raw.withColumn("bad_fields", F.array_compact(F.array(*bad)))
-    untouched = [c for c in raw.columns if c not in {t for t, _ in readings.values()}]
+    checked = read.withColumn("bad_fields", F.array_compact(F.array(*bad)))
     good = checked.filter(F.size("bad_fields") == 0).select(
-        *untouched, *[value.alias(name) for name, (_, value) in readings.items()]
+        *untouched, *[F.col(f"_read_{name}").alias(name) for name in readings]
     )
-    return good, checked.filter(F.size("bad_fields") > 0)
+    rejects = checked.filter(F.size("bad_fields") > 0).select(*untouched, *texts, "bad_fields")
+    return good, rejects
 
 
 def reject_counts(rejects: DataFrame) -> DataFrame:

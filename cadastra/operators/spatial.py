@@ -15,6 +15,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .hold import hold
+
 GEOMETRY = "array<array<struct<x:double,y:double>>>"
 
 # GRS80 ellipsoid, the one under GDA2020.
@@ -106,16 +108,11 @@ def drop_repeats(ring: Column) -> Column:
     return F.when(open_end, F.concat(kept, F.array(first))).otherwise(kept)
 
 
-def repair(rings: Column | str) -> Column:
-    """Drop repeated points, close rings, drop collapsed rings, orient.
+def _clean(rings: Column) -> Column:
+    return F.filter(F.transform(rings, drop_repeats), lambda r: (F.size(r) >= 4) & (ring_area(r) != 0))
 
-    The first ring is outer; a later ring is a hole when its first point lies
-    in the first ring.  NULL when nothing is left: such rows are rejects.
-    """
-    cleaned = F.filter(
-        F.transform(_col(rings), drop_repeats), lambda r: (F.size(r) >= 4) & (ring_area(r) != 0)
-    )
 
+def _orient(cleaned: Column) -> Column:
     def oriented(ring: Column, index: Column) -> Column:
         hole = (index > 0) & point_in_ring(ring[0], cleaned[0])
         wrong = (ring_area(ring) > 0) == hole
@@ -124,6 +121,16 @@ def repair(rings: Column | str) -> Column:
     return F.when(F.size(cleaned) > 0, F.transform(cleaned, oriented))
 
 
+def with_repaired(df: DataFrame, rings: str, out: str) -> DataFrame:
+    """Add valid rings: repeated points dropped, rings closed, collapsed rings dropped, orientation set.
+
+    The first ring is outer; a later ring is a hole when its first point lies
+    in the first ring.  NULL when nothing is left: such rows are rejects.
+    """
+    cleaned = df.withColumn("_cleaned", hold(_clean(F.col(rings))))
+    return cleaned.withColumn(out, hold(_orient(F.col("_cleaned")))).drop("_cleaned")
+
+
 # ---------------------------------------------------------------- measures
 
 def _edges(ring: Column) -> Column:
@@ -276,81 +283,126 @@ def intersects(a: Column | str, b: Column | str) -> Column:
 
 # ---------------------------------------------------------------- overlap
 
-def _overlap(a: list[np.ndarray], b: list[np.ndarray]) -> float:
-    """Area shared by two ring sets, by Green's theorem.
+# Edge pairs looked at in one go; bounds the memory of a batch.
+EDGE_PAIRS = 1_000_000
+
+
+def _shared_areas(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Area shared by each pair of ring sets, given as edges (x0, y0, x1, y1).
 
-    The border of the shared area consists of the pieces of each border lying
-    inside the other area; pieces common to both borders count once, when both
-    run in the same direction.
+    Pairs of like size are measured together; shorter borders are filled up
+    with edges of no length, which contribute nothing.
     """
-    # Both integrals run over parts of one closed border, so they share an origin.
-    origin = a[0][0]
-    return _border_integral(a, b, True, origin) + _border_integral(b, a, False, origin)
-
-
-def _border_integral(
-    rings: list[np.ndarray], other: list[np.ndarray], keep_shared: bool, origin: np.ndarray
-) -> float:
-    q0 = np.concatenate([r[:-1] for r in other])
-    q1 = np.concatenate([r[1:] for r in other])
-    dq = q1 - q0
-    total = 0.0
-    for ring in rings:
-        for p, r in zip(ring[:-1], np.diff(ring, axis=0)):
-            if not r.any():
-                continue
-            den = r[0] * dq[:, 1] - r[1] * dq[:, 0]
-            w = q0 - p
-            along = np.abs(den) > 1e-12 * (np.hypot(*r) * np.hypot(dq[:, 0], dq[:, 1]))
-            t = np.divide(w[:, 0] * dq[:, 1] - w[:, 1] * dq[:, 0], den, out=np.full(len(den), -1.0), where=along)
-            ends = np.concatenate([(w @ r), ((q1 - p) @ r)]) / (r @ r)
-            cuts = np.concatenate([[0.0, 1.0], t, ends])
-            cuts = np.unique(cuts[(cuts >= 0) & (cuts <= 1)])
-            for t0, t1 in zip(cuts[:-1], cuts[1:]):
-                if t1 - t0 < 1e-12:
-                    continue
-                mid = p + r * ((t0 + t1) / 2)
-                side = _side(mid, r, q0, q1, dq)
-                if side > 0 or (side < 0 and keep_shared):
-                    s, e = p + r * t0 - origin, p + r * t1 - origin
-                    total += s[0] * e[1] - s[1] * e[0]
+
+    def room(edges: np.ndarray) -> int:
+        return 1 << max(len(edges) - 1, 1).bit_length()
+
+    def filled(edges: np.ndarray, size: int) -> np.ndarray:
+        end = edges[-1, 2:]
+        return np.vstack([edges, np.tile(np.hstack([end, end]), (size - len(edges), 1))])
+
+    groups: dict[tuple[int, int], list[int]] = {}
+    for i, (u, v) in enumerate(zip(left, right)):
+        groups.setdefault((room(u), room(v)), []).append(i)
+    out = np.zeros(len(left))
+    for (n, m), members in groups.items():
+        step = max(1, EDGE_PAIRS // (n * m))
+        for at in range(0, len(members), step):
+            part = members[at : at + step]
+            a = np.stack([filled(left[i], n) for i in part])
+            b = np.stack([filled(right[i], m) for i in part])
+            origin = a[:, 0, :2]
+            out[part] = _border_parts(a, b, True, origin) + _border_parts(b, a, False, origin)
+    return out
+
+
+def _border_parts(edges: np.ndarray, other: np.ndarray, keep_shared: bool, origin: np.ndarray) -> np.ndarray:
+    """Green's integral over the parts of each border lying in the other area.
+
+    The border of a shared area consists of the pieces of each border inside
+    the other area; pieces common to both count once, when both run in the same
+    direction.  Arrays are (pair, edge, 4).
+    """
+    total = np.zeros(len(edges))
+    q0, dq = other[..., :2], other[..., 2:] - other[..., :2]
+    step = max(1, EDGE_PAIRS // (other.shape[0] * other.shape[1]))
+    for at in range(0, edges.shape[1], step):
+        p0 = edges[:, at : at + step, :2]
+        r = edges[:, at : at + step, 2:] - p0
+        pair, edge, t0, t1 = _pieces(p0, r, q0, dq)
+        rows = max(1, EDGE_PAIRS // other.shape[1])
+        for cut in range(0, len(pair), rows):
+            i, k = pair[cut : cut + rows], edge[cut : cut + rows]
+            lo, hi = t0[cut : cut + rows, None], t1[cut : cut + rows, None]
+            start, along = p0[i, k], r[i, k]
+            side = _sides(start + along * (lo + hi) / 2, along, q0[i], dq[i])
+            use = (side > 0) | ((side < 0) & keep_shared)
+            s, e = start + along * lo - origin[i], start + along * hi - origin[i]
+            cross = np.where(use, s[:, 0] * e[:, 1] - s[:, 1] * e[:, 0], 0.0)
+            total += np.bincount(i, cross, minlength=len(total))
     return total / 2
 
 
-def _side(m: np.ndarray, r: np.ndarray, q0: np.ndarray, q1: np.ndarray, dq: np.ndarray) -> int:
+def _pieces(p0, r, q0, dq) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Edges cut where the other border meets them: pair, edge, start and end share."""
+    w = q0[:, None] - p0[:, :, None]
+    e, d = r[:, :, None], dq[:, None]
+    den = e[..., 0] * d[..., 1] - e[..., 1] * d[..., 0]
+    e2 = (e * e).sum(axis=-1)
+    flat = np.abs(den) <= 1e-12 * np.sqrt(e2 * (d * d).sum(axis=-1))
+    with np.errstate(divide="ignore", invalid="ignore"):
+        t = (w[..., 0] * d[..., 1] - w[..., 1] * d[..., 0]) / den
+        s = (w[..., 0] * e[..., 1] - w[..., 1] * e[..., 0]) / den
+        start = (w * e).sum(axis=-1) / e2
+        end = start + (d * e).sum(axis=-1) / e2
+    crossing = np.where(~flat & (s > -1e-9) & (s < 1 + 1e-9), t, 0.0)
+    ends = np.broadcast_to([0.0, 1.0], (*p0.shape[:2], 2))
+    cuts = np.concatenate([ends, crossing, np.where(flat, start, 0.0), np.where(flat, end, 0.0)], axis=2)
+    cuts = np.sort(np.clip(np.nan_to_num(cuts), 0.0, 1.0), axis=2)
+    pair, edge, col = np.nonzero(np.diff(cuts, axis=2) > 1e-12)
+    return pair, edge, cuts[pair, edge, col], cuts[pair, edge, col + 1]
+
+
+def _sides(m, along, q0, dq) -> np.ndarray:
     """1 inside, 0 outside or on an opposite border, -1 on a border of the same direction."""
-    w = m - q0
-    length2 = (dq * dq).sum(axis=1)
-    cross = dq[:, 0] * w[:, 1] - dq[:, 1] * w[:, 0]
-    place = (w * dq).sum(axis=1)
-    on = (np.abs(cross) <= 1e-9 * np.maximum(length2, 1e-300)) & (place >= 0) & (place <= length2) & (length2 > 0)
-    if on.any():
-        return -1 if (dq[on] @ r > 0).any() else 0
-    straddles = (q0[:, 1] > m[1]) != (q1[:, 1] > m[1])
+    w = m[:, None] - q0
+    length2 = (dq * dq).sum(axis=-1)
+    cross = dq[..., 0] * w[..., 1] - dq[..., 1] * w[..., 0]
+    place = (w * dq).sum(axis=-1)
+    on = (np.abs(cross) <= 1e-9 * length2) & (place >= 0) & (place <= length2) & (length2 > 0)
+    same = (on & ((along[:, None] * dq).sum(axis=-1) > 0)).any(axis=1)
+    y0, y1 = q0[..., 1], q0[..., 1] + dq[..., 1]
     with np.errstate(divide="ignore", invalid="ignore"):
-        x_at = q0[:, 0] + (m[1] - q0[:, 1]) * dq[:, 0] / dq[:, 1]
-    return int((straddles & (m[0] < x_at)).sum() % 2)
+        x_at = q0[..., 0] + w[..., 1] * dq[..., 0] / dq[..., 1]
+    straddles = (y0 > m[:, None, 1]) != (y1 > m[:, None, 1])
+    odd = (straddles & (m[:, None, 0] < x_at)).sum(axis=1) % 2
+    return np.where(on.any(axis=1), np.where(same, -1, 0), odd)
 
 
-def _arrays(rings) -> list[np.ndarray]:
-    return [np.array([(p["x"], p["y"]) for p in ring], dtype=float) for ring in rings]
+def _edge_numbers(rings: Column) -> Column:
+    """Edges as one flat array x0, y0, x1, y1, ..., which Arrow hands to numpy unchanged."""
+    edges = F.flatten(F.transform(rings, _edges))
+    return F.flatten(F.transform(edges, lambda e: F.array(e["a"]["x"], e["a"]["y"], e["b"]["x"], e["b"]["y"])))
 
 
 def overlap_area(a: Column | str, b: Column | str) -> Column:
-    """Shared area of two simple polygons with holes; Arrow batches, numpy per pair."""
+    """Shared area of two simple polygons with holes; numpy over Arrow batches."""
 
     @F.pandas_udf("double")
     def shared(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         for left, right in batches:
-            yield pd.Series(
-                [
-                    None if u is None or v is None else _overlap(_arrays(u), _arrays(v))
-                    for u, v in zip(left, right)
-                ],
-                dtype="float64",
-            )
+            out = pd.Series(np.nan, index=left.index, dtype="float64")
+            known = [i for i, (u, v) in enumerate(zip(left, right)) if u is not None and v is not None and len(u) and len(v)]
+            if known:
+                out.iloc[known] = _shared_areas(
+                    [np.reshape(left.iloc[i], (-1, 4)) for i in known],
+                    [np.reshape(right.iloc[i], (-1, 4)) for i in known],
+                )
+            yield out.where(out.notna(), None)
 
-    return shared(_col(a), _col(b))
+    # Not to be run a second time for a filter on the result.
+    once = shared.asNondeterministic()
+    return once(_edge_numbers(_col(a)), _edge_numbers(_col(b)))
 
 
 def box_overlap_area(a: Column, b: Column) -> Column:
@@ -395,8 +447,8 @@ def candidate_pairs(
     A cell with more than ``target`` left rows is split into as many salts as
     it needs, the right rows of that cell being repeated per salt.
     """
-    lhs = left.withColumn("_lbox", bbox(left_geom)).withColumn("_cell", F.explode(_cells(F.col("_lbox"), cell)))
-    rhs = right.withColumn("_rbox", bbox(right_geom)).withColumn("_cell", F.explode(_cells(F.col("_rbox"), cell)))
+    lhs = left.withColumn("_lbox", hold(bbox(left_geom))).withColumn("_cell", F.explode(_cells(F.col("_lbox"), cell)))
+    rhs = right.withColumn("_rbox", hold(bbox(right_geom))).withColumn("_cell", F.explode(_cells(F.col("_rbox"), cell)))
     hot = (
         lhs.groupBy("_cell")
         .agg(F.count(F.lit(1)).alias("_n"))

@@ -22,6 +22,7 @@ from ..operators.history import as_of, first_sighting, latest, page
 from ..operators.joins import first_match, match_report, unseen
 from ..operators.keys import keep_first, newest, oldest
 from ..operators.spatial import geodesic_area, intersects_join, overlap_join
+from ..session import cut_lineage
 
 
 def named_area(areas: DataFrame, column: str, names: Sequence[str]) -> DataFrame:
@@ -105,6 +106,8 @@ def best_parcels(
 
     ``order``: ``value`` (ascending per_m2) or ``distance`` (percentile - per_m2).
     """
+    # Read twice below: written once.
+    valued = cut_lineage(valued, "parcel-values")
     share = group_percentile(valued, ["mb_code"], "per_m2", percentile, "per_m2_percentile")
     rows = valued.filter(F.col("per_m2").isNotNull())
     if zone_codes is not None:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.codes import zone_standard
 from ..operators.legal import derive_parcels, parse_descriptions, split_folio
 from ..plans import addresses, dims, land_values, layers, legacy, provenance, sales
+from ..session import cut_lineage
 from .base import Tables, day, query
 
 # The same select list serves both engines: only division, day arithmetic and
@@ -155,6 +156,11 @@ def _ranked(t: Tables) -> DataFrame:
     return sales.ranked_sales(ps_row_b(t), land_value_row(t))
 
 
+def _shared_ranked(t: Tables) -> DataFrame:
+    """Ranked sales written once, for queries that read them several times."""
+    return cut_lineage(_ranked(t), "ranked-sales")
+
+
 def _dated(df: DataFrame, *columns: str) -> DataFrame:
     return df.select(*[day(c).alias(c) if c in _DATES else F.col(c) for c in columns])
 
@@ -357,7 +363,7 @@ _KEPT = """QUALIFY row_number() OVER (PARTITION BY effective_date, property_id,
 )
 def derive_sales(t: Tables):
     """Every observation drawn from the ranked sales, tagged by job."""
-    ranked = _ranked(t)
+    ranked = _shared_ranked(t)
     purposes = dims.primary_purposes(ps_row_b(t))
     described = sales.legal_descriptions(sales.sale_descriptions(ps_row_c(t), ranked))
     purpose_rows = sales.primary_purposes(ranked, purposes).join(purposes, "primary_purpose_id")
@@ -481,7 +487,7 @@ def _archive(t: Tables) -> tuple[DataFrame, DataFrame]:
 )
 def derive_legacy(t: Tables):
     rows, heads = _archive(t)
-    old = legacy.legacy_sales(rows, heads, _ranked(t))
+    old = cut_lineage(legacy.legacy_sales(rows, heads, _ranked(t)), "legacy-sales")
     cents = F.round(F.col("purchase_price") * 100).cast("bigint").cast("string")
     parts = {
         "sale": (legacy.archived_sales(old), F.concat_ws("|", F.col("valuation_number"), cents)),

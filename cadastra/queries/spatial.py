@@ -126,7 +126,7 @@ def overlap_triangles(t: Tables):
         return F.struct(px.cast("double").alias("x"), py.cast("double").alias("y"))
 
     ring = F.array(point(x, y), point(x, y + a), point(x + a, y), point(x, y))
-    shapes = t.customer.select("c_custkey", sp.repair(F.array(ring)).alias("geometry"))
+    shapes = sp.with_repaired(t.customer.select("c_custkey", F.array(ring).alias("_r")), "_r", "geometry").drop("_r")
     pairs = sp.candidate_pairs(shapes, areas(t), "geometry", "area_geometry", 25.0)
     measured = pairs.withColumn("overlap", sp.overlap_area("geometry", "area_geometry"))
     return measured.filter("overlap > 0.0001").select("c_custkey", "s_suppkey", F.round("overlap", 5).alias("overlap"))

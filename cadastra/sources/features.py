@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.values import as_format
-from ..operators.spatial import repair, rings_from_coordinates
+from ..operators.spatial import rings_from_coordinates, with_repaired
 
 PAGE = (
     "struct<features:array<struct<attributes:map<string,string>,"
@@ -96,7 +96,7 @@ def flatten_features(pages: DataFrame, body: str, fields: Sequence[Field], keep:
         rings.alias("_rings"),
         rings_from_coordinates("_f.geometry.paths").alias("paths"),
     )
-    return flat.withColumn("geometry", repair("_rings")).withColumn(
+    return with_repaired(flat, "_rings", "geometry").withColumn(
         "broken", F.col("_rings").isNotNull() & F.col("geometry").isNull()
     ).drop("_rings")
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import readers as rd
 from ..functions.codes import zone_standard
+from ..operators.hold import hold
 from ..operators.quality import split_rejects
 from ..schemas import LAND_VALUE_COLUMNS, table_schema
 from .lines import number_lines, read_lines
@@ -28,7 +29,7 @@ def parse_land_values(numbered: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.col("file_path").alias("source_file_name"),
         F.col("line_number").cast("int").alias("source_line_number"),
         snapshot_date(F.col("file_path")).alias("source_date"),
-        F.from_csv(text, raw_schema).alias("r"),
+        hold(F.from_csv(text, raw_schema)).alias("r"),
     ).select("source_file_name", "source_line_number", "source_date", "r.*")
 
     readers = {"district_code": rd.read_int, "property_id": rd.read_int, "area": rd.read_double}

@@ -26,7 +26,7 @@ LAYOUTS = {
 }
 MISSING_PROPERTY = "missing_property_id"
 
-RECORD_START = r"^\s*[ABCDZ];"
+RECORD_KINDS = ("A", "B", "C", "D", "Z")
 
 # Fields per table in file order: (name, reader, required).
 _B = [
@@ -93,12 +93,12 @@ def read_records(lines: DataFrame, manifest: DataFrame) -> DataFrame:
     ``manifest`` is unique on file_path with published_year and layout.  A line
     that starts no record continues the one before it, also across blocks.
     """
-    starts = F.col("value").rlike(RECORD_START)
-    trailer = F.col("value").rlike(r"^\s*Z;")
-    counters = {"_starts": starts.cast("int"), "_trailers": trailer.cast("int")}
+    head = F.substring(F.ltrim("value"), 1, 2)
+    starts = head.isin([f"{k};" for k in RECORD_KINDS]).cast("int")
+    trailer = (head == "Z;").cast("int")
     facts = manifest.select(plain_path("file_path").alias("file_path"), "published_year", "layout")
-    numbered = number_lines(lines, {"record": counters["_starts"], "trailers": counters["_trailers"]}, facts)
-    own = numbered.withColumn("record", F.col("record") + F.col("value").rlike(RECORD_START).cast("int"))
+    numbered = number_lines(lines, {"record": starts, "trailers": trailer}, facts)
+    own = numbered.withColumn("record", F.col("record") + starts)
     live = own.filter((F.col("trailers") == 0) & (F.col("record") > 0))
     pieces = F.array_sort(F.collect_list(F.struct("byte_position", "value")))
     whole = live.groupBy("file_path", "record", "published_year", "layout").agg(
