@@ -61,7 +61,9 @@ def split_rejects(
         F.when(unreadable(text, F.col(f"_read_{name}"), name in required), F.lit(name))
         for name, (text, _) in readings.items()
     ]
-    checked = read.withColumn("bad_fields", F.array_compact(F.array(*bad)))
+    # Held as well: a filter naming dozens of columns would have the optimiser
+    # derive one constraint per combination of their later names.
+    checked = read.withColumn("bad_fields", hold(F.array_compact(F.array(*bad))))
     good = checked.filter(F.size("bad_fields") == 0).select(
         *untouched, *[F.col(f"_read_{name}").alias(name) for name in readings]
     )

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cadastra.plans.build import build
+from cadastra.session import cut_lineage
 from cadastra.sources.manifest import choose_snapshots, list_files, select_files
 from cadastra.sources.sale_files import SALE_TABLES, layout_of, no_layout, read_sale_files, typed_table, with_layout
 from cadastra.streaming.incremental import ingest_sale_files, year_in_path
@@ -77,6 +78,7 @@ def manifest_of(spark, folder):
 
 def tables_of(spark, folder):
     records = read_sale_files(spark, folder, manifest_of(spark, folder), "*.DAT").filter("layout IS NOT NULL")
+    records = cut_lineage(records)
     return {t: typed_table(records, t) for t in SALE_TABLES}
 
 
