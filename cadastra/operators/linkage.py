@@ -253,39 +253,59 @@ def _cheapest_rows(cost: np.ndarray) -> np.ndarray:
 def auction(edges: DataFrame) -> DataFrame:
     """The same optimum for groups too large for one task, by bidding rounds.
 
-    Every free name bids for the choice worth most to it, up to the point where
-    its second-best option (or staying free) is as good; each choice takes its
-    highest bid.  With whole-number worths scaled by the number of names plus
-    one and a bid step of one, the final assignment is optimal.  A round moves
-    two rows per free name.
+    Every free bidder bids for the option worth most to it, up to the point
+    where its second-best is as good, plus a step; each option takes its
+    highest bid.  To let the step start coarse and shrink (prices carry over),
+    every bidder must end with an option: names and choices are therefore
+    mirrored, and a name may take its own mirror image (staying alone) at worth
+    zero.  Worths are whole numbers scaled by the number of bidders plus one,
+    so a last step of one gives the optimum.  A round moves two rows per free
+    bidder and one per option; nothing is gathered in one task.
     """
-    spark = edges.sparkSession
-    count = edges.select("_n").distinct().count()
-    worth = cut_lineage(
-        edges.select("_n", "_c", ((F.lit(UNMATCHED_COST) - F.col("cost")).cast("long") * (count + 1)).alias("_w")),
-        "worth",
+    real = edges.select("_n", "_c", (F.lit(UNMATCHED_COST) - F.col("cost")).cast("long").alias("_w"))
+    mirror_n, mirror_c = small_id(F.lit("mirror"), "_n"), small_id(F.lit("mirror"), "_c")
+    none = F.lit(0).cast("long").alias("_w")
+    options = (
+        real.select(F.col("_n").alias("_p"), F.col("_c").alias("_o"), "_w")
+        .union(real.select(mirror_c, mirror_n, "_w"))
+        .union(real.select("_n", mirror_n, none).distinct())
+        .union(real.select(mirror_c, "_c", none).distinct())
     )
-    owned = spark.createDataFrame([], "_c long, _n long, _price long")
-    quit_names = spark.createDataFrame([], "_n long")
+    scale = options.select("_p").distinct().count() + 1
+    worth = cut_lineage(options.withColumn("_w", F.col("_w") * scale), "worth")
+    price = cut_lineage(worth.select("_o").distinct().withColumn("_price", F.lit(0).cast("long")), "prices")
+    step = UNMATCHED_COST * scale // 2
     while True:
-        free = worth.join(owned.select("_n"), "_n", "left_anti").join(quit_names, "_n", "left_anti")
-        net = free.join(owned.select("_c", "_price"), "_c", "left").withColumn(
-            "_net", F.col("_w") - F.coalesce(F.col("_price"), F.lit(0))
-        )
-        top = keep_top(net, ["_n"], [F.col("_net").desc(), F.col("_c").asc()], 2)
-        offers = top.groupBy("_n").agg(
-            F.max(F.when(F.col("rank") == 1, F.struct("_c", "_net", F.coalesce("_price", F.lit(0)).alias("p")))).alias("a"),
-            F.max(F.when(F.col("rank") == 2, F.col("_net"))).alias("b"),
+        owned, price = _bidding(worth, price, step)
+        if step == 1:
+            break
+        step = max(1, step // 5)
+    return owned.select(F.col("_p").alias("_n"), F.col("_o").alias("_c")).join(
+        real.select("_n", "_c"), ["_n", "_c"], "left_semi"
+    )
+
+
+def _bidding(worth: DataFrame, price: DataFrame, step: int) -> tuple[DataFrame, DataFrame]:
+    """Rounds at one step until every bidder owns an option."""
+    owned = worth.sparkSession.createDataFrame([], "_o long, _p long")
+    while True:
+        free = worth.join(owned.select("_p"), "_p", "left_anti")
+        net = free.join(price, "_o").withColumn("_net", F.col("_w") - F.col("_price"))
+        top = keep_top(net, ["_p"], [F.col("_net").desc(), F.col("_o").asc()], 2)
+        bids = top.groupBy("_p").agg(
+            F.max(F.when(F.col("rank") == 1, F.struct("_net", "_o", "_price"))).alias("a"),
+            F.min("_net").alias("b"),
+        ).select(
+            F.col("a._o").alias("_o"), "_p", (F.col("a._price") + F.col("a._net") - F.col("b") + step).alias("_bid")
         )
-        offers = cut_lineage(offers, "offers")
-        if not offers.limit(1).count():
-            return owned.select("_n", "_c")
-        stop = offers.filter(F.col("a._net") <= 0).select("_n")
-        second = F.greatest(F.coalesce("b", F.lit(0)), F.lit(0))
-        bids = offers.filter(F.col("a._net") > 0).select(
-            F.col("a._c").alias("_c"), "_n", (F.col("a.p") + F.col("a._net") - second + 1).alias("_price")
+        won = cut_lineage(keep_first(bids, ["_o"], [F.col("_bid").desc(), F.col("_p").asc()]), "bids")
+        if not won.limit(1).count():
+            return owned, price
+        kept = owned.join(won.select("_o"), "_o", "left_anti")
+        owned = cut_lineage(kept.unionByName(won.select("_o", "_p")), "owned")
+        price = cut_lineage(
+            price.join(won.select("_o", "_bid"), "_o", "left").select(
+                "_o", F.coalesce("_bid", "_price").alias("_price")
+            ),
+            "prices",
         )
-        won = keep_first(bids, ["_c"], [F.col("_price").desc(), F.col("_n").asc()])
-        kept = owned.join(won.select("_c"), "_c", "left_anti")
-        owned = cut_lineage(kept.unionByName(won), "owned")
-        quit_names = cut_lineage(quit_names.unionByName(stop), "quit")
