@@ -29,24 +29,23 @@ def first_by(df: DataFrame, keys: Sequence[str], value: str, order: str, out: st
     return df.groupBy(*keys).agg(F.min_by(value, order).alias(out))
 
 
-def sorted_values(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:
-    """All values of a group, repeats kept, as one sorted array.
+def value_runs(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:
+    """The values of a group as a sorted array of (value, count).
 
     Values are counted before the shuffle, so a group moves one row per
-    distinct value and task, never one per member.
+    distinct value and task, never one per member, and its cell is bounded by
+    the number of distinct values.
     """
     counted = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
-    runs = F.array_sort(F.collect_list(F.struct(F.col(value).alias("v"), F.col("_n").cast("int").alias("n"))))
-    return counted.groupBy(*keys).agg(
-        F.flatten(F.transform(runs, lambda r: F.array_repeat(r["v"], r["n"]))).alias(out)
-    )
+    run = F.struct(F.col(value).alias("value"), F.col("_n").alias("n"))
+    return counted.groupBy(*keys).agg(F.array_sort(F.collect_list(run)).alias(out))
 
 
-def attach_values(left: DataFrame, values: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
-    """Left join an array column, an absent group giving the empty array."""
-    element = values.schema[column].dataType
-    empty = F.array().cast(element)
-    return left.join(values, list(keys), "left").withColumn(column, F.coalesce(F.col(column), empty))
+def expand_runs(runs: Column | str) -> Column:
+    """Runs written out as one sorted array with repeats; empty for a missing group."""
+    runs = F.col(runs) if isinstance(runs, str) else runs
+    values = F.flatten(F.transform(runs, lambda r: F.array_repeat(r["value"], r["n"].cast("int"))))
+    return F.coalesce(values, F.array())
 
 
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:

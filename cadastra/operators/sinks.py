@@ -35,10 +35,22 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
 
 
-def append_new(batch: DataFrame, path: str, keys: Sequence[str], order: Sequence[Column | str] = ()) -> None:
-    """Idempotent append: running the same batch twice adds nothing."""
+def append_new(
+    batch: DataFrame,
+    path: str,
+    keys: Sequence[str],
+    order: Sequence[Column | str] = (),
+    within: Column | None = None,
+) -> None:
+    """Idempotent append: running the same batch twice adds nothing.
+
+    ``within`` narrows the stored rows that can share a key with the batch
+    (a file, a period); it is pushed into the scan of the table.
+    """
     spark = batch.sparkSession
     existing = spark.read.schema(batch.schema).parquet(path) if table_exists(spark, path) else None
+    if existing is not None and within is not None:
+        existing = existing.filter(within)
     new_rows(batch, existing, keys, order).write.mode("append").parquet(path)
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.codes import ZONE_CURRENT, area_sqm, description_kind, nature_label
 from ..functions.values import completeness, first_date
-from ..operators.aggregates import attach_values, concat_in_order, sorted_values
+from ..operators.aggregates import concat_in_order, expand_runs, value_runs
 from ..operators.history import best_row
 from ..operators.joins import with_seen_flag
 from ..operators.keys import keep_first, newest, oldest, stable_id
@@ -64,8 +64,9 @@ def notices_of_sale(ranked: DataFrame, ps_row_d: DataFrame) -> DataFrame:
     members = with_source(ps_row_d).filter(
         F.col("property_id").isNotNull() & F.col("sale_counter").isNotNull()
     )
-    participants = sorted_values(members, SALE, "participant", "sale_participants")
-    return attach_values(ranked, participants, SALE, "sale_participants").select(
+    participants = value_runs(members, SALE, "participant", "_people")
+    joined = ranked.join(participants, SALE, "left").withColumn("sale_participants", expand_runs("_people"))
+    return joined.select(
         "source_id", "effective_date", "property_id", "strata_lot_number", "dealing_number", "purchase_price",
         "contract_date", "settlement_date", "interest_of_sale", "sale_participants", "comp_code", "sale_code",
     )

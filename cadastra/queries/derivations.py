@@ -609,7 +609,7 @@ _FOLIOS = """
 )
 def legal_job_parcels(t: Tables):
     out = derive_parcels(_descriptions(t))["property_folio"]
-    return out.select("property_id", "folio_id", "partial", "base_parcel_id")
+    return out.select(F.col("property_id").cast("bigint").alias("property_id"), "folio_id", "partial", "base_parcel_id")
 
 
 @query(
@@ -661,7 +661,8 @@ def legal_job_remains(t: Tables):
     "SELECT p_partkey AS property_id, CAST(p_partkey AS VARCHAR) AS enclosure_permit FROM part WHERE p_partkey % 7 = 1",
 )
 def legal_job_permits(t: Tables):
-    return derive_parcels(_descriptions(t))["enclosure_permit"].select("property_id", "enclosure_permit")
+    permits = derive_parcels(_descriptions(t))["enclosure_permit"]
+    return permits.select(F.col("property_id").cast("bigint").alias("property_id"), "enclosure_permit")
 
 
 @query(

@@ -145,16 +145,18 @@ def concat_fragments(t: Tables):
     """
     SELECT c_custkey, coalesce(types, '') AS event_types
     FROM customer LEFT JOIN (
-      SELECT user_id, string_agg(event_type, ',' ORDER BY event_type) AS types FROM events GROUP BY user_id)
+      SELECT user_id, string_agg(event_type || '*' || n, ',' ORDER BY event_type) AS types
+      FROM (SELECT user_id, event_type, count(*) AS n FROM events GROUP BY 1, 2) GROUP BY user_id)
     ON user_id = c_custkey
     """,
 )
 def participants_array(t: Tables):
-    types = ag.sorted_values(
+    types = ag.value_runs(
         t.events.select(F.col("user_id").alias("c_custkey"), "event_type"), ["c_custkey"], "event_type", "types"
     )
-    joined = ag.attach_values(t.customer.select("c_custkey"), types, ["c_custkey"], "types")
-    return joined.select("c_custkey", F.array_join("types", ",").alias("event_types"))
+    text = F.array_join(F.transform("types", lambda r: F.concat(r["value"], F.lit("*"), r["n"].cast("string"))), ",")
+    joined = t.customer.select("c_custkey").join(types, "c_custkey", "left")
+    return joined.select("c_custkey", F.coalesce(text, F.lit("")).alias("event_types"))
 
 
 @query(

@@ -82,7 +82,8 @@ def ingest_sale_files(
         records = read_sale_files(spark, paths, manifest).persist()
         for table in SALE_TABLES:
             rows, _rejects = typed_table(records, table)
-            append_new(rows, f"{target}/{table}", ["file_path", "position"])
+            same_files = F.col("file_path").isin(paths)
+            append_new(rows, f"{target}/{table}", ["file_path", "position"], within=same_files)
         records.unpersist()
 
     query = (
