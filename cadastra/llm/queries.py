@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..session import configure
 from .bfd_packing import pack_matrix
+from .ngram_join import link_copies
 from .online_packing import pack_online
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,6 +43,12 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     return pack_matrix(spark.read.parquet(f"{folder}/documents.parquet"))
 
 
+@query("op5_ngram_jaccard_join")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    """Component of every document under links of 4-word shingle Jaccard at 85 % or more."""
+    return link_copies(spark.read.parquet(f"{folder}/documents.parquet"))
+
+
 @query("op6_pack_online")
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     """All documents packed online, one row per piece."""
