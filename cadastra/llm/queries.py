@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..session import configure
 from .bfd_packing import pack_matrix
+from .decontaminate import find_leaks
+from .language import fit_languages, predict_languages
 from .ngram_join import link_copies
 from .online_packing import pack_online
 
@@ -55,3 +56,32 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
     return pack_online(spark.read.parquet(f"{folder}/documents.parquet"), keep_ids=False).select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"
     )
+
+
+@query("op2_language_id")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every document, learned from the folds other than 2."""
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    return predict_languages(docs, fit_languages(docs))
+
+
+LEAKS_SQL = r"""
+WITH d AS (SELECT doc_id AS id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM documents),
+b AS (SELECT item_id AS id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM benchmark),
+ds AS (SELECT DISTINCT id, unnest(CASE WHEN len(w) >= 5
+         THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+         WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g FROM d),
+bs AS (SELECT DISTINCT id, unnest(CASE WHEN len(w) >= 5
+         THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+         WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g FROM b),
+n AS (SELECT id, count(*) AS n FROM bs GROUP BY id)
+SELECT ds.id AS doc_id, bs.id AS item_id, n.n AS n_shingles, count(*) AS matched
+FROM ds JOIN bs ON ds.g = bs.g JOIN n ON n.id = bs.id
+GROUP BY ds.id, bs.id, n.n HAVING 100 * count(*) >= 80 * n.n
+"""
+
+
+@query("op8_benchmark_decontamination", LEAKS_SQL)
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document and test item that it contains."""
+    return find_leaks(spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/benchmark.parquet"))
