@@ -12,6 +12,7 @@ from .decontaminate import find_leaks
 from .language import fit_languages, predict_languages
 from .ngram_join import link_copies
 from .online_packing import pack_online
+from .quality import fit_quality, score_quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -85,3 +86,10 @@ GROUP BY ds.id, bs.id, n.n HAVING 100 * count(*) >= 80 * n.n
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     """Every document and test item that it contains."""
     return find_leaks(spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/benchmark.parquet"))
+
+
+@query("op10_quality_classifier")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality score of every document, learned from labels of the folds other than 2."""
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    return score_quality(docs, fit_quality(docs, spark.read.parquet(f"{folder}/labels.parquet")))
