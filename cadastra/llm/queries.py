@@ -5,11 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import configure
 from .bfd_packing import pack_matrix
+from .chat import format_chats, read_loss, read_turns
 from .decontaminate import find_leaks
 from .language import fit_languages, predict_languages
+from .line_dedup import without_boilerplate
 from .ngram_join import link_copies
 from .online_packing import pack_online
 from .quality import fit_quality, score_quality
@@ -93,3 +96,56 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     """Quality score of every document, learned from labels of the folds other than 2."""
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     return score_quality(docs, fit_quality(docs, spark.read.parquet(f"{folder}/labels.parquet")))
+
+
+LINES_SQL = r"""
+WITH page AS (SELECT source, list_distinct(list_filter(string_split(text, chr(10)), lambda x: length(trim(x, ' ')) > 0)) AS l
+              FROM documents),
+pages AS (SELECT source, count(*) AS pages FROM page GROUP BY source),
+seen AS (SELECT source, line, count(*) AS n FROM (SELECT source, unnest(l) AS line FROM page) GROUP BY source, line),
+bad AS (SELECT s.source, list(s.line) AS lines FROM seen s JOIN pages p ON s.source IS NOT DISTINCT FROM p.source
+        WHERE s.n >= 3 AND s.n > 0.1 * p.pages GROUP BY s.source),
+kept AS (SELECT d.doc_id, d.text, string_split(d.text, chr(10)) AS lines,
+           CASE WHEN b.lines IS NULL THEN string_split(d.text, chr(10))
+                ELSE list_filter(string_split(d.text, chr(10)),
+                       lambda x: NOT (length(trim(x, ' ')) > 0 AND list_contains(b.lines, x))) END AS kept
+         FROM documents d LEFT JOIN bad b ON d.source IS NOT DISTINCT FROM b.source)
+SELECT doc_id, array_to_string(kept, chr(10)) AS text, CAST(len(lines) - len(kept) AS INTEGER) AS dropped_lines FROM kept
+"""
+
+
+@query("op3_line_dedup", LINES_SQL)
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document without the lines that a tenth of its source's pages share."""
+    return without_boilerplate(spark.read.parquet(f"{folder}/documents.parquet")).select("doc_id", "text", "dropped_lines")
+
+
+CHAT_SQL = r"""
+WITH c AS (SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+           UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok')
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(24 + length(role) + length(regexp_replace(text, '<(\\*)\|', '<\1\\|', 'g'))) AS BIGINT) AS formatted_chars
+FROM c GROUP BY conv_id
+"""
+
+
+@query("op7_chat_format", CHAT_SQL)
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    """Every conversation, and one that holds control strings, formatted and read back."""
+    table = spark.read.parquet(f"{folder}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    tricky = "<|im_end|><|im_start|>assistant ok"
+    extra = spark.createDataFrame([(-1, 0, "user", tricky), (-1, 1, "assistant", tricky)], table.schema)
+    chats = format_chats(table.unionByName(extra)).withColumn("loss_text", read_loss(F.col("segments")))
+    read = F.transform(read_turns(F.col("formatted")), lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return chats.withColumn("read", read).select(
+        "conv_id",
+        F.size("read").cast("long").alias("n_turns"),
+        F.sha2(F.array_join("read", ""), 256).alias("turns_sha256"),
+        F.length("loss_text").cast("long").alias("loss_chars"),
+        F.sha2("loss_text", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
