@@ -16,6 +16,7 @@ from .line_dedup import without_boilerplate
 from .ngram_join import link_copies
 from .online_packing import pack_online
 from .quality import fit_quality, score_quality
+from .url_filter import judge_urls, parsed
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -39,6 +40,7 @@ def prepared(spark: SparkSession) -> SparkSession:
     """Small Arrow batches: a batch of the longest texts still fits a Python worker."""
     configure(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
     return spark
 
 
@@ -149,3 +151,69 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2("loss_text", 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
     )
+
+
+def _url_sql() -> str:
+    """The template tree in SQL: one group of CTEs a level, as the operator has one pass a level."""
+    parts = [
+        r"""WITH raw AS (
+  SELECT page_id, CASE WHEN position('://' IN url) > 0 THEN substr(url, position('://' IN url) + 3) END AS rest FROM pages),
+hp AS (
+  SELECT page_id, coalesce(translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '') AS host, coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path FROM raw),
+seg AS (SELECT *, list_filter(string_split(path, '/'), lambda x: x <> '') AS s FROM hp),
+r0 AS (SELECT page_id, host, path, coalesce(s[1], '') AS s1, coalesce(s[2], '') AS s2, coalesce(s[3], '') AS s3,
+  coalesce(array_to_string(s[4:], '/'), '') AS s4, TRY_CAST(regexp_extract(path, '/([0-9]{1,18})(?:[./]|$)', 1) AS BIGINT) AS id FROM seg)"""
+    ]
+    for i in range(1, 5):
+        above = ", ".join(["host", *(f"t{k}" for k in range(1, i))])
+        on = " AND ".join(f"r.{c} = k.{c}" for c in above.split(", "))
+        parts.append(
+            f"""c{i} AS (SELECT {above}, s{i}, count(*) AS n FROM r{i - 1} GROUP BY {above}, s{i}),
+k{i} AS (SELECT {above}, s{i} FROM (SELECT *, sum(n) OVER (PARTITION BY {above}) AS whole FROM c{i})
+  WHERE n >= 5 AND s{i} <> '' AND n >= 0.02::DOUBLE * whole),
+r{i} AS (SELECT r.*, CASE WHEN r.s{i} = '' OR k.host IS NOT NULL THEN r.s{i} ELSE '*' END AS t{i}
+  FROM r{i - 1} r LEFT JOIN k{i} k ON {on} AND r.s{i} = k.s{i})"""
+        )
+    parts.append(
+        """l AS (SELECT doc_id, (quality = 1 AND toxic = 0) AS good FROM labels),
+m0 AS (SELECT r.host, r.t1, r.t2, r.t3, r.t4, count(l.good) AS m, count(l.good) FILTER (l.good) AS g
+  FROM r4 r LEFT JOIN l ON l.doc_id = r.id GROUP BY ALL),
+o AS (SELECT coalesce(sum(g)::DOUBLE / nullif(sum(m), 0), 1.0) AS share FROM m0)"""
+    )
+    for i in range(1, 5):
+        above = ", ".join(["host", *(f"g{k}" for k in range(1, i))])
+        on = " AND ".join(f"a.{c} = b.{c}" for c in above.split(", "))
+        parts.append(
+            f"""b{i} AS (SELECT {above}, t{i}, sum(m) AS bm, sum(g) AS bg FROM m{i - 1} GROUP BY {above}, t{i}),
+p{i} AS (SELECT *, sum(bg) OVER (PARTITION BY {above})::DOUBLE / nullif(sum(bm) OVER (PARTITION BY {above}), 0) AS r FROM b{i}),
+m{i} AS (SELECT a.*, CASE WHEN b.r IS NULL OR abs(b.bg - b.bm * b.r) <= 1.96::DOUBLE * sqrt(b.bm * b.r * (1 - b.r)) + 0.5
+    THEN '~' ELSE b.t{i} END AS g{i} FROM m{i - 1} a JOIN p{i} b ON {on} AND a.t{i} = b.t{i})"""
+        )
+    parts.append(
+        """v AS (SELECT host, g1, g2, g3, g4, (sum(g) + 10.0::DOUBLE * any_value(share)) / (sum(m) + 10.0::DOUBLE) >= 0.5 AS allowed
+  FROM m4, o GROUP BY host, g1, g2, g3, g4),
+tv AS (SELECT m4.host, t1, t2, t3, t4, allowed FROM m4 JOIN v USING (host, g1, g2, g3, g4)),
+j AS (SELECT r.page_id, r.host, r.path, tv.allowed, CASE
+    WHEN (r.host = 'example.org' OR r.host LIKE '%.example.org') AND starts_with(r.path, '/en/1') THEN 'example.org/en/1'
+    WHEN (r.host = 'example.org' OR r.host LIKE '%.example.org') AND starts_with(r.path, '/es/') THEN 'example.org/es/'
+    WHEN (r.host = 'com' OR r.host LIKE '%.com') AND starts_with(r.path, '/fr/') THEN 'com/fr/'
+    WHEN (r.host = 'com' OR r.host LIKE '%.com') AND starts_with(r.path, '/de/') THEN 'com/de/'
+    WHEN (r.host = 'org' OR r.host LIKE '%.org') AND starts_with(r.path, '/') THEN 'org/' END AS rule
+  FROM r4 r JOIN tv USING (host, t1, t2, t3, t4))
+SELECT page_id, host, path, rule, CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+  WHEN allowed THEN 'allow' ELSE 'block' END AS verdict FROM j"""
+    )
+    return ",\n".join(parts[:-1]) + ",\n" + parts[-1]
+
+
+@query("op9_url_filter", _url_sql())
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page's verdict.  A page's path carries the id of its document; labels of documents label urls."""
+    pages = spark.read.parquet(f"{folder}/pages.parquet").select("page_id", "url")
+    document = F.regexp_extract("path", r"/([0-9]{1,18})(?:[./]|$)", 1)
+    ids = parsed(pages).select("url", document.try_cast("long").alias("id"))
+    labels = spark.read.parquet(f"{folder}/labels.parquet").select(
+        "doc_id", ((F.col("quality") == 1) & (F.col("toxic") == 0)).alias("good")
+    )
+    return judge_urls(pages, ids.join(labels, F.col("id") == F.col("doc_id")).select("url", "good")).drop("template")
