@@ -11,6 +11,7 @@ from ..session import configure
 from .bfd_packing import pack_matrix
 from .chat import format_chats, read_loss, read_turns
 from .decontaminate import find_leaks
+from .exact_topk import scaled, top_scores, usable
 from .language import fit_languages, predict_languages
 from .line_dedup import without_boilerplate
 from .ngram_join import link_copies
@@ -217,3 +218,21 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", ((F.col("quality") == 1) & (F.col("toxic") == 0)).alias("good")
     )
     return judge_urls(pages, ids.join(labels, F.col("id") == F.col("doc_id")).select("url", "good")).drop("template")
+
+
+TOPK_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS e
+           FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
+@query("op4_exact_topk", TOPK_SQL)
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    """The five highest integer inner products of every fiftieth vector with all others."""
+    table = spark.read.parquet(f"{folder}/embeddings.parquet").where(usable(F.col("embedding")))
+    vectors = table.select("vec_id", scaled(F.col("embedding")).alias("vector"))
+    return top_scores(vectors, F.col("vec_id") % 50 == 0)
