@@ -36,13 +36,17 @@ SHINGLE = 4
 PERCENT = 85
 #: A token of more documents than this is frequent.
 RARE = 16
+#: Words of a parity sketch; the two highest bits of a token choose its word.
+WORDS = 4
+#: Frequent tokens are split into one class for so many tokens of a set.
+CLASS_SIZE = 32
 SAMPLE = np.uint64(1 << 62)
 #: Characters of text turned into arrays at a time.
 CHUNK_CHARS = 1 << 20
 
 _BASE = pa.schema([("doc_id", pa.int64()), ("n", pa.int32()), ("cls", pa.int64()), ("sample", pa.list_(pa.int64()))])
 _SETS = pa.schema([("cls", pa.int64()), ("n", pa.int32()), ("tokens", pa.list_(pa.int64()))])
-_INDEX = pa.schema([("key", pa.int64()), ("cls", pa.int64()), ("n", pa.int32()), ("shared", pa.int32())])
+_INDEX = pa.schema([("key", pa.int64()), ("cls", pa.int64()), ("n", pa.int32()), ("rest", pa.int32()), ("own", pa.int32())])
 
 
 def chunks(batches: Iterator[pa.RecordBatch], chars: int = CHUNK_CHARS) -> Iterator[tuple[pa.RecordBatch, list]]:
@@ -73,9 +77,9 @@ def least_overlap(n: Column, percent: int) -> Column:
 
 
 def _can_link(percent: int, a: str, b: str) -> Column:
-    """Sizes and shared tokens of both sides still allow a link."""
+    """Sizes, and the tokens that both sides have from their common key on, still allow a link."""
     na, nb = F.col(f"{a}.n"), F.col(f"{b}.n")
-    most = F.least(f"{a}.shared", f"{b}.shared")
+    most = F.least(f"{a}.rest", f"{b}.rest")
     return (100 * F.least(na, nb) >= percent * F.greatest(na, nb)) & ((100 + percent) * most >= percent * (na + nb))
 
 
@@ -88,38 +92,47 @@ def _index_rows(percent: int, rare: int):
     classes, so two fall into one class, and that pair is a common key.  ``c``
     follows the power of two a size lies in; sizes near a power of two are
     indexed under both, so that linked sets always meet under one.
+
+    ``rest`` bounds the overlap from the key's place on: before the first common
+    rare token lies no common token, before the first common pair lie at most
+    ``c``, and from there a set has only its remaining tokens.
     """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[tuple[int, int, int, int]] = []
-            for cls, n, items in zip(*(batch.column(i) for i in range(3)), strict=True):
+            cls, sizes, keys, rests, own = [], [], [], [], []
+            for c, n, items in zip(*(batch.column(i) for i in range(3)), strict=True):
                 n, values = n.as_py(), items.values
                 tokens = np.asarray(values.field("token")).view(np.uint64)
-                df = np.asarray(values.field("df"))
+                often = np.asarray(values.field("df")) > rare
                 need = -(-n * percent // 100)
                 unshared = n - len(tokens)
-                low = -(-n * percent // 100)
-                high = n * 100 // percent
-                keys = [np.empty(0, np.uint64)]
+                low, high = need, n * 100 // percent
+                found, bound = [], []
                 for power in range(max(1, low).bit_length() - 1, max(1, high).bit_length()):
-                    classes = 1 + (1 << power) // 8
-                    kept = max(0, n - need + 1 + classes - unshared)
-                    head, often = tokens[:kept], df[:kept] > rare
-                    keys.append(head[~often])
-                    frequent = head[often]
-                    residue = frequent % np.uint64(classes)
+                    classes = 1 + (1 << power) // CLASS_SIZE
+                    head = max(0, n - need + 1 + classes - unshared)
+                    single = np.flatnonzero(~often[:head])
+                    found.append(tokens[single])
+                    bound.append(len(tokens) - single)
+                    place = np.flatnonzero(often[:head])
+                    residue = tokens[place] % np.uint64(classes)
                     order = np.argsort(residue, kind="stable")
-                    frequent, residue = frequent[order], residue[order]
-                    for step in range(1, len(frequent)):
+                    place, residue = place[order], residue[order]
+                    for step in range(1, len(place)):
                         same = residue[step:] == residue[:-step]
                         if not same.any():
                             break
-                        a, b = frequent[step:][same], frequent[:-step][same]
-                        keys.append(mix(np.minimum(a, b) * np.uint64(31) + mix(np.maximum(a, b) + np.uint64(power))))
-                shared = len(tokens)
-                out.extend((k, cls.as_py(), n, shared) for k in np.unique(np.concatenate(keys)).view(np.int64).tolist())
-            columns = list(zip(*out, strict=True)) if out else [[]] * 4
+                        first, second = place[:-step][same], place[step:][same]
+                        found.append(mix(tokens[first] * np.uint64(31) + mix(tokens[second] + np.uint64(power))))
+                        bound.append(len(tokens) - first + classes)
+                found, bound = np.concatenate(found), np.concatenate(bound)
+                found, at = np.unique(found, return_index=True)
+                keys.append(found.view(np.int64))
+                rests.append(bound[at])
+                for column, value in ((cls, c.as_py()), (sizes, n), (own, unshared)):
+                    column.append(np.full(len(found), value))
+            columns = [np.concatenate(c) if c else [] for c in (keys, cls, sizes, rests, own)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t.type) for c, t in zip(columns, _INDEX, strict=True)], schema=_INDEX
             )
@@ -127,6 +140,29 @@ def _index_rows(percent: int, rare: int):
     return rows
 
 
+def _parities(tokens: Column) -> Column:
+    """For each residue of the tokens whether their number is odd, as bits of ``WORDS`` words.
+
+    The words of two sets differ in at most as many bits as the sets differ in
+    tokens: tokens in common cancel out.
+    """
+
+    def word(w: int) -> Column:
+        own = F.filter(tokens, lambda t: F.shiftrightunsigned(t, 62) == w)
+        bit = lambda t: F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(t, F.lit(61)).cast("int"))
+        return F.aggregate(own, F.lit(0).cast("long"), lambda odd, t: odd.bitwiseXOR(bit(t)))
+
+    return F.array(*(word(w) for w in range(WORDS)))
+
+
+def _differ_little(percent: int) -> Column:
+    """The parities of both sides, and the tokens that no other set has, still allow a link."""
+    odd = F.col("a.own") + F.col("b.own")
+    for w in range(WORDS):
+        odd += F.bit_count(F.col("a.parity")[w].bitwiseXOR(F.col("b.parity")[w]))
+    return (100 + percent) * odd <= (100 - percent) * (F.col("a.n") + F.col("b.n"))
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The ``u, v`` pairs whose whole sets are similar enough.  Unshared tokens cannot overlap and are left out."""
     tokens = sets.select("cls", "n", F.col("items.token").alias("tokens"))
@@ -223,16 +259,16 @@ def link_copies(
 
     index = cut_lineage(
         sets.select("cls", "n", "items").mapInArrow(
-            _index_rows(percent, rare), "key long, cls long, n int, shared int"
+            _index_rows(percent, rare), "key long, cls long, n int, rest int, own int"
         ),
         "index",
     )
     pivots = index.groupBy("key").agg(
-        F.min(F.struct((F.col("n") - F.col("shared")).alias("own"), "cls", "n", "shared")).alias("pivot"),
+        F.min(F.struct("own", "cls", "n", "rest")).alias("pivot"),
         F.count("*").alias("members"),
     )
     index = index.join(pivots.where("members > 1"), "key").select(
-        "key", F.struct("cls", "n", "shared").alias("m"), "pivot"
+        "key", F.struct("cls", "n", "rest", "own").alias("m"), "pivot"
     )
     near = cut_lineage(
         index.where(F.col("m.cls") != F.col("pivot.cls")).where(_can_link(percent, "m", "pivot"))
@@ -244,19 +280,25 @@ def link_copies(
 
     # Members outside their pivot's component meet all others of the key.
     labels = label.select(F.col("node").alias("cls"), F.col("label"))
-    labelled = (
+    labelled = cut_lineage(
         index.withColumn("cls", F.col("m.cls")).join(labels, "cls", "left")
         .withColumn("mine", F.coalesce("label", "cls")).drop("label", "cls")
         .withColumn("cls", F.col("pivot.cls")).join(labels, "cls", "left")
         .withColumn("main", F.col("mine") == F.coalesce("label", "cls"))
-        .select("key", "m", "mine", "main")
+        .select("key", "m", "mine", "main"),
+        "labelled",
     )
-    labelled = cut_lineage(labelled, "labelled")
-    minor = labelled.where("NOT main").select("key", F.col("m").alias("a"), F.col("mine").alias("la"))
-    every = labelled.select("key", F.col("m").alias("b"), F.col("mine").alias("lb"), "main")
+    mixed = labelled.where("NOT main").select("key").distinct()
+    sketches = sets.select("cls", _parities(F.col("items.token")).alias("parity"))
+    member = labelled.join(mixed, "key").withColumn("cls", F.col("m.cls")).join(sketches, "cls").select(
+        "key", F.struct("m.cls", "m.n", "m.rest", "m.own", "mine", "main", "parity").alias("m")
+    )
+    minor = member.where("NOT m.main").select("key", F.col("m").alias("a"))
+    every = member.select("key", F.col("m").alias("b"))
     rest = (
         minor.join(every, "key")
-        .where((F.col("la") != F.col("lb")) & (F.col("main") | (F.col("a.cls") < F.col("b.cls"))) & _can_link(percent, "a", "b"))
+        .where(F.col("a.mine") != F.col("b.mine"))
+        .where((F.col("b.main") | (F.col("a.cls") < F.col("b.cls"))) & _can_link(percent, "a", "b") & _differ_little(percent))
         .select(*_pair("a.cls", "b.cls")).distinct()
     )
     rest = rest.join(near, ["u", "v"], "left_anti")
