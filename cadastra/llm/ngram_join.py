@@ -36,6 +36,8 @@ SHINGLE = 4
 PERCENT = 85
 #: A token of more documents than this is frequent.
 RARE = 16
+#: Rows of two ids that may be broadcast: 16 MB.
+BROADCAST_ROWS = 1_000_000
 #: Words of a parity sketch; the two highest bits of a token choose its word.
 WORDS = 4
 #: Frequent tokens are split into one class for so many tokens of a set.
@@ -177,6 +179,11 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def _beside(keys: DataFrame) -> DataFrame:
+    """Fixed-width rows of a written table, sent to all tasks if they are few enough; otherwise texts are shuffled to them."""
+    return F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys
+
+
 def _pair(a: str, b: str) -> list[Column]:
     return [F.least(a, b).alias("u"), F.greatest(a, b).alias("v")]
 
@@ -244,7 +251,7 @@ def link_copies(
     )
 
     # The whole sets of what is left, with the tokens that others hold too.
-    texts = left.select("cls", "first_id").join(docs.select("doc_id", "text"), F.col("doc_id") == F.col("first_id"))
+    texts = docs.select("doc_id", "text").join(_beside(left.select("cls", "first_id")), F.col("doc_id") == F.col("first_id"))
     whole = cut_lineage(
         texts.select("cls", "text").mapInArrow(set_rows, "cls long, n int, tokens array<long>"), "whole-sets"
     )
@@ -318,3 +325,18 @@ def link_copies(
     return linked.select("doc_id", "n", "cls", "component_id").unionByName(alone).select(
         "doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id"
     )
+
+
+def keep_one(docs: DataFrame, linked: DataFrame) -> DataFrame:
+    """The rows of ``docs`` but one of each component: the one whose id names it.
+
+    Rows repeated under one id and text are one document.  Rows without an id
+    belong to no component and stay.  Only ids move; texts are filtered in place.
+    """
+    ids = linked.where("doc_id IS NOT NULL").groupBy("doc_id").agg(
+        F.max(F.col("doc_id") != F.col("component_id")).alias("gone"), F.count("*").alias("rows")
+    )
+    marked = cut_lineage(ids.where("gone OR rows > 1"), "component-marks")
+    repeated = _beside(marked.where("NOT gone").select("doc_id"))
+    once = docs.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    return docs.join(_beside(marked.select("doc_id")), "doc_id", "left_anti").unionByName(once).select(docs.columns)
