@@ -192,7 +192,8 @@ m{i} AS (SELECT a.*, CASE WHEN b.r IS NULL OR abs(b.bg - b.bm * b.r) <= 1.96::DO
     THEN '~' ELSE b.t{i} END AS g{i} FROM m{i - 1} a JOIN p{i} b ON {on} AND a.t{i} = b.t{i})"""
         )
     parts.append(
-        """v AS (SELECT host, g1, g2, g3, g4, (sum(g) + 10.0::DOUBLE * any_value(share)) / (sum(m) + 10.0::DOUBLE) >= 0.5 AS allowed
+        """v AS (SELECT host, g1, g2, g3, g4, sum(m) = 0
+    OR (sum(g) + 10.0::DOUBLE * any_value(share)) / (sum(m) + 10.0::DOUBLE) >= 0.5 AS allowed
   FROM m4, o GROUP BY host, g1, g2, g3, g4),
 tv AS (SELECT m4.host, t1, t2, t3, t4, allowed FROM m4 JOIN v USING (host, g1, g2, g3, g4)),
 j AS (SELECT r.page_id, r.host, r.path, tv.allowed, CASE

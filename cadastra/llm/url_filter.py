@@ -122,7 +122,9 @@ def template_verdicts(rows: DataFrame, labelled: DataFrame) -> tuple[list[DataFr
         )
     groups = ["host", *(f"g{i}" for i in range(1, LEVELS + 1))]
     purity = (F.sum("good") + PRIOR * overall) / (F.sum("labelled") + PRIOR)
-    pure = merged.groupBy(*groups).agg((purity >= PURITY).alias("allowed"))
+    pure = merged.groupBy(*groups).agg(
+        ((F.sum("labelled") == 0) | (purity >= PURITY)).alias("allowed")
+    )
     return kept, cut_lineage(merged.join(pure, groups).select("host", *names, "allowed"), "verdicts")
 
 
@@ -137,8 +139,8 @@ def judge_urls(
     decides, otherwise the page's template does.
 
     A null url, or one without ``://``, has an empty host and path and is
-    judged as a template of the empty host.  Without labels everything is
-    allowed that no rule blocks.  Rows of equal ``page_id`` are each judged;
+    judged as a template of the empty host.  A template without labels is
+    allowed.  Rows of equal ``page_id`` are each judged;
     other columns are ignored; an empty table gives no rows.
     """
     rows = parsed(pages.select("page_id", "url")).drop("url")
