@@ -127,12 +127,16 @@ def group_percentile(df: DataFrame, keys: Sequence[str], value: str, share: floa
 
 
 def global_rank(df: DataFrame, value: str, out: str = "rank") -> DataFrame:
-    """``RANK() OVER (ORDER BY value)`` without sorting the table in one task."""
-    hist = df.select(F.col(value).cast("double").alias("_v")).groupBy("_v").agg(F.count(F.lit(1)).alias("_n"))
+    """``RANK() OVER (ORDER BY value NULLS LAST)`` without sorting the table in one task.
+
+    Values keep their own type, so neighbours beyond 2^53 stay apart.
+    """
+    hist = df.select(F.col(value).alias("_v")).groupBy("_v").agg(F.count(F.lit(1)).alias("_n"))
     placed = running_position(hist.filter(F.col("_v").isNotNull()), [], "_v", "_n")
     ranks = placed.select("_v", (F.col("before") + 1).alias(out))
-    known = df.filter(F.col(value).isNotNull()).withColumn("_v", F.col(value).cast("double"))
-    return known.join(ranks, "_v").drop("_v")
+    known = df.filter(F.col(value).isNotNull()).withColumn("_v", F.col(value)).join(ranks, "_v").drop("_v")
+    valued = df.agg((F.count(value) + 1).alias(out))
+    return known.unionByName(df.filter(F.col(value).isNull()).join(F.broadcast(valued)))
 
 
 def equal_segments(df: DataFrame, day: str, n: int) -> DataFrame:

@@ -113,8 +113,11 @@ def _clean(rings: Column) -> Column:
 
 
 def _orient(cleaned: Column) -> Column:
+    """Outer rings counter-clockwise, holes clockwise: a ring inside an odd number of others is a hole."""
+
     def oriented(ring: Column, index: Column) -> Column:
-        hole = (index > 0) & point_in_ring(ring[0], cleaned[0])
+        around = F.filter(cleaned, lambda other, i: (i != index) & point_in_ring(ring[0], other))
+        hole = F.size(around) % 2 == 1
         wrong = (ring_area(ring) > 0) == hole
         return F.when(wrong, F.reverse(ring)).otherwise(ring)
 
@@ -124,8 +127,8 @@ def _orient(cleaned: Column) -> Column:
 def with_repaired(df: DataFrame, rings: str, out: str) -> DataFrame:
     """Add valid rings: repeated points dropped, rings closed, collapsed rings dropped, orientation set.
 
-    The first ring is outer; a later ring is a hole when its first point lies
-    in the first ring.  NULL when nothing is left: such rows are rejects.
+    A ring is a hole when its first point lies in an odd number of the other
+    rings.  NULL when nothing is left: such rows are rejects.
     """
     cleaned = df.withColumn("_cleaned", hold(_clean(F.col(rings))))
     return cleaned.withColumn(out, hold(_orient(F.col("_cleaned")))).drop("_cleaned")
@@ -278,7 +281,8 @@ def intersects(a: Column | str, b: Column | str) -> Column:
     a, b = _col(a), _col(b)
     ea, eb = F.flatten(F.transform(a, _edges)), F.flatten(F.transform(b, _edges))
     meet = F.exists(ea, lambda e: F.exists(eb, lambda f: _segments_meet(e, f)))
-    return meet | point_in_rings(a[0][0], b) | point_in_rings(b[0][0], a)
+    # Without a meeting of borders each part lies wholly inside or outside; any of its points tells.
+    return meet | F.exists(a, lambda r: point_in_rings(r[0], b)) | F.exists(b, lambda r: point_in_rings(r[0], a))
 
 
 # ---------------------------------------------------------------- overlap

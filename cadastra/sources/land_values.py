@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import readers as rd
@@ -10,7 +10,7 @@ from ..functions.codes import zone_standard
 from ..operators.hold import hold
 from ..operators.quality import split_rejects
 from ..schemas import LAND_VALUE_COLUMNS, table_schema
-from .lines import number_lines, read_lines
+from .lines import csv_fields, header_lines, number_lines, quote_count, read_lines, whole_records
 
 
 def snapshot_date(path) -> F.Column:
@@ -19,18 +19,36 @@ def snapshot_date(path) -> F.Column:
     return F.try_to_date(digits, "yyyyMMdd")
 
 
+def header_places(header: Column) -> Column:
+    """Where each published column stands in a header; NULL when one is missing."""
+    names = F.transform(
+        csv_fields(F.regexp_replace(header, r"[\r\x{FEFF}]", "")), lambda c: F.upper(F.trim(c))
+    )
+    places = F.transform(F.array(*map(F.lit, LAND_VALUE_COLUMNS)), lambda c: F.array_position(names, c).cast("int") - 1)
+    return F.when(F.array_min(places) >= 0, places)
+
+
 def parse_land_values(numbered: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Typed rows and rejects of numbered CSV lines (first line of a file is the header)."""
+    """Typed rows and rejects of numbered CSV records with the ``places`` of their file's columns.
+
+    The first line of a file is its header, and columns are taken by its names.
+    A file whose header lacks a column is rejected whole, record by record.
+    """
     text = F.regexp_replace("value", r"\r$", "")
     columns = [c.lower().replace(" ", "_") for c in LAND_VALUE_COLUMNS]
-    raw_schema = ", ".join(f"`_{c}` string" for c in columns)
     body = numbered.filter((F.col("line_number") > 0) & (F.trim("value") != ""))
     fields = body.select(
         F.col("file_path").alias("source_file_name"),
         F.col("line_number").cast("int").alias("source_line_number"),
         snapshot_date(F.col("file_path")).alias("source_date"),
-        hold(F.from_csv(text, raw_schema)).alias("r"),
-    ).select("source_file_name", "source_line_number", "source_date", "r.*")
+        "places",
+        hold(csv_fields(text)).alias("r"),
+    ).select(
+        "source_file_name",
+        "source_line_number",
+        "source_date",
+        *[F.get("r", F.get("places", F.lit(i))).alias(f"_{c}") for i, c in enumerate(columns)],
+    )
 
     readers = {"district_code": rd.read_int, "property_id": rd.read_int, "area": rd.read_double}
     readings = {}
@@ -56,12 +74,18 @@ def parse_land_values(numbered: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields]), rejects
 
 
-def header_errors(numbered: DataFrame) -> DataFrame:
-    """Files whose header is not the published column list."""
-    expected = ",".join(LAND_VALUE_COLUMNS)
-    given = F.upper(F.regexp_replace("value", r"[\r\"\x{FEFF}]", ""))
-    return numbered.filter((F.col("line_number") == 0) & (given != expected)).select("file_path", "value")
+def header_errors(lines: DataFrame) -> DataFrame:
+    """Files whose header lacks a published column."""
+    return header_lines(lines).filter(header_places(F.col("header")).isNull()).select(
+        "file_path", F.col("header").alias("value")
+    )
+
+
+def number_records(lines: DataFrame) -> DataFrame:
+    """Numbered CSV records of raw lines with their file's column places."""
+    facts = header_lines(lines).select("file_path", header_places(F.col("header")).alias("places"))
+    return whole_records(number_lines(lines, {"quotes": quote_count()}, facts))
 
 
 def read_land_values(spark: SparkSession, paths: str | list[str]) -> tuple[DataFrame, DataFrame]:
-    return parse_land_values(number_lines(read_lines(spark, paths, "*.[cC][sS][vV]")))
+    return parse_land_values(number_records(read_lines(spark, paths, "*.[cC][sS][vV]")))

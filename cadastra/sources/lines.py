@@ -77,3 +77,64 @@ def number_lines(
         F.when(F.col("_valid") == 1, F.col("value")).otherwise(latin).alias("value"),
         *[(F.col(f"_{name}_local") + F.col(f"_{name}_base")).alias(name) for name in counters],
     )
+
+
+def header_lines(lines: DataFrame) -> DataFrame:
+    """The first line of each file."""
+    first = lines.filter(F.col("_block") == 0).groupBy("file_path")
+    return first.agg(F.min_by("value", "_seq").alias("header"))
+
+
+def quote_count(value: Column | str = "value") -> Column:
+    """Double quotes in a line; as a counter they tell whether a line starts inside quotes."""
+    value = F.col(value) if isinstance(value, str) else value
+    return F.length(value) - F.length(F.replace(value, F.lit('"')))
+
+
+#: Lines whose continuation marks are resolved together.
+_STRETCH = 4096
+
+
+def whole_records(numbered: DataFrame) -> DataFrame:
+    """Join lines that were broken inside quotes, given a ``quotes`` counter.
+
+    Only the lines of broken records move; a record keeps the number and the
+    position of its first line.  Which line a continuation belongs to is
+    found within stretches of lines and handed from stretch to stretch.
+    """
+    inside = F.col("quotes") % 2 == 1
+    odd = quote_count() % 2 == 1
+    rest = [c for c in numbered.columns if c not in ("line_number", "byte_position", "value", "quotes")]
+    broken = numbered.filter(inside | odd).withColumn("_start", F.when(~inside, F.col("line_number"))).withColumn(
+        "_stretch", F.floor(F.col("line_number") / _STRETCH)
+    )
+    within = Window.partitionBy("file_path", "_stretch").orderBy("line_number")
+    earlier = Window.partitionBy("file_path").orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
+    handed = (
+        broken.groupBy("file_path", "_stretch").agg(F.max("_start").alias("_last"))
+        .select("file_path", "_stretch", F.max("_last").over(earlier).alias("_handed"))
+    )
+    placed = broken.withColumn("_local", F.max("_start").over(within)).join(handed, ["file_path", "_stretch"])
+    parts = F.array_sort(F.collect_list(F.struct("line_number", "value")))
+    joined = placed.groupBy("file_path", F.coalesce("_local", "_handed").alias("line_number")).agg(
+        F.min("byte_position").alias("byte_position"),
+        F.array_join(F.transform(parts, lambda p: p["value"]), "\n").alias("value"),
+        *[F.first(c).alias(c) for c in rest if c != "file_path"],
+    )
+    columns = [*rest, "line_number", "byte_position", "value"]
+    return numbered.filter(~inside & ~odd).select(columns).unionByName(joined.select(columns))
+
+
+def csv_fields(text: Column, separator: str = ",") -> Column:
+    """Fields of a line; quoted ones may hold separators, line breaks and doubled quotes."""
+    sep = "".join(f"\\x{ord(c):02x}" for c in separator)
+    quoted = r'"[^"]*+(?:""[^"]*+)*+"'
+    raw = F.regexp_extract_all(F.concat(F.lit(separator), text), F.lit(f"{sep}({quoted}[^{sep}]*+|[^{sep}]*+)"), F.lit(1))
+
+    def plain(field: Column) -> Column:
+        body = F.regexp_extract(field, f"(?s)^({quoted})", 1)
+        after = F.substring(field, F.length(body) + 1, F.length(field))
+        inner = F.replace(F.substring(body, F.lit(2), F.length(body) - 2), F.lit('""'), F.lit('"'))
+        return F.when(body != "", F.concat(inner, after)).otherwise(field)
+
+    return F.transform(raw, plain)

@@ -44,9 +44,19 @@ def absolute_url(base: Column, link: Column) -> Column:
     page = F.regexp_extract(base, r"^([^?#]*)", 1)
     folder = F.when(page == site, F.concat(site, F.lit("/"))).otherwise(F.regexp_replace(page, r"[^/]*$", ""))
     joined = F.concat(folder, link)
-    tidy = F.regexp_replace(joined, r"/(?:\./)+", "/")
-    for _ in range(8):
-        tidy = F.regexp_replace(tidy, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/]+(?:/[^/?#]+)*?)/(?!\.\./)[^/?#]+/\.\./", "$1/")
+    # Only the path is tidied: a query or fragment may hold any text.
+    stem = F.regexp_extract(joined, r"^([^?#]*)", 1)
+    tail = F.substring(joined, F.length(stem) + 1, F.length(joined))
+    steps = F.split(F.substring(stem, F.length(site) + 2, F.length(stem)), "/")
+    last = F.element_at(steps, -1).isin(".", "..")
+
+    def walk(done: Column, step: Column) -> Column:
+        up = F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0)))
+        return F.when(step == ".", done).when(step == "..", up).otherwise(F.concat(done, F.array(step)))
+
+    walked = F.aggregate(steps, F.array().cast("array<string>"), walk)
+    slash = F.when(last & (F.size(walked) > 0), "/").otherwise("")
+    tidy = F.concat(site, F.lit("/"), F.array_join(walked, "/"), slash, tail)
     return (
         F.when(link == "", base)
         .when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), link)

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.readers import blank_to_null
+from .lines import header_lines, read_lines
 
 # Address tables shipped per state.
 STATE_TABLES = [
@@ -27,15 +30,30 @@ def table_name(file_name: Column | str) -> Column:
 
 
 def read_psv(spark: SparkSession, paths: str | list[str], columns: list[str] | None = None) -> DataFrame:
-    """Text columns named by the header, trimmed, empty text as NULL.
+    """Text columns named by each file's own header, trimmed, empty text as NULL.
 
-    With ``columns`` the header is checked against them and nothing is sampled.
+    Files may order their columns differently.  Without ``columns`` the result
+    has all columns of any header, in the order of the first file; with them,
+    a file that lacks one fails.  Only headers are looked at beforehand: one
+    line a file.
     """
     reader = spark.read.option("sep", "|").option("header", "true").option("quote", "")
-    if columns:
-        reader = reader.schema(", ".join(f"`{c}` string" for c in columns)).option("enforceSchema", "false")
-    df = reader.csv(paths)
-    return df.select(*[blank_to_null(F.col(f"`{c}`")).alias(c.lower()) for c in df.columns])
+    names = F.transform(F.split(F.regexp_replace("header", r"[\r\x{FEFF}]", ""), r"\|"), F.trim)
+    place = F.url_decode(F.replace(F.col("file_path"), F.lit("+"), F.lit("%2B")))
+    heads = header_lines(read_lines(spark, paths)).select(names.alias("names"), place.alias("file_path"))
+    groups = heads.groupBy("names").agg(F.sort_array(F.collect_list("file_path")).alias("files"))
+    found = sorted(groups.collect(), key=lambda r: r.files[0])
+    wanted = [c.lower() for c in columns or dict.fromkeys(n for r in found for n in r.names)]
+    parts = []
+    for group in found:
+        own = [n.lower() for n in group.names]
+        if columns and not set(wanted) <= set(own):
+            raise ValueError(f"{group.files[0]}: header lacks {sorted(set(wanted) - set(own))}")
+        rows = reader.schema(", ".join(f"`{c}` string" for c in own)).csv(group.files)
+        parts.append(rows.select(*[blank_to_null(F.col(f"`{c}`")).alias(c) for c in own if c in wanted]))
+    if not parts:
+        return spark.createDataFrame([], ", ".join(f"`{c}` string" for c in wanted) or "empty string")
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts).select(*wanted)
 
 
 def read_table(spark: SparkSession, root: str, table: str, states: list[str], columns: list[str] | None = None) -> DataFrame:

@@ -7,13 +7,16 @@ trailer.  A record may run over several lines; the records behind the first
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import readers as rd
 from ..functions.codes import zone_standard
 from ..operators.quality import split_rejects
 from ..schemas import TABLES, table_schema
+from ..session import cut_lineage
 from .lines import number_lines, plain_path, read_lines
 
 # Semicolons per record kind and layout, longest variant first.
@@ -95,18 +98,75 @@ def read_records(lines: DataFrame, manifest: DataFrame) -> DataFrame:
     """
     head = F.substring(F.ltrim("value"), 1, 2)
     starts = head.isin([f"{k};" for k in RECORD_KINDS]).cast("int")
-    trailer = (head == "Z;").cast("int")
     facts = manifest.select(plain_path("file_path").alias("file_path"), "published_year", "layout")
-    numbered = number_lines(lines, {"record": starts, "trailers": trailer}, facts)
+    numbered = number_lines(lines, {"record": starts}, facts)
     own = numbered.withColumn("record", F.col("record") + starts)
-    live = own.filter((F.col("trailers") == 0) & (F.col("record") > 0))
+    live = own.filter(F.col("record") > 0)
     pieces = F.array_sort(F.collect_list(F.struct("byte_position", "value")))
     whole = live.groupBy("file_path", "record", "published_year", "layout").agg(
         F.min("byte_position").alias("position"),
         F.array_join(F.transform(pieces, lambda p: p["value"]), "\n").alias("text"),
     )
     text = F.regexp_replace("text", r"\s+$", "")
-    return _cut_fields(whole.withColumn("text", text))
+    complete = _complete(cut_lineage(whole, "records")).withColumn("text", text)
+    ends = complete.filter(F.startswith(F.ltrim("text"), F.lit("Z;"))).groupBy("file_path").agg(F.min("record").alias("_end"))
+    read = complete.join(ends, "file_path", "left").filter(F.col("_end").isNull() | (F.col("record") <= F.col("_end")))
+    return _cut_fields(read.drop("_end"))
+
+
+def _by_kind(value: Callable[[tuple[int, ...]], Column]) -> Column:
+    pairs = [
+        x for name, kinds in LAYOUTS.items() for kind, counts in kinds.items() for x in (F.lit(f"{name}/{kind}"), value(counts))
+    ]
+    return F.create_map(*pairs)
+
+
+def _complete(records: DataFrame) -> DataFrame:
+    """Let a record go on until it has its semicolons.
+
+    A line of free text may look like the start of a record.  A record with
+    fewer semicolons than any variant of its kind therefore takes up the
+    records behind it until it has enough; each brings one at least, so only
+    as many as are missing can belong to it.  Files without such a record
+    pass untouched, of the others only the stretches behind one.
+    """
+    least = _by_kind(lambda counts: F.lit(min(counts)))
+
+    def missing(text: Column, layout: Column) -> Column:
+        kind = F.trim(F.substring_index(text, ";", 1))
+        needed = F.try_element_at(least, F.concat_ws("/", layout, kind))
+        return F.coalesce(needed - (F.size(F.split(text, ";")) - 1), F.lit(0))
+
+    marked = records.withColumn("_missing", missing(F.col("text"), F.col("layout")))
+    touched = marked.filter(F.col("_missing") > 0).select("file_path").distinct()
+    most = max(c for kinds in LAYOUTS.values() for counts in kinds.values() for c in counts)
+    of_file = Window.partitionBy("file_path").orderBy("record")
+    reach = F.max(F.when(F.col("_missing") > 0, F.col("record") + F.col("_missing"))).over(of_file.rowsBetween(-most, 0))
+    behind = marked.join(touched, "file_path", "left_semi").withColumn("_near", F.coalesce(reach >= F.col("record"), F.lit(False)))
+    starts = (F.col("_near") & ~F.coalesce(F.lag("_near").over(of_file), F.lit(False))).cast("int")
+    behind = behind.withColumn("_stretch", F.sum(starts).over(of_file))
+    piece = F.struct("record", "position", "text")
+
+    def walk(done: Column, r: Column) -> Column:
+        last = F.try_element_at(done, F.lit(-1))
+        longer = F.struct(
+            last["record"].alias("record"), last["position"].alias("position"),
+            F.concat(last["text"], F.lit("\n"), r["text"]).alias("text"),
+        )
+        goes_on = (F.size(done) > 0) & (missing(last["text"], F.col("layout")) > 0)
+        return F.when(goes_on, F.concat(F.slice(done, F.lit(1), F.size(done) - 1), F.array(longer))).otherwise(
+            F.concat(done, F.array(r))
+        )
+
+    keys = ["file_path", "published_year", "layout"]
+    gathered = behind.filter("_near").groupBy(*keys, "_stretch").agg(F.array_sort(F.collect_list(piece)).alias("_records"))
+    none = F.slice("_records", F.lit(1), F.lit(0))
+    mended = gathered.select(*keys, F.inline(F.aggregate("_records", none, walk)))
+    columns = [*keys, "record", "position", "text"]
+    return (
+        marked.join(touched, "file_path", "left_anti").select(columns)
+        .unionByName(behind.filter("NOT _near").select(columns)).unionByName(mended.select(columns))
+    )
 
 
 def _cut_fields(records: DataFrame) -> DataFrame:
@@ -114,20 +174,13 @@ def _cut_fields(records: DataFrame) -> DataFrame:
     cut = (
         records.withColumn("semicolons", F.size(parts) - 1)
         .withColumn("kind", F.trim(parts[0]))
-        .withColumn("_parts", F.slice(parts, 2, 1000))
-    )
-    layout = F.create_map(
-        *[
-            x
-            for name, kinds in LAYOUTS.items()
-            for kind, counts in kinds.items()
-            for x in (F.lit(f"{name}/{kind}"), F.array(*[F.lit(c) for c in counts]))
-        ]
+        .withColumn("_parts", F.slice(parts, F.lit(2), F.size(parts)))
     )
+    layout = _by_kind(lambda counts: F.array(*map(F.lit, counts)))
     counts = F.try_element_at(layout, F.concat_ws("/", F.col("layout"), F.col("kind")))
     short = F.coalesce(F.col("semicolons") == F.try_element_at(counts, F.lit(2)), F.lit(False))
     # A record without property id gets a blank one, so every variant reads alike.
-    filled = F.concat(F.slice("_parts", 1, 1), F.array(F.lit("")), F.slice("_parts", 2, 1000))
+    filled = F.concat(F.slice("_parts", 1, 1), F.array(F.lit("")), F.slice("_parts", F.lit(2), F.size("_parts")))
     # The header of 2001 to 2012 has no file type.
     untyped = (F.col("kind") == "A") & F.col("layout").isin("2001-07", "2002")
     typed = F.concat(F.array(F.lit("")), F.col("_parts"))

@@ -1,8 +1,10 @@
 from datetime import date
 
+import pytest
+
 from cadastra.schemas import LAND_VALUE_COLUMNS
 from cadastra.sources.land_values import header_errors, read_land_values
-from cadastra.sources.lines import number_lines, read_lines
+from cadastra.sources.lines import read_lines
 from cadastra.sources.psv import read_authority, read_table, table_name
 
 HEADER = ",".join(LAND_VALUE_COLUMNS)
@@ -50,10 +52,45 @@ def test_small_blocks(small_blocks, tmp_path):
 def test_header_errors(spark, tmp_path):
     write(tmp_path, "a_20240701.csv", [], "utf-8")
     (tmp_path / "b_20240701.csv").write_text("ONE,TWO\n1,2\n")
-    found = header_errors(number_lines(read_lines(spark, str(tmp_path)))).collect()
+    found = header_errors(read_lines(spark, str(tmp_path))).collect()
     assert [r.file_path.rsplit("/", 1)[1] for r in found] == ["b_20240701.csv"]
 
 
+@pytest.mark.parametrize("blocks", ["spark", "small_blocks"])
+def test_columns_by_name_and_quotes(request, tmp_path, blocks):
+    session = request.getfixturevalue(blocks)
+    order = [*reversed(LAND_VALUE_COLUMNS), "EXTRA, ONE"]
+    streets = ['THE ""OLD"" ROAD', "ENDS IN \\", "TWO\nLINES, ""AND""\n MORE", "", 'PLAIN "12" ST']
+
+    def text(i, street):
+        row = {**DEFAULTS, "DISTRICT CODE": "7", "DISTRICT NAME": "777", "PROPERTY ID": str(i), "STREET NAME": f'"{street}"'}
+        return ",".join(row.get(c, "x" if c.startswith("EXTRA") else "") for c in order)
+
+    head = ",".join(f'"{c}"' for c in order)
+    body = [text(i, streets[i % 4]) for i in range(40)]
+    (tmp_path / "a_LV_20240701.csv").write_text("\ufeff" + "\r\n".join([head, *body]) + "\r\n", encoding="utf-8")
+    write(tmp_path, "b_LV_20230701.csv", [line(**{"STREET NAME": streets[4], "PROPERTY ID": "900"})], "latin-1")
+    (tmp_path / "c_LV_20220701.csv").write_text("DISTRICT CODE,PROPERTY ID\n1,2\n")
+    good, bad = read_land_values(session, str(tmp_path))
+    rows = {r.property_id: r for r in good.collect()}
+    wanted = ['THE "OLD" ROAD', "ENDS IN \\", "TWO\nLINES, AND\n MORE", None]
+    assert {i: r.street_name for i, r in rows.items()} == {i: wanted[i % 4] for i in range(40)} | {900: streets[4]}
+    assert {(r.district_code, r.district_name) for i, r in rows.items() if i < 40} == {(7, "777")}
+    assert [r.source_file_name.rsplit("/", 1)[1] for r in bad.collect()] == ["c_LV_20220701.csv"]
+
+
+def test_psv_headers_of_their_own(spark, tmp_path):
+    (tmp_path / "Standard").mkdir()
+    (tmp_path / "Standard" / "NSW_LOCALITY_psv.psv").write_text("PID|NAME\nA|1\n")
+    (tmp_path / "Standard" / "ACT_LOCALITY_psv.psv").write_text("NAME|MORE|PID\n2|m|B\n")
+    rows = read_table(spark, str(tmp_path), "LOCALITY", ["NSW", "ACT"], ["PID", "NAME"]).collect()
+    assert {tuple(r) for r in rows} == {("A", "1"), ("B", "2")}
+    every = read_table(spark, str(tmp_path), "LOCALITY", ["NSW", "ACT"])
+    assert sorted(every.columns) == ["more", "name", "pid"] and every.where("more IS NULL").first().pid == "A"
+    with pytest.raises(ValueError, match="lacks"):
+        read_table(spark, str(tmp_path), "LOCALITY", ["NSW"], ["PID", "NAME", "MORE"])
+
+
 def test_psv(spark, tmp_path):
     (tmp_path / "Standard").mkdir()
     (tmp_path / "Authority Code").mkdir()

@@ -1,6 +1,7 @@
 """Operators against brute force on small, skewed inputs."""
 
 import itertools
+import math
 import random
 import struct
 from datetime import date, timedelta
@@ -306,27 +307,28 @@ def test_assignment_routine():
 
 
 def test_date_parts():
-    assert [a for a, _ in sh.date_parts(date(2010, 5, 1), date(2011, 5, 1))] == [
-        date(2010 + m // 12, m % 12 + 1, 1) for m in range(4, 16)
+    cases = [
+        # A year in months, days beyond the first, decades in five-year steps with a rest, centuries, one month in days.
+        (date(1987, 9, 1), date(1988, 9, 1), [date(1987 + (8 + m) // 12, (8 + m) % 12 + 1, 1) for m in range(12)]),
+        (date(1931, 1, 1), date(1948, 1, 1), [date(y, 1, 1) for y in (1931, 1936, 1941, 1946)]),
+        (date(1403, 1, 1), date(1750, 1, 1), [date(y, 1, 1) for y in (1403, 1503, 1603, 1703)]),
+        (date(2023, 2, 1), date(2023, 3, 1), [date(2023, 2, d) for d in range(1, 29)]),
+        (date(2023, 6, 7), date(2023, 6, 9), [date(2023, 6, 7), date(2023, 6, 8)]),
     ]
-    five = [date(y, 1, 1) for y in (1950, 1955, 1960, 1965, 1970)]
-    assert sh.date_parts(date(1950, 1, 1), date(1970, 1, 1)) == list(zip(five, five[1:]))
-    assert sh.date_parts(date(1950, 1, 1), date(1971, 1, 1))[-1] == (date(1970, 1, 1), date(1971, 1, 1))
-    assert [a.year for a, _ in sh.date_parts(date(1000, 1, 1), date(1301, 1, 1))] == [1000, 1100, 1200, 1300]
-    assert len(sh.date_parts(date(2020, 2, 1), date(2020, 3, 1))) == 29
-
-
-@pytest.mark.parametrize(
-    "start,end,cuts",
-    [
-        (100, 200, [100, 106, 113, 120, 128, 137, 145, 155, 165, 176, 187, 200]),
-        (1, 12, [1, 1.2, 1.5, 1.9, 2, 3, 3.8, 4, 6, 7, 9, 12]),
-        (1, 2, [1, 1.06, 1.1, 1.2, 1.28, 1.3, 1.4, 1.5, 1.6, 1.7, 1.8, 2]),
-        (1.55555, 2.55555, [1.55555, 1.6, 1.7, 1.78, 1.8, 1.9, 2, 2.1, 2.2, 2.3, 2.4, 2.55555]),
-    ],
-)
-def test_log_cuts(start, end, cuts):
-    assert sh.log_cuts(start, end) == cuts
+    for start, end, cuts in cases:
+        assert sh.date_parts(start, end) == list(zip(cuts, [*cuts[1:], end]))
+
+
+@pytest.mark.parametrize("start,end", [(0, 9), (0.25, 0.75), (3, 5000), (40, 41), (700, 1e9), (0.001, 0.002)])
+def test_log_cuts(start, end):
+    cuts = sh.log_cuts(start, end)
+    assert cuts[0] == start and cuts[-1] == end and len(cuts) == sh.LOG_PARTS + 1
+    assert all(a < b for a, b in zip(cuts[:-1], cuts[1:]))
+    # Beside the exact places, each is rounded down, by less than one.
+    low = math.log10(start) if start > 0 else min(0.0, math.log10(end) - sh.LOG_PARTS)
+    for i, c in enumerate(cuts[1:-1], 1):
+        exact = 10 ** (low + i * (math.log10(end) - low) / sh.LOG_PARTS)
+        assert exact - 1 < c <= exact
 
 
 def test_shard_plan_with_a_hot_day(spark):
