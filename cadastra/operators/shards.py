@@ -11,12 +11,11 @@ import math
 from collections.abc import Iterator
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .joins import broadcast_if_small
-
 LOG_PARTS = 11
+LARGEST = 1e307
 
 
 def _plus_months(day: date, months: int) -> date:
@@ -62,11 +61,13 @@ def _shortest_above(value: float, floor: float) -> float:
 def plan_shards(
     df: DataFrame, day: str, value: str, start: date, end: date, value_end: float, depth: int
 ) -> DataFrame:
-    """Shards of at most ``depth`` rows covering [start, end) and values in [0, value_end).
+    """Shards of at most ``depth`` rows covering [start, end) and every value.
 
     Days are counted once and merged upwards; a single day that is still too
-    full is split by value.  A shard whose rows all share one value cannot be
-    split further and is returned with ``full = true``.
+    full is split by value: log-spaced ranges up to ``value_end``, an open range
+    on either side and one shard for missing values.  A shard whose rows all
+    share one value, or lack one, cannot be split further and is returned with
+    ``full = true``.
     """
     spark = df.sparkSession
     scope = df.filter((F.col(day) >= F.lit(start)) & (F.col(day) < F.lit(end)))
@@ -87,40 +88,57 @@ def plan_shards(
         if n == 0:
             continue
         if n <= depth:
-            shards.append((a, b, None, None, n, False))
+            shards.append((a, b, None, None, False, n, False))
         elif b - a > timedelta(days=1):
             pending += date_parts(a, b)
         else:
-            crowded.append((a, 0.0, float(value_end)))
-
+            crowded += [(a, lo, hi) for lo, hi in _value_pieces(0.0, float(value_end))]
+            crowded += [(a, -math.inf, 0.0), (a, float(value_end), math.inf)]
+
+    rows = scope.select(F.col(day).cast("date").alias("_day"), F.col(value).cast("double").alias("_v"))
+    if crowded:
+        full_days = spark.createDataFrame([(a,) for a in {a for a, *_ in crowded}], "_day date")
+        missing = rows.filter("_v IS NULL").join(full_days, "_day").groupBy("_day").count().collect()
+        shards += [(d, d + timedelta(days=1), None, None, True, n, n > depth) for d, n in missing]
     while crowded:
-        pieces = [(a, lo, hi) for a, x, y in crowded for lo, hi in _value_pieces(x, y)]
-        crowded = []
-        ranges = spark.createDataFrame(pieces, "_day date, _lo double, _hi double")
-        rows = scope.select(F.col(day).cast("date").alias("_day"), F.col(value).cast("double").alias("_v"))
+        ranges = spark.createDataFrame(crowded, "_day date, _lo double, _hi double")
         counted = (
-            rows.join(broadcast_if_small(ranges), "_day")
-            .filter((F.col("_v") >= F.col("_lo")) & (F.col("_v") < F.col("_hi")))
+            rows.join(ranges, "_day")
+            .filter(_in_range(F.col("_v"), F.col("_lo"), F.col("_hi")))
             .groupBy("_day", "_lo", "_hi")
             .agg(F.count(F.lit(1)).alias("n"), F.min("_v").alias("a"), F.max("_v").alias("b"))
             .collect()
         )
+        crowded = []
         for r in counted:
-            if r.n <= depth or r.a == r.b:
-                shards.append((r._day, r._day + timedelta(days=1), r._lo, r._hi, r.n, r.n > depth))
+            # NaN and infinities have no middle, nor is there one next to the largest number.
+            if r.n <= depth or r.a == r.b or math.isnan(r.a) or r.a > LARGEST or r.b < -LARGEST:
+                shards.append((r._day, r._day + timedelta(days=1), r._lo, r._hi, False, r.n, r.n > depth))
+            elif math.isinf(r._lo) or math.isinf(r._hi):
+                # Open ranges are halved where their rows lie.
+                high = r.b if math.isfinite(r.b) else max(2 * abs(r.a), 1.0)
+                low = r.a if math.isfinite(r.a) else min(2 * -abs(high), -1.0)
+                middle = low + (high - low) / 2
+                middle = middle if middle > low else high
+                crowded += [(r._day, r._lo, middle), (r._day, middle, r._hi)]
             else:
-                crowded.append((r._day, r._lo, r._hi))
-    shards.sort(key=lambda s: (s[0], s[2] or 0.0))
+                crowded += [(r._day, lo, hi) for lo, hi in _value_pieces(r._lo, r._hi)]
+    shards.sort(key=lambda s: (s[0], s[4], -math.inf if s[2] is None else s[2]))
     numbered = [(i, _predicate(day, value, s), *s) for i, s in enumerate(shards)]
     return spark.createDataFrame(
         numbered,
         "shard int, predicate string, day_from date, day_to date, value_from double, value_to double,"
-        " expected long, full boolean",
+        " value_missing boolean, expected long, full boolean",
     )
 
 
+def _in_range(v: Column, low: Column, high: Column) -> Column:
+    """The open upper range also takes NaN, which sorts above all."""
+    return (v >= low) & ((v < high) | (high == math.inf))
+
+
 def _value_pieces(low: float, high: float) -> Iterator[tuple[float, float]]:
-    cuts = log_cuts(low, high)
+    cuts = log_cuts(low, high) if low >= 0 else [low, (low + high) / 2, high]
     if any(b <= a for a, b in zip(cuts, cuts[1:])):
         middle = (low + high) / 2
         cuts = [low, middle, high]
@@ -128,9 +146,14 @@ def _value_pieces(low: float, high: float) -> Iterator[tuple[float, float]]:
 
 
 def _predicate(day: str, value: str, shard: tuple) -> str:
-    a, b, lo, hi, _, _ = shard
+    a, b, lo, hi, missing, *_ = shard
     text = f"{day} >= DATE '{a}' AND {day} < DATE '{b}'"
-    return text if lo is None else f"{text} AND {value} >= {lo!r} AND {value} < {hi!r}"
+    if missing:
+        return f"{text} AND {value} IS NULL"
+    for bound, sign in ((lo, ">="), (hi, "<")):
+        if bound is not None and math.isfinite(bound):
+            text += f" AND {value} {sign} {bound!r}"
+    return f"{text} AND {value} IS NOT NULL" if lo == -math.inf else text
 
 
 def shard_pages(shards: DataFrame, page: int) -> DataFrame:
@@ -148,10 +171,11 @@ def with_shard(df: DataFrame, shards: DataFrame, day: str, value: str) -> DataFr
     equi-join on the day.
     """
     spans = shards.select(
-        "shard", "value_from", "value_to",
+        "shard", "value_from", "value_to", "value_missing",
         F.explode(F.sequence(F.col("day_from"), F.date_sub("day_to", 1))).alias("_day"),
     )
-    placed = df.withColumn("_day", F.col(day).cast("date")).join(broadcast_if_small(spans), "_day")
+    placed = df.withColumn("_day", F.col(day).cast("date")).join(spans, "_day")
     v = F.col(value).cast("double")
-    fits = F.col("value_from").isNull() | ((v >= F.col("value_from")) & (v < F.col("value_to")))
-    return placed.filter(fits).drop("_day", "value_from", "value_to")
+    whole = F.col("value_from").isNull() & ~F.col("value_missing")
+    fits = whole | (F.col("value_missing") & v.isNull()) | _in_range(v, F.col("value_from"), F.col("value_to"))
+    return placed.filter(fits).drop("_day", "value_from", "value_to", "value_missing")

@@ -79,12 +79,13 @@ def ingest_sale_files(
             .withColumn("published_year", published_year)
             .withColumn("download_date", download_date("file_path"))
         )
-        records = read_sale_files(spark, paths, manifest).persist()
+        records = read_sale_files(spark, paths, manifest)
+        same_files = F.col("file_path").isin(paths)
         for table in SALE_TABLES:
-            rows, _rejects = typed_table(records, table)
-            same_files = F.col("file_path").isin(paths)
-            append_new(rows, f"{target}/{table}", ["file_path", "position"], within=same_files)
-        records.unpersist()
+            rows, rejects = typed_table(records, table)
+            # What cannot be read is kept beside its table: the file counts as taken.
+            for kind, found in ((table, rows), (f"{table}_rejects", rejects)):
+                append_new(found, f"{target}/{kind}", ["file_path", "position"], within=same_files)
 
     query = (
         names.writeStream.option("checkpointLocation", checkpoint)
