@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..operators.keys import stable_id
 from ..operators.spatial import planar_area
 from ..schemas import LAND_VALUE_COLUMNS
-from ..session import cut_lineage, scratch_path
+from ..session import scratch_path
 from ..sources import features, land_values, layers, pages, psv, sale_files, sdmx
 from ..sources.lines import number_lines, read_lines
 from .base import Tables, day, query
@@ -94,7 +94,7 @@ def record_file_roundtrip(t: Tables):
     manifest = found.select("file_path").distinct().select(
         "file_path", F.lit(2001).alias("published_year"), F.lit("2001-07").alias("layout")
     )
-    records = cut_lineage(sale_files.read_records(found, manifest), "records")
+    records = sale_files.read_records(found, manifest)
     b, rejects_b = sale_files.typed_table(records, "ps_row_b")
     c, rejects_c = sale_files.typed_table(records, "ps_row_c")
     d, rejects_d = sale_files.typed_table(records, "ps_row_d")
@@ -116,42 +116,50 @@ def record_file_roundtrip(t: Tables):
 @query(
     "land_value_roundtrip",
     """
-    SELECT CAST(o_orderkey AS INTEGER) AS property_id, 'Straße é ' || (o_custkey % 50) || CASE WHEN o_orderkey % 2 = 0 THEN '' ELSE ', "rear"' END AS street_name,
+    SELECT CAST(o_orderkey AS INTEGER) AS property_id,
+      'Straße é ' || (o_custkey % 50) || CASE WHEN o_orderkey % 2 = 0 THEN '' ELSE ', "rear"' END
+        || CASE WHEN o_orderkey % 5 = 0 THEN chr(10) || 'up, "stairs"' ELSE '' END
+        || CASE WHEN o_orderkey % 7 = 0 THEN ' ' || chr(92) ELSE '' END AS street_name,
       CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS base_date_1, CAST(round(o_totalprice) AS BIGINT) AS land_value_1,
-      CASE WHEN o_orderkey % 4 = 0 THEN 'H' WHEN o_orderkey % 4 = 1 THEN 'M' END AS area_type, 'ep&a_2006' AS zone_standard
+      CASE WHEN o_orderkey % 4 = 0 THEN 'H' WHEN o_orderkey % 4 = 1 THEN 'M' END AS area_type, 'ep&a_2006' AS zone_standard,
+      CAST(7 AS INTEGER) AS district_code, '777' AS district_name
     FROM orders
+    UNION ALL SELECT NULL, 'rejects', NULL, 0, NULL, NULL, NULL, NULL
     """,
 )
 def land_value_roundtrip(t: Tables):
-    """Land-value CSV files in two encodings, read back with line numbers."""
+    """Land-value files in two encodings and two column orders, as publishers quote them, read back."""
     folder = scratch_path(t.spark, "land-values")
     key = F.col("o_orderkey")
     street = F.concat(
         F.lit("Straße é "), (F.col("o_custkey") % 50).cast("string"),
         F.when(key % 2 == 0, "").otherwise(', "rear"'),
+        F.when(key % 5 == 0, '\nup, "stairs"').otherwise(""),
+        F.when(key % 7 == 0, " \\").otherwise(""),
     )
     values = {
-        "DISTRICT CODE": F.lit("1"), "PROPERTY ID": key.cast("string"), "PROPERTY TYPE": F.lit("NORMAL"),
-        "STREET NAME": F.concat(F.lit('"'), F.replace(street, F.lit('"'), F.lit('\\"')), F.lit('"')),
+        "DISTRICT CODE": F.lit("7"), "DISTRICT NAME": F.lit("777"), "PROPERTY ID": key.cast("string"),
+        "PROPERTY TYPE": F.lit("NORMAL"), "STREET NAME": street,
         "SUBURB NAME": F.lit("TOWN"), "POSTCODE": F.lit("2000"), "ZONE CODE": F.lit("R2"), "AREA": F.lit("12.5"),
         "AREA TYPE": F.when(key % 4 == 0, "H").when(key % 4 == 1, "M").otherwise(""),
         "BASE DATE 1": F.date_format("o_orderdate", "d/M/yyyy"),
         "LAND VALUE 1": F.round("o_totalprice").cast("bigint").cast("string"),
     }
-    line = F.concat_ws(",", *[values.get(c, F.lit("")) for c in LAND_VALUE_COLUMNS])
-    rows = t.orders.select(line.alias("value"))
-    rows.filter(key % 3 == 0).write.option("encoding", "UTF-8").text(f"{folder}/utf8")
-    # The text writer only knows UTF-8; the CSV writer takes a charset and can be kept from quoting.
-    rows.filter(key % 3 != 0).write.option("encoding", "ISO-8859-1").option("quote", "\u0000").option(
-        "sep", "\u0001"
-    ).option("escape", "\u0000").csv(f"{folder}/latin1")
-    found = read_lines(t.spark, [f"{folder}/utf8", f"{folder}/latin1"])
-    # The files carry no header: number from one.
-    numbered = number_lines(found).withColumn("line_number", F.col("line_number") + 1)
-    good, _ = land_values.parse_land_values(numbered)
-    return good.select(
-        "property_id", "street_name", day("base_date_1").alias("base_date_1"), "land_value_1", "area_type", "zone_standard"
+    for name, order, part, encoding in (
+        ("utf8", LAND_VALUE_COLUMNS, key % 3 == 0, "UTF-8"),
+        ("latin1", LAND_VALUE_COLUMNS[::-1], key % 3 != 0, "ISO-8859-1"),
+    ):
+        rows = t.orders.filter(part).select(*[values.get(c, F.lit("")).alias(c) for c in order])
+        rows.write.option("header", "true").option("escape", '"').option("emptyValue", "").option(
+            "encoding", encoding
+        ).csv(f"{folder}/{name}")
+    good, rejects = land_values.read_land_values(t.spark, [f"{folder}/utf8", f"{folder}/latin1"])
+    found = good.select(
+        "property_id", "street_name", day("base_date_1").alias("base_date_1"), "land_value_1", "area_type", "zone_standard",
+        "district_code", "district_name",
     )
+    counted = rejects.agg(F.count(F.lit(1)).alias("land_value_1")).withColumn("street_name", F.lit("rejects"))
+    return found.unionByName(counted, allowMissingColumns=True)
 
 
 @query(
@@ -163,6 +171,7 @@ def land_value_roundtrip(t: Tables):
     """,
 )
 def psv_roundtrip(t: Tables):
+    """One table in two folders whose files order their columns differently."""
     folder = scratch_path(t.spark, "psv")
     padded = t.part.select(
         F.col("p_partkey").cast("string").alias("P_PARTKEY"),
@@ -170,10 +179,14 @@ def psv_roundtrip(t: Tables):
         F.when(F.col("p_partkey") % 4 != 0, F.col("p_brand")).otherwise("   ").alias("P_BRAND"),
         F.col("p_type").alias("P_TYPE"),
     )
-    padded.write.option("sep", "|").option("header", "true").option("quote", "").option(
-        "ignoreLeadingWhiteSpace", "false"
-    ).option("ignoreTrailingWhiteSpace", "false").csv(folder)
-    back = psv.read_psv(t.spark, folder, ["P_PARTKEY", "P_NAME", "P_BRAND", "P_TYPE"])
+    columns = padded.columns
+    for name, order, part in (("a", columns, 0), ("b", columns[::-1], 1)):
+        padded.filter(F.col("P_PARTKEY").cast("long") % 2 == part).select(order).write.option("sep", "|").option(
+            "header", "true"
+        ).option("quote", "").option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(
+            f"{folder}/{name}"
+        )
+    back = psv.read_psv(t.spark, [f"{folder}/a", f"{folder}/b"], columns)
     return back.withColumn("table_name", psv.table_name(F.lit("NSW_ADDRESS_DETAIL_psv.psv")))
 
 
