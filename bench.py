@@ -20,7 +20,7 @@ HEADLINE = [
     "ntile_segments", "range_by_group", "trailing_rate", "lateral_first", "reconcile", "ranked_sales",
     "sale_descriptions", "notices_of_sale", "land_valuation_history", "derive_legacy", "derive_addresses",
     "full_address", "legal_job_parcels", "best_parcel_per_block", "bbox_join", "overlap_share", "fuzzy_best",
-    "feature_json", "sdmx_flatten", "page_links", "provenance_positions", "record_file_roundtrip",
+    "feature_json", "sdmx_flatten", "page_links", "provenance_positions", "record_file_roundtrip", "fuzzy_assign",
 ]
 
 

@@ -125,9 +125,12 @@ def group_percentile(df: DataFrame, keys: Sequence[str], value: str, share: floa
     low, high = max(0.0, share - 3 * BRACKET), min(1.0, share + 3 * BRACKET)
     ends = F.percentile_approx("_v", [low, high], int(1 / BRACKET))
     sketch = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), F.min("_v").alias("_min"), F.max("_v").alias("_max"), ends.alias("_e"))
+    # Where the margin is not even a few positions wide, the bracket is the group.
+    narrow = F.col("_rows") * BRACKET < 2
     bracket = sketch.select(
         *keys, "_rows",
-        (F.col("_min") if low == 0 else F.col("_e")[0]).alias("_from"), (F.col("_max") if high == 1 else F.col("_e")[1]).alias("_to"),
+        F.when(narrow | F.lit(low == 0), F.col("_min")).otherwise(F.col("_e")[0]).alias("_from"),
+        F.when(narrow | F.lit(high == 1), F.col("_max")).otherwise(F.col("_e")[1]).alias("_to"),
     )
     beside = null_safe_join(rows, bracket, keys) if keys else rows.crossJoin(F.broadcast(bracket))
     place = F.when(F.col("_v") < F.col("_from"), F.lit(None)).otherwise(F.col("_v"))

@@ -2,8 +2,7 @@
 
 No side is broadcast by hand: adaptive execution measures every shuffle and
 turns a join whose side proves small into a broadcast join, and splits a
-skewed partition of the larger side.  ``broadcast_if_small`` is for the few
-tables whose row count has been checked.
+skewed partition of the larger side.
 """
 
 from __future__ import annotations
@@ -15,14 +14,6 @@ from pyspark.sql import functions as F
 
 from .keys import keep_first
 
-BROADCAST_ROWS = 200_000
-
-
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` only after counting no more than ``limit`` rows in it."""
-    few = df.limit(limit + 1).count() <= limit
-    return F.broadcast(df) if few else df
-
 
 def unseen(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``left`` whose keys do not occur in ``right``."""
@@ -125,6 +116,6 @@ def distinct_union(columns: Sequence[tuple[DataFrame, str]], name: str) -> DataF
     """Distinct non-null values of one column taken from several tables."""
     out = None
     for df, column in columns:
-        part = df.select(F.col(column).alias(name)).filter(F.col(name).isNotNull()).distinct()
+        part = df.select(F.col(column).alias(name)).filter(F.col(name).isNotNull())
         out = part if out is None else out.unionByName(part)
     return out.distinct()

@@ -144,15 +144,16 @@ def assign_one_to_one(
     name: str,
     choice: str,
     max_cost: int = MAX_COST,
-    local_edges: int = 20_000,
+    local_edges: int = 2_000,
 ) -> tuple[DataFrame, DataFrame]:
     """Pairs of minimum total cost, each name and choice used at most once, and the names left over.
 
     Pairs dearer than ``max_cost`` are never formed and a name without partner
     costs ``UNMATCHED_COST``.  Only near pairs can matter, and they fall into
     connected groups that can be settled apart: groups of up to
-    ``local_edges`` pairs are solved exactly inside a task, larger ones by
-    auction rounds over the whole table.
+    ``local_edges`` pairs are solved exactly inside a task (their cost table
+    stays under 64 MB), larger ones, as exactly, by auction rounds over the
+    whole table.
     """
     block = list(block)
     edges = near_pairs(names, choices, block, name, choice, max_cost).select(

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .keys import keep_first
 from .quality import repeated_keys, require_empty
 
@@ -54,20 +57,31 @@ def append_new(
     new_rows(batch, existing, keys, order).write.mode("append").parquet(path)
 
 
-def append_strict(batch: DataFrame, path: str, keys: Sequence[str]) -> None:
-    """Append that fails when a key repeats within the batch or with the table."""
+def append_strict(batch: DataFrame, path: str, keys: Sequence[str], within: Column | None = None) -> None:
+    """Append that fails when a key repeats within the batch or with the table.
+
+    Of the stored table only the keys are read, and with ``within`` only those
+    of the rows that can share one with the batch.
+    """
     spark = batch.sparkSession
-    seen = batch.select(*keys)
+    require_empty(repeated_keys(batch, keys), f"repeated key in a batch for {path}")
     if table_exists(spark, path):
-        seen = seen.unionByName(spark.read.schema(batch.schema).parquet(path).select(*keys))
-    require_empty(repeated_keys(seen, keys), f"repeated key in {path}")
+        stored = spark.read.schema(batch.schema).parquet(path)
+        stored = stored if within is None else stored.filter(within)
+        have = stored.select(*[F.col(k).alias(f"_have_{k}") for k in keys])
+        same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_have_{k}")) for k in keys])
+        require_empty(batch.select(*keys).join(have, same, "left_semi"), f"repeated key in {path}")
     batch.write.mode("append").parquet(path)
 
 
 def append_by_kind(
     records: DataFrame, kind: str, targets: dict[str, str], keys: Sequence[str]
 ) -> None:
-    """Write one record stream to a table per kind; kinds without target are dropped."""
+    """Write one record stream to a table per kind; kinds without target are dropped.
+
+    The stream is computed once, however many kinds read it.
+    """
+    records = cut_lineage(records.filter(F.col(kind).isin(list(targets))), "records-by-kind")
     for value, path in targets.items():
         append_new(records.filter(F.col(kind) == value), path, keys)
 

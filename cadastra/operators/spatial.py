@@ -448,33 +448,35 @@ def candidate_pairs(
     Both sides are spread over grid cells and equi-joined on the cell.  A pair
     is emitted only in the cell holding the lower-left corner of the boxes'
     common part, so no duplicate removal (and no shuffle for it) is needed.
-    A cell with more than ``target`` left rows is split into as many salts as
-    it needs, the right rows of that cell being repeated per salt.
+    A cell with more than ``target`` rows of a side is split into as many salts
+    of that side as it needs, the rows of the other side being repeated per salt;
+    a cell crowded on both sides becomes a grid of salts.
     """
     lhs = left.withColumn("_lbox", hold(bbox(left_geom))).withColumn("_cell", F.explode(_cells(F.col("_lbox"), cell)))
     rhs = right.withColumn("_rbox", hold(bbox(right_geom))).withColumn("_cell", F.explode(_cells(F.col("_rbox"), cell)))
-    hot = (
-        lhs.groupBy("_cell")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > target)
-        .select("_cell", F.ceil(F.col("_n") / target).cast("int").alias("_salts"))
-    )
-    salts = F.coalesce(F.col("_salts"), F.lit(1))
-    # Every plain column takes part, so equal shapes with different ids part ways.
-    spread = F.pmod(F.xxhash64("_lbox", *[c for c in left.columns if c != left_geom]), salts).cast("int")
-    lhs = lhs.join(hot, "_cell", "left").withColumn("_salt", spread).drop("_salts")
-    rhs = (
-        rhs.join(hot, "_cell", "left")
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1)))
-        .drop("_salts")
-    )
-    pairs = lhs.join(rhs, ["_cell", "_salt"])
+
+    def salts(side: DataFrame, name: str) -> DataFrame:
+        counted = side.groupBy("_cell").agg(F.ceil(F.count(F.lit(1)) / target).cast("int").alias(name))
+        return counted.filter(F.col(name) > 1)
+
+    of_left, of_right = salts(lhs, "_lsalts"), salts(rhs, "_rsalts")
+
+    def spread(side: DataFrame, own: str, other: str, box: str, plain: list[str]) -> DataFrame:
+        many = side.join(of_left, "_cell", "left").join(of_right, "_cell", "left")
+        # Every plain column takes part, so equal shapes with different ids part ways.
+        at = F.pmod(F.xxhash64(box, *plain), F.coalesce(f"_{own}salts", F.lit(1))).cast("int")
+        every = F.explode(F.sequence(F.lit(0), F.coalesce(f"_{other}salts", F.lit(1)) - 1))
+        return many.withColumn(f"_{own}salt", at).withColumn(f"_{other}salt", every).drop("_lsalts", "_rsalts")
+
+    lhs = spread(lhs, "l", "r", "_lbox", [c for c in left.columns if c != left_geom])
+    rhs = spread(rhs, "r", "l", "_rbox", [c for c in right.columns if c != right_geom])
+    pairs = lhs.join(rhs, ["_cell", "_lsalt", "_rsalt"])
     corner = F.struct(
         F.floor(F.greatest(F.col("_lbox.xmin"), F.col("_rbox.xmin")) / cell).cast("int").alias("x"),
         F.floor(F.greatest(F.col("_lbox.ymin"), F.col("_rbox.ymin")) / cell).cast("int").alias("y"),
     )
     touching = boxes_touch(F.col("_lbox"), F.col("_rbox")) & (F.col("_cell") == corner)
-    return pairs.filter(touching).drop("_cell", "_salt")
+    return pairs.filter(touching).drop("_cell", "_lsalt", "_rsalt")
 
 
 def intersects_join(left: DataFrame, right: DataFrame, left_geom: str, right_geom: str, cell: float) -> DataFrame:

@@ -70,20 +70,36 @@ def fk_report(t: Tables):
 @query(
     "strict_append",
     """
-    SELECT 'refused' AS outcome, count(*) AS n FROM (
-      SELECT l_orderkey, l_linenumber FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1)
+    SELECT 'repeated in batch' AS outcome, CAST(count(*) > 0 AS BIGINT) AS n FROM (
+      SELECT l_orderkey FROM lineitem GROUP BY 1 HAVING count(*) > 1)
+    UNION ALL SELECT 'repeated in table', CAST(count(*) > 0 AS BIGINT) FROM orders
+    UNION ALL SELECT 'missing keys repeat', CAST(1 AS BIGINT)
     UNION ALL SELECT 'stored', count(*) FROM orders
     """,
 )
 def strict_append(t: Tables):
-    """A batch with repeated keys is refused, a clean one is stored."""
+    """Clean batches are stored; one with repeated keys, of its own or of the table, is refused."""
     path = scratch_path(t.spark, "strict")
-    sinks.append_strict(t.orders, path, ["o_orderkey"])
-    refused = qu.repeated_keys(t.lineitem, ["l_orderkey", "l_linenumber"]).agg(F.count(F.lit(1)).alias("n"))
-    stored = t.spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n"))
-    return refused.select(F.lit("refused").alias("outcome"), "n").unionByName(
-        stored.select(F.lit("stored").alias("outcome"), "n")
-    )
+    half = F.col("o_orderkey") % 2 == 0
+    orders = t.orders.withColumn("part", half)
+    for batch in (orders.filter(half), orders.filter(~half)):
+        sinks.append_strict(batch, path, ["o_orderkey"], within=F.col("part") == batch.first().part)
+
+    def refused(batch, target, keys):
+        try:
+            sinks.append_strict(batch, target, keys)
+        except qu.ConstraintError:
+            return 1
+        return 0
+
+    blank = F.when(F.col("o_orderkey") % 7 > 0, F.col("o_orderkey")).alias("key")
+    outcomes = [
+        ("repeated in batch", refused(t.lineitem, scratch_path(t.spark, "refused"), ["l_orderkey"])),
+        ("repeated in table", refused(orders.filter(half), path, ["o_orderkey"])),
+        ("missing keys repeat", refused(t.orders.select(blank), scratch_path(t.spark, "refused"), ["key"])),
+    ]
+    stored = t.spark.read.parquet(path).agg(F.lit("stored").alias("outcome"), F.count(F.lit(1)).alias("n"))
+    return t.spark.createDataFrame(outcomes, "outcome string, n long").unionByName(stored)
 
 
 @query(

@@ -113,7 +113,8 @@ def test_relative_links(spark):
         ("../up.zip", "https://s.example/a/up.zip"), ("./here.zip", "https://s.example/a/b/here.zip"),
         ("//cdn.example/x", "https://cdn.example/x"), ("?p=2", "https://s.example/a/b/c.html?p=2"),
         ("#top", "https://s.example/a/b/c.html#top"), ("mailto:a@b", "mailto:a@b"), ("/r", "https://s.example/r"),
-        ("../../x/../y", "https://s.example/y"),
+        ("../../x/../y", "https://s.example/y"), ("../" * 9 + "x.zip", "https://s.example/x.zip"),
+        ("a/" * 12 + "../" * 11 + "z?q=../k", "https://s.example/a/b/a/z?q=../k"), ("..", "https://s.example/a/"),
     ]
     df = spark.createDataFrame([("https://s.example/a/b/c.html", link, want) for link, want in cases], "b string, l string, w string")
     rows = df.select("l", "w", pages.absolute_url(F.col("b"), F.col("l")).alias("g")).collect()
