@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import Scratch, cut_lineage
 from .keys import keep_first, keep_top, small_id
 from .quality import repeated_keys
 
@@ -155,7 +155,16 @@ def assign_one_to_one(
     stays under 64 MB), larger ones, as exactly, by auction rounds over the
     whole table.
     """
-    block = list(block)
+    with Scratch(names.sparkSession) as scratch:
+        pairs = scratch.keep(_least_cost_pairs(names, choices, list(block), name, choice, max_cost, local_edges), "pairs")
+    all_names = names.select(*block, name).filter(F.col(name).isNotNull()).distinct()
+    left_over = all_names.join(pairs.select(*block, name), [*block, name], "left_anti")
+    return pairs, left_over
+
+
+def _least_cost_pairs(
+    names: DataFrame, choices: DataFrame, block: list[str], name: str, choice: str, max_cost: int, local_edges: int
+) -> DataFrame:
     edges = near_pairs(names, choices, block, name, choice, max_cost).select(
         *block,
         F.col(name).alias("_name"),
@@ -174,13 +183,10 @@ def assign_one_to_one(
     large = sized.filter(F.col("_edges") > local_edges)
     if large.limit(1).count():
         solved = solved.unionByName(auction(large))
-    pairs = (
+    return (
         sized.join(solved, ["_n", "_c"])
         .select(*block, F.col("_name").alias(name), F.col("_choice").alias(choice), "cost")
     )
-    all_names = names.select(*block, name).filter(F.col(name).isNotNull()).distinct()
-    left_over = all_names.join(pairs.select(*block, name), [*block, name], "left_anti")
-    return pairs, left_over
 
 
 def _connected_groups(edges: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from ..operators.joins import union_parents
 from ..operators.legal import derive_parcels
 from ..operators.sinks import Job, rebuild, run_jobs
-from ..session import cut_lineage
+from ..session import Scratch, cut_lineage
 from . import addresses, dims, land_values, layers, legacy, provenance, sales
 
 Tables = dict[str, DataFrame]
@@ -129,4 +129,8 @@ def build(
             version["n"] += 1
             return rebuild(df, f"{out.rstrip('/')}/{version['n']:02d}-{name}")
 
-    return run_jobs(JOBS, raw, run_from, run_till, save)
+    if not save:
+        return run_jobs(JOBS, raw, run_from, run_till)
+    # Every result lies below ``out``: what the jobs wrote for themselves can go.
+    with Scratch(next(iter(raw.values())).sparkSession):
+        return run_jobs(JOBS, raw, run_from, run_till, save)

@@ -41,6 +41,9 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_own_folders: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder named by the cluster in ``spark.checkpoint.dir``.
 
@@ -52,9 +55,11 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="cadastra-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    # The setting can't be changed in a running session, so the folder is remembered here.
+    app = spark.sparkContext.applicationId
+    if app not in _own_folders:
+        _own_folders[app] = tempfile.mkdtemp(prefix="cadastra-")
+    return _own_folders[app]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -62,6 +67,38 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{os.urandom(8).hex()}"
 
 
+_scopes: list[Scratch] = []
+
+
+class Scratch:
+    """Written intermediates of one piece of work, deleted when it ends.
+
+    Inside ``with Scratch(spark) as scratch`` every ``cut_lineage`` belongs to the
+    scope; ``scratch.keep`` writes a result that outlives it.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def __enter__(self) -> Scratch:
+        _scopes.append(self)
+        return self
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        path = scratch_path(self.spark, name)
+        outer = _scopes[_scopes.index(self) - 1] if _scopes.index(self) else None
+        if outer:
+            outer.paths.append(path)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def __exit__(self, *_) -> None:
+        _scopes.remove(self)
+        for path in self.paths:
+            target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -69,5 +106,7 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     let the optimiser plan the following joins on real sizes.
     """
     path = scratch_path(df.sparkSession, name)
+    if _scopes:
+        _scopes[-1].paths.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

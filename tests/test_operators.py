@@ -383,3 +383,35 @@ def test_shard_plan_with_a_hot_day(spark):
     # Of the hot day's shards, those of one value or of none cannot be split.
     assert plan.filter("full").count() >= 2
     assert sh.shard_pages(plan, 7).agg(F.sum("size")).first()[0] == 900
+
+
+def test_scratch_is_deleted(spark, tmp_path, monkeypatch):
+    import os
+
+    from cadastra import session
+
+    monkeypatch.setattr(session, "shared_folder", lambda _: str(tmp_path))
+    with session.Scratch(spark) as outer:
+        with session.Scratch(spark) as inner:
+            session.cut_lineage(spark.range(3), "gone").count()
+            kept = inner.keep(spark.range(5), "kept")
+        assert kept.count() == 5 and [x.split("-")[0] for x in os.listdir(tmp_path)] == ["kept"]
+        assert outer.paths
+    assert os.listdir(tmp_path) == []
+    names = spark.createDataFrame([("b", "alpha"), ("b", "alphas"), ("b", "beta")], "k string, n string")
+    pairs, rest = li.assign_one_to_one(names, names.selectExpr("k", "n AS c"), ["k"], "n", "c")
+    assert pairs.count() == 3 and rest.count() == 0
+    assert [x.split("-")[0] for x in os.listdir(tmp_path)] == ["pairs"]
+
+
+def test_local_session_without_setting_gets_a_folder(spark, monkeypatch):
+    from cadastra import session
+
+    class Bare:
+        conf = type("Conf", (), {"get": staticmethod(lambda key, default=None: default)})
+        sparkContext = type("Context", (), {"master": "local[2]", "applicationId": "bare"})
+
+    assert session.shared_folder(Bare) == session.shared_folder(Bare)
+    monkeypatch.setattr(Bare.sparkContext, "master", "spark://x:1")
+    with pytest.raises(ValueError, match="checkpoint"):
+        session.shared_folder(Bare)
