@@ -77,7 +77,3 @@ def blended_score(value: Column | str, linear_share: float) -> Column:
     """Mix of the base-10 log of a value and the value itself."""
     value = _col(value)
     return F.log10(value) * (1 - linear_share) + value * linear_share
-
-
-def value_range(c: Column | str) -> Column:
-    return F.max(_col(c)) - F.min(_col(c))

@@ -25,10 +25,6 @@ def concat_in_order(
     return df.groupBy(*keys).agg(joined.alias(out), *others)
 
 
-def first_by(df: DataFrame, keys: Sequence[str], value: str, order: str, out: str) -> DataFrame:
-    return df.groupBy(*keys).agg(F.min_by(value, order).alias(out))
-
-
 def value_runs(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:
     """The values of a group as a sorted array of (value, count).
 

@@ -49,11 +49,3 @@ def keep_top(df: DataFrame, keys: Sequence[str], order: Sequence[OrderKey], n: i
     """The first ``n`` rows per key with their rank."""
     window = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("rank", F.row_number().over(window)).filter(F.col("rank") <= n)
-
-
-def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    """Join condition under which missing keys match each other."""
-    condition = F.lit(True)
-    for key in keys:
-        condition = condition & left[key].eqNullSafe(right[key])
-    return condition

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -87,7 +86,3 @@ def short_shards(expected: DataFrame, actual: DataFrame, key: str, expected_rows
         .withColumn("arrived", F.coalesce(F.col("arrived"), F.lit(0)))
         .filter(F.col("arrived") < F.col(expected_rows))
     )
-
-
-def all_of(conditions: Sequence[Column]) -> Column:
-    return reduce(lambda a, b: a & b, conditions, F.lit(True))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import codes, readers, text, values
 from ..operators import quality
+from ..sources.lines import number_lines
 from .base import Tables, query
 
 
@@ -229,7 +230,9 @@ def csv_bytes_decode(t: Tables):
     """Bytes in one of two encodings, told apart by UTF-8 validity."""
     latin = F.encode(F.regexp_replace("text", r"[^\x00-\xFF]", "?"), "ISO-8859-1")
     raw = F.when(F.col("doc_id") % 2 == 0, F.encode("text", "UTF-8")).otherwise(latin)
-    rows = t.documents.select("doc_id", raw.alias("raw"))
-    as_text = F.col("raw").cast("string")
-    decoded = F.when(F.is_valid_utf8(as_text), F.decode("raw", "UTF-8")).otherwise(F.decode("raw", "ISO-8859-1"))
-    return rows.select("doc_id", decoded.alias("decoded"))
+    # Each document is a file of one line; the reader decides the encoding file by file.
+    lines = t.documents.select(
+        F.col("doc_id").cast("string").alias("file_path"), F.lit(0).alias("_block"), F.lit(0).alias("_seq"),
+        raw.cast("string").alias("value"),
+    )
+    return number_lines(lines).select(F.col("file_path").cast("bigint").alias("doc_id"), F.col("value").alias("decoded"))
