@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..operators.keys import stable_id
 from ..operators.spatial import planar_area
 from ..schemas import LAND_VALUE_COLUMNS
-from ..session import scratch_path
+from ..session import cut_lineage, scratch_path
 from ..sources import features, land_values, layers, pages, psv, sale_files, sdmx
 from ..sources.lines import number_lines, read_lines
 from .base import Tables, day, query
@@ -94,7 +94,8 @@ def record_file_roundtrip(t: Tables):
     manifest = found.select("file_path").distinct().select(
         "file_path", F.lit(2001).alias("published_year"), F.lit("2001-07").alias("layout")
     )
-    records = sale_files.read_records(found, manifest)
+    # Read once for three kinds.
+    records = cut_lineage(sale_files.read_records(found, manifest), "records")
     b, rejects_b = sale_files.typed_table(records, "ps_row_b")
     c, rejects_c = sale_files.typed_table(records, "ps_row_c")
     d, rejects_d = sale_files.typed_table(records, "ps_row_d")
