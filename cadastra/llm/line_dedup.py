@@ -8,6 +8,12 @@ a third of all pages sends one row per task and line.
 A host has at most ``average lines per page / ratio`` boilerplate lines, however
 many pages it has; its set is therefore small, is written once, and the planner
 broadcasts all sets or joins them by host as their written size demands.
+
+Copies of one page share all its lines without any of them being boilerplate.
+With ``once`` a host's exact and near copies are therefore counted as one page:
+pages are cut into passages of a few words at places their own words decide on,
+the smallest passage hashes are a page's sketch, and a page much like an earlier
+one that it meets through one of its sketch's parts is not counted.
 """
 
 from __future__ import annotations
@@ -19,6 +25,12 @@ from ..session import cut_lineage
 
 RATIO = 0.1
 LEAST_PAGES = 3
+#: Three to eight words, up to one that ends in a given letter, so that pages meet again after an edit.
+PASSAGE = r"(?:\S++\s++){2,7}?\S*[edns](?!\S)|(?:\S++\s++){0,7}\S++"
+#: Passage hashes of a sketch, and the parts of the hash space in each of which pages may meet.
+SKETCH, PARTS = 64, 6
+#: Percent of passages two pages share to count once.  Copies of one page that each share 80 % with it share 60 %.
+ALIKE = 50
 
 
 def _key(line: Column) -> Column:
@@ -30,10 +42,44 @@ def _counted(line: Column) -> Column:
     return F.length(F.trim(line)) > 0
 
 
-def boilerplate(docs: DataFrame, host: str = "source", ratio: float = RATIO, least_pages: int = LEAST_PAGES) -> DataFrame:
+def _sketch() -> Column:
+    passages = F.regexp_extract_all(F.lower("text"), F.lit(PASSAGE), F.lit(0))
+    return _smallest(F.transform(passages, lambda p: F.xxhash64(p)))
+
+
+def _smallest(hashes: Column) -> Column:
+    return F.slice(F.sort_array(F.array_distinct(hashes)), 1, SKETCH)
+
+
+def _alike(a: Column, b: Column) -> Column:
+    """Whether the smallest passages of both pages together are mostly in both."""
+    both = _smallest(F.concat(a, b))
+    return 100 * F.size(F.array_intersect(both, F.array_intersect(a, b))) >= ALIKE * F.size(both)
+
+
+def _first_of_copies(pages: DataFrame) -> DataFrame:
+    """``host, lines`` of the pages that are no copy of an earlier page of their host."""
+    pages = cut_lineage(pages.withColumn("row", F.monotonically_increasing_id()), "pages")
+    part = lambda i: F.get(F.filter("sketch", lambda h: F.pmod(h, F.lit(PARTS)) == i), F.lit(0))
+    keys = F.array_compact(F.transform(F.sequence(F.lit(0), F.lit(PARTS - 1)), part))
+    met = pages.select("row", F.xxhash64("host", F.col("host").isNull()).alias("h"), F.explode(keys).alias("key"))
+    first = met.groupBy("h", "key").agg(F.min("row").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    pairs = cut_lineage(met.join(first, ["h", "key"]).where("row > first").select("row", "first").distinct(), "met-pages")
+    sketches = pages.select("row", "sketch")
+    ours = pairs.join(sketches, "row")
+    theirs = sketches.select(F.col("row").alias("first"), F.col("sketch").alias("other"))
+    copies = cut_lineage(ours.join(theirs, "first").where(_alike(F.col("sketch"), F.col("other"))).select("row").distinct(), "copies")
+    return pages.join(copies, "row", "left_anti").select("host", "lines")
+
+
+def boilerplate(
+    docs: DataFrame, host: str = "source", ratio: float = RATIO, least_pages: int = LEAST_PAGES, once: bool = False
+) -> DataFrame:
     """``host, lines``: each host's boilerplate lines as hashes."""
     lines = F.array_distinct(F.transform(F.filter(F.split("text", "\n"), _counted), _key))
-    page = docs.select(F.col(host).alias("host"), lines.alias("lines"))
+    page = docs.select(F.col(host).alias("host"), lines.alias("lines"), *([_sketch().alias("sketch")] if once else []))
+    if once:
+        page = _first_of_copies(page)
     pages = page.groupBy("host").agg(F.count("*").alias("pages"))
     seen = page.select("host", F.explode("lines").alias("line")).groupBy("host", "line.a", "line.b").agg(F.count("*").alias("n"))
     often = seen.where(F.col("n") >= least_pages).alias("s").join(pages.alias("p"), F.col("s.host").eqNullSafe(F.col("p.host")))
@@ -44,13 +90,14 @@ def boilerplate(docs: DataFrame, host: str = "source", ratio: float = RATIO, lea
 
 
 def without_boilerplate(
-    docs: DataFrame, host: str = "source", ratio: float = RATIO, least_pages: int = LEAST_PAGES
+    docs: DataFrame, host: str = "source", ratio: float = RATIO, least_pages: int = LEAST_PAGES, once: bool = False
 ) -> DataFrame:
     """The rows of ``docs`` with boilerplate lines dropped from ``text``, and ``dropped_lines``.
 
     A line is dropped when at least ``least_pages`` pages of the row's host
     hold it, and more than ``ratio`` of them.  Lines end at line feeds; lines
-    of white space alone always stay.  A line counts once a page.
+    of white space alone always stay.  A line counts once a page; with ``once``
+    exact and near copies on one host are one page, also among the host's pages.
 
     Pages of a null host form a host of their own.  A null text stays null and
     counts as a page, an empty one stays empty; a text may become empty.
@@ -59,7 +106,7 @@ def without_boilerplate(
     """
     if "dropped_lines" in docs.columns or len(set(docs.columns)) < len(docs.columns):
         raise ValueError("columns of one name can't be told apart")
-    sets = cut_lineage(boilerplate(docs, host, ratio, least_pages), "boilerplate")
+    sets = cut_lineage(boilerplate(docs, host, ratio, least_pages, once), "boilerplate")
     joined = docs.alias("d").join(sets.alias("b"), F.col(f"d.{host}").eqNullSafe(F.col("b.host")), "left")
     known = F.coalesce("b.boilerplate", F.array().cast("array<struct<a:bigint,b:bigint>>"))
     lines = F.split("d.text", "\n")

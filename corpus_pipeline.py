@@ -28,9 +28,12 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines their source repeats; ``n_chars`` follows the text."""
+    """Documents without the lines their source repeats; ``n_chars`` follows the text.
+
+    Copies count as one page here: they are dropped later, and one has to keep its text.
+    """
     prepared(spark)
-    return without_boilerplate(docs).withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+    return without_boilerplate(docs, once=True).withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -93,3 +93,31 @@ def test_pipeline_stages_equal_brute_force(spark):
     total = lambda rows: sorted({(r.doc_id, r.doc_tokens) for r in rows})
     assert {r.doc_id for r in pieces} == {i for i, _ in rows} - leaked
     assert total(ran) == total(pieces) and sum(r.length for r in ran) == sum(r.length for r in pieces)
+
+
+@pytest.mark.parametrize("edits", [0, 2])
+def test_one_of_a_third_of_copies_keeps_its_text(spark, tmp_path, edits):
+    import random
+
+    import corpus_pipeline as p
+
+    rng = random.Random(7)
+    given = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    pool = sorted({w for r in given.collect() for w in r.text.split() if w.isalpha()})
+    base = [rng.choice(pool) for _ in range(180)]
+    rows = []
+    for i in range(given.count() // 2):
+        words = list(base)
+        for _ in range(edits if i else 0):
+            words[rng.randrange(len(words))] = f"{rng.choice(pool)}{i}"
+        text = "\n".join(" ".join(words[k : k + 12]) for k in range(0, len(words), 12))
+        rows.append((10**6 + i, text, "en", f"src{i % 20}", len(text)))
+    texts = {r[0]: r[1] for r in rows}
+    given.unionByName(spark.createDataFrame(rows, given.schema)).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet").write.parquet(f"{tmp_path}/benchmark.parquet")
+
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for _, stage in p.STAGES[1:-1]:
+        docs = stage(spark, docs, str(tmp_path)).localCheckpoint()
+    left = [(r.doc_id, r.text) for r in docs.where(f"doc_id >= {10**6}").collect()]
+    assert left == [(i, texts[i]) for i, _ in left] and len(left) == 1
