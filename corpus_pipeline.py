@@ -19,6 +19,8 @@ from cadastra.session import cut_lineage
 
 #: Near copies in the pipeline: five words a shingle, similar from 80 % on.
 COPY_SHINGLE, COPY_PERCENT = 5, 80
+#: Share of a source's pages above which a line is boilerplate: between ordinary lines and the repeated ones (README).
+LINE_RATIO = 0.05
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,7 +35,7 @@ def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     Copies count as one page here: they are dropped later, and one has to keep its text.
     """
     prepared(spark)
-    return without_boilerplate(docs, once=True).withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+    return without_boilerplate(docs, ratio=LINE_RATIO, once=True).withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -157,3 +157,20 @@ def test_few_vectors_and_odd_components(spark):
     assert got == [(0, 1, 50, 25 * 128 - 26 * 128), (50, 1, 0, 25 * 128 - 26 * 128)]
     assert exact_topk.top_scores(vectors.where("false"), F.lit(True)).collect() == []
     assert exact_topk.top_scores(vectors.where("vec_id = 0"), F.lit(True)).collect() == []
+
+
+def test_pipeline_drops_repeated_lines_on_every_host(spark):
+    import corpus_pipeline
+
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6))
+    rows = []
+    for host, share in enumerate((8, 9, 10, 11, 12, 13)):
+        for i in range(200):
+            lines = [" ".join(word() for _ in range(8)) for _ in range(3)]
+            lines += ["repeated on every host"] * (i < 2 * share) + ["an ordinary line"] * (i % 25 == 3)
+            rows.append((len(rows), "\n".join(lines), "en", f"h{host}", 1))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.drop_boilerplate(spark, docs, "").collect()
+    assert not any("repeated" in r.text for r in got)
+    assert sum("ordinary" in r.text for r in got) == 6 * 8
