@@ -10,7 +10,7 @@ from ..functions.codes import zone_standard
 from ..operators.hold import hold
 from ..operators.quality import split_rejects
 from ..schemas import LAND_VALUE_COLUMNS, table_schema
-from .lines import csv_fields, header_lines, number_lines, quote_count, read_lines, whole_records
+from .lines import csv_fields, header_lines, number_lines, quote_states, read_lines, whole_records
 
 
 def snapshot_date(path) -> F.Column:
@@ -28,11 +28,17 @@ def header_places(header: Column) -> Column:
     return F.when(F.array_min(places) >= 0, places)
 
 
+def header_width(header: Column) -> Column:
+    """Fields of a header."""
+    return F.size(csv_fields(F.regexp_replace(header, r"[\r\x{FEFF}]", "")))
+
+
 def parse_land_values(numbered: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Typed rows and rejects of numbered CSV records with the ``places`` of their file's columns.
+    """Typed rows and rejects of numbered CSV records with the ``places`` and ``width`` of their file's header.
 
     The first line of a file is its header, and columns are taken by its names.
-    A file whose header lacks a column is rejected whole, record by record.
+    A file whose header lacks a column is rejected whole, record by record;
+    so is a record of more or fewer fields than its header (bad field ``field_count``).
     """
     text = F.regexp_replace("value", r"\r$", "")
     columns = [c.lower().replace(" ", "_") for c in LAND_VALUE_COLUMNS]
@@ -42,12 +48,15 @@ def parse_land_values(numbered: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.col("line_number").cast("int").alias("source_line_number"),
         snapshot_date(F.col("file_path")).alias("source_date"),
         "places",
+        "width",
         hold(csv_fields(text)).alias("r"),
     ).select(
         "source_file_name",
         "source_line_number",
         "source_date",
         *[F.get("r", F.get("places", F.lit(i))).alias(f"_{c}") for i, c in enumerate(columns)],
+        F.size("r").cast("string").alias("_field_count"),
+        "width",
     )
 
     readers = {"district_code": rd.read_int, "property_id": rd.read_int, "area": rd.read_double}
@@ -67,6 +76,8 @@ def parse_land_values(numbered: DataFrame) -> tuple[DataFrame, DataFrame]:
         else:
             value = rd.read_text(name)
         readings[c] = (name, value)
+    right = F.col("_field_count") == F.col("width").cast("string")
+    readings["field_count"] = ("_field_count", F.when(right, F.col("width")))
     fields = fields.withColumn("_postcode", F.when(F.length("_postcode") == 4, F.col("_postcode")))
     good, rejects = split_rejects(fields, readings, ["district_code", "property_id", "property_type", "suburb_name"])
     good = good.withColumn("zone_standard", zone_standard("zone_code"))
@@ -83,8 +94,10 @@ def header_errors(lines: DataFrame) -> DataFrame:
 
 def number_records(lines: DataFrame) -> DataFrame:
     """Numbered CSV records of raw lines with their file's column places."""
-    facts = header_lines(lines).select("file_path", header_places(F.col("header")).alias("places"))
-    return whole_records(number_lines(lines, {"quotes": quote_count()}, facts))
+    facts = header_lines(lines).select(
+        "file_path", header_places(F.col("header")).alias("places"), header_width(F.col("header")).alias("width")
+    )
+    return whole_records(number_lines(lines, file_facts=facts, states=quote_states()))
 
 
 def read_land_values(spark: SparkSession, paths: str | list[str]) -> tuple[DataFrame, DataFrame]:

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.hold import hold
+
 BLOCK = ["file_path", "_block"]
 
 
@@ -34,10 +36,19 @@ def read_lines(spark: SparkSession, paths: str | list[str], glob: str | None = N
 
 
 def number_lines(
-    lines: DataFrame, counters: dict[str, Column] | None = None, file_facts: DataFrame | None = None
+    lines: DataFrame,
+    counters: dict[str, Column] | None = None,
+    file_facts: DataFrame | None = None,
+    states: tuple[Column, Column] | None = None,
 ) -> DataFrame:
     """Add line_number (from 0), byte_position and, per counter, the sum over the earlier lines of the file.
 
+    ``states`` tells whether a line ends inside something, if it starts outside
+    and if it starts inside; ``inside`` and ``stays`` then tell whether it does
+    start and end there.  A line either keeps the state, swaps it, or sets it.
+    With swaps counted like any counter, the state is the parity of the count
+    plus that of the last set value, which is handed from block to block.
+
     ``file_facts`` (unique on file_path) is attached to the small per-block
     table instead of to every line.  ``value`` is decoded as UTF-8 where the
     whole file is valid UTF-8, else as ISO-8859-1.
@@ -48,12 +59,25 @@ def number_lines(
         **(counters or {}),
     }
     tallied = lines
+    if states:
+        tallied = tallied.select("*", *[F.coalesce(hold(c), F.lit(False)).alias(n) for c, n in zip(states, ("_out", "_in"), strict=True)])
+        counters["swaps"] = F.col("_out") & ~F.col("_in")
     for name, amount in counters.items():
         tallied = tallied.withColumn(f"_{name}", amount.cast("long"))
 
-    blocks = tallied.groupBy(*BLOCK).agg(
+    inside = Window.partitionBy(*BLOCK).orderBy("_seq").rowsBetween(Window.unboundedPreceding, -1)
+    local = tallied
+    for name in counters:
+        local = local.withColumn(f"_{name}_local", F.coalesce(F.sum(f"_{name}").over(inside), F.lit(0)))
+    marks = []
+    if states:
+        mark = F.when(F.col("_out") == F.col("_in"), (F.col("_out").cast("long") + F.col("_swaps_local")) % 2)
+        local = local.withColumn("_mark", mark)
+        marks = [F.max_by("_mark", F.when(F.col("_mark").isNotNull(), F.col("_seq"))).alias("_mark_last")]
+    blocks = (local if states else tallied).groupBy(*BLOCK).agg(
         *[F.sum(f"_{name}").alias(f"_{name}_total") for name in counters],
         F.min(F.is_valid_utf8("value").cast("int")).alias("_valid"),
+        *marks,
     )
     of_file = Window.partitionBy("file_path")
     earlier = of_file.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
@@ -61,21 +85,29 @@ def number_lines(
         *BLOCK,
         *[F.coalesce(F.sum(f"_{name}_total").over(earlier), F.lit(0)).alias(f"_{name}_base") for name in counters],
         F.min("_valid").over(of_file).alias("_valid"),
+        *([F.col("_mark_last")] if states else []),
     )
+    if states:
+        last = F.last(F.col("_mark_last") + F.col("_swaps_base"), ignorenulls=True).over(earlier)
+        offsets = offsets.withColumn("_mark_base", F.coalesce(last, F.lit(0))).drop("_mark_last")
     if file_facts is not None:
         offsets = offsets.join(file_facts, "file_path", "left")
 
-    inside = Window.partitionBy(*BLOCK).orderBy("_seq").rowsBetween(Window.unboundedPreceding, -1)
-    local = tallied
-    for name in counters:
-        local = local.withColumn(f"_{name}_local", F.coalesce(F.sum(f"_{name}").over(inside), F.lit(0)))
+    if states:
+        local = local.withColumn("_mark_local", F.last("_mark", ignorenulls=True).over(inside))
     joined = local.join(offsets, BLOCK)
     latin = F.decode(F.col("value").cast("binary"), "ISO-8859-1")
     kept = [c for c in joined.columns if not c.startswith("_") and c != "value"]
+    state = []
+    if states:
+        mark = F.coalesce(F.col("_mark_local") + F.col("_swaps_base"), F.col("_mark_base"))
+        starts = (mark + F.col("_swaps_local") + F.col("_swaps_base")) % 2 == 1
+        state = [starts.alias("inside"), F.when(starts, F.col("_in")).otherwise(F.col("_out")).alias("stays")]
     return joined.select(
         *kept,
         F.when(F.col("_valid") == 1, F.col("value")).otherwise(latin).alias("value"),
-        *[(F.col(f"_{name}_local") + F.col(f"_{name}_base")).alias(name) for name in counters],
+        *[(F.col(f"_{name}_local") + F.col(f"_{name}_base")).alias(name) for name in counters if name != "swaps"],
+        *state,
     )
 
 
@@ -85,10 +117,23 @@ def header_lines(lines: DataFrame) -> DataFrame:
     return first.agg(F.min_by("value", "_seq").alias("header"))
 
 
-def quote_count(value: Column | str = "value") -> Column:
-    """Double quotes in a line; as a counter they tell whether a line starts inside quotes."""
+def ends_in_quotes(line: Column, separator: str = ",") -> Column:
+    """Whether a quoted field opened in a line is still open at its end.
+
+    A quote opens a field only at its very start; elsewhere outside quotes it is
+    text.  Complete fields are taken away, so what stays is an open one.
+    """
+    sep = f"\\x{ord(separator):02x}"
+    field = f'{sep}(?:"[^"]*+(?:""[^"]*+)*+"[^{sep}]*+|(?!")[^{sep}]*+)'
+    left = F.regexp_replace(F.concat(F.lit(separator), line), field, "")
+    return F.when(F.contains(line, F.lit('"')), left != "").otherwise(False)
+
+
+def quote_states(value: Column | str = "value", separator: str = ",") -> tuple[Column, Column]:
+    """Whether a line ends inside quotes, if it starts outside and if it starts inside them."""
     value = F.col(value) if isinstance(value, str) else value
-    return F.length(value) - F.length(F.replace(value, F.lit('"')))
+    start = F.regexp_replace(value, r"^\x{FEFF}", "")
+    return ends_in_quotes(start, separator), ends_in_quotes(F.concat(F.lit('"'), value), separator)
 
 
 #: Lines whose continuation marks are resolved together.
@@ -96,16 +141,15 @@ _STRETCH = 4096
 
 
 def whole_records(numbered: DataFrame) -> DataFrame:
-    """Join lines that were broken inside quotes, given a ``quotes`` counter.
+    """Join lines that were broken inside quotes, given whether each starts (``inside``) and ends (``stays``) there.
 
     Only the lines of broken records move; a record keeps the number and the
     position of its first line.  Which line a continuation belongs to is
     found within stretches of lines and handed from stretch to stretch.
     """
-    inside = F.col("quotes") % 2 == 1
-    odd = quote_count() % 2 == 1
-    rest = [c for c in numbered.columns if c not in ("line_number", "byte_position", "value", "quotes")]
-    broken = numbered.filter(inside | odd).withColumn("_start", F.when(~inside, F.col("line_number"))).withColumn(
+    inside, stays = F.col("inside"), F.col("stays")
+    rest = [c for c in numbered.columns if c not in ("line_number", "byte_position", "value", "inside", "stays")]
+    broken = numbered.filter(inside | stays).withColumn("_start", F.when(~inside, F.col("line_number"))).withColumn(
         "_stretch", F.floor(F.col("line_number") / _STRETCH)
     )
     within = Window.partitionBy("file_path", "_stretch").orderBy("line_number")
@@ -122,7 +166,7 @@ def whole_records(numbered: DataFrame) -> DataFrame:
         *[F.first(c).alias(c) for c in rest if c != "file_path"],
     )
     columns = [*rest, "line_number", "byte_position", "value"]
-    return numbered.filter(~inside & ~odd).select(columns).unionByName(joined.select(columns))
+    return numbered.filter(~inside & ~stays).select(columns).unionByName(joined.select(columns))
 
 
 def csv_fields(text: Column, separator: str = ",") -> Column:

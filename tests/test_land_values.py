@@ -104,3 +104,47 @@ def test_psv(spark, tmp_path):
         [("/x/NSW_ADDRESS_DETAIL_psv.psv",), ("Authority_Code_STREET_TYPE_AUT_psv.psv",)], "f string"
     ).select(table_name("f"))
     assert [r[0] for r in names.collect()] == ["ADDRESS_DETAIL", "STREET_TYPE_AUT"]
+
+
+@pytest.mark.parametrize("blocks", ["spark", "small_blocks"])
+def test_quotes_inside_fields_are_text(request, tmp_path, blocks):
+    import csv
+
+    session = request.getfixturevalue(blocks)
+    streets = ['5" PIPE RD', '"TWO\n5"" LINES"', "PLAIN", 'A "B" C"', '"BACK, ""\nTO"" \nBACK" X', '""', '"\n,""\n"']
+
+    def text(i):
+        row = {**DEFAULTS, "PROPERTY ID": str(i), "STREET NAME": streets[i % len(streets)]}
+        return ",".join(row.get(c, "") for c in LAND_VALUE_COLUMNS)
+
+    body = [text(i) for i in range(60)]
+    (tmp_path / "a_LV_20240701.csv").write_text("\n".join([HEADER, *body, body[0] + ",more", "1,2", ""]))
+    good, bad = read_land_values(session, str(tmp_path))
+    want = {int(r["PROPERTY ID"]): r["STREET NAME"].strip() or None for r in csv.DictReader([x + "\n" for x in "\n".join([HEADER, *body]).split("\n")])}
+    found = {r.property_id: r.street_name for r in good.collect()}
+    assert len(want) == 60 and {i: (s or "").strip() or None for i, s in found.items()} == want
+    rejects = [r.bad_fields for r in bad.collect()]
+    assert len(rejects) == 2 and all("field_count" in r for r in rejects)
+
+
+@pytest.mark.parametrize("blocks", ["spark", "small_blocks"])
+def test_quote_states_over_blocks(request, tmp_path, blocks):
+    import csv
+    import random
+
+    from cadastra.sources.lines import number_lines, quote_states, whole_records
+
+    session, rng = request.getfixturevalue(blocks), random.Random(4)
+    for name in "abc":
+        text = "".join(rng.choice(['"', '"', ",", ",", "x", "y", "\n"]) for _ in range(1500))
+        (tmp_path / f"{name}.csv").write_text(text)
+    records = whole_records(number_lines(read_lines(session, str(tmp_path)), states=quote_states()))
+    found = {}
+    for r in records.collect():
+        found.setdefault(r.file_path[-5], set()).add(r.line_number)
+    for name in "abc":
+        reader, starts, at = csv.reader((tmp_path / f"{name}.csv").read_text().splitlines(keepends=True)), set(), 0
+        for _ in reader:
+            starts.add(at)
+            at = reader.line_num
+        assert found[name] == starts
