@@ -17,6 +17,7 @@ from .line_dedup import without_boilerplate
 from .ngram_join import link_copies
 from .online_packing import pack_online
 from .quality import fit_quality, score_quality
+from .simhash import simhash_copies
 from .url_filter import judge_urls, parsed
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -237,3 +238,9 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
     table = spark.read.parquet(f"{folder}/embeddings.parquet").where(usable(F.col("embedding")))
     vectors = table.select("vec_id", scaled(F.col("embedding")).alias("vector"))
     return top_scores(vectors, F.col("vec_id") % 50 == 0)
+
+
+@query("op13_simhash_copies")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprint of every document, and its component under links of three or fewer differing bits."""
+    return simhash_copies(spark.read.parquet(f"{folder}/documents.parquet"))
