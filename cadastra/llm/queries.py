@@ -16,6 +16,7 @@ from .language import fit_languages, predict_languages
 from .line_dedup import without_boilerplate
 from .ngram_join import link_copies
 from .online_packing import pack_online
+from .prefix_trie import prefix_trie, rebuilt, sequences
 from .quality import fit_quality, score_quality
 from .simhash import simhash_copies
 from .url_filter import judge_urls, parsed
@@ -244,3 +245,39 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
 def op13(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint of every document, and its component under links of three or fewer differing bits."""
     return simhash_copies(spark.read.parquet(f"{folder}/documents.parquet"))
+
+
+TRIE_SQL = r"""
+WITH t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS p
+  FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, conv_id - conv_id % 20 AS base, xor(list_reduce(
+    list_concat([4294967295::BIGINT], list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda s: CAST(ascii(s) AS BIGINT))),
+    lambda crc, x: list_reduce(list_concat([xor(crc, x)], [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+      lambda v, z: xor(v >> 1, 3988292384::BIGINT * (v & 1)))), 4294967295::BIGINT) % 4 AS h
+  FROM (SELECT DISTINCT conv_id FROM t)),
+r AS (SELECT c.conv_id, 0 AS own, t.p, role, text FROM c JOIN t ON t.conv_id = c.base WHERE t.p <= c.h
+  UNION ALL SELECT c.conv_id, 1, t.p, role, text FROM c JOIN t ON t.conv_id = c.conv_id WHERE t.p > c.h),
+s AS (SELECT conv_id, row_number() OVER w AS d, string_agg(md5(role) || md5(text), '') OVER w AS k,
+    len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words FROM r WINDOW w AS (PARTITION BY conv_id ORDER BY own, p)),
+m AS (SELECT conv_id, 0 AS d, '' AS k, 0 AS words FROM c UNION ALL SELECT conv_id, d, k, words FROM s),
+node AS (SELECT k, any_value(d) AS depth, min(conv_id) AS conv_id, count(*) AS n, any_value(words) AS words,
+    left(k, 64 * (any_value(d) - 1)) AS above FROM m GROUP BY k),
+kids AS (SELECT above AS k, count(*) AS n FROM node WHERE depth > 0 GROUP BY above),
+below AS (SELECT left(k, 64 * unnest(range(0, depth + 1))) AS k, n, words, k NOT IN (SELECT k FROM kids) AS leaf FROM node),
+sums AS (SELECT k, sum(CASE WHEN leaf THEN 1 ELSE 0 END) AS leaves, sum((n - 1) * words) AS saved FROM below GROUP BY k),
+ends AS (SELECT k, sha256(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)) AS sha
+  FROM (SELECT conv_id, arg_max(k, d) AS k FROM m GROUP BY conv_id) GROUP BY k)
+SELECT node.conv_id, CAST(node.depth AS BIGINT) AS depth, up.conv_id AS parent_conv_id, node.n AS n_convs,
+  coalesce(kids.n, 0) AS n_children, CAST(leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens,
+  coalesce(sha, sha256('')) AS ends_sha256
+FROM node JOIN sums USING (k) LEFT JOIN kids USING (k) LEFT JOIN ends USING (k)
+LEFT JOIN node up ON up.k = node.above AND node.depth > 0
+"""
+
+
+@query("op12_prefix_trie", TRIE_SQL)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    """Every shared prefix of the conversations, each begun as the first of its twenty."""
+    chats = rebuilt(sequences(spark.read.parquet(f"{folder}/conversations.parquet")))
+    return prefix_trie(chats).drop("turn_a", "turn_b")
