@@ -20,6 +20,7 @@ from .prefix_trie import prefix_trie, rebuilt, sequences
 from .quality import fit_quality, score_quality
 from .simhash import simhash_copies
 from .url_filter import judge_urls, parsed
+from .whitening import whiten
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -281,3 +282,9 @@ def op12(spark: SparkSession, folder: str) -> DataFrame:
     """Every shared prefix of the conversations, each begun as the first of its twenty."""
     chats = rebuilt(sequences(spark.read.parquet(f"{folder}/conversations.parquet")))
     return prefix_trie(chats).drop("turn_a", "turn_b")
+
+
+@query("op11_whitening")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    """The first four whitened components of every vector, fitted on the distinct ones."""
+    return whiten(spark.read.parquet(f"{folder}/embeddings.parquet"))
