@@ -98,7 +98,9 @@ def pack_matrix(
     positions start at 0 again; ``doc_ids`` and ``starts`` name each segment's
     document and the ids of it that lie before.  Text ids are followed by ``end_id``.
 
-    A null or empty text gives the end id alone; rows of equal ``doc_id``
+    A null or empty text gives the end id alone; a text longer than a row is
+    split into whole rows and a rest, losing nothing; ids that ``dtype`` can't
+    hold fail the job; rows of equal ``doc_id``
     stay separate documents; a null id stays null; other columns are ignored;
     an empty table gives no rows.
     """
@@ -134,7 +136,10 @@ def pack_matrix(
 
         for incoming in batches:
             for doc, text in zip(incoming.column(0), incoming.column(1), strict=True):
-                ids = np.append(encode(text.as_py(), ranks), np.uint32(end_id)).astype(dtype)
+                ids = np.append(encode(text.as_py(), ranks), np.uint32(end_id))
+                if int(ids.max()) > np.iinfo(dtype).max:
+                    raise ValueError(f"id {int(ids.max())} does not fit {dtype}")
+                ids = ids.astype(dtype)
                 whole = len(ids) // length * length
                 for start in range(0, whole, length):
                     row([(doc.as_py(), start, ids[start : start + length])])

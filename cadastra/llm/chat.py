@@ -1,10 +1,12 @@
 """Chat formatting by a state machine over roles, in DataFrame functions only.
 
 A template is plain data: the control strings around a turn, which roles may
-follow which state, and whose text is learned from.  A conversation's turns are
-folded over the state machine, which notes the first turn out of order, and
-become text segments with a loss flag each.  Control strings inside texts are
-escaped in a way that can be undone.
+follow which state, and in which states the text is learned from.  The state a
+turn leads to is its role, in order or not (the machine goes on from there), so
+each transition needs the state before it only and a conversation of any length
+is run in one pass over its turns.  The states decide the loss flags of the text
+segments; the first transition that is not allowed is noted.  Control strings
+inside texts are escaped in a way that can be undone.
 """
 
 from __future__ import annotations
@@ -74,35 +76,32 @@ def format_chats(turns: DataFrame, template: Template = CHATML) -> DataFrame:
         x for state, roles in template.follows.items() for x in (F.lit(state), F.array(*map(F.lit, roles)))
     ))
 
-    def step(state: Column, t: Column) -> Column:
-        fits = F.coalesce(F.array_contains(F.element_at(allowed, state["role"]), t["role"]), F.lit(False))
-        return F.struct(
-            t["role"].alias("role"),
-            (state["at"] + 1).alias("at"),
-            F.when(state["bad"].isNotNull() | fits, state["bad"]).otherwise(state["at"]).alias("bad"),
-        )
+    def transition(before: Column, t: Column) -> Column:
+        fits = F.coalesce(F.array_contains(F.try_element_at(allowed, before), t["role"]), F.lit(False))
+        return F.struct(t["role"].alias("state"), fits.alias("fits"), t["text"].alias("text"))
 
-    start = F.struct(F.lit("").alias("role"), F.lit(0).alias("at"), F.lit(None).cast("int").alias("bad"))
-    folded = F.aggregate("turns", start, step)
+    befores = F.concat(F.array(F.lit("")), F.slice(F.transform("turns", lambda t: t["role"]), F.lit(1), F.size("turns") - 1))
+    ran = chats.select("conv_id", F.zip_with(befores, "turns", transition).alias("states"))
+    bad = F.array_position(F.transform("states", lambda s: s["fits"]), F.lit(False)).cast("int")
     head, tail = (F.lit(x) for x in template.before.split("{role}"))
 
-    def segments(t: Column) -> Column:
-        role = t["role"]
+    def segments(s: Column) -> Column:
         return F.array(
-            F.struct(F.concat(head, escape_role(role), tail).alias("text"), F.lit(False).alias("loss")),
-            F.struct(escape(t["text"]).alias("text"), role.isin(*template.learned).alias("loss")),
+            F.struct(F.concat(head, escape_role(s["state"]), tail).alias("text"), F.lit(False).alias("loss")),
+            F.struct(escape(s["text"]).alias("text"), s["state"].isin(*template.learned).alias("loss")),
             F.struct(F.lit(template.after).alias("text"), F.lit(False).alias("loss")),
         )
 
-    parts = chats.select(
-        "conv_id", F.size("turns").cast("long").alias("n_turns"), folded.alias("end"),
-        F.flatten(F.transform("turns", segments)).alias("segments"),
+    parts = ran.select(
+        "conv_id", F.size("states").cast("long").alias("n_turns"), F.nullif(bad, F.lit(0)).alias("bad"),
+        F.element_at("states", -1)["state"].alias("last"),
+        F.flatten(F.transform("states", segments)).alias("segments"),
     )
     return parts.select(
         "conv_id",
         "n_turns",
-        (F.col("end.bad").isNull() & F.col("end.role").isin(*template.last)).alias("valid"),
-        F.col("end.bad").alias("bad_turn"),
+        (F.col("bad").isNull() & F.col("last").isin(*template.last)).alias("valid"),
+        (F.col("bad") - 1).alias("bad_turn"),
         F.array_join(F.transform("segments", lambda s: s["text"]), "").alias("formatted"),
         "segments",
     )

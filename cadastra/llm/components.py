@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
@@ -33,8 +33,12 @@ def components(links: DataFrame) -> DataFrame:
     edges = cut_lineage(links.select("u", "v").where("u <> v").distinct(), "links")
     seen = None
     while True:
-        edges = cut_lineage(_small_star(_large_star(edges)), "stars")
-        state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        watched = Observation()
+        digest = F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
+        edges = cut_lineage(
+            _small_star(_large_star(edges)).observe(watched, F.count(F.lit(1)).alias("n"), digest.alias("digest")), "stars"
+        )
+        state = watched.get
         if state == seen:
             break
         seen = state

@@ -8,6 +8,9 @@ lacks at most ``n - ceil(t n)`` of them, so it holds at least one of any
 Documents probe the partitions whose smallest item they could contain, with all
 their shingles, and every candidate is counted over the item's whole set.
 
+Items of fewer words than a shingle are one n-gram of their own size; they form a
+partition a size, probed with the documents' n-grams of that size.
+
 Items reach the tasks as blocks of a bounded number of hashes; a larger
 benchmark takes more passes over the documents, not more memory.
 """
@@ -20,18 +23,19 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..session import cut_lineage
+from .names import distinct_names, filtered
 from .ngram_join import chunks
-from .text_arrays import shingle_sets
+from .text_arrays import shingle_sets, word_hashes
 
 SHINGLE = 5
 PERCENT = 80
 #: Hashes of items in one block: 16 MB.
 BLOCK = 2_000_000
 
-_ITEMS = pa.schema([("item_id", pa.int64()), ("n", pa.int32()), ("tokens", pa.list_(pa.int64()))])
+_ITEMS = pa.schema([("item_id", pa.int64()), ("size", pa.int32()), ("n", pa.int32()), ("tokens", pa.list_(pa.int64()))])
+Item = tuple[int | None, int, np.ndarray]  # id, words of a shingle, sorted shingle hashes
 _LEAKS = pa.schema(
     [("doc_id", pa.int64()), ("item_id", pa.int64()), ("n_shingles", pa.int64()), ("matched", pa.int64())]
 )
@@ -44,27 +48,35 @@ def needed(n: int, percent: int) -> int:
 class ItemIndex:
     """The items of one block and the MinHash values they are found by."""
 
-    def __init__(self, items: list[tuple[int | None, np.ndarray]], percent: int):
+    def __init__(self, items: list[Item], percent: int):
         self.items, self.percent = items, percent
-        self.partitions: list[tuple[int, np.ndarray, np.ndarray]] = []
-        for power in sorted({len(t).bit_length() for _, t in items}):
-            own = [i for i, (_, t) in enumerate(items) if len(t).bit_length() == power]
+        self.partitions: list[tuple[int, int, np.ndarray, np.ndarray]] = []
+        for size, power in sorted({(size, len(t).bit_length()) for _, size, t in items}):
+            own = [i for i, (_, s, t) in enumerate(items) if s == size and len(t).bit_length() == power]
             largest = (1 << power) - 1
             values = largest - needed(largest, percent) + 1
-            sketch = [(h, i) for i in own for h in items[i][1][:values].tolist()]  # sets are sorted: the least values
+            sketch = [(h, i) for i in own for h in items[i][2][:values].tolist()]  # sets are sorted: the least values
             sketch.sort()
             keys = np.array([h for h, _ in sketch], dtype=np.uint64)
-            self.partitions.append((needed(1 << (power - 1), percent), keys, np.array([i for _, i in sketch])))
+            self.partitions.append((size, needed(1 << (power - 1), percent), keys, np.array([i for _, i in sketch])))
+        self.sizes = sorted({size for size, *_ in self.partitions})
+
+    def contained(self, texts: list[str | None]) -> Iterator[list[tuple[int, int]]]:
+        """Of each text: the numbers and matched shingles of the items it contains."""
+        sets = {size: shingle_sets(texts, size, letters=True) for size in self.sizes}
+        for i in range(len(texts)):
+            yield self.found({size: sets[size][i] for size in self.sizes})
 
-    def found(self, document: np.ndarray) -> list[tuple[int, int]]:
-        """Item numbers and matched shingles of the items a document's sorted set contains."""
+    def found(self, shingles: dict[int, np.ndarray]) -> list[tuple[int, int]]:
+        """The items that a document's sorted sets of each shingle size contain."""
         out = []
-        for least, keys, owner in self.partitions:
-            if len(document) < least:
+        for size, least, keys, owner in self.partitions:
+            document = shingles[size]
+            if len(document) < max(1, least):
                 continue
             at = np.minimum(np.searchsorted(document, keys), len(document) - 1)
             for i in np.unique(owner[document[at] == keys]).tolist():
-                tokens = self.items[i][1]
+                tokens = self.items[i][2]
                 at = np.minimum(np.searchsorted(document, tokens), len(document) - 1)
                 matched = int((document[at] == tokens).sum())
                 if matched >= needed(len(tokens), self.percent):
@@ -75,10 +87,13 @@ class ItemIndex:
 def _blocks(benchmark: DataFrame, shingle: int, percent: int, block: int) -> Iterator[ItemIndex]:
     def item_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in chunks(batches):
-            sets = shingle_sets(texts, shingle, letters=True)
+            words = np.diff(word_hashes(texts, letters=True)[1]).tolist()
+            sizes = [min(max(1, n), shingle) for n in words]
+            sets = [shingle_sets([t], size, letters=True)[0] for t, size in zip(texts, sizes, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).cast(pa.int64()),
+                    pa.array(sizes, pa.int32()),
                     pa.array([len(s) for s in sets], pa.int32()),
                     pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
                 ],
@@ -86,15 +101,17 @@ def _blocks(benchmark: DataFrame, shingle: int, percent: int, block: int) -> Ite
             )
 
     items = cut_lineage(
-        benchmark.select("item_id", "text").mapInArrow(item_rows, "item_id long, n int, tokens array<long>")
+        benchmark.select("item_id", "text").mapInArrow(item_rows, "item_id long, size int, n int, tokens array<long>")
         .where("n > 0").distinct(),
         "items",
     )
     total = items.agg(F.sum("n")).first()[0] or 0
     count = max(1, -(-total // block))
     for b in range(count):
-        rows = items.where(F.pmod(F.xxhash64("item_id", "tokens"), F.lit(count)) == b).select("item_id", "tokens").collect()
-        yield ItemIndex([(r[0], np.array(r[1], dtype=np.int64).view(np.uint64)) for r in rows], percent)
+        rows = items.where(F.pmod(F.xxhash64("item_id", "tokens"), F.lit(count)) == b).select("item_id", "size", "tokens").toArrow()
+        columns = [rows.column(c).combine_chunks() for c in ("item_id", "size")]
+        sets = [s.values.to_numpy().view(np.uint64) for s in rows.column("tokens")]
+        yield ItemIndex(list(zip(*(c.to_pylist() for c in columns), sets, strict=True)), percent)
 
 
 def find_leaks(
@@ -104,7 +121,8 @@ def find_leaks(
 
     A document contains an item when it holds at least ``percent`` of the
     item's distinct ``shingle``-word shingles, wherever they stand.  Words are
-    lower-case runs of letters and digits; fewer words form one shingle.
+    lower-case runs of letters and digits; an item of fewer words is one
+    shingle of all its words, contained where they stand in a row.
 
     Null, empty or wordless texts contain nothing and are contained in
     nothing.  Equal rows of the benchmark count once; rows of equal ``doc_id``
@@ -120,9 +138,9 @@ def find_leaks(
             for batch, texts in chunks(batches):
                 rows = []
                 ids = batch.column(0).to_pylist()
-                for doc, own in zip(ids, shingle_sets(texts, shingle, letters=True), strict=True):
-                    for i, matched in shared.value.found(own) if len(own) else ():
-                        item, tokens = shared.value.items[i]
+                for doc, found in zip(ids, shared.value.contained(texts), strict=True):
+                    for i, matched in found:
+                        item, _, tokens = shared.value.items[i]
                         rows.append((doc, item, len(tokens), matched))
                 columns = list(zip(*rows, strict=True)) if rows else [[]] * 4
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=_LEAKS)
@@ -137,20 +155,21 @@ def find_leaks(
 def without_leaks(
     docs: DataFrame, benchmark: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, block: int = BLOCK
 ) -> DataFrame:
-    """The rows of ``docs``, all columns as they are, that contain no item (see ``find_leaks``)."""
+    """The rows of ``docs``, all columns as they are, that contain no item (see ``find_leaks``).
+
+    Null, empty and wordless texts stay, and so do rows without an id; rows of
+    equal id are each judged by their own text; an empty benchmark drops
+    nothing; an empty table gives no rows.
+    """
     spark = docs.sparkSession
-    names = docs.columns
-    if len(set(names)) < len(names):
-        raise ValueError("columns of one name can't be told apart")
+    place = distinct_names(docs).index("text")
     for index in _blocks(benchmark, shingle, percent, block):
         shared = spark.sparkContext.broadcast(index)
 
         def clean(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            for batch, texts in chunks(batches):
-                sets = shingle_sets(texts, shingle, letters=True)
-                keep = [not len(own) or not shared.value.found(own) for own in sets]
-                yield batch.select(names).filter(pa.array(keep, pa.bool_()))
+            for batch, texts in chunks(batches, column=place):
+                keep = [not found for found in shared.value.contained(texts)]
+                yield batch.filter(pa.array(keep, pa.bool_()))
 
-        read = docs.withColumn("__text", F.col("text"))
-        docs = read.mapInArrow(clean, T.StructType([docs.schema[n] for n in names]))
+        docs = filtered(docs, clean)
     return docs

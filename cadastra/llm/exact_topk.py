@@ -121,6 +121,8 @@ def top_scores(vectors: DataFrame, queries: Column, k: int = TOP, parts: int = P
     its own, its score their inner product; ties go to the smaller ``vec_id``;
     with fewer than ``k`` candidates all are returned.
 
+    Scores are exact longs: entries ``m`` in ``d`` dimensions with
+    ``m * m * d`` of 2**62 or more are refused before any work.
     Vectors are filled up with zeros to the longest.  Null vectors and rows
     without ``vec_id`` take no part.  Rows repeated under one ``vec_id`` are
     reduced to one, the smallest vector.  Other columns are ignored; without
@@ -132,8 +134,12 @@ def top_scores(vectors: DataFrame, queries: Column, k: int = TOP, parts: int = P
         .agg(F.min("vector").alias("vector")).toDF("vec_id", "vector"),
         "vectors",
     )
-    count, width = rows.agg(F.count("*"), F.max(F.size("vector"))).first()
+    count, width, high, low = rows.agg(
+        F.count("*"), F.max(F.size("vector")), F.max(F.array_max("vector")), F.min(F.array_min("vector"))
+    ).first()
     width = max(1, width or 0)
+    if max(abs(high or 0), abs(low or 0)) ** 2 * width >= 1 << 62:
+        raise ValueError(f"products of entries up to {max(abs(high), abs(low))} in {width} dimensions don't fit a long")
     parts = min(parts, width)
     groups = max(1, -(-count // (CHUNK * GROUP)))
     group = F.pmod(F.xxhash64("chunk"), F.lit(groups)).alias("group")

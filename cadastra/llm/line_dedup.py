@@ -10,10 +10,12 @@ many pages it has; its set is therefore small, is written once, and the planner
 broadcasts all sets or joins them by host as their written size demands.
 
 Copies of one page share all its lines without any of them being boilerplate.
-With ``once`` a host's exact and near copies are therefore counted as one page:
-pages are cut into passages of a few words at places their own words decide on,
-the smallest passage hashes are a page's sketch, and a page much like an earlier
-one that it meets through one of its sketch's parts is not counted.
+With ``once`` a host's groups of exact and near copies are therefore counted as
+one page each: pages are cut into passages of a few words at places their own
+words decide on, the smallest passage hashes are a page's sketch, pages much like
+another one that they meet through a part of their sketch are linked, and a line
+counts once for each connected group.  Pages are known by the hash of host and
+text, so neither ids nor the order of rows matter.
 """
 
 from __future__ import annotations
@@ -22,8 +24,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
+from .components import components
+from .names import distinct_names, free_name, own
 
-RATIO = 0.1
+RATIO = 0.05
 LEAST_PAGES = 3
 #: Three to eight words, up to one that ends in a given letter, so that pages meet again after an edit.
 PASSAGE = r"(?:\S++\s++){2,7}?\S*[edns](?!\S)|(?:\S++\s++){0,7}\S++"
@@ -57,9 +61,9 @@ def _alike(a: Column, b: Column) -> Column:
     return 100 * F.size(F.array_intersect(both, F.array_intersect(a, b))) >= ALIKE * F.size(both)
 
 
-def _first_of_copies(pages: DataFrame) -> DataFrame:
-    """``host, lines`` of the pages that are no copy of an earlier page of their host."""
-    pages = cut_lineage(pages.withColumn("row", F.monotonically_increasing_id()), "pages")
+def copy_groups(pages: DataFrame) -> DataFrame:
+    """``row, label`` of the pages ``row, host, sketch`` that have copies on their host; the label is a group's smallest row."""
+    pages = pages.dropDuplicates(["row"])
     part = lambda i: F.get(F.filter("sketch", lambda h: F.pmod(h, F.lit(PARTS)) == i), F.lit(0))
     keys = F.array_compact(F.transform(F.sequence(F.lit(0), F.lit(PARTS - 1)), part))
     met = pages.select("row", F.xxhash64("host", F.col("host").isNull()).alias("h"), F.explode(keys).alias("key"))
@@ -68,8 +72,16 @@ def _first_of_copies(pages: DataFrame) -> DataFrame:
     sketches = pages.select("row", "sketch")
     ours = pairs.join(sketches, "row")
     theirs = sketches.select(F.col("row").alias("first"), F.col("sketch").alias("other"))
-    copies = cut_lineage(ours.join(theirs, "first").where(_alike(F.col("sketch"), F.col("other"))).select("row").distinct(), "copies")
-    return pages.join(copies, "row", "left_anti").select("host", "lines")
+    links = ours.join(theirs, "first").where(_alike(F.col("sketch"), F.col("other")))
+    return components(links.select(F.col("row").alias("u"), F.col("first").alias("v"))).select(F.col("node").alias("row"), "label")
+
+
+def _grouped(docs: DataFrame, host: Column, lines: Column) -> DataFrame:
+    """``host, lines, label`` of every page; copies on one host share a label."""
+    row = F.xxhash64(host, host.isNull(), own("text")).alias("row")
+    pages = cut_lineage(docs.select(host.alias("host"), lines.alias("lines"), _sketch().alias("sketch"), row), "pages")
+    labels = copy_groups(pages.select("row", "host", "sketch"))
+    return pages.join(labels, "row", "left").select("host", "lines", F.coalesce("label", "row").alias("label"))
 
 
 def boilerplate(
@@ -77,11 +89,15 @@ def boilerplate(
 ) -> DataFrame:
     """``host, lines``: each host's boilerplate lines as hashes."""
     lines = F.array_distinct(F.transform(F.filter(F.split("text", "\n"), _counted), _key))
-    page = docs.select(F.col(host).alias("host"), lines.alias("lines"), *([_sketch().alias("sketch")] if once else []))
     if once:
-        page = _first_of_copies(page)
-    pages = page.groupBy("host").agg(F.count("*").alias("pages"))
-    seen = page.select("host", F.explode("lines").alias("line")).groupBy("host", "line.a", "line.b").agg(F.count("*").alias("n"))
+        page = _grouped(docs, own(host), lines)
+        pages = page.select("host", "label").distinct().groupBy("host").agg(F.count("*").alias("pages"))
+        line = page.select("host", "label", F.explode("lines").alias("line")).select("host", "label", "line.a", "line.b").distinct()
+    else:
+        page = docs.select(own(host).alias("host"), lines.alias("lines"))
+        pages = page.groupBy("host").agg(F.count("*").alias("pages"))
+        line = page.select("host", F.explode("lines").alias("line")).select("host", "line.a", "line.b")
+    seen = line.groupBy("host", "a", "b").agg(F.count("*").alias("n"))
     often = seen.where(F.col("n") >= least_pages).alias("s").join(pages.alias("p"), F.col("s.host").eqNullSafe(F.col("p.host")))
     return (
         often.where(F.col("n") > ratio * F.col("pages"))
@@ -104,17 +120,16 @@ def without_boilerplate(
     Rows of equal ``doc_id`` are pages of their own; other columns stay as
     they are; an empty table gives no rows.
     """
-    if "dropped_lines" in docs.columns or len(set(docs.columns)) < len(docs.columns):
+    names = distinct_names(docs)
+    if "dropped_lines" in names:
         raise ValueError("columns of one name can't be told apart")
+    kept_lines = free_name(docs, "kept_lines")
     sets = cut_lineage(boilerplate(docs, host, ratio, least_pages, once), "boilerplate")
-    joined = docs.alias("d").join(sets.alias("b"), F.col(f"d.{host}").eqNullSafe(F.col("b.host")), "left")
+    joined = docs.alias("d").join(sets.alias("b"), own(host, "d").eqNullSafe(F.col("b.host")), "left")
     known = F.coalesce("b.boilerplate", F.array().cast("array<struct<a:bigint,b:bigint>>"))
     lines = F.split("d.text", "\n")
     kept = F.filter(lines, lambda line: ~(_counted(line) & F.array_contains(known, _key(line))))
-    return joined.select(*(F.col(f"d.{c}").alias(c) for c in docs.columns), kept.alias("__kept")).select(
-        *(
-            F.array_join("__kept", "\n").alias("text") if c == "text" else F.col(c)
-            for c in docs.columns
-        ),
-        F.coalesce(F.size(F.split("text", "\n")) - F.size("__kept"), F.lit(0)).alias("dropped_lines"),
-    )
+    return joined.select(*(own(c, "d").alias(c) for c in names), kept.alias(kept_lines)).select(
+        *(F.array_join(kept_lines, "\n").alias("text") if c == "text" else own(c) for c in names),
+        F.coalesce(F.size(F.split("text", "\n")) - F.size(kept_lines), F.lit(0)).alias("dropped_lines"),
+    )

@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 from .components import components
+from .names import distinct_names, own
 from .text_arrays import mix, shingle_sets
 
 SHINGLE = 4
@@ -46,15 +47,17 @@ SAMPLE = np.uint64(1 << 62)
 #: Characters of text turned into arrays at a time.
 CHUNK_CHARS = 1 << 20
 
-_BASE = pa.schema([("doc_id", pa.int64()), ("n", pa.int32()), ("cls", pa.int64()), ("sample", pa.list_(pa.int64()))])
+_BASE = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("n", pa.int32()), ("cls", pa.int64()), ("sample", pa.list_(pa.int64()))])
 _SETS = pa.schema([("cls", pa.int64()), ("n", pa.int32()), ("tokens", pa.list_(pa.int64()))])
 _INDEX = pa.schema([("key", pa.int64()), ("cls", pa.int64()), ("n", pa.int32()), ("rest", pa.int32()), ("own", pa.int32())])
 
 
-def chunks(batches: Iterator[pa.RecordBatch], chars: int = CHUNK_CHARS) -> Iterator[tuple[pa.RecordBatch, list]]:
-    """Batches cut so that their texts (the last column) stay near a number of characters."""
+def chunks(
+    batches: Iterator[pa.RecordBatch], chars: int = CHUNK_CHARS, column: int = -1
+) -> Iterator[tuple[pa.RecordBatch, list]]:
+    """Batches cut so that their texts (the last column, or the one at a place) stay near a number of characters."""
     for batch in batches:
-        texts = batch.column(batch.num_columns - 1).to_pylist()
+        texts = batch.column(column % batch.num_columns).to_pylist()
         begin = held = 0
         for i, text in enumerate(texts):
             held += len(text or "")
@@ -191,12 +194,21 @@ def _pair(a: str, b: str) -> list[Column]:
 def link_copies(
     docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, rare: int = RARE
 ) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` of every row of ``doc_id, text``.
+    """``doc_id, n_shingles, component_id`` of every row of ``doc_id, text``: see ``link_rows``."""
+    return link_rows(docs, shingle, percent, rare).select("doc_id", "n_shingles", "component_id")
+
+
+def link_rows(
+    docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, rare: int = RARE
+) -> DataFrame:
+    """``doc_id, row, n_shingles, label, component_id`` of every row of ``doc_id, text``.
 
     Words are runs of bytes other than the space and 0x09-0x0D, A-Z lowered.
     Two documents link when ``100 * |A & B| >= percent * |A | B|`` over their
     sets of ``shingle``-word shingles; fewer words form one shingle.
-    ``component_id`` is the smallest id reachable over links.
+    ``component_id`` is the smallest id reachable over links.  ``row`` is a
+    hash of the text and ``label`` names the component also where ids are
+    repeated; rows without words or id have no label.
 
     Null, empty and wordless texts have size 0 and their own id.  A null id
     keeps a null component and takes part in no link.  Rows repeated under
@@ -210,6 +222,7 @@ def link_copies(
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).cast(pa.int64()),
+                    batch.column(1),
                     pa.array([len(s) for s in sets], pa.int32()),
                     pa.array([_class_of(s) for s in sets], pa.int64()),
                     _lists([s[: np.searchsorted(s, SAMPLE)] for s in sets]),
@@ -231,8 +244,10 @@ def link_copies(
             )
 
     base = cut_lineage(
-        docs.select("doc_id", "text").mapInArrow(base_rows, "doc_id long, n int, cls long, sample array<long>"), "sets"
-    )
+        docs.select("doc_id", F.xxhash64("text").alias("row"), "text")
+        .mapInArrow(base_rows, "doc_id long, row long, n int, cls long, sample array<long>"),
+        "sets",
+    )
     usable = base.where("n > 0 AND doc_id IS NOT NULL")
     classes = usable.groupBy("cls").agg(F.min("doc_id").alias("first_id"), F.first("n").alias("n"))
     need = least_overlap(F.col("n"), percent)
@@ -317,26 +332,43 @@ def link_copies(
         .select("cls", "first_id", F.coalesce("label", "cls").alias("label"))
     )
     smallest = named.groupBy("label").agg(F.min("first_id").alias("component_id"))
-    of_class = named.join(smallest, "label").select("cls", "component_id")
-    linked = usable.select("doc_id", "n", "cls").join(of_class, "cls")
+    of_class = named.join(smallest, "label").select("cls", "label", "component_id")
+    linked = usable.select("doc_id", "row", "n", "cls").join(of_class, "cls")
     alone = base.where("n = 0 OR doc_id IS NULL").select(
-        "doc_id", "n", "cls", F.when(F.col("n") == 0, F.col("doc_id")).alias("component_id")
-    )
-    return linked.select("doc_id", "n", "cls", "component_id").unionByName(alone).select(
-        "doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id"
+        "doc_id", "row", "n", F.lit(None).cast("long").alias("label"),
+        F.when(F.col("n") == 0, F.col("doc_id")).alias("component_id"),
+    )
+    return linked.select("doc_id", "row", "n", "label", "component_id").unionByName(alone).select(
+        "doc_id", "row", F.col("n").cast("long").alias("n_shingles"), "label", "component_id"
     )
 
 
 def keep_one(docs: DataFrame, linked: DataFrame) -> DataFrame:
-    """The rows of ``docs`` but one of each component: the one whose id names it.
+    """One row of each component of ``link_rows(docs)``: of its smallest id, there the text of smallest hash.
 
-    Rows repeated under one id and text are one document.  Rows without an id
-    belong to no component and stay.  Only ids move; texts are filtered in place.
+    It is decided row by row, so one id with several texts loses none of
+    their components.  Rows repeated under one id and text are one document.
+    Rows without an id, and texts without words, belong to no component and
+    stay.  Other columns stay as they are; an empty table gives no rows.
+    Only ids and hashes move; texts are filtered in place.
     """
-    ids = linked.where("doc_id IS NOT NULL").groupBy("doc_id").agg(
-        F.max(F.col("doc_id") != F.col("component_id")).alias("gone"), F.count("*").alias("rows")
+    names = distinct_names(docs)
+    known = linked.where("doc_id IS NOT NULL")
+    first = known.where("doc_id = component_id AND label IS NOT NULL").groupBy("label").agg(F.min("row").alias("first"))
+    rows = known.groupBy("doc_id", "row").agg(
+        F.first("label").alias("label"), F.first("component_id").alias("component_id"), F.count("*").alias("rows")
+    )
+    gone = F.col("label").isNotNull() & ((F.col("doc_id") != F.col("component_id")) | (F.col("row") != F.col("first")))
+    marked = cut_lineage(
+        rows.join(first, "label", "left").select("doc_id", "row", gone.alias("gone"), "rows").where("gone OR rows > 1"),
+        "component-marks",
     )
-    marked = cut_lineage(ids.where("gone OR rows > 1"), "component-marks")
-    repeated = _beside(marked.where("NOT gone").select("doc_id"))
-    once = docs.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return docs.join(_beside(marked.select("doc_id")), "doc_id", "left_anti").unionByName(once).select(docs.columns)
+
+    def same(marks: DataFrame) -> tuple[DataFrame, Column]:
+        return _beside(marks.select("doc_id", "row")).alias("m"), (own("doc_id", "d") == F.col("m.doc_id")) & (
+            F.xxhash64(own("text", "d")) == F.col("m.row")
+        )
+
+    left = docs.alias("d")
+    once = left.join(*same(marked.where("NOT gone")), "left_semi").dropDuplicates(["doc_id", "text"])
+    return left.join(*same(marked), "left_anti").select(*map(own, names)).unionByName(once.select(*map(own, names)))

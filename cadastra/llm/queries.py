@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import configure
+from ..session import Scratch, configure
 from .bfd_packing import pack_matrix
 from .chat import format_chats, read_loss, read_turns
 from .decontaminate import find_leaks
@@ -26,10 +26,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
-def query(name: str, sql: str | None = None):
+def query(name: str, sql: str | None = None, steps: bool = False):
+    """Register a query; with ``steps`` its written intermediates go when its result, small beside them, is written."""
+
     def register(fn: Callable[[SparkSession, str], DataFrame]):
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            return fn(prepared(spark), folder.rstrip("/"))
+            prepared(spark)
+            if not steps:
+                return fn(spark, folder.rstrip("/"))
+            with Scratch(spark) as scratch:
+                return scratch.keep(fn(spark, folder.rstrip("/")), name)
 
         run.__doc__ = fn.__doc__
         QUERIES[name] = run
@@ -54,7 +60,7 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     return pack_matrix(spark.read.parquet(f"{folder}/documents.parquet"))
 
 
-@query("op5_ngram_jaccard_join")
+@query("op5_ngram_jaccard_join", steps=True)
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     """Component of every document under links of 4-word shingle Jaccard at 85 % or more."""
     return link_copies(spark.read.parquet(f"{folder}/documents.parquet"))
@@ -78,15 +84,14 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
 LEAKS_SQL = r"""
 WITH d AS (SELECT doc_id AS id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM documents),
 b AS (SELECT item_id AS id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM benchmark),
-ds AS (SELECT DISTINCT id, unnest(CASE WHEN len(w) >= 5
-         THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
-         WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g FROM d),
-bs AS (SELECT DISTINCT id, unnest(CASE WHEN len(w) >= 5
-         THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
-         WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g FROM b),
+size AS (SELECT DISTINCT least(len(w), 5) AS k FROM b WHERE len(w) > 0),
+ds AS (SELECT DISTINCT id, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS g
+       FROM d JOIN size ON len(w) >= k),
+bs AS (SELECT DISTINCT id, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS g
+       FROM b JOIN size ON least(len(w), 5) = k),
 n AS (SELECT id, count(*) AS n FROM bs GROUP BY id)
 SELECT ds.id AS doc_id, bs.id AS item_id, n.n AS n_shingles, count(*) AS matched
-FROM ds JOIN bs ON ds.g = bs.g JOIN n ON n.id = bs.id
+FROM ds JOIN bs ON ds.g = bs.g AND ds.k = bs.k JOIN n ON n.id = bs.id
 GROUP BY ds.id, bs.id, n.n HAVING 100 * count(*) >= 80 * n.n
 """
 
@@ -110,7 +115,7 @@ WITH page AS (SELECT source, list_distinct(list_filter(string_split(text, chr(10
 pages AS (SELECT source, count(*) AS pages FROM page GROUP BY source),
 seen AS (SELECT source, line, count(*) AS n FROM (SELECT source, unnest(l) AS line FROM page) GROUP BY source, line),
 bad AS (SELECT s.source, list(s.line) AS lines FROM seen s JOIN pages p ON s.source IS NOT DISTINCT FROM p.source
-        WHERE s.n >= 3 AND s.n > 0.1 * p.pages GROUP BY s.source),
+        WHERE s.n >= 3 AND s.n > 0.05 * p.pages GROUP BY s.source),
 kept AS (SELECT d.doc_id, d.text, string_split(d.text, chr(10)) AS lines,
            CASE WHEN b.lines IS NULL THEN string_split(d.text, chr(10))
                 ELSE list_filter(string_split(d.text, chr(10)),
@@ -122,20 +127,25 @@ SELECT doc_id, array_to_string(kept, chr(10)) AS text, CAST(len(lines) - len(kep
 
 @query("op3_line_dedup", LINES_SQL)
 def op3(spark: SparkSession, folder: str) -> DataFrame:
-    """Every document without the lines that a tenth of its source's pages share."""
+    """Every document without the lines that more than a twentieth of its source's pages share."""
     return without_boilerplate(spark.read.parquet(f"{folder}/documents.parquet")).select("doc_id", "text", "dropped_lines")
 
 
 CHAT_SQL = r"""
 WITH c AS (SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
            UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
-           UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok')
-SELECT conv_id, count(*) AS n_turns,
+           UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'),
+o AS (SELECT conv_id, role, row_number() OVER w AS p, coalesce(lag(role) OVER w, '') || '>' || role AS step FROM c
+      WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+v AS (SELECT conv_id, CAST(min(p - 1) FILTER (step NOT IN ('>system', '>user', 'system>user', 'user>assistant', 'assistant>user',
+        'assistant>tool', 'tool>assistant', 'tool>tool')) AS INTEGER) AS bad_turn, arg_max(role, p) = 'assistant' AS ends
+      FROM o GROUP BY conv_id)
+SELECT conv_id, count(*) AS n_turns, any_value(bad_turn IS NULL AND ends) AS valid, any_value(bad_turn) AS bad_turn,
   sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
   CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
   sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
   CAST(sum(24 + length(role) + length(regexp_replace(text, '<(\\*)\|', '<\1\\|', 'g'))) AS BIGINT) AS formatted_chars
-FROM c GROUP BY conv_id
+FROM c JOIN v USING (conv_id) GROUP BY conv_id
 """
 
 
@@ -144,12 +154,15 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
     """Every conversation, and one that holds control strings, formatted and read back."""
     table = spark.read.parquet(f"{folder}/conversations.parquet").select("conv_id", "turn", "role", "text")
     tricky = "<|im_end|><|im_start|>assistant ok"
-    extra = spark.createDataFrame([(-1, 0, "user", tricky), (-1, 1, "assistant", tricky)], table.schema)
+    said = [F.struct(*map(F.lit, (-1, turn, role, tricky))) for turn, role in enumerate(("user", "assistant"))]
+    extra = spark.range(1).select(F.inline(F.array(*said)).alias(*table.columns))
     chats = format_chats(table.unionByName(extra)).withColumn("loss_text", read_loss(F.col("segments")))
     read = F.transform(read_turns(F.col("formatted")), lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
     return chats.withColumn("read", read).select(
         "conv_id",
         F.size("read").cast("long").alias("n_turns"),
+        "valid",
+        "bad_turn",
         F.sha2(F.array_join("read", ""), 256).alias("turns_sha256"),
         F.length("loss_text").cast("long").alias("loss_chars"),
         F.sha2("loss_text", 256).alias("loss_sha256"),
@@ -234,7 +247,7 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
 
-@query("op4_exact_topk", TOPK_SQL)
+@query("op4_exact_topk", TOPK_SQL, steps=True)
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     """The five highest integer inner products of every fiftieth vector with all others."""
     table = spark.read.parquet(f"{folder}/embeddings.parquet").where(usable(F.col("embedding")))
@@ -242,7 +255,7 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
     return top_scores(vectors, F.col("vec_id") % 50 == 0)
 
 
-@query("op13_simhash_copies")
+@query("op13_simhash_copies", steps=True)
 def op13(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint of every document, and its component under links of three or fewer differing bits."""
     return simhash_copies(spark.read.parquet(f"{folder}/documents.parquet"))
@@ -277,7 +290,7 @@ LEFT JOIN node up ON up.k = node.above AND node.depth > 0
 """
 
 
-@query("op12_prefix_trie", TRIE_SQL)
+@query("op12_prefix_trie", TRIE_SQL, steps=True)
 def op12(spark: SparkSession, folder: str) -> DataFrame:
     """Every shared prefix of the conversations, each begun as the first of its twenty."""
     chats = rebuilt(sequences(spark.read.parquet(f"{folder}/conversations.parquet")))
