@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .hold import hold
+from .rings import AS_IS, REPAIRED, from_numbers, subdivided
 
 GEOMETRY = "array<array<struct<x:double,y:double>>>"
 
@@ -109,7 +110,7 @@ def drop_repeats(ring: Column) -> Column:
 
 
 def _clean(rings: Column) -> Column:
-    return F.filter(F.transform(rings, drop_repeats), lambda r: (F.size(r) >= 4) & (ring_area(r) != 0))
+    return F.filter(F.transform(rings, drop_repeats), lambda r: F.size(r) >= 4)
 
 
 def _orient(cleaned: Column) -> Column:
@@ -125,13 +126,27 @@ def _orient(cleaned: Column) -> Column:
 
 
 def with_repaired(df: DataFrame, rings: str, out: str) -> DataFrame:
-    """Add valid rings: repeated points dropped, rings closed, collapsed rings dropped, orientation set.
-
-    A ring is a hole when its first point lies in an odd number of the other
-    rings.  NULL when nothing is left: such rows are rejects.
+    """Add valid rings: the area is what lies inside an odd number of the given rings.
+
+    Repeated points are dropped, rings closed, collapsed rings dropped and
+    orientation set.  Rings that touch, overlap or cross, each other or
+    themselves, are cut where they meet and put together anew (``rings``);
+    all others keep their points, and one is a hole when its first point lies
+    in an odd number of the rest.  NULL when no area is left, a coordinate is
+    missing or not finite: such rows are rejects (``repair_rejects``).
     """
-    cleaned = df.withColumn("_cleaned", hold(_clean(F.col(rings))))
-    return cleaned.withColumn(out, hold(_orient(F.col("_cleaned")))).drop("_cleaned")
+    known = F.forall(F.flatten(F.col(rings)), lambda p: p["x"].isNotNull() & p["y"].isNotNull())
+    cleaned = df.withColumn("_cleaned", hold(F.when(known, _clean(F.col(rings)))))
+    plain = F.coalesce((F.size("_cleaned") == 0) | is_box("_cleaned"), F.lit(True))
+    parted = cleaned.withColumn("_parted", subdivided(F.col("_cleaned"), plain))
+    kind = F.col("_parted.kind")
+    anew = F.when(kind == REPAIRED, from_numbers(F.col("_parted.numbers"), F.col("_parted.sizes")))
+    return parted.withColumn(out, hold(F.when(kind == AS_IS, _orient(F.col("_cleaned"))).otherwise(anew))).drop("_cleaned", "_parted")
+
+
+def repair_rejects(repaired: DataFrame, rings: str, out: str) -> DataFrame:
+    """The rows of ``with_repaired`` that had rings and could not be repaired."""
+    return repaired.filter(F.col(rings).isNotNull() & F.col(out).isNull())
 
 
 # ---------------------------------------------------------------- measures
@@ -147,7 +162,7 @@ def _sum(values: Column) -> Column:
 
 def ring_area(ring: Column) -> Column:
     """Signed shoelace area, taken relative to the first point for precision."""
-    origin = ring[0]
+    origin = F.get(ring, F.lit(0))
 
     def cross(a: Column, b: Column) -> Column:
         return (a["x"] - origin["x"]) * (b["y"] - origin["y"]) - (b["x"] - origin["x"]) * (a["y"] - origin["y"])
@@ -426,7 +441,8 @@ def is_box(rings: Column | str) -> Column:
         F.flatten(rings),
         lambda p: ((p["x"] == box["xmin"]) | (p["x"] == box["xmax"])) & ((p["y"] == box["ymin"]) | (p["y"] == box["ymax"])),
     )
-    return (F.size(rings) == 1) & (F.size(rings[0]) == 5) & corners & (full > 0)
+    first = F.get(rings, F.lit(0))
+    return (F.size(rings) == 1) & (F.size(first) == 5) & corners & (full > 0) & (F.abs(ring_area(first)) > full / 2)
 
 
 # ---------------------------------------------------------------- joins

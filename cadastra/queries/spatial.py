@@ -270,3 +270,50 @@ def ranked_values_inside(t: Tables):
 def sub_areas_in_region(t: Tables):
     blocks = areas(t).select((F.col("s_suppkey") % 50).alias("block"), F.col("area_geometry").alias("geometry"))
     return analytics.sub_areas(blocks, _wide_area(t), 50.0, ["block"])
+
+
+@query(
+    "ring_repair",
+    """
+    WITH p AS (SELECT p_partkey, p_partkey % 6 AS kind, 10 + p_size % 7 AS a, 1 + p_partkey % 5 AS h, 2 + p_size % 3 AS k FROM part)
+    SELECT p_partkey, kind = 3 AS rejected, CASE kind
+        WHEN 0 THEN round(a * a - 10.5::DOUBLE, 6)
+        WHEN 1 THEN round(a * (h * h + k * k) / (2.0::DOUBLE * (h + k)), 6)
+        WHEN 2 THEN round(2.0::DOUBLE * a * a - 2 * (a - h) * (a - h), 6)
+        WHEN 4 THEN round(a * a - 6.0::DOUBLE, 6)
+        WHEN 5 THEN round(a * a - 1.0::DOUBLE, 6) END AS area,
+      CASE kind WHEN 3 THEN NULL WHEN 4 THEN 1 ELSE 2 END AS n_rings,
+      CASE kind WHEN 0 THEN 1 WHEN 1 THEN 0 WHEN 2 THEN 0 WHEN 4 THEN 0 WHEN 5 THEN 1 END AS n_holes
+    FROM p
+    """,
+)
+def ring_repair(t: Tables):
+    """Holes touching a corner (0) or a border (4), ring crossing itself (1), overlapping parts (2), a line (3), a plain hole (5)."""
+    a, h, k = 10 + F.col("p_size") % 7, 1 + F.col("p_partkey") % 5, 2 + F.col("p_size") % 3
+    x, y = (F.col("p_partkey") % 1000) / 7, F.col("p_size") / 3
+
+    def ring(*points) -> Column:
+        at = [F.struct((x + px).cast("double").alias("x"), (y + py).cast("double").alias("y")) for px, py in points]
+        return F.array(*at, at[0])
+
+    zero = F.lit(0)
+    square = ring((zero, zero), (a, zero), (a, a), (zero, a))
+    shapes = [
+        F.array(square, ring((a, a), (a - 2, a - 5), (a - 5, a - 2))),
+        F.array(ring((zero, zero), (a, h), (a, zero), (zero, k))),
+        F.array(ring((h, h), (h, a + h), (a + h, a + h), (a + h, h)), square),
+        F.array(ring((zero, zero), (a, h), (2 * a, 2 * h))),
+        F.array(square, ring((zero, zero + 2), (zero + 3, zero + 2), (zero + 3, zero + 4), (zero, zero + 4))),
+        F.array(ring((zero + 2, zero + 2), (zero + 3, zero + 2), (zero + 3, zero + 3), (zero + 2, zero + 3)), square),
+    ]
+    kind = F.col("p_partkey") % 6
+    given = F.coalesce(*(F.when(kind == i, g) for i, g in enumerate(shapes)))
+    fixed = sp.with_repaired(t.part.select("p_partkey", given.alias("given")), "given", "fixed")
+    rejects = sp.repair_rejects(fixed, "given", "fixed").select("p_partkey", F.lit(True).alias("rejected"))
+    whole = fixed.join(rejects, "p_partkey", "left")
+    return whole.select(
+        "p_partkey", F.coalesce("rejected", F.lit(False)).alias("rejected"),
+        F.when(F.col("fixed").isNotNull(), F.round(sp.planar_area("fixed"), 6)).alias("area"),
+        F.when(F.col("fixed").isNotNull(), F.size("fixed")).alias("n_rings"),
+        F.when(F.col("fixed").isNotNull(), F.size(F.filter("fixed", lambda r: sp.ring_area(r) < 0))).alias("n_holes"),
+    )
