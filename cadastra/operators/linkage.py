@@ -3,10 +3,10 @@
 Similarity is ``1 - levenshtein / longer length``; as a percentage it is
 rounded to an integer and the cost of a pair is 100 minus it.
 
-A block may hold a third of all names, so a block is never compared in one
-task: both sides are cut into bounded chunks and every pair of chunks is its
-own unit of work, spread by the shuffle.  Inside a unit only the best choice
-per name, or the pairs near enough, leave the task.
+A block may hold a third of all names, so the pairs of a block are never formed.
+Texts few edits apart share an unchanged piece at nearly the same place: choices
+are indexed by their pieces, and an equality join on block, lengths, place and
+piece finds the pairs worth comparing.
 """
 
 from __future__ import annotations
@@ -22,7 +22,6 @@ from ..session import Scratch, cut_lineage
 from .keys import keep_first, keep_top, small_id
 from .quality import repeated_keys
 
-CHUNK = 400
 # Cost of leaving a name without partner, and the highest cost of a pair.
 UNMATCHED_COST = 100
 MAX_COST = 20
@@ -37,28 +36,84 @@ def pair_cost(a: Column, b: Column) -> Column:
     return (F.lit(100) - F.round(similarity(a, b) * 100).cast("int")).cast("int")
 
 
-def _chunk_grid(names: DataFrame, choices: DataFrame, block: Sequence[str], chunk: int) -> DataFrame:
-    """One row per pair of chunks: (block, names array, choices array).
+# ------------------------------------------------------------ pieces
 
-    Inputs have columns (block..., ``_name``) and (block..., ``_choice``), distinct.
+Bound = tuple[int, int]
+"""Edits allowed, as a share of the longer length: numerator and denominator."""
+
+
+def _edits(length: Column, bound: Bound) -> Column:
+    return F.floor(length * bound[0] / bound[1]).cast("int")
+
+
+def _longest_partner(length: Column, bound: Bound) -> Column:
+    """No text longer than this is within the bound of one of this length."""
+    return F.floor((length + 1) * bound[1] / (bound[1] - bound[0])).cast("int")
+
+
+def _cut(length: Column, pieces: Column, k: Column) -> Column:
+    """Where the k-th of so many even pieces begins."""
+    return F.floor(k * length / pieces).cast("int")
+
+
+def _indexed(choices: DataFrame, block: list[str], bound: Bound) -> DataFrame:
+    """Each choice cut into one piece more than edits are allowed, for every number of edits a partner may bring."""
+    length = F.length("_choice")
+    sized = choices.select(
+        *block, "_choice", length.alias("_len"),
+        F.explode(F.sequence(_edits(length, bound), _edits(_longest_partner(length, bound), bound))).alias("_d"),
+    )
+    numbered = sized.select("*", F.explode(F.sequence(F.lit(0), F.col("_d"))).alias("_k"))
+    start, end = (_cut(F.col("_len"), F.col("_d") + 1, F.col("_k") + i) for i in (0, 1))
+    return numbered.select(*block, "_len", "_d", "_k", F.substring("_choice", start + 1, end - start).alias("_piece"), "_choice")
+
+
+def _probes(names: DataFrame, block: list[str], bound: Bound) -> DataFrame:
+    """The parts of each name that a piece of a near choice can be equal to.
+
+    If two texts are ``d`` edits apart and one is cut into ``d + 1`` pieces,
+    some piece ``k`` is unchanged, with at most ``k`` edits before and
+    ``d - k`` after it; that bounds where it can stand in the other text.
     """
-    block = list(block)
-    parts = (
-        names.groupBy(*block)
-        .agg(F.ceil(F.count(F.lit(1)) / chunk).cast("int").alias("_nparts"))
-        .join(choices.groupBy(*block).agg(F.ceil(F.count(F.lit(1)) / chunk).cast("int").alias("_cparts")), block)
-    )
+    length = F.length("_name")
+    least = F.greatest(length - _edits(length, bound), F.lit(0))
+    sized = names.select(
+        *block, "_name", length.alias("_own"), F.explode(F.sequence(least, _longest_partner(length, bound))).alias("_len")
+    ).withColumn("_d", _edits(F.greatest("_own", "_len"), bound))
+    fitting = sized.filter(F.abs(F.col("_own") - F.col("_len")) <= F.col("_d"))
+    numbered = fitting.select("*", F.explode(F.sequence(F.lit(0), F.col("_d"))).alias("_k"))
+    start, end = (_cut(F.col("_len"), F.col("_d") + 1, F.col("_k") + i) for i in (0, 1))
+    shift, after = F.col("_own") - F.col("_len"), F.col("_d") - F.col("_k")
+    placed = numbered.select(
+        "*", (end - start).alias("_size"),
+        F.greatest(start - F.col("_k"), start + shift - after, F.lit(0)).alias("_from"),
+        F.least(start + F.col("_k"), start + shift + after, F.col("_own") - (end - start)).alias("_to"),
+    ).filter("_from <= _to")
+    return placed.select(
+        *block, "_len", "_d", "_k", F.explode(F.sequence("_from", "_to")).alias("_at"), "_size", "_name"
+    ).select(*block, "_len", "_d", "_k", F.expr("substring(_name, _at + 1, _size)").alias("_piece"), "_name")
+
+
+def _pairs_within(names: DataFrame, choices: DataFrame, block: list[str], bound: Bound) -> DataFrame:
+    """Pairs of a block among which are all within the bound; a pair may come once a common piece.
+
+    The share of edits must not pass two fifths, so that every piece of a
+    near choice holds a letter.
+    """
+    keys = [*block, "_len", "_d", "_k", "_piece"]
+    return _probes(names, block, bound).join(_indexed(choices, block, bound), keys).select(*block, "_name", "_choice")
 
-    def chunks(df: DataFrame, value: str, own: str, other: str, own_id: str, other_id: str) -> DataFrame:
-        placed = df.join(parts, block).withColumn(own_id, F.pmod(F.xxhash64(value), F.col(own)).cast("int"))
-        grouped = placed.groupBy(*block, own_id).agg(
-            F.collect_list(value).alias(f"{value}s"), F.first(other).alias("_other")
-        )
-        return grouped.withColumn(other_id, F.explode(F.sequence(F.lit(0), F.col("_other") - 1))).drop("_other")
 
-    left = chunks(names, "_name", "_nparts", "_cparts", "_np", "_cp")
-    right = chunks(choices, "_choice", "_cparts", "_nparts", "_cp", "_np")
-    return left.join(right, [*block, "_np", "_cp"])
+def _distinct_sides(
+    names: DataFrame, choices: DataFrame, block: list[str], name: str, choice: str
+) -> tuple[DataFrame, DataFrame]:
+    left = names.select(*block, F.col(name).alias("_name")).filter(F.col("_name").isNotNull()).distinct()
+    right = choices.select(*block, F.col(choice).alias("_choice")).filter(F.col("_choice").isNotNull()).distinct()
+    return left, right
+
+
+def _letters(df: DataFrame, value: str) -> DataFrame:
+    return df.withColumn("_letter", F.explode(F.array_distinct(F.split(value, ""))))
 
 
 def best_match(
@@ -68,38 +123,49 @@ def best_match(
     name: str,
     choice: str,
     min_score: float = 0.0,
-    chunk: int = CHUNK,
+    bounds: Sequence[Bound] = ((1, 5), (2, 5)),
 ) -> DataFrame:
     """The most similar choice of its block for every distinct name.
 
-    An equal choice needs no comparison; of equally similar choices the first
-    in text order wins.  Names whose block has no choice (or none reaching
-    ``min_score``) get no row.
+    Of equally similar choices the first in text order wins.  Names whose
+    block has no choice (or none reaching ``min_score``) get no row.
+
+    The bound is raised step by step: an equal choice needs no comparison;
+    then a name is compared with the choices that share a piece within the
+    bound, and is settled if the best one lies within it.  What is still open
+    meets the choices it shares a letter with; all others have similarity
+    zero, of which the first in text order will do.
     """
     block = list(block)
-    left = names.select(*block, F.col(name).alias("_name")).filter(F.col("_name").isNotNull()).distinct()
-    right = choices.select(*block, F.col(choice).alias("_choice")).filter(F.col("_choice").isNotNull()).distinct()
+    left, right = _distinct_sides(names, choices, block, name, choice)
     same = right.withColumnRenamed("_choice", "_name")
     equal = left.join(same, [*block, "_name"], "left_semi").select(
         *block, F.col("_name").alias(name), F.col("_name").alias(choice), F.lit(1.0).alias("score")
     )
-    rest = left.join(same, [*block, "_name"], "left_anti")
-    grid = _chunk_grid(rest, right, block, chunk).withColumn("_name", F.explode("_names"))
-    scored = F.transform(
-        "_choices", lambda c: F.struct((-similarity(F.col("_name"), c)).alias("s"), c.alias("c"))
-    )
-    best = grid.select(*block, "_name", F.array_min(scored).alias("_best"))
-    found = (
-        best.groupBy(*block, "_name")
-        .agg(F.min("_best").alias("_best"))
-        .select(
-            *block,
-            F.col("_name").alias(name),
-            F.col("_best.c").alias(choice),
-            (-F.col("_best.s")).alias("score"),
+    open_names = left.join(same, [*block, "_name"], "left_anti")
+    found = []
+
+    def best_of(pairs: DataFrame) -> DataFrame:
+        scored = F.struct((-similarity(F.col("_name"), F.col("_choice"))).alias("s"), F.col("_choice").alias("c"))
+        return pairs.groupBy(*block, "_name").agg(F.min(scored).alias("_best"))
+
+    for bound in bounds:
+        best = cut_lineage(best_of(_pairs_within(open_names, right, block, bound)), "best-within")
+        edits = F.levenshtein("_name", F.col("_best.c")) * bound[1]
+        settled = best.filter(edits <= F.greatest(F.length("_name"), F.length("_best.c")) * bound[0])
+        found.append(settled)
+        open_names = cut_lineage(open_names.join(settled, [*block, "_name"], "left_anti"), "open-names")
+    shared = _letters(open_names, "_name").join(_letters(right, "_choice"), [*block, "_letter"])
+    nothing = F.struct((-F.lit(0.0)).alias("s"), F.col("_choice").alias("c"))
+    first = open_names.join(right.groupBy(*block).agg(F.min("_choice").alias("_choice")), block)
+    last = best_of(shared.select(*block, "_name", "_choice")).unionByName(first.select(*block, "_name", nothing.alias("_best")))
+    found.append(last.groupBy(*block, "_name").agg(F.min("_best").alias("_best")))
+    out = equal
+    for part in found:
+        out = out.unionByName(
+            part.select(*block, F.col("_name").alias(name), F.col("_best.c").alias(choice), (-F.col("_best.s")).alias("score"))
         )
-    )
-    return equal.unionByName(found).filter(F.col("score") >= min_score)
+    return out.filter(F.col("score") >= min_score)
 
 
 def near_pairs(
@@ -109,25 +175,16 @@ def near_pairs(
     name: str,
     choice: str,
     max_cost: int = MAX_COST,
-    chunk: int = CHUNK,
 ) -> DataFrame:
-    """Every pair of a block whose cost is at most ``max_cost``."""
+    """Every pair of a block whose cost is at most ``max_cost`` (40 at most), found through common pieces."""
+    if not 0 <= max_cost < 40:
+        raise ValueError("a cost below 40")
     block = list(block)
-    left = names.select(*block, F.col(name).alias("_name")).filter(F.col("_name").isNotNull()).distinct()
-    right = choices.select(*block, F.col(choice).alias("_choice")).filter(F.col("_choice").isNotNull()).distinct()
-    grid = _chunk_grid(left, right, block, chunk).withColumn("_name", F.explode("_names"))
-
-    def close_in_length(c: Column) -> Column:
-        short = F.least(F.length(c), F.length("_name"))
-        long = F.greatest(F.length(c), F.length("_name"))
-        return short * 200 >= long * (199 - 2 * max_cost)
-
-    alike = F.filter("_choices", close_in_length)
-    priced = F.transform(alike, lambda c: F.struct(c.alias("c"), pair_cost(F.col("_name"), c).alias("cost")))
-    near = F.filter(priced, lambda p: p["cost"] <= max_cost)
-    return grid.select(*block, "_name", F.explode(near).alias("_p")).select(
-        *block, F.col("_name").alias(name), F.col("_p.c").alias(choice), F.col("_p.cost").alias("cost")
-    )
+    left, right = _distinct_sides(names, choices, block, name, choice)
+    # A rounded cost of c stands for up to c + 1/2 percent of edits.
+    pairs = _pairs_within(left, right, block, (2 * max_cost + 1, 200))
+    priced = pairs.withColumn("cost", pair_cost(F.col("_name"), F.col("_choice"))).filter(F.col("cost") <= max_cost)
+    return priced.distinct().select(*block, F.col("_name").alias(name), F.col("_choice").alias(choice), "cost")
 
 
 def repeated_names(df: DataFrame, block: Sequence[str], name: str) -> DataFrame:

@@ -194,38 +194,28 @@ def _repaired_row(numbers: np.ndarray, sizes: np.ndarray) -> dict:
     try:
         out = arrange(rings)
     except ValueError:
-        return {"numbers": [], "sizes": [], "kind": BROKEN}
+        return {"xs": [], "ys": [], "kind": BROKEN}
     if out is None:
-        return {"numbers": [], "sizes": [], "kind": AS_IS}
+        return {"xs": [], "ys": [], "kind": AS_IS}
     closed = [np.vstack([r, r[:1]]) for r in out]
-    return {"numbers": np.concatenate(closed).ravel(), "sizes": [len(r) for r in closed], "kind": REPAIRED}
+    return {"xs": [r[:, 0] for r in closed], "ys": [r[:, 1] for r in closed], "kind": REPAIRED}
 
 
 def subdivided(rings: Column, plain: Column) -> Column:
-    """``numbers, sizes, kind`` of closed rings: their repaired form as flat numbers; shapes known to be ``plain`` are left out."""
+    """``xs, ys, kind`` of closed rings: coordinates of their repaired form; shapes known to be ``plain`` are left out."""
 
-    @F.pandas_udf("numbers array<double>, sizes array<int>, kind int")
+    @F.pandas_udf("xs array<array<double>>, ys array<array<double>>, kind int")
     def repair(numbers: pd.Series, sizes: pd.Series) -> pd.DataFrame:
-        nothing = {"numbers": [], "sizes": [], "kind": AS_IS}
+        nothing = {"xs": [], "ys": [], "kind": AS_IS}
         rows = [nothing if x is None else _repaired_row(np.asarray(x, dtype=float), np.asarray(n)) for x, n in zip(numbers, sizes)]
-        return pd.DataFrame(rows, columns=["numbers", "sizes", "kind"])
+        return pd.DataFrame(rows, columns=["xs", "ys", "kind"])
 
     flat = F.flatten(F.transform(F.flatten(rings), lambda p: F.array(p["x"], p["y"])))
     counts = F.transform(rings, lambda r: F.size(r))
     return repair.asNondeterministic()(F.when(~plain, flat), F.when(~plain, counts))
 
 
-def from_numbers(numbers: Column, sizes: Column) -> Column:
-    """Rings of flat coordinates x, y, x, y, ... and the points of each ring."""
-    ends = F.aggregate(
-        sizes, F.array(F.lit(0)), lambda done, n: F.concat(done, F.array(F.element_at(done, -1) + n))
-    )
-
-    def ring(size: Column, i: Column) -> Column:
-        own = F.slice(numbers, 2 * F.get(ends, i) + 1, 2 * size)
-        return F.transform(
-            F.sequence(F.lit(0), size - 1),
-            lambda k: F.struct(F.get(own, 2 * k).alias("x"), F.get(own, 2 * k + 1).alias("y")),
-        )
-
-    return F.transform(sizes, ring)
+def from_coordinates(xs: Column, ys: Column) -> Column:
+    """Rings of the coordinates of each ring."""
+    point = lambda x, y: F.struct(x.alias("x"), y.alias("y"))
+    return F.zip_with(xs, ys, lambda x, y: F.zip_with(x, y, point))

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .hold import hold
-from .rings import AS_IS, REPAIRED, from_numbers, subdivided
+from .rings import AS_IS, REPAIRED, from_coordinates, subdivided
 
 GEOMETRY = "array<array<struct<x:double,y:double>>>"
 
@@ -140,7 +140,7 @@ def with_repaired(df: DataFrame, rings: str, out: str) -> DataFrame:
     plain = F.coalesce((F.size("_cleaned") == 0) | is_box("_cleaned"), F.lit(True))
     parted = cleaned.withColumn("_parted", subdivided(F.col("_cleaned"), plain))
     kind = F.col("_parted.kind")
-    anew = F.when(kind == REPAIRED, from_numbers(F.col("_parted.numbers"), F.col("_parted.sizes")))
+    anew = F.when(kind == REPAIRED, from_coordinates(F.col("_parted.xs"), F.col("_parted.ys")))
     return parted.withColumn(out, hold(F.when(kind == AS_IS, _orient(F.col("_cleaned"))).otherwise(anew))).drop("_cleaned", "_parted")
 
 

@@ -287,16 +287,53 @@ def frames(spark):
     return names, choices
 
 
-@pytest.mark.parametrize("chunk", [400, 2])
-def test_best_match(spark, chunk):
+@pytest.mark.parametrize("bounds", [((1, 5), (2, 5)), ()])
+def test_best_match(spark, bounds):
     names, choices = frames(spark)
-    got = {r.n: (r.c, round(r.score, 9)) for r in li.best_match(names, choices, ["b"], "n", "c", chunk=chunk).collect()}
+    got = {r.n: (r.c, round(r.score, 9)) for r in li.best_match(names, choices, ["b"], "n", "c", bounds=bounds).collect()}
     for n in NAMES:
         best = min((-(1 - lev(n, c) / max(len(n), len(c))), c) for c in CHOICES)
         assert got[n] == (best[1], round(-best[0], 9))
     assert set(got) == set(NAMES)
 
 
+def edited(rng, text, letters):
+    text = list(text)
+    for _ in range(rng.randrange(0, 5)):
+        at = rng.randrange(len(text) + 1)
+        kind = rng.randrange(3)
+        if kind == 0:
+            text.insert(at, rng.choice(letters))
+        elif text and at < len(text):
+            text[at : at + 1] = [] if kind == 1 else [rng.choice(letters)]
+    return "".join(text)
+
+
+@pytest.mark.parametrize("letters", ["ab", "abcdefgh "])
+def test_similarity_join_equals_all_pairs(spark, letters):
+    """A third of all names in one block, few letters, lengths from nothing up."""
+    rng = random.Random(len(letters))
+    texts = {"".join(rng.choice(letters) for _ in range(rng.randrange(0, 24))) for _ in range(120)}
+    sides = []
+    for _ in range(2):
+        rows = {(rng.choice(["hot", "hot", "a", "b", "c", "d"]), edited(rng, t, letters)) for t in texts for _ in range(2)}
+        sides.append(sorted(rows) + [("hot", None), (None, "abc")])
+    names, choices = spark.createDataFrame(sides[0], "b string, n string"), spark.createDataFrame(sides[1], "b string, c string")
+    both = [(b, n, c) for b, n in sides[0] for d, c in sides[1] if b == d and None not in (b, n, c)]
+    share = lambda n, c: 1 - lev(n, c) / max(len(n), len(c)) if n or c else 1.0
+    for limit in (0, 5, 20, 33):
+        pairs = li.near_pairs(names, choices, ["b"], "n", "c", limit)
+        want = sorted((b, n, c, p) for b, n, c in both if (p := 100 - int(share(n, c) * 100 + 0.5)) <= limit)
+        assert sorted(tuple(r) for r in pairs.collect()) == want and want
+    best = {}
+    for b, n, c in both:
+        best[b, n] = min(best.get((b, n), (9, "")), (-share(n, c), c))
+    got = {(r.b, r.n): (-r.score, r.c) for r in li.best_match(names, choices, ["b"], "n", "c").collect()}
+    assert {k: (round(s, 9), c) for k, (s, c) in got.items()} == {k: (round(s, 9), c) for k, (s, c) in best.items()}
+    with pytest.raises(ValueError):
+        li.near_pairs(names, choices, ["b"], "n", "c", 40)
+
+
 def cheapest(names, choices, limit=20):
     """Total of the best assignment by trying all."""
     options = [[c for c in choices if cost(n, c) <= limit] + [None] for n in names]
