@@ -1,4 +1,8 @@
-"""Connected components of a link table, by alternating star contractions on the cluster."""
+"""Connected components of a link table, by alternating star contractions on the cluster.
+
+Both sides of every join are already dealt by the join key, and a graph has no
+size bound, so sides are merged and never broadcast.
+"""
 
 from __future__ import annotations
 
@@ -12,14 +16,14 @@ def _large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node is tied to the node's smallest neighbour."""
     both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-    return both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return both.join(least.hint("merge"), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Every smaller neighbour of a node, and the node, are tied to its smallest neighbour."""
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u > v")
     least = down.groupBy("u").agg(F.min("v").alias("m"))
-    tied = down.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    tied = down.join(least.hint("merge"), "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return tied.unionByName(least.select("u", F.col("m").alias("v"))).where("u > v").distinct()
 
 
