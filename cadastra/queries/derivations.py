@@ -189,14 +189,15 @@ def _iso(name: str) -> str:
 def derive_identifiers(t: Tables):
     lv, b = land_value_row(t), ps_row_b(t)
     none = F.lit(None).cast("string")
-    old = b.filter(F.col("contract_date") < F.lit("1998-01-01").cast("date"))
+    # Every table holds rows of its own, so that none can be left out unseen.
+    first, second, third = (b.filter(F.col("position") % 3 == i) for i in range(3))
     parts = [
         dims.zones(lv, b).select(F.lit("zone").alias("kind"), F.col("zone_code").alias("code"), none.alias("name")),
         dims.primary_purposes(b).select(F.lit("purpose"), "primary_purpose", none),
-        dims.valuation_districts(lv, old, b, b).select(
+        dims.valuation_districts(lv, first, second, third).select(
             F.lit("district"), F.col("valuation_district_code").cast("string"), "valuation_district_name"
         ),
-        dims.properties(lv, b, old).select(F.lit("property"), F.col("property_id").cast("string"), none),
+        dims.properties(lv, first.unionByName(second), third).select(F.lit("property"), F.col("property_id").cast("string"), none),
     ]
     out = parts[0]
     for part in parts[1:]:
@@ -213,12 +214,15 @@ def derive_identifiers(t: Tables):
     FROM lv JOIN (SELECT source_file_name, min(source_date) AS p FROM lv GROUP BY 1) USING (source_file_name)
     UNION ALL
     SELECT 'byte', source_id, sha256(file_path), file_path, position, CAST(p AS VARCHAR)
-    FROM sale JOIN (SELECT file_path, CAST(min(date_provided) AS DATE) AS p FROM sale GROUP BY 1) USING (file_path)
+    FROM sale JOIN (SELECT file_path, CAST(min(date_provided) AS DATE) AS p FROM sale WHERE position % 6 < 2 GROUP BY 1) USING (file_path)
     """,
 )
 def derive_provenance(t: Tables):
+    """Sales dealt over the six kinds of records; the two kinds of headers date their file."""
     by_line = provenance.land_value_provenance(land_value_row(t))
-    by_byte = provenance.sale_provenance({"ps_row_a": ps_row_b(t)})
+    names = ["ps_row_a", "ps_row_a_legacy", "ps_row_b", "ps_row_b_legacy", "ps_row_c", "ps_row_d"]
+    sales = ps_row_b(t)
+    by_byte = provenance.sale_provenance({name: sales.filter(F.col("position") % 6 == i) for i, name in enumerate(names)})
     lines = by_line["source_file_line"].select(
         F.lit("line").alias("kind"), "source_id", "file_source_id", F.col("source_file_line").cast("bigint").alias("place")
     ).join(by_line["file_source"], "file_source_id")
@@ -444,9 +448,9 @@ def land_valuation_history(t: Tables):
     )
 
 
-# Orders before 1998 play the archive; a file is published on its first day.
+# All orders play the archive once more; a file is published on its first day.
 def _archive(t: Tables) -> tuple[DataFrame, DataFrame]:
-    rows = t.orders.filter("o_orderdate < DATE '1998-01-01'").select(
+    rows = t.orders.select(
         F.col("o_orderkey").alias("position"),
         F.concat(F.lit("old-"), (F.col("o_orderkey") % 16).cast("string")).alias("file_path"),
         F.when(F.col("o_orderkey") % 20 != 0, F.expr("CAST(o_custkey div 2 AS INT)")).alias("property_id"),
@@ -471,7 +475,7 @@ def _archive(t: Tables) -> tuple[DataFrame, DataFrame]:
     WITH {RAW}, old AS (
       SELECT sha256('old-' || (o_orderkey % 16) || '|' || o_orderkey) AS source_id, DATE '2000-01-01' + CAST((o_orderkey % 16) % 5 AS INTEGER) AS published,
         CAST(o_custkey // 2 AS INTEGER) AS property_id, CAST(o_orderdate AS DATE) AS effective_date, o_totalprice, o_custkey, o_orderkey
-      FROM orders WHERE o_orderdate < DATE '1998-01-01' AND o_orderkey % 20 <> 0),
+      FROM orders WHERE o_orderkey % 20 <> 0),
     kept AS (SELECT *, EXISTS (SELECT 1 FROM ranked r WHERE r.strata_lot_number IS NULL AND r.property_id = old.property_id
           AND r.effective_date = old.effective_date) AS seen FROM old
       QUALIFY row_number() OVER (PARTITION BY property_id, effective_date ORDER BY published DESC, source_id) = 1),
@@ -520,7 +524,9 @@ def derive_legacy(t: Tables):
       UNION ALL SELECT * FROM (SELECT 'geometry', base_parcel_id, CAST(CAST(q AS BIGINT) AS VARCHAR) FROM b
         QUALIFY row_number() OVER (PARTITION BY base_parcel_id ORDER BY last_update DESC, object_id DESC, q DESC) = 1)
       UNION ALL SELECT * FROM (SELECT 'property', CAST(o_custkey AS VARCHAR), CAST(CAST(o_totalprice * 100 AS BIGINT) AS VARCHAR) FROM orders
-        WHERE o_orderstatus = 'O' QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) = 1))
+        WHERE o_orderstatus = 'O' QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) = 1)
+      UNION ALL SELECT DISTINCT 'new property', CAST(o_custkey AS VARCHAR), NULL FROM orders
+        WHERE o_orderstatus = 'O' AND o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_nationkey < 8))
     SELECT * FROM o
     """,
 )
@@ -551,12 +557,13 @@ def derive_parcels_layers(t: Tables):
         F.col("o_orderkey").alias("address_string_oid"),
         F.round(F.col("o_totalprice") * 100).cast("bigint").alias("geometry"),
     )
-    none = t.customer.filter("c_custkey < 0").select(F.col("c_custkey").alias("property_id"))
-    principal = layers.principal_properties(lands, none)
+    listed = t.customer.filter("c_nationkey < 8").select(F.col("c_custkey").alias("property_id"))
+    principal = layers.principal_properties(lands, listed)
     return (
         lots["base_parcel"].select(F.lit("parcel").alias("kind"), F.col("base_parcel_id").alias("id"), F.col("base_parcel_kind").alias("detail"))
         .union(lots["base_parcel_geometry"].select(F.lit("geometry"), "base_parcel_id", F.col("geometry").cast("bigint").cast("string")))
         .union(principal["property_geometry"].select(F.lit("property"), F.col("property_id").cast("string"), F.col("geometry").cast("string")))
+        .union(principal["property"].select(F.lit("new property"), F.col("property_id").cast("string"), F.lit(None).cast("string")))
     )
 
 
