@@ -12,14 +12,15 @@ piece finds the pairs worth comparing.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import Scratch, cut_lineage
-from .keys import keep_first, keep_top, small_id
+from .components import components
+from .keys import small_id
 from .quality import repeated_keys
 
 # Cost of leaving a name without partner, and the highest cost of a pair.
@@ -201,26 +202,34 @@ def assign_one_to_one(
     name: str,
     choice: str,
     max_cost: int = MAX_COST,
-    local_edges: int = 2_000,
+    piece_edges: int = 100_000,
 ) -> tuple[DataFrame, DataFrame]:
     """Pairs of minimum total cost, each name and choice used at most once, and the names left over.
 
     Pairs dearer than ``max_cost`` are never formed and a name without partner
-    costs ``UNMATCHED_COST``.  Only near pairs can matter, and they fall into
-    connected groups that can be settled apart: groups of up to
-    ``local_edges`` pairs are solved exactly inside a task (their cost table
-    stays under 64 MB), larger ones, as exactly, by auction rounds over the
-    whole table.
+    costs ``UNMATCHED_COST``.  Of several equally cheap assignments the one
+    whose pairs have the least sum of ``tie_order`` is taken, so the result does
+    not depend on how the work is cut.  Null names and choices take no part,
+    repeated ones count once, empty tables give no pairs.
+
+    A name and a choice near to nothing else are a pair.  All other near pairs
+    fall into connected groups, settled by one auction over pieces of about
+    ``piece_edges`` pairs (and at least all those of one name).
     """
     with Scratch(names.sparkSession) as scratch:
-        pairs = scratch.keep(_least_cost_pairs(names, choices, list(block), name, choice, max_cost, local_edges), "pairs")
+        pairs = scratch.keep(_least_cost_pairs(names, choices, list(block), name, choice, max_cost, piece_edges), "pairs")
     all_names = names.select(*block, name).filter(F.col(name).isNotNull()).distinct()
     left_over = all_names.join(pairs.select(*block, name), [*block, name], "left_anti")
     return pairs, left_over
 
 
+def tie_order(*parts: Column | str) -> Column:
+    """A whole number below 2**32 that settles which of equally cheap pairs are taken."""
+    return F.conv(F.substring(F.md5(F.concat_ws("|", *parts)), 1, 8), 16, 10).cast("long")
+
+
 def _least_cost_pairs(
-    names: DataFrame, choices: DataFrame, block: list[str], name: str, choice: str, max_cost: int, local_edges: int
+    names: DataFrame, choices: DataFrame, block: list[str], name: str, choice: str, max_cost: int, piece_edges: int
 ) -> DataFrame:
     edges = near_pairs(names, choices, block, name, choice, max_cost).select(
         *block,
@@ -229,147 +238,166 @@ def _least_cost_pairs(
         "cost",
         small_id(F.lit("n"), *block, name).alias("_n"),
         small_id(F.lit("c"), *block, choice).alias("_c"),
+        tie_order(*block, name, choice).alias("_tie"),
     )
     edges = cut_lineage(edges, "near-pairs")
-    grouped = _connected_groups(edges)
-    sizes = grouped.groupBy("_group").agg(F.count(F.lit(1)).alias("_edges"))
-    sized = cut_lineage(grouped.join(sizes, "_group"), "groups")
-
-    local = sized.filter(F.col("_edges") <= local_edges).select("_group", "_n", "_c", "cost")
-    solved = local.groupBy("_group").applyInPandas(_solve_group, "_n long, _c long")
-    large = sized.filter(F.col("_edges") > local_edges)
-    if large.limit(1).count():
-        solved = solved.unionByName(auction(large))
-    return (
-        sized.join(solved, ["_n", "_c"])
-        .select(*block, F.col("_name").alias(name), F.col("_choice").alias(choice), "cost")
+    alone = edges.groupBy("_n").agg(F.min("_c").alias("_c"), F.count(F.lit(1)).alias("_near")).filter("_near = 1")
+    wanted = edges.groupBy("_c").agg(F.count(F.lit(1)).alias("_near")).filter("_near = 1")
+    single = cut_lineage(alone.select("_n", "_c").join(wanted.select("_c"), "_c"), "single-pairs")
+    shared = edges.select("_n", "_c", "cost", "_tie").join(single, ["_n", "_c"], "left_anti")
+    chosen = single.select("_n", "_c").unionByName(auction(shared, piece_edges))
+    return edges.join(chosen, ["_n", "_c"]).select(
+        *block, F.col("_name").alias(name), F.col("_choice").alias(choice), "cost"
     )
 
 
-def _connected_groups(edges: DataFrame) -> DataFrame:
-    """Label each edge with the smallest name id reachable from it."""
-    labels = edges.groupBy("_n").agg(F.min("_n").alias("_group"))
-    while True:
-        by_choice = edges.join(labels, "_n").groupBy("_c").agg(F.min("_group").alias("_near"))
-        spread = edges.join(by_choice, "_c").groupBy("_n").agg(F.min("_near").alias("_next"))
-        step = labels.join(spread, "_n").select(
-            "_n", F.least("_group", "_next").alias("_group"), (F.col("_next") < F.col("_group")).alias("_moved")
-        )
-        step = cut_lineage(step, "labels")
-        labels = step.drop("_moved")
-        if not step.filter("_moved").limit(1).count():
-            return edges.join(labels, "_n")
-
-
-def _solve_group(rows: pd.DataFrame) -> pd.DataFrame:
-    n_ids, n_at = np.unique(rows["_n"].to_numpy(), return_inverse=True)
-    c_ids, c_at = np.unique(rows["_c"].to_numpy(), return_inverse=True)
-    size, width = len(n_ids), len(c_ids)
-    cost = np.full((size, width + size), 1e9)
-    cost[n_at, c_at] = rows["cost"].to_numpy()
-    cost[np.arange(size), width + np.arange(size)] = UNMATCHED_COST
-    picked = _cheapest_rows(cost)
-    chosen = picked < width
-    return pd.DataFrame({"_n": n_ids[chosen], "_c": c_ids[picked[chosen]]})
-
-
-def _cheapest_rows(cost: np.ndarray) -> np.ndarray:
-    """Column of each row in the cheapest assignment (shortest augmenting paths)."""
-    rows, cols = cost.shape
-    row_price, col_price = np.zeros(rows), np.zeros(cols)
-    owner = np.full(cols, -1)
-    for start in range(rows):
-        reach = np.full(cols, np.inf)
-        came_from = np.full(cols, -1)
-        done = np.zeros(cols, dtype=bool)
-        row, base, end = start, 0.0, -1
-        visited = [(start, 0.0)]
-        while end < 0:
-            through = base + cost[row] - row_price[row] - col_price
-            better = ~done & (through < reach)
-            reach[better] = through[better]
-            came_from[better] = row
-            col = int(np.argmin(np.where(done, np.inf, reach)))
-            base = reach[col]
-            done[col] = True
-            if owner[col] < 0:
-                end = col
-            else:
-                row = int(owner[col])
-                visited.append((row, base))
-        for seen, at in visited:
-            row_price[seen] += base - at
-        col_price[done] -= base - reach[done]
-        col = end
-        while True:
-            row = came_from[col]
-            previous = np.flatnonzero(owner == row)
-            owner[col] = row
-            if row == start:
-                break
-            col = int(previous[0])
-    out = np.empty(rows, dtype=int)
-    taken = np.flatnonzero(owner >= 0)
-    out[owner[taken]] = taken
-    return out
+_STATE = "_group long, _o long, _price decimal(38,0), _owner long, _left int"
+#: Steps are powers of this; ``_left`` is the exponent, so zero is the last and finest.
+FINER = 7
 
 
-def auction(edges: DataFrame) -> DataFrame:
-    """The same optimum for groups too large for one task, by bidding rounds.
+def auction(edges: DataFrame, piece_edges: int = 100_000) -> DataFrame:
+    """``_n, _c`` of the cheapest assignment over ``_n, _c, cost, _tie``, by bidding.
 
     Every free bidder bids for the option worth most to it, up to the point
-    where its second-best is as good, plus a step; each option takes its
+    where its second-best is as good, plus a step; each option goes to its
     highest bid.  To let the step start coarse and shrink (prices carry over),
     every bidder must end with an option: names and choices are therefore
     mirrored, and a name may take its own mirror image (staying alone) at worth
-    zero.  Worths are whole numbers scaled by the number of bidders plus one,
-    so a last step of one gives the optimum.  A round moves two rows per free
-    bidder and one per option; nothing is gathered in one task.
+    zero.  Worths are whole numbers, cost before tie order, scaled by the number
+    of the group's bidders plus one, so a last step of one gives the optimum.
+
+    The bidders of a connected group are dealt to pieces.  In a round every
+    piece bids on its own, knowing the prices at the round's start; options then
+    take the highest price of any piece, which leaves every bid that won as good
+    as it was.  A group held by one piece ends in its first round.
     """
-    real = edges.select("_n", "_c", (F.lit(UNMATCHED_COST) - F.col("cost")).cast("long").alias("_w"))
+    grouped = _with_groups(edges)
     mirror_n, mirror_c = small_id(F.lit("mirror"), "_n"), small_id(F.lit("mirror"), "_c")
-    none = F.lit(0).cast("long").alias("_w")
+    none = F.lit(None).cast("int").alias("cost"), F.lit(0).cast("long").alias("_tie")
     options = (
-        real.select(F.col("_n").alias("_p"), F.col("_c").alias("_o"), "_w")
-        .union(real.select(mirror_c, mirror_n, "_w"))
-        .union(real.select("_n", mirror_n, none).distinct())
-        .union(real.select(mirror_c, "_c", none).distinct())
+        grouped.select("_group", F.col("_n").alias("_p"), F.col("_c").alias("_o"), "cost", "_tie")
+        .union(grouped.select("_group", mirror_c, mirror_n, "cost", "_tie"))
+        .union(grouped.select("_group", "_n", mirror_n, *none).distinct())
+        .union(grouped.select("_group", mirror_c, "_c", *none).distinct())
     )
-    scale = options.select("_p").distinct().count() + 1
-    worth = cut_lineage(options.withColumn("_w", F.col("_w") * scale), "worth")
-    price = cut_lineage(worth.select("_o").distinct().withColumn("_price", F.lit(0).cast("long")), "prices")
-    step = UNMATCHED_COST * scale // 2
+    options = cut_lineage(options, "options")
+    bidders = options.groupBy("_group", "_p").agg(F.count(F.lit(1)).alias("_edges"))
+    sizes = bidders.groupBy("_group").agg(F.count(F.lit(1)).alias("_bidders"), F.sum("_edges").alias("_edges"))
+    sizes = cut_lineage(
+        sizes.select("_group", "_bidders", F.ceil(F.col("_edges") / piece_edges).alias("_pieces"), "_edges"), "group-sizes"
+    )
+    # Groups of one piece share tasks with others, as many as keep to the size of a piece.
+    small = sizes.filter("_pieces = 1").agg(F.sum("_edges")).first()[0] or 0
+    piece = F.when(F.col("_pieces") > 1, F.pmod(F.xxhash64("_p"), "_pieces"))
+    shared = F.pmod(F.xxhash64("_group"), F.lit(small // piece_edges + 8))
+    task = F.when(F.col("_pieces") > 1, F.xxhash64("_group", piece)).otherwise(shared)
+    dealt = options.join(sizes.drop("_edges"), "_group").withColumn("_task", task)
+    free, price = F.lit(None).cast("long").alias("_owner"), F.lit(0).cast("decimal(38,0)").alias("_price")
+    state = options.select("_group", "_o").distinct().select("_group", "_o", price, free, F.lit(None).cast("int").alias("_left"))
+    real = edges.select(F.col("_n").alias("_owner"), F.col("_c").alias("_o"))
+    settled = []
     while True:
-        owned, price = _bidding(worth, price, step)
-        if step == 1:
+        state = _bidding_round(dealt.join(state, ["_group", "_o"]), state, sizes)
+        # The mirrored half holds the same pairs again, the other way round.
+        won = state.filter("_done").join(real, ["_owner", "_o"], "left_semi")
+        settled.append(won.select(F.col("_owner").alias("_n"), F.col("_o").alias("_c")))
+        state = state.filter("NOT _done").drop("_done")
+        if state.isEmpty():
             break
-        step = max(1, step // 5)
-    return owned.select(F.col("_p").alias("_n"), F.col("_o").alias("_c")).join(
-        real.select("_n", "_c"), ["_n", "_c"], "left_semi"
+        if len(settled) > 20:
+            settled = [cut_lineage(_all_of(settled), "settled")]
+    return _all_of(settled)
+
+
+def _all_of(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def _bidding_round(rows: DataFrame, state: DataFrame, sizes: DataFrame) -> DataFrame:
+    """The state after all pieces have bid, with ``_done`` for groups that are settled."""
+    # A column of longs with nulls would reach pandas as floats, so missing owners are marked apart.
+    given = rows.withColumn("_taken", F.col("_owner").isNotNull()).na.fill(0, ["_owner"])
+    bids = given.groupBy("_task").applyInPandas(_bid, _STATE)
+    best = bids.groupBy("_group", "_o").agg(F.max(F.struct("_price", "_left", "_owner")).alias("_b"))
+    had = F.struct("_price", "_left", "_owner")
+    merged = state.join(best, ["_group", "_o"], "left").select("_group", "_o", F.coalesce("_b", had).alias("_b"))
+    merged = cut_lineage(merged.select("_group", "_o", "_b.*"), "prices")
+    owned = merged.groupBy("_group").agg(F.count("_owner").alias("_owned"), F.max("_left").alias("_now"))
+    full = F.col("_owned") == F.col("_bidders")
+    after = owned.join(sizes.select("_group", "_bidders"), "_group").select(
+        "_group", "_now", (full & (F.col("_now") == 0)).alias("_done"), (full & (F.col("_now") > 0)).alias("_again")
+    )
+    return merged.join(after, "_group").select(
+        "_group",
+        "_o",
+        "_price",
+        F.when(~F.col("_again"), F.col("_owner")).alias("_owner"),
+        (F.col("_now") - F.col("_again").cast("int")).alias("_left"),
+        "_done",
     )
 
 
-def _bidding(worth: DataFrame, price: DataFrame, step: int) -> tuple[DataFrame, DataFrame]:
-    """Rounds at one step until every bidder owns an option."""
-    owned = worth.sparkSession.createDataFrame([], "_o long, _p long")
-    while True:
-        free = worth.join(owned.select("_p"), "_p", "left_anti")
-        net = free.join(price, "_o").withColumn("_net", F.col("_w") - F.col("_price"))
-        top = keep_top(net, ["_p"], [F.col("_net").desc(), F.col("_o").asc()], 2)
-        bids = top.groupBy("_p").agg(
-            F.max(F.when(F.col("rank") == 1, F.struct("_net", "_o", "_price"))).alias("a"),
-            F.min("_net").alias("b"),
-        ).select(
-            F.col("a._o").alias("_o"), "_p", (F.col("a._price") + F.col("a._net") - F.col("b") + step).alias("_bid")
-        )
-        won = cut_lineage(keep_first(bids, ["_o"], [F.col("_bid").desc(), F.col("_p").asc()]), "bids")
-        if not won.limit(1).count():
-            return owned, price
-        kept = owned.join(won.select("_o"), "_o", "left_anti")
-        owned = cut_lineage(kept.unionByName(won.select("_o", "_p")), "owned")
-        price = cut_lineage(
-            price.join(won.select("_o", "_bid"), "_o", "left").select(
-                "_o", F.coalesce("_bid", "_price").alias("_price")
-            ),
-            "prices",
-        )
+def _bid(rows: pd.DataFrame) -> pd.DataFrame:
+    """The options of one task that took a bid, with their new price and owner."""
+    out = []
+    for group, part in rows.groupby("_group", sort=False):
+        bidders, whole = int(part["_bidders"].iat[0]), int(part["_pieces"].iat[0]) == 1
+        unit = (bidders + 1) << 32
+        choices: dict[int, list[tuple[int, int]]] = {}
+        price: dict[int, int] = {}
+        owner: dict[int, int] = {}
+        for p, o, cost, tie, paid, taken, had in zip(
+            *(part[c] for c in ("_p", "_o", "cost", "_tie", "_price", "_taken", "_owner")), strict=True
+        ):
+            worth = 0 if pd.isna(cost) else ((UNMATCHED_COST - int(cost)) * unit - int(tie)) * (bidders + 1)
+            choices.setdefault(int(p), []).append((int(o), worth))
+            price[int(o)] = int(paid)
+            if taken:
+                owner[int(o)] = int(had)
+        left = part["_left"].iat[0]
+        if pd.isna(left):
+            left, coarsest = 0, UNMATCHED_COST * unit * (bidders + 1) // 2
+            while FINER ** (left + 1) < coarsest:
+                left += 1
+        left = int(left)
+        touched = _settle(choices, price, owner, FINER**left)
+        while whole and left:
+            left -= 1
+            owner.clear()
+            touched |= _settle(choices, price, owner, FINER**left)
+        out += [(group, o, Decimal(price[o]), owner[o], left) for o in touched]
+    return pd.DataFrame(out, columns=["_group", "_o", "_price", "_owner", "_left"])
+
+
+def _settle(choices: dict[int, list[tuple[int, int]]], price: dict[int, int], owner: dict[int, int], step: int) -> set[int]:
+    """Bid until every bidder of ``choices`` owns an option; ``price`` and ``owner`` follow.  Returns the options bid for."""
+    owning = set(owner.values())
+    free = sorted(p for p in choices if p not in owning)
+    touched = set()
+    while free:
+        p = free.pop()
+        best = second = None
+        for o, worth in choices[p]:
+            net = (worth - price[o], o)
+            if best is None or net > best:
+                best, second = net, best
+            elif second is None or net > second:
+                second = net
+        o = best[1]
+        price[o] += best[0] - second[0] + step
+        beaten = owner.get(o)
+        owner[o] = p
+        touched.add(o)
+        if beaten in choices:
+            free.append(beaten)
+    return touched
+
+
+def _with_groups(edges: DataFrame) -> DataFrame:
+    """Edges with the label of their connected group."""
+    labels = components(edges.select(F.col("_n").alias("u"), F.col("_c").alias("v")))
+    return edges.join(labels.select(F.col("node").alias("_n"), F.col("label").alias("_group")), "_n")

@@ -55,9 +55,48 @@ def fuzzy_near_pairs(t: Tables):
     return li.near_pairs(_names(t), _choices(t), ["p_brand"], "p_name", "choice")
 
 
-@query("fuzzy_assign")
+@query(
+    "fuzzy_assign",
+    f"""
+    WITH RECURSIVE {_NAMES}, s AS (
+      SELECT p_brand, p_name, choice,
+        CAST(100 - round((1 - levenshtein(p_name, choice) / greatest(length(p_name), length(choice))) * 100) AS INTEGER) AS cost,
+        CAST('0x' || substr(md5(p_brand || '|' || p_name || '|' || choice), 1, 8) AS BIGINT) AS tie
+      FROM n JOIN c USING (p_brand)),
+    e AS (SELECT * FROM s WHERE cost <= 20),
+    -- Names of one connected group, by the smallest of them.
+    near AS (SELECT DISTINCT a.p_brand, a.p_name AS x, b.p_name AS y FROM e a JOIN e b USING (p_brand, choice)),
+    reach AS (SELECT p_brand, x, x AS y FROM near UNION SELECT r.p_brand, r.x, m.y FROM reach r
+      JOIN near m ON m.p_brand = r.p_brand AND m.x = r.y),
+    grp AS (SELECT p_brand, x AS p_name, min(y) AS g FROM reach GROUP BY 1, 2),
+    member AS (SELECT *, row_number() OVER (PARTITION BY p_brand, g ORDER BY p_name) AS i FROM grp),
+    option AS (
+      SELECT m.p_brand, m.g, m.i, m.p_name, e.choice, e.cost, e.tie FROM member m JOIN e USING (p_brand, p_name)
+      UNION ALL SELECT p_brand, g, i, p_name, NULL, 100, 0 FROM member),
+    -- All ways to serve the first i names of a group; of those that use the same choices, the cheapest.
+    way AS (
+      SELECT DISTINCT p_brand, g, 0::BIGINT AS i, []::VARCHAR[] AS used, []::VARCHAR[] AS picked, 0::BIGINT AS cost, 0::BIGINT AS tie
+      FROM member
+      UNION ALL
+      SELECT w.p_brand, w.g, o.i,
+        CASE WHEN o.choice IS NULL THEN w.used ELSE list_sort(list_append(w.used, o.choice)) END AS used,
+        list_append(w.picked, o.choice) AS picked, w.cost + o.cost AS cost, w.tie + o.tie AS tie
+      FROM way w JOIN option o ON o.p_brand = w.p_brand AND o.g = w.g AND o.i = w.i + 1
+      WHERE o.choice IS NULL OR NOT list_contains(w.used, o.choice)
+      QUALIFY row_number() OVER (PARTITION BY w.p_brand, w.g, o.i,
+        CASE WHEN o.choice IS NULL THEN w.used ELSE list_sort(list_append(w.used, o.choice)) END
+        ORDER BY w.cost + o.cost, w.tie + o.tie) = 1),
+    best AS (
+      SELECT w.p_brand, w.g, w.picked FROM way w JOIN (SELECT p_brand, g, max(i) AS i FROM member GROUP BY 1, 2) USING (p_brand, g, i)
+      QUALIFY row_number() OVER (PARTITION BY w.p_brand, w.g ORDER BY w.cost, w.tie) = 1),
+    pairs AS (
+      SELECT m.p_brand, m.p_name, e.choice, e.cost FROM member m JOIN best USING (p_brand, g)
+      JOIN e ON e.p_brand = m.p_brand AND e.p_name = m.p_name AND e.choice = best.picked[m.i])
+    SELECT p_brand, p_name, choice, cost FROM n LEFT JOIN pairs USING (p_brand, p_name)
+    """,
+)
 def fuzzy_assign(t: Tables):
-    """One-to-one pairs of least total cost and the names left over; checked by brute force in the tests."""
+    """One-to-one pairs of least total cost and the names left over; also checked by brute force in the tests."""
     pairs, left_over = li.assign_one_to_one(_names(t), _choices(t), ["p_brand"], "p_name", "choice")
     rest = left_over.withColumn("choice", F.lit(None).cast("string")).withColumn("cost", F.lit(None).cast("int"))
     return pairs.unionByName(rest)

@@ -1,5 +1,6 @@
 """Operators against brute force on small, skewed inputs."""
 
+import hashlib
 import itertools
 import math
 import random
@@ -346,30 +347,51 @@ def cheapest(names, choices, limit=20):
     return best
 
 
-@pytest.mark.parametrize(
-    "names,choices,local_edges",
-    [(NAMES, CHOICES, 20_000), (["HIGH STREET", "HIGH STREE", "LOW ROAD"], ["HIGH STREET", "LOW ROADS"], 0)],
-)
-def test_one_to_one(spark, names, choices, local_edges):
-    """Solved inside tasks, and by auction when no group counts as small."""
-    left_side = spark.createDataFrame([("B", n) for n in names] + [("C", "X")], "b string, n string")
-    right_side = spark.createDataFrame([("B", c) for c in choices] + [("D", "X")], "b string, c string")
-    pairs, left = li.assign_one_to_one(left_side, right_side, ["b"], "n", "c", local_edges=local_edges)
-    rows = pairs.collect()
+def assigned(spark, names, choices, **how):
+    left_side = spark.createDataFrame([("B", n) for n in names] + [("C", "X"), ("B", None)], "b string, n string")
+    right_side = spark.createDataFrame([("B", c) for c in choices] + [("D", "X"), (None, "X")], "b string, c string")
+    pairs, left = li.assign_one_to_one(left_side, right_side, ["b"], "n", "c", **how)
+    return sorted(pairs.collect()), {r.n for r in left.collect()}
+
+
+@pytest.mark.parametrize("piece_edges", [100_000, 3])
+@pytest.mark.parametrize("names,choices", [(NAMES, CHOICES), (["HIGH STREET", "HIGH STREE", "LOW ROAD"], ["HIGH STREET", "LOW ROADS"])])
+def test_one_to_one(spark, names, choices, piece_edges):
+    """Groups held by one piece, and groups cut into pieces that bid apart."""
+    rows, rest = assigned(spark, names, choices, piece_edges=piece_edges)
     assert len({r.n for r in rows}) == len({r.c for r in rows}) == len(rows)
     assert all(r.cost == cost(r.n, r.c) <= 20 for r in rows)
-    rest = {r.n for r in left.collect()}
     assert rest == set(names) - {r.n for r in rows} | {"X"}
     assert sum(r.cost for r in rows) + 100 * (len(names) - len(rows)) == cheapest(names, choices)
 
 
-def test_assignment_routine():
-    rng = np.random.default_rng(1)
-    for size in (1, 2, 4, 5):
-        matrix = rng.integers(0, 50, (size, size + 2)).astype(float)
-        got = matrix[np.arange(size), li._cheapest_rows(matrix)].sum()
-        best = min(sum(matrix[i, c] for i, c in enumerate(p)) for p in itertools.permutations(range(size + 2), size))
-        assert got == best
+def test_equally_cheap_assignments(spark):
+    """Every pair costs the same: the tie order alone decides, however the work is cut."""
+    names, choices = ["STATION ROAD A", "STATION ROAD B", "STATION ROAD C"], [f"STATION ROAD {x}" for x in "VWXYZ"]
+    tie = {(n, c): int(hashlib.md5(f"B|{n}|{c}".encode()).hexdigest()[:8], 16) for n in names for c in choices}
+    best = min(itertools.permutations(choices, 3), key=lambda pick: sum(tie[n, c] for n, c in zip(names, pick)))
+    for piece_edges in (100_000, 4):
+        rows, rest = assigned(spark, names, choices, piece_edges=piece_edges)
+        assert [(r.n, r.c) for r in rows] == list(zip(names, best)) and rest == {"X"}
+
+
+def test_assignment_of_nothing(spark):
+    rows, rest = assigned(spark, [], [])
+    assert rows == [] and rest == {"X"}
+
+
+def test_auction_reaches_the_optimum():
+    """Random groups against all permutations, bid for by one piece."""
+    rng = random.Random(1)
+    for size in (2, 3, 5):
+        worth = {(p, 100 + o): rng.randrange(50) * (size + 1) for p in range(size) for o in range(size)}
+        choices = {p: [(100 + o, worth[p, 100 + o]) for o in range(size)] for p in range(size)}
+        price, owner = {100 + o: 0 for o in range(size)}, {}
+        for left in (2, 1, 0):
+            owner.clear()
+            li._settle(choices, price, owner, li.FINER**left)
+        best = max(sum(worth[p, o] for p, o in enumerate(pick)) for pick in itertools.permutations(price))
+        assert sum(worth[p, o] for o, p in owner.items()) == best and len(owner) == size
 
 
 # ----------------------------------------------------------------- shards
