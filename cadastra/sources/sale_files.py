@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import readers as rd
@@ -128,45 +128,100 @@ def _complete(records: DataFrame) -> DataFrame:
     fewer semicolons than any variant of its kind therefore takes up the
     records behind it until it has enough; each brings one at least, so only
     as many as are missing can belong to it.  Files without such a record
-    pass untouched, of the others only the stretches behind one.
+    pass untouched; of the others only records that are joined move their texts.
     """
     least = _by_kind(lambda counts: F.lit(min(counts)))
+    found = F.size(F.split("text", ";")) - 1
+    kind = F.trim(F.substring_index("text", ";", 1))
+    needed = F.try_element_at(least, F.concat_ws("/", F.col("layout"), kind))
+    marked = records.withColumn("_missing", F.greatest(F.coalesce(needed - found, F.lit(0)), F.lit(0)))
+    counted = cut_lineage(marked.select("file_path", "record", found.alias("found"), F.col("_missing").alias("missing")), "semicolons")
+    if counted.filter("missing > 0").isEmpty():
+        return records
+    touched = counted.filter("missing > 0").select("file_path").distinct()
+    joined = joined_records(counted.join(touched, "file_path", "left_semi"))
+    moved = joined.select("file_path", "record", F.col("head")).unionByName(
+        joined.select("file_path", F.col("head").alias("record"), "head").distinct()
+    )
+    moved = cut_lineage(moved, "joined-records")
+    texts = F.array_sort(F.collect_list(F.struct("record", "text")))
+    mended = (
+        marked.join(moved, ["file_path", "record"])
+        .groupBy("file_path", "published_year", "layout", F.col("head").alias("record"))
+        .agg(F.min("position").alias("position"), F.array_join(F.transform(texts, lambda t: t["text"]), "\n").alias("text"))
+    )
+    columns = ["file_path", "published_year", "layout", "record", "position", "text"]
+    return marked.join(moved, ["file_path", "record"], "left_anti").select(columns).unionByName(mended.select(columns))
 
-    def missing(text: Column, layout: Column) -> Column:
-        kind = F.trim(F.substring_index(text, ";", 1))
-        needed = F.try_element_at(least, F.concat_ws("/", layout, kind))
-        return F.coalesce(needed - (F.size(F.split(text, ";")) - 1), F.lit(0))
-
-    marked = records.withColumn("_missing", missing(F.col("text"), F.col("layout")))
-    touched = marked.filter(F.col("_missing") > 0).select("file_path").distinct()
-    most = max(c for kinds in LAYOUTS.values() for counts in kinds.values() for c in counts)
-    of_file = Window.partitionBy("file_path").orderBy("record")
-    reach = F.max(F.when(F.col("_missing") > 0, F.col("record") + F.col("_missing"))).over(of_file.rowsBetween(-most, 0))
-    behind = marked.join(touched, "file_path", "left_semi").withColumn("_near", F.coalesce(reach >= F.col("record"), F.lit(False)))
-    starts = (F.col("_near") & ~F.coalesce(F.lag("_near").over(of_file), F.lit(False))).cast("int")
-    behind = behind.withColumn("_stretch", F.sum(starts).over(of_file))
-    piece = F.struct("record", "position", "text")
-
-    def walk(done: Column, r: Column) -> Column:
-        last = F.try_element_at(done, F.lit(-1))
-        longer = F.struct(
-            last["record"].alias("record"), last["position"].alias("position"),
-            F.concat(last["text"], F.lit("\n"), r["text"]).alias("text"),
-        )
-        goes_on = (F.size(done) > 0) & (missing(last["text"], F.col("layout")) > 0)
-        return F.when(goes_on, F.concat(F.slice(done, F.lit(1), F.size(done) - 1), F.array(longer))).otherwise(
-            F.concat(done, F.array(r))
-        )
 
-    keys = ["file_path", "published_year", "layout"]
-    gathered = behind.filter("_near").groupBy(*keys, "_stretch").agg(F.array_sort(F.collect_list(piece)).alias("_records"))
-    none = F.slice("_records", F.lit(1), F.lit(0))
-    mended = gathered.select(*keys, F.inline(F.aggregate("_records", none, walk)))
-    columns = [*keys, "record", "position", "text"]
-    return (
-        marked.join(touched, "file_path", "left_anti").select(columns)
-        .unionByName(behind.filter("NOT _near").select(columns)).unionByName(mended.select(columns))
-    )
+def joined_records(counted: DataFrame, width: int = 256) -> DataFrame:
+    """``file_path, record, head`` of records that continue an earlier one, from ``file_path, record, found, missing``.
+
+    Records are numbered without gaps.  What goes from one record to the next is
+    only how many semicolons the open record still lacks.  A slice of ``width``
+    records is a map from what it is handed to what it hands on; maps of
+    ``width`` slices are composed to one, up to a single slice a file, and what
+    each is handed comes down the same way.  No step holds more than ``width``
+    rows, of numbers alone.
+    """
+    most = max(min(counts) for kinds in LAYOUTS.values() for counts in kinds.values())
+    if width <= most:
+        raise ValueError(f"slices of more than {most} records")
+    last = counted.agg(F.max("record")).first()[0]
+    if last is None:
+        return counted.select("file_path", "record", F.lit(0).cast("long").alias("head")).limit(0)
+
+    def step(open_: Column, r: Column) -> Column:
+        return F.when(open_ > 0, F.greatest(open_ - r["found"], F.lit(0))).otherwise(r["missing"])
+
+    def handed(rows: str, start: Column, onward: Callable[[Column, Column], Column]) -> Column:
+        """What each row of a slice is handed, and at last what the slice hands on."""
+        return F.aggregate(rows, F.array(start), lambda done, r: F.concat(done, F.array(onward(F.element_at(done, -1), r))))
+
+    def as_map(rows: str, onward: Callable[[Column, Column], Column]) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.lit(most)), lambda start: F.aggregate(rows, start, onward))
+
+    def sliced(rows: DataFrame, *values: str) -> DataFrame:
+        slice_ = F.floor(F.col("at") / width)
+        return rows.groupBy("file_path", slice_.alias("slice")).agg(F.array_sort(F.collect_list(F.struct("at", *values))).alias("rows"))
+
+    def through(open_: Column, r: Column) -> Column:
+        return F.element_at(r["map"], open_ + 1)
+
+    bottom = cut_lineage(sliced(counted.withColumn("at", F.col("record")), "found", "missing"), "slices")
+    # A full slice without short records ends whatever it is handed.
+    settled = (F.size("rows") > most) & ~F.exists("rows", lambda r: r["missing"] > 0)
+    maps = bottom.select(
+        "file_path", F.col("slice").alias("at"), F.when(settled, F.array_repeat(F.lit(0), most + 1)).otherwise(as_map("rows", step)).alias("map")
+    )
+    levels, slices = [], last // width + 1
+    while slices > 1:
+        levels.append(cut_lineage(sliced(maps, "map"), "slice-maps"))
+        maps = levels[-1].select("file_path", F.col("slice").alias("at"), as_map("rows", through).alias("map"))
+        slices = (slices - 1) // width + 1
+    # The first record of a file is handed nothing.
+    start = None
+    for level in reversed(levels):
+        given = level.withColumn("open", F.lit(0)) if start is None else level.join(start, ["file_path", "slice"])
+        inner = F.transform("rows", lambda r, i: F.struct(r["at"].alias("slice"), F.get("_handed", i).alias("open")))
+        start = given.withColumn("_handed", handed("rows", F.col("open"), through)).select("file_path", F.inline(inner))
+    given = bottom.withColumn("open", F.lit(0)) if start is None else bottom.join(start, ["file_path", "slice"])
+    def running(done: Column, r: Column) -> Column:
+        return F.concat(done, F.array(F.when(F.get("_handed", F.size(done) - 1) > 0, F.element_at(done, -1)).otherwise(r["at"])))
+
+    none = F.array(F.lit(None).cast("long"))
+    marked = given.withColumn("_handed", handed("rows", F.col("open"), step)).withColumn("_heads", F.aggregate("rows", none, running))
+    marked = cut_lineage(marked.select("file_path", "slice", "rows", "_handed", "_heads"), "heads")
+    # A slice is longer than any joined record, so a head lies in the same slice or the one before.
+    before = marked.select("file_path", (F.col("slice") + 1).alias("slice"), F.element_at("_heads", -1).alias("_before"))
+    continued = F.filter(
+        F.transform("rows", lambda r, i: F.struct(r["at"].alias("record"), F.get("_heads", i + 1).alias("head"), F.get("_handed", i).alias("_open"))),
+        lambda r: r["_open"] > 0,
+    )
+    rows = marked.select("file_path", "slice", continued.alias("rows")).filter(F.size("rows") > 0)
+    return rows.join(before, ["file_path", "slice"], "left").select("file_path", "_before", F.inline("rows")).select(
+        "file_path", "record", F.coalesce("head", "_before").alias("head")
+    )
 
 
 def _cut_fields(records: DataFrame) -> DataFrame:

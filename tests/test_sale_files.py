@@ -1,5 +1,6 @@
 """Sale files of every layout, written by a small generator with invented places, ids and dealings."""
 
+import random
 from datetime import date, datetime
 
 import pytest
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 from cadastra.plans.build import build
 from cadastra.session import cut_lineage
 from cadastra.sources.manifest import choose_snapshots, list_files, select_files
-from cadastra.sources.sale_files import SALE_TABLES, layout_of, no_layout, read_sale_files, typed_table, with_layout
+from cadastra.sources.sale_files import SALE_TABLES, joined_records, layout_of, no_layout, read_sale_files, typed_table, with_layout
 from cadastra.streaming.incremental import ingest_sale_files, year_in_path
 
 def record(kind, semicolons, *fields):
@@ -290,3 +291,50 @@ def test_text_that_looks_like_records(spark, tmp_path):
     assert {r.sale_counter: r.property_description for r in good.collect()} == wanted
     assert bad.count() == 0
     assert [typed_table(records, t)[0].count() for t in ("ps_row_a", "ps_row_z")] == [1, 1]
+
+
+def joined_by_hand(rows):
+    """The walk over one file's (record, found, missing)."""
+    out, open_, head = [], 0, None
+    for number, found, missing in rows:
+        if open_ > 0:
+            out.append((number, head))
+            open_ = max(open_ - found, 0)
+        else:
+            head, open_ = number, missing
+    return out
+
+
+def test_short_records_of_large_files(spark):
+    """Slices of 30 records: one file in four levels, all of it short, beside files with few or no short records."""
+    rng = random.Random(5)
+    files = {
+        "all": [(i + 1, 1, 1) for i in range(28_000)],
+        "most": [(i + 1, rng.randint(1, 6), rng.choice([0, 2, 5, 23])) for i in range(3_000)],
+        "few": [(i + 1, rng.randint(3, 20), 4 if rng.random() < 0.01 else 0) for i in range(2_000)],
+        "end": [(1, 20, 0), (2, 2, 22)],
+        "none": [(i + 1, 24, 0) for i in range(500)],
+    }
+    rows = [(name, *row) for name, part in files.items() for row in part]
+    rng.shuffle(rows)
+    table = spark.createDataFrame(rows, "file_path string, record long, found int, missing int")
+    got = {name: [] for name in files}
+    for row in joined_records(table, width=30).collect():
+        got[row.file_path].append((row.record, row.head))
+    assert {k: sorted(v) for k, v in got.items()} == {k: joined_by_hand(v) for k, v in files.items()}
+    assert joined_records(table.limit(0)).count() == 0
+    with pytest.raises(ValueError, match="slices"):
+        joined_records(table, width=20)
+
+
+def test_large_file_of_short_records(small_blocks, tmp_path):
+    """Texts broken into lines that look like records, all through a file read in blocks; no window holds its records."""
+    spark = small_blocks
+    pieces = [";".join(["C", "001", str(i), str(i)]) + ";\nB;D;" + f"part {i};\n" for i in range(700)]
+    (tmp_path / "x_20190520.DAT").write_text("".join(pieces))
+    manifest = spark.createDataFrame([(str(tmp_path / "x_20190520.DAT"), 2019, "2012")], "file_path string, published_year int, layout string")
+    records = read_sale_files(spark, str(tmp_path), manifest)
+    rows = records.orderBy("position").collect()
+    assert len(rows) == 700 and {(r.kind, r.semicolons) for r in rows} == {("C", 7)}
+    assert [r.fields[1] for r in rows] == [str(i) for i in range(700)]
+    assert "Window" not in records._jdf.queryExecution().optimizedPlan().toString()
