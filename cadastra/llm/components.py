@@ -1,50 +1,5 @@
-"""Connected components of a link table, by alternating star contractions on the cluster.
+"""Connected components of a link table (the library's general helper)."""
 
-Both sides of every join are already dealt by the join key, and a graph has no
-size bound, so sides are merged and never broadcast.
-"""
+from ..operators.components import components
 
-from __future__ import annotations
-
-from pyspark.sql import DataFrame, Observation
-from pyspark.sql import functions as F
-
-from ..session import cut_lineage
-
-
-def _large_star(edges: DataFrame) -> DataFrame:
-    """Every larger neighbour of a node is tied to the node's smallest neighbour."""
-    both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-    return both.join(least.hint("merge"), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-
-
-def _small_star(edges: DataFrame) -> DataFrame:
-    """Every smaller neighbour of a node, and the node, are tied to its smallest neighbour."""
-    down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u > v")
-    least = down.groupBy("u").agg(F.min("v").alias("m"))
-    tied = down.join(least.hint("merge"), "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return tied.unionByName(least.select("u", F.col("m").alias("v"))).where("u > v").distinct()
-
-
-def components(links: DataFrame) -> DataFrame:
-    """``node, label`` for every node of ``u, v`` links; the label is the component's smallest node.
-
-    Links with a null end or of a node with itself are ignored; repeated
-    links count once; no links give no rows.  Each round is a written table,
-    so a lost executor costs one round at most.
-    """
-    edges = cut_lineage(links.select("u", "v").where("u <> v").distinct(), "links")
-    seen = None
-    while True:
-        watched = Observation()
-        digest = F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
-        edges = cut_lineage(
-            _small_star(_large_star(edges)).observe(watched, F.count(F.lit(1)).alias("n"), digest.alias("digest")), "stars"
-        )
-        state = watched.get
-        if state == seen:
-            break
-        seen = state
-    roots = edges.select(F.col("v").alias("node")).distinct().withColumn("label", F.col("node"))
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(roots)
+__all__ = ["components"]
