@@ -8,13 +8,14 @@ Everything but the overlap area is a native column expression.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .hold import hold
 from .rings import AS_IS, REPAIRED, from_coordinates, subdivided
 
@@ -447,52 +448,94 @@ def is_box(rings: Column | str) -> Column:
 
 # ---------------------------------------------------------------- joins
 
-def _cells(box: Column, size: float) -> Column:
+def _level(box: Column, cell: float) -> Column:
+    """How often the cell size has to be doubled to be as long as the longer side of a box."""
+    longer = F.greatest(box["xmax"] - box["xmin"], box["ymax"] - box["ymin"])
+    return F.greatest(F.lit(0), F.ceil(F.log2(longer / cell)).cast("int"))
+
+
+def _cells(box: Column, size: Column) -> Column:
     def cell(value: Column) -> Column:
-        return F.floor(value / size).cast("int")
+        return F.floor(value / size)
 
     xs = F.sequence(cell(box["xmin"]), cell(box["xmax"]))
     ys = F.sequence(cell(box["ymin"]), cell(box["ymax"]))
     return F.flatten(F.transform(xs, lambda x: F.transform(ys, lambda y: F.struct(x.alias("x"), y.alias("y")))))
 
 
+def cell_entries(boxes: DataFrame, box: str, cell: float, others: Sequence[int], up: int, down: int) -> DataFrame:
+    """Boxes with ``_level`` once for every ``_cell`` of every ``_at`` in which they can meet a box of the levels ``others``.
+
+    At its own level a box lies in four cells at most (in nine where rounding
+    of its size falls badly).  Two boxes meet at the higher of their levels:
+    ``_meets`` is 0 for boxes of one level, ``up`` for the lower of two, ``down`` for the higher.
+    """
+    have = F.array(*[F.lit(x) for x in others]).cast("array<int>")
+    level = F.col("_level")
+
+    def entry(at: Column, meets: int) -> Column:
+        return F.struct(at.alias("_at"), F.lit(meets).alias("_meets"))
+
+    own = F.array(
+        F.when(F.array_contains(have, level), entry(level, 0)), F.when(F.exists(have, lambda x: x < level), entry(level, down))
+    )
+    higher = F.transform(F.filter(have, lambda x: x > level), lambda x: entry(x, up))
+    entered = boxes.select("*", F.inline(F.concat(F.array_compact(own), higher)))
+    return entered.withColumn("_cell", F.explode(_cells(F.col(box), cell * F.pow(F.lit(2.0), F.col("_at")))))
+
+
 def candidate_pairs(
     left: DataFrame, right: DataFrame, left_geom: str, right_geom: str, cell: float, target: int = 50_000
 ) -> DataFrame:
-    """Pairs whose boxes touch, each pair once.
+    """Pairs whose boxes touch, each pair once, with both boxes as ``_lbox`` and ``_rbox``.
 
-    Both sides are spread over grid cells and equi-joined on the cell.  A pair
+    Cells double in size from level to level and a shape is entered at the level
+    of its own size, so an area over any number of cells has few entries.  Pairs
+    are found over row numbers and boxes alone, by an equi-join on the cell;
+    geometries are attached to the pairs whose boxes touch.  A pair
     is emitted only in the cell holding the lower-left corner of the boxes'
     common part, so no duplicate removal (and no shuffle for it) is needed.
     A cell with more than ``target`` rows of a side is split into as many salts
     of that side as it needs, the rows of the other side being repeated per salt;
     a cell crowded on both sides becomes a grid of salts.
+    Shapes that are null or empty touch nothing; repeated rows are rows of their own.
     """
-    lhs = left.withColumn("_lbox", hold(bbox(left_geom))).withColumn("_cell", F.explode(_cells(F.col("_lbox"), cell)))
-    rhs = right.withColumn("_rbox", hold(bbox(right_geom))).withColumn("_cell", F.explode(_cells(F.col("_rbox"), cell)))
+
+    def numbered(side: DataFrame, geom: str, number: str, box: str) -> DataFrame:
+        # Written, so that a row keeps its number whatever is computed again.
+        rows = side.withColumn(number, F.monotonically_increasing_id()).withColumn(box, hold(bbox(geom)))
+        return cut_lineage(rows.filter(F.col(box)["xmin"].isNotNull()).withColumn("_level", _level(F.col(box), cell)), "shapes")
+
+    def levels(rows: DataFrame) -> list[int]:
+        return sorted(r[0] for r in rows.select("_level").distinct().collect())
+
+    lrows, rrows = numbered(left, left_geom, "_lid", "_lbox"), numbered(right, right_geom, "_rid", "_rbox")
+    llevels, rlevels = levels(lrows), levels(rrows)
+    lhs = cell_entries(lrows.select("_lid", "_lbox", "_level"), "_lbox", cell, rlevels, 1, 2).drop("_level")
+    rhs = cell_entries(rrows.select("_rid", "_rbox", "_level"), "_rbox", cell, llevels, 2, 1).drop("_level")
+    place = ["_at", "_meets", "_cell"]
 
     def salts(side: DataFrame, name: str) -> DataFrame:
-        counted = side.groupBy("_cell").agg(F.ceil(F.count(F.lit(1)) / target).cast("int").alias(name))
+        counted = side.groupBy(*place).agg(F.ceil(F.count(F.lit(1)) / target).cast("int").alias(name))
         return counted.filter(F.col(name) > 1)
 
     of_left, of_right = salts(lhs, "_lsalts"), salts(rhs, "_rsalts")
 
-    def spread(side: DataFrame, own: str, other: str, box: str, plain: list[str]) -> DataFrame:
-        many = side.join(of_left, "_cell", "left").join(of_right, "_cell", "left")
-        # Every plain column takes part, so equal shapes with different ids part ways.
-        at = F.pmod(F.xxhash64(box, *plain), F.coalesce(f"_{own}salts", F.lit(1))).cast("int")
+    def spread(side: DataFrame, own: str, other: str) -> DataFrame:
+        many = side.join(of_left, place, "left").join(of_right, place, "left")
+        at = F.pmod(F.xxhash64(f"_{own}id"), F.coalesce(f"_{own}salts", F.lit(1))).cast("int")
         every = F.explode(F.sequence(F.lit(0), F.coalesce(f"_{other}salts", F.lit(1)) - 1))
         return many.withColumn(f"_{own}salt", at).withColumn(f"_{other}salt", every).drop("_lsalts", "_rsalts")
 
-    lhs = spread(lhs, "l", "r", "_lbox", [c for c in left.columns if c != left_geom])
-    rhs = spread(rhs, "r", "l", "_rbox", [c for c in right.columns if c != right_geom])
-    pairs = lhs.join(rhs, ["_cell", "_lsalt", "_rsalt"])
+    pairs = spread(lhs, "l", "r").join(spread(rhs, "r", "l"), [*place, "_lsalt", "_rsalt"])
+    size = cell * F.pow(F.lit(2.0), F.col("_at"))
     corner = F.struct(
-        F.floor(F.greatest(F.col("_lbox.xmin"), F.col("_rbox.xmin")) / cell).cast("int").alias("x"),
-        F.floor(F.greatest(F.col("_lbox.ymin"), F.col("_rbox.ymin")) / cell).cast("int").alias("y"),
+        F.floor(F.greatest(F.col("_lbox.xmin"), F.col("_rbox.xmin")) / size).alias("x"),
+        F.floor(F.greatest(F.col("_lbox.ymin"), F.col("_rbox.ymin")) / size).alias("y"),
     )
     touching = boxes_touch(F.col("_lbox"), F.col("_rbox")) & (F.col("_cell") == corner)
-    return pairs.filter(touching).drop("_cell", "_lsalt", "_rsalt")
+    found = pairs.filter(touching).select("_lid", "_rid")
+    return found.join(lrows.drop("_level"), "_lid").join(rrows.drop("_level"), "_rid").drop("_lid", "_rid")
 
 
 def intersects_join(left: DataFrame, right: DataFrame, left_geom: str, right_geom: str, cell: float) -> DataFrame:

@@ -229,6 +229,35 @@ def test_joins_with_a_hot_cell(spark):
     assert sorted((r.i, r.j) for r in sp.intersects_join(a, b, "g", "h", 5.0).collect()) == want
 
 
+def test_area_over_many_cells(spark):
+    """One area over 100,000 cells beside shapes of every size, ties on cell borders, repeated rows and missing shapes."""
+    rng = random.Random(9)
+
+    def box(x, y, w, h):
+        return [ring((x, y), (x + w, y), (x + w, y + h), (x, y + h), (x, y))]
+
+    sizes = [0.0, 0.5, 1, 2, 3, 8, 31, 64]
+    small = [(i, box(rng.randrange(330), rng.randrange(330), w := rng.choice(sizes), w / 2)) for i in range(150)]
+    small += [small[0], (900, None), (901, [])]
+    large = [(1, box(0, 0, 320, 320)), (2, box(-5, 7, 700, 0.25)), *[(10 + i, box(i * 20, i * 9, sizes[i % 8], 40)) for i in range(16)]]
+    a = spark.createDataFrame(small, f"i int, g {sp.GEOMETRY}")
+    b = spark.createDataFrame(large, f"j int, h {sp.GEOMETRY}")
+
+    def touch(p, q):
+        (p0, p1), (q0, q1) = (p[0][0], p[0][2]), (q[0][0], q[0][2])
+        return all(p0[c] <= q1[c] and q0[c] <= p1[c] for c in "xy")
+
+    want = sorted((i, j) for (i, p), (j, q) in itertools.product(small, large) if p and touch(p, q))
+    for target in (50_000, 3):
+        pairs = sp.candidate_pairs(a, b, "g", "h", 1.0, target)
+        assert sorted((r.i, r.j) for r in pairs.collect()) == want
+    assert sp.candidate_pairs(a.limit(0), b, "g", "h", 1.0).count() == 0
+
+    boxes = b.filter("j = 1").select("j", sp.bbox("h").alias("_box")).withColumn("_level", sp._level(F.col("_box"), 1.0))
+    entries = sp.cell_entries(boxes, "_box", 1.0, range(10), 1, 2)
+    assert entries.count() <= 9 and set(entries.columns) == {"j", "_box", "_level", "_at", "_meets", "_cell"}
+
+
 def test_shapes_of_several_parts(spark):
     square = lambda x, y, w: ring((x, y), (x + w, y), (x + w, y + w), (x, y + w), (x, y))
     two = [square(0, 0, 1), square(20, 20, 2)]
