@@ -104,7 +104,7 @@ def best_parcels(
 ) -> DataFrame:
     """One row per block (or property): the lowest value, or the one nearest below the block's percentile.
 
-    ``order``: ``value`` (ascending per_m2) or ``distance`` (percentile - per_m2).
+    ``order``: ``value`` (ascending per_m2) or ``distance`` (percentile - per_m2; distances equal to a millionth are ties).
     """
     # Read twice below: written once.
     valued = cut_lineage(valued, "parcel-values")
@@ -113,7 +113,7 @@ def best_parcels(
     if zone_codes is not None:
         rows = rows.filter(F.col("zone_code").isin(list(zone_codes)))
     rows = rows.join(share, "mb_code").withColumn("score", blended_score("land_value", linear_share))
-    by = F.col("per_m2") if order == "value" else F.col("per_m2_percentile") - F.col("per_m2")
+    by = F.col("per_m2") if order == "value" else F.round(F.col("per_m2_percentile") - F.col("per_m2"), 6)
     return keep_first(rows.withColumn("_by", by), [one_per], [oldest("_by"), oldest("property_id"), oldest("land_parcel_id")]).drop("_by")
 
 

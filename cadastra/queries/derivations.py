@@ -692,3 +692,20 @@ def folio_parts(t: Tables):
     )
     rows = t.part.select("p_partkey", folio.alias("folio")).withColumn("f", split_folio("folio"))
     return rows.select("p_partkey", "folio", "f.id", "f.lot", "f.section", "f.plan")
+
+
+@query(
+    "destination_zones",
+    """
+    SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN s_suppkey IS NOT NULL THEN l_suppkey END AS sa2_code,
+      CASE WHEN s_suppkey IS NOT NULL THEN l_returnflag END AS state_code
+    FROM lineitem LEFT JOIN (SELECT s_suppkey FROM supplier WHERE s_nationkey < 15) ON s_suppkey = l_suppkey
+    """,
+)
+def destination_zones(t: Tables):
+    """Line items as destination zones; suppliers of some nations are no known parents."""
+    zones = t.lineitem.select(
+        "l_orderkey", "l_linenumber", "l_partkey", F.col("l_suppkey").alias("sa2_code"), F.col("l_returnflag").alias("state_code")
+    )
+    parents = t.supplier.filter("s_nationkey < 15").select(F.col("s_suppkey").alias("sa2_code"))
+    return layers.clean_destination_zones(zones, parents)

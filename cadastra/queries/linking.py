@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..operators import linkage as li
 from ..operators import shards as sh
 from ..operators.quality import short_shards
+from ..session import cut_lineage
 from .base import Tables, query
 
 # Part names per brand against the same names without their first letter.
@@ -151,3 +152,35 @@ def shard_counts(t: Tables):
     for part in (short, pages):
         out = out.join(part.withColumn("_k", F.lit(1)), "_k")
     return out.drop("_k")
+
+
+@query(
+    "crowded_shards",
+    """
+    WITH r AS (SELECT CAST(date_trunc('quarter', o_orderdate) AS DATE) AS d, CASE WHEN o_orderkey % 9 > 0 THEN o_totalprice END AS v FROM orders)
+    SELECT CAST(d AS VARCHAR) AS d, count(*) AS expected, count(*) AS placed, count(v) AS valued, CAST(0 AS BIGINT) AS too_full,
+      CAST(0 AS BIGINT) AS outside, TRUE AS split FROM r GROUP BY d
+    """,
+)
+def crowded_shards(t: Tables):
+    """Days of many rows are cut by value: what each day's shards announce, hold and hold wrongly."""
+    value = F.when(F.col("o_orderkey") % 9 > 0, F.col("o_totalprice"))
+    rows = cut_lineage(t.orders.select(F.trunc("o_orderdate", "quarter").alias("d"), value.alias("v")), "crowded-days")
+    # About a fifth of a mean quarter.
+    depth = rows.count() // (rows.select("d").distinct().count() * 5) + 1
+    plan = cut_lineage(sh.plan_shards(rows, "d", "v", date(1990, 1, 1), date(2003, 1, 1), 1e6, depth), "shards")
+    placed = sh.with_shard(rows, plan, "d", "v").join(plan.select("shard", "value_from", "value_to", "value_missing"), "shard")
+    right = F.when(F.col("value_missing"), F.col("v").isNull()).otherwise(
+        (F.col("v") >= F.col("value_from")) & (F.col("v") < F.col("value_to"))
+    )
+    held = placed.groupBy("shard", "d").agg(
+        F.count(F.lit(1)).alias("n"), F.count("v").alias("with_value"), F.count_if(~F.coalesce(right, F.lit(False))).alias("wrong")
+    )
+    return plan.join(held, "shard", "left").groupBy(F.col("day_from").cast("string").alias("d")).agg(
+        F.sum("expected").alias("expected"),
+        F.sum("n").alias("placed"),
+        F.sum("with_value").alias("valued"),
+        F.count_if((F.col("n") > depth) & ~F.col("full")).alias("too_full"),
+        F.sum("wrong").alias("outside"),
+        (F.count(F.lit(1)) > 1).alias("split"),
+    )

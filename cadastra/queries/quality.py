@@ -232,3 +232,20 @@ def snapshot_select(t: Tables):
         part = part.select(F.lit(name).alias("mode"), F.col("m").cast("string").alias("month"), "n")
         out = part if out is None else out.unionByName(part)
     return out
+
+
+@query(
+    "append_by_kind",
+    """
+    SELECT o_orderstatus AS kind, o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN 1 ELSE 2 END AS batch FROM orders
+    WHERE o_orderstatus IN ('F', 'O')
+    """,
+)
+def append_by_kind(t: Tables):
+    """Two batches that share half of their records, to one table per kind; the kind without a table is dropped."""
+    folder = scratch_path(t.spark, "kinds")
+    targets = {kind: f"{folder}/{kind}" for kind in ("F", "O")}
+    rows = t.orders.select(F.col("o_orderstatus").alias("kind"), "o_orderkey")
+    for number, part in ((1, rows.filter("o_orderkey % 2 = 0")), (2, rows)):
+        sinks.append_by_kind(part.withColumn("batch", F.lit(number)), "kind", targets, ["o_orderkey"])
+    return t.spark.read.parquet(*targets.values())

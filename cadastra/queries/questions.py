@@ -10,7 +10,6 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from ..operators.keys import keep_first
 from ..plans import analytics
 from .base import Tables, day, query
 
@@ -90,14 +89,7 @@ def best_parcel_per_property(t: Tables):
 
 @query("best_parcel_by_distance", f"WITH {_PLAIN} {_BEST.format(where='', key='mb_code', order='round(pc - per_m2, 6)')}")
 def best_parcel_by_distance(t: Tables):
-    valued = _valued(t)
-    share = analytics.group_percentile(valued, ["mb_code"], "per_m2", 0.75, "pc")
-    rows = valued.filter(F.col("per_m2").isNotNull()).join(share, "mb_code")
-    # Rounded, so that both engines see the same ties.
-    rows = rows.withColumn("_by", F.round(F.col("pc") - F.col("per_m2"), 6)).withColumn(
-        "score", analytics.blended_score("land_value", 0.4)
-    )
-    return _shape(keep_first(rows, ["mb_code"], ["_by", "property_id", "land_parcel_id"]))
+    return _shape(analytics.best_parcels(_valued(t), 0.75, 0.4, order="distance"))
 
 
 @query(

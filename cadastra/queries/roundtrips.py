@@ -309,3 +309,208 @@ def sdmx_flatten(t: Tables):
 )
 def page_links(t: Tables):
     return pages.page_links(t.pages, "url", "html", keep=["page_id"]).select("page_id", "href", "url")
+
+
+# One folder per layout: download date and published year of its files, on the edges of each layout's time.
+_PUBLISHED = [(None, 1999), ("2001-07-31", 2001), ("2012-03-12", 2012), ("2012-03-13", 2012), ("2021-08-23", 2021)]
+
+
+@query(
+    "sale_layouts",
+    """
+    WITH o AS (SELECT o_orderkey % 5 AS k, o_orderkey, o_custkey, o_orderstatus, CAST(o_orderdate AS DATE) AS d,
+        CAST(round(o_totalprice) AS BIGINT) AS price FROM orders),
+    n AS (SELECT k, [1999, 2001, 2012, 2012, 2021][k + 1] AS y, ['1990', '2001-07', '2002', '2012', '2021-08-23'][k + 1] AS layout, * EXCLUDE (k) FROM o)
+    SELECT layout, 'A' AS kind, CASE WHEN k = 0 THEN y || '|' || 'USER' || o_orderkey
+      ELSE y || '|' || CASE WHEN k > 2 THEN 'RTSALEDATA' ELSE '' END || '|' || (o_custkey % 900) || '|USER' || o_orderkey END || '|' || d AS detail FROM n
+    UNION ALL SELECT layout, 'B', o_orderkey || '|' || o_custkey || '|' || d || '|' || price || '|' ||
+      CASE WHEN k = 0 THEN 'A' ELSE 'R2' END || '|' || CASE WHEN k = 0 THEN 'LOT ' || o_orderkey ELSE 'D' || o_orderkey END FROM n
+    UNION ALL SELECT layout, 'C', o_orderkey || '|' || o_custkey || '|1/' || o_orderkey FROM n WHERE k > 0
+    UNION ALL SELECT layout, 'D', o_orderkey || '|' || o_custkey || '|' || o_orderstatus FROM n WHERE k > 0
+    UNION ALL SELECT layout, 'Z', count(*) * 2 || '|' || count(*) FROM n GROUP BY layout
+    UNION ALL SELECT 'rejects', 'none', '0'
+    """,
+)
+def sale_layouts(t: Tables):
+    """All records of all five layouts; the layout follows from each file's download date and published year."""
+    folder = scratch_path(t.spark, "layouts")
+    text = lambda c: F.col(c).cast("string")
+    k, blank = F.col("k"), F.lit("")
+    stamp, compact = F.date_format("o_orderdate", "yyyyMMdd HH:mm"), F.date_format("o_orderdate", "yyyyMMdd")
+    price, district = F.round("o_totalprice").cast("bigint").cast("string"), (F.col("o_custkey") % 900).cast("string")
+    user = F.concat(F.lit("USER"), text("o_orderkey"))
+    head = [district, text("o_custkey"), text("o_orderkey"), stamp]
+
+    def record(kind: str, semicolons: int, *fields):
+        """The fields, then as many empty ones as the layout wants."""
+        return F.concat_ws(";", F.lit(kind), *fields, *[blank] * (semicolons - len(fields)))
+
+    a = (
+        F.when(k == 0, record("A", 5, blank, user, stamp)).when(k < 3, record("A", 4, district, stamp, user))
+        .otherwise(record("A", 5, F.lit("RTSALEDATA"), district, stamp, user))
+    )
+    old = record(
+        "B", 21, district, F.lit("ARCHIVE"), text("o_orderkey"), text("o_custkey"), blank, blank, F.lit("MAIN ST"), F.lit("TOWN"),
+        F.lit("2000"), F.date_format("o_orderdate", "dd/MM/yyyy"), price, F.concat(F.lit("LOT "), text("o_orderkey")),
+        blank, F.lit("M"), blank, blank, F.lit("A"),
+    )
+    new = record(
+        "B", 24, *head, blank, blank, blank, F.lit("MAIN ST"), F.lit("TOWN"), F.lit("2000"), blank, F.lit("M"), compact, compact,
+        price, F.lit("R2"), F.lit("R"), blank, blank, blank, blank, F.lit("0"), F.concat(F.lit("D"), text("o_orderkey")),
+    )
+    c = record("C", 6, *head, F.concat(F.lit("1/"), text("o_orderkey")))
+    d = F.when(k == 4, record("D", 12, *head, text("o_orderstatus"))).otherwise(record("D", 11, *head, text("o_orderstatus")))
+    orders = t.orders.withColumn("k", F.col("o_orderkey") % 5)
+    lines = orders.select("k", F.explode(F.when(k == 0, F.array(a, old)).otherwise(F.array(a, new, c, d))).alias("value"))
+    lines.write.partitionBy("k").text(f"{folder}/records")
+    counts = orders.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    many, n = (F.col("n") * 2).cast("string"), text("n")
+    trailer = F.when(k == 0, record("Z", 3, many, n)).otherwise(record("Z", 5, many, n, n, n))
+    counts.select("k", trailer.alias("value")).write.partitionBy("k").text(f"{folder}/trailers")
+
+    found = read_lines(t.spark, folder)
+    of = F.element_at(F.array(*[F.struct(F.lit(day_).cast("date").alias("d"), F.lit(y).alias("y")) for day_, y in _PUBLISHED]),
+                      F.regexp_extract("file_path", r"/k=(\d)/", 1).cast("int") + 1)
+    manifest = found.select("file_path").distinct().select("file_path", of["d"].alias("download_date"), of["y"].alias("published_year"))
+    records = cut_lineage(sale_files.read_records(found, sale_files.with_layout(manifest)), "records")
+    read = {table: sale_files.typed_table(records, table) for table in sale_files.SALE_TABLES}
+    layouts = records.select("file_path", "layout").distinct()
+    details = {
+        "ps_row_a_legacy": ["year_of_sale", "submitting_user_id", day("date_provided")],
+        "ps_row_a": ["year_of_sale", F.coalesce("file_type", blank), "district_code", "submitting_user_id", day("date_provided")],
+        "ps_row_b_legacy": ["valuation_number", "property_id", day("contract_date"), F.col("purchase_price").cast("bigint"), "zone_code", "land_description"],
+        "ps_row_b": ["sale_counter", "property_id", day("contract_date"), F.col("purchase_price").cast("bigint"), "zone_code", "dealing_number"],
+        "ps_row_c": ["sale_counter", "property_id", "property_description"],
+        "ps_row_d": ["sale_counter", "property_id", "participant"],
+        "ps_row_z": ["total_records", "total_sale_property_details"],
+    }
+    out = t.spark.range(0).select(blank.alias("layout"), blank.alias("kind"), blank.alias("detail"))
+    bad = t.spark.range(0).select("id")
+    for table, fields in details.items():
+        good, rejects = read[table]
+        shown = good.join(layouts, "file_path").select("layout", F.lit(table[7].upper()).alias("kind"), F.concat_ws("|", *fields).alias("detail"))
+        out = out.unionByName(shown)
+        bad = bad.union(rejects.select(F.lit(1).alias("id")))
+    rejected = bad.agg(F.count(F.lit(1)).cast("string").alias("detail"))
+    return out.unionByName(rejected.select(F.lit("rejects").alias("layout"), F.lit("none").alias("kind"), "detail"))
+
+
+@query(
+    "sdmx_metadata",
+    """
+    WITH c AS (SELECT p_brand AS b, p_type AS code, count(*) AS n FROM part GROUP BY 1, 2), b AS (SELECT DISTINCT p_brand AS b FROM part),
+    m AS (SELECT p_brand AS b, min(p_size) AS lo, max(p_size) AS hi FROM part GROUP BY 1)
+    SELECT 'code' AS kind, 'CL ' || b AS owner, code AS id, 'Name of ' || code || '|' || n || '|' || CASE WHEN n % 2 = 0 THEN 'more on ' || code ELSE '' END AS detail FROM c
+    UNION ALL SELECT 'dimension', 'DS ' || b, 'TYPE', 'Dimension|1|C.TYPE|CL ' || b || '|' FROM b
+    UNION ALL SELECT 'dimension', 'DS ' || b, 'TIME_PERIOD', 'TimeDimension|2|C.TIME||ObservationalTimePeriod' FROM b
+    UNION ALL SELECT 'measure', 'DS ' || b, 'OBS_VALUE', 'C.VALUE|Double|false' FROM b
+    UNION ALL SELECT 'attribute', 'DS ' || b, 'UNIT', 'Mandatory|C.UNIT||TYPE,TIME_PERIOD' FROM b
+    UNION ALL SELECT 'attribute', 'DS ' || b, 'STATUS', 'Conditional|C.STATUS|OBS_VALUE|' FROM b
+    UNION ALL SELECT 'concept', 'CS ' || b, code, 'Name of ' || code FROM c
+    UNION ALL SELECT 'dataflow', b, 'Flow of ' || b, 'About ' || b || '|' || lo || '|' || hi || '|TIME_PERIOD,TYPE|TYPE||'
+      || 'urn:sdmx:org.sdmx.infomodel.datastructure.Dataflow=ABS:' || b || '(1.2)' FROM m
+    UNION ALL SELECT 'constraint', 'CC ' || b, 'TYPE', string_agg(code, ',' ORDER BY code) || '||' FROM c GROUP BY b
+    UNION ALL SELECT 'constraint', 'CC ' || b, 'TIME_PERIOD', '|' || (1960 + lo) || '-01-01 true|' || (1960 + hi) || '-12-31 false' FROM m
+    """,
+)
+def sdmx_metadata(t: Tables):
+    """One structure message per brand with its types as codes, flattened by every reader of metadata."""
+    brand = F.col("b")
+    codes = t.part.groupBy(F.col("p_brand").alias("b"), F.col("p_type").alias("code")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("p_size").alias("lo"), F.max("p_size").alias("hi")
+    )
+    listed = F.array_sort(F.collect_list(F.struct("code", "n")))
+    brands = codes.groupBy("b").agg(listed.alias("codes"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+
+    def named(**fields):
+        return F.struct(*[(F.lit(v) if isinstance(v, str) else v).alias(name) for name, v in fields.items()])
+
+    def note(kind: str, **fields):
+        none = F.lit(None).cast("string")
+        return named(type=kind, title=fields.get("title", none), text=fields.get("text", none))
+
+    def a_code(c):
+        more = F.when(c["n"] % 2 == 0, F.concat(F.lit("more on "), c["code"]))
+        notes = F.array(note("ORDER", text=c["n"].cast("string")), note("FURTHER_INFORMATION", text=more))
+        return named(id=c["code"], name=F.concat(F.lit("Name of "), c["code"]), annotations=notes)
+
+    def component(name: str, concept: str, kind: str = "", place: int = 0, listing=None, text: str | None = None):
+        format_ = named(textType=F.lit(text), isMultiLingual=F.lit(False), isSequence=F.lit(False))
+        local = named(enumeration=F.lit(None).cast("string") if listing is None else listing, textFormat=format_)
+        return named(id=name, type=kind, position=F.lit(place), conceptIdentity=concept, localRepresentation=local)
+
+    def attribute(name: str, status: str, concept: str, relation):
+        return named(id=name, assignmentStatus=status, conceptIdentity=concept, attributeRelationship=relation)
+
+    none, no_list = F.lit(None).cast("string"), F.lit(None).cast("array<string>")
+    own = F.array(F.lit("TYPE"), F.lit("TIME_PERIOD"))
+    parts = named(
+        dimensionList=named(
+            dimensions=F.array(component("TYPE", "C.TYPE", "Dimension", 1, F.concat(F.lit("CL "), brand))),
+            timeDimensions=F.array(component("TIME_PERIOD", "C.TIME", "TimeDimension", 2, text="ObservationalTimePeriod")),
+        ),
+        measureList=named(primaryMeasure=component("OBS_VALUE", "C.VALUE", text="Double")),
+        attributeList=named(
+            attributes=F.array(
+                attribute("UNIT", "Mandatory", "C.UNIT", named(primaryMeasure=none, dimensions=own)),
+                attribute("STATUS", "Conditional", "C.STATUS", named(primaryMeasure=F.lit("OBS_VALUE"), dimensions=no_list)),
+            )
+        ),
+    )
+    default = F.concat(F.lit("FROM="), F.col("lo").cast("string"), F.lit(",TILL="), F.col("hi").cast("string"))
+    flow_notes = F.array(
+        note("DEFAULT", title="FROM=0,TILL=0"), note("DEFAULT", title=default), note("LAYOUT_COLUMN", title="TIME_PERIOD,TYPE"),
+        note("LAYOUT_ROW", title="TYPE"), note("LAYOUT_ROW_SECTION", title=""),
+    )
+
+    def period(year, rest: str, inclusive: bool):
+        return named(period=F.concat((1960 + year).cast("string"), F.lit(rest)), isInclusive=F.lit(inclusive))
+
+    spans = named(startPeriod=period(F.col("lo"), "-01-01T00:00:00", True), endPeriod=period(F.col("hi"), "-12-31T00:00:00", False))
+    keys = F.array(
+        named(id="TYPE", values=F.transform("codes", lambda c: c["code"]), timeRange=F.when(F.lit(False), spans)),
+        named(id="TIME_PERIOD", values=no_list, timeRange=F.when(F.lit(True), spans)),
+    )
+    version = {"version": "1.2"}
+    data = named(
+        dataStructures=F.array(named(id=F.concat(F.lit("DS "), brand), **version, dataStructureComponents=parts)),
+        codelists=F.array(named(id=F.concat(F.lit("CL "), brand), **version, codes=F.transform("codes", a_code))),
+        conceptSchemes=F.array(named(
+            id=F.concat(F.lit("CS "), brand), **version,
+            concepts=F.transform("codes", lambda c: named(id=c["code"], name=F.concat(F.lit("Name of "), c["code"]))),
+        )),
+        dataflows=F.array(named(
+            id=brand, **version, name=F.concat(F.lit("Flow of "), brand), description=F.concat(F.lit("About "), brand), annotations=flow_notes,
+        )),
+        contentConstraints=F.array(named(
+            id=F.concat(F.lit("CC "), brand), **version, constraintAttachment=named(dataflows=F.array(brand)),
+            cubeRegions=F.array(named(keyValues=keys)),
+        )),
+    )
+    messages = cut_lineage(brands.select(F.to_json(named(data=data)).alias("body")), "messages")
+
+    def shown(rows: DataFrame, kind: str, owner: str, name: str, *fields):
+        texts = [F.coalesce((F.col(f) if isinstance(f, str) else f).cast("string"), F.lit("")) for f in fields]
+        return rows.select(F.lit(kind).alias("kind"), F.col(owner).alias("owner"), F.col(name).alias("id"), F.concat_ws("|", *texts).alias("detail"))
+
+    def edge(time: str, inclusive: str):
+        return F.concat_ws(" ", day(time), F.when(F.col(time).isNotNull(), F.col(inclusive).cast("string")))
+
+    joined = lambda c: F.array_join(c, ",")
+    tables = [
+        shown(sdmx.code_lists(messages, "body"), "code", "code_list", "code", "name", "code_order", "further_information"),
+        shown(sdmx.dimensions(messages, "body"), "dimension", "data_structure", "dimension", "type", "position", "concept_identity",
+              "enumeration", "text_type"),
+        shown(sdmx.measures(messages, "body"), "measure", "data_structure", "measure", "concept_identity", "text_type", "is_sequence"),
+        shown(sdmx.attributes(messages, "body"), "attribute", "data_structure", "attribute", "assignment_status", "concept_identity",
+              "primary_measure", joined("dimensions")),
+        shown(sdmx.concepts(messages, "body"), "concept", "concept_scheme", "concept", "name"),
+        shown(sdmx.dataflows(messages, "body"), "dataflow", "dataflow", "name", "description", F.col("default_parameters")["FROM"],
+              F.col("default_parameters")["TILL"], joined("layout_column"), joined("layout_row"), joined("layout_row_section"), "urn"),
+        shown(sdmx.content_constraints(messages, "body"), "constraint", "constraint", "dimension", joined("allowed"),
+              edge("time_from", "from_inclusive"), edge("time_to", "to_inclusive")),
+    ]
+    out = tables[0]
+    for table in tables[1:]:
+        out = out.unionByName(table)
+    return out

@@ -317,3 +317,34 @@ def ring_repair(t: Tables):
         F.when(F.col("fixed").isNotNull(), F.size("fixed")).alias("n_rings"),
         F.when(F.col("fixed").isNotNull(), F.size(F.filter("fixed", lambda r: sp.ring_area(r) < 0))).alias("n_holes"),
     )
+
+
+# Lots of lon/lat rectangles, two areas that cut through them.
+_LANDS = """
+    lands AS (SELECT c_custkey AS property_id, 150 + c_custkey % 83 * 0.004::DOUBLE AS x, -34 + c_custkey % 61 * 0.003::DOUBLE AS y,
+      0.001::DOUBLE * (1 + c_custkey % 9) AS d FROM customer)
+"""
+
+
+@query(
+    "value_per_square_metre",
+    f"""
+    WITH {_LANDS}, {_LATEST}, s AS (
+      SELECT property_id, d, y, greatest(least(x + d, 150.2001::DOUBLE) - greatest(x, 150.0303::DOUBLE), 0)
+        * greatest(least(y + d, -33.9003::DOUBLE) - greatest(y, -33.9907::DOUBLE), 0) / (d * d) AS share FROM lands),
+    w AS (
+      SELECT property_id, land_value / (6378137.0 * 6378137.0 / 2 * radians(d) * ({_q('y + d')} - {_q('y')})) AS per_sqm
+      FROM s JOIN v USING (property_id) WHERE share > 0.5)
+    SELECT property_id, round(per_sqm, 5) AS per_sqm, rank() OVER (ORDER BY per_sqm) AS rank FROM w
+    """,
+)
+def value_per_square_metre(t: Tables):
+    """Latest value per square metre, ranked, of the properties lying mostly in an area."""
+    key = F.col("c_custkey")
+    x, y = 150 + key % 83 * F.lit(0.004), -34 + key % 61 * F.lit(0.003)
+    d = F.lit(0.001) * (1 + key % 9)
+    lands = t.customer.select(key.alias("property_id"), rectangle(x, y, x + d, y + d).alias("geometry"))
+    box = rectangle(F.lit(150.0303), F.lit(-33.9907), F.lit(150.2001), F.lit(-33.9003))
+    area = t.region.filter("r_regionkey = 0").select(box.alias("area_geometry"))
+    ranked = analytics.ranked_values(lands, area, _valuations(t), 0.05)
+    return ranked.select("property_id", F.round("per_sqm", 5).alias("per_sqm"), "rank")

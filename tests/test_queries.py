@@ -17,10 +17,6 @@ oracle_check = importlib.util.module_from_spec(_spec)
 _spec.loader.exec_module(oracle_check)
 
 
-# Queries without SQL; other tests hold them against brute force.
-BY_HAND = {"fuzzy_assign"}
-
-
 @pytest.fixture(scope="module")
 def con():
     return oracle_check.connect(FOLDER)
@@ -29,7 +25,7 @@ def con():
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
     line = oracle_check.compare(spark, con, name, FOLDER)
-    assert line.startswith("ROWS" if name in BY_HAND else "ok"), line
+    assert line.startswith("ok"), line
 
 
 def test_every_sql_has_its_query():
