@@ -8,6 +8,7 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import cut_lineage
 from .keys import keep_first
@@ -38,6 +39,41 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
 
 
+#: Types whose smallest and largest value stored files announce.
+_RANGED = (T.NumericType, T.StringType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)
+
+
+def key_range(batch: DataFrame, keys: Sequence[str]) -> Column:
+    """Condition on stored rows that can share a key with ``batch``: inside its smallest and largest value of every key.
+
+    Missing keys count as equal, so they are looked for if the batch has some.
+    Keys of other types than numbers, texts, dates and times narrow nothing.
+    """
+    ranged = [k for k in keys if isinstance(batch.schema[k].dataType, _RANGED)]
+    if not ranged:
+        return F.lit(True)
+    found = batch.agg(*[f(k) for k in ranged for f in (F.min, F.max, lambda c: F.count_if(F.col(c).isNull()))]).first()
+    condition = F.lit(True)
+    for at, key in enumerate(ranged):
+        low, high, missing = found[3 * at : 3 * at + 3]
+        kind = batch.schema[key].dataType
+        inside = F.lit(False) if low is None else F.col(key).between(F.lit(low).cast(kind), F.lit(high).cast(kind))
+        condition = condition & (inside | F.col(key).isNull() if missing else inside)
+    return condition
+
+
+def stored_near(batch: DataFrame, path: str, keys: Sequence[str], within: Column | None = None) -> DataFrame | None:
+    """Stored rows that can share a key with ``batch``, None without a table.
+
+    ``within`` (a file, a period) or else the batch's range of keys is pushed
+    into the scan, which passes over files and row groups that lie outside.
+    """
+    spark = batch.sparkSession
+    if not table_exists(spark, path):
+        return None
+    return spark.read.schema(batch.schema).parquet(path).filter(key_range(batch, keys) if within is None else within)
+
+
 def append_new(
     batch: DataFrame,
     path: str,
@@ -47,27 +83,19 @@ def append_new(
 ) -> None:
     """Idempotent append: running the same batch twice adds nothing.
 
-    ``within`` narrows the stored rows that can share a key with the batch
-    (a file, a period); it is pushed into the scan of the table.
+    ``within`` narrows the stored rows that can share a key with the batch; without it the range of its keys does.
     """
-    spark = batch.sparkSession
-    existing = spark.read.schema(batch.schema).parquet(path) if table_exists(spark, path) else None
-    if existing is not None and within is not None:
-        existing = existing.filter(within)
-    new_rows(batch, existing, keys, order).write.mode("append").parquet(path)
+    new_rows(batch, stored_near(batch, path, keys, within), keys, order).write.mode("append").parquet(path)
 
 
 def append_strict(batch: DataFrame, path: str, keys: Sequence[str], within: Column | None = None) -> None:
     """Append that fails when a key repeats within the batch or with the table.
 
-    Of the stored table only the keys are read, and with ``within`` only those
-    of the rows that can share one with the batch.
+    Of the stored table only the keys are read, of the rows that can share one with the batch.
     """
-    spark = batch.sparkSession
     require_empty(repeated_keys(batch, keys), f"repeated key in a batch for {path}")
-    if table_exists(spark, path):
-        stored = spark.read.schema(batch.schema).parquet(path)
-        stored = stored if within is None else stored.filter(within)
+    stored = stored_near(batch, path, keys, within)
+    if stored is not None:
         have = stored.select(*[F.col(k).alias(f"_have_{k}") for k in keys])
         same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_have_{k}")) for k in keys])
         require_empty(batch.select(*keys).join(have, same, "left_semi"), f"repeated key in {path}")

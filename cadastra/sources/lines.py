@@ -8,8 +8,9 @@ held by one task.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamReader
 
 from ..operators.hold import hold
 
@@ -24,17 +25,26 @@ def plain_path(path: Column | str) -> Column:
 
 def read_lines(spark: SparkSession, paths: str | list[str], glob: str | None = None) -> DataFrame:
     """Raw lines (carriage returns kept) with their file and block."""
-    reader = spark.read.option("lineSep", "\n").option("recursiveFileLookup", "true")
+    reader = spark.read
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return reader.text(paths).select(
+    return in_sequence(plain_lines(reader, paths))
+
+
+def plain_lines(reader: DataFrameReader | DataStreamReader, paths: str | list[str]) -> DataFrame:
+    """Lines with file and block from any reader of files, also one of a stream."""
+    return reader.option("lineSep", "\n").option("recursiveFileLookup", "true").text(paths).select(
         plain_path("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_seq"),
         F.col("value"),
     )
 
 
+def in_sequence(lines: DataFrame) -> DataFrame:
+    """Lines numbered in the order in which each block was read."""
+    return lines.withColumn("_seq", F.monotonically_increasing_id())
+
+
 def number_lines(
     lines: DataFrame,
     counters: dict[str, Column] | None = None,

@@ -13,10 +13,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..operators.sinks import append_new
-from ..sources.lines import plain_path
+from ..operators.sinks import append_new, key_range
+from ..session import cut_lineage
+from ..sources.lines import in_sequence, plain_lines
 from ..sources.manifest import download_date
-from ..sources.sale_files import SALE_TABLES, read_sale_files, typed_table, with_layout
+from ..sources.sale_files import SALE_TABLES, read_records, typed_table, with_layout
 
 Transform = Callable[[DataFrame], DataFrame]
 
@@ -57,30 +58,20 @@ def ingest_sale_files(
 ) -> None:
     """Sale files below ``root`` not seen yet, appended to one table per record kind.
 
-    The stream only tracks file names; the files of a batch go through the
-    ordinary reader.  ``published_year`` is an expression over ``file_path``.
+    The stream is one of lines; those of a batch go through the ordinary record
+    reader, and files, layouts and what is stored already are tables joined on
+    the file.  ``published_year`` is an expression over ``file_path``.
     """
-    names = (
-        spark.readStream.format("binaryFile")
-        .schema("path string, modificationTime timestamp, length bigint, content binary")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.DAT")
-        .option("maxFilesPerTrigger", files_per_batch)
-        .load(root)
-        .select(plain_path("path").alias("file_path"))
-    )
+    stream = spark.readStream.option("pathGlobFilter", "*.DAT").option("maxFilesPerTrigger", files_per_batch)
+    found = plain_lines(stream, root)
 
     def take(batch: DataFrame, _: int) -> None:
-        paths = [r.file_path for r in batch.collect()]
-        if not paths:
-            return
+        files = cut_lineage(batch.select("file_path").distinct(), "new-files")
         manifest = with_layout(
-            spark.createDataFrame([(p,) for p in paths], "file_path string")
-            .withColumn("published_year", published_year)
-            .withColumn("download_date", download_date("file_path"))
+            files.withColumn("published_year", published_year).withColumn("download_date", download_date("file_path"))
         )
-        records = read_sale_files(spark, paths, manifest)
-        same_files = F.col("file_path").isin(paths)
+        records = cut_lineage(read_records(in_sequence(batch), manifest), "new-records")
+        same_files = key_range(files, ["file_path"])
         for table in SALE_TABLES:
             rows, rejects = typed_table(records, table)
             # What cannot be read is kept beside its table: the file counts as taken.
@@ -88,7 +79,7 @@ def ingest_sale_files(
                 append_new(found, f"{target}/{kind}", ["file_path", "position"], within=same_files)
 
     query = (
-        names.writeStream.option("checkpointLocation", checkpoint)
+        found.writeStream.option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .foreachBatch(take)
         .start()

@@ -503,3 +503,21 @@ def test_local_session_without_setting_gets_a_folder(spark, monkeypatch):
     monkeypatch.setattr(Bare.sparkContext, "master", "spark://x:1")
     with pytest.raises(ValueError, match="checkpoint"):
         session.shared_folder(Bare)
+
+
+def test_append_looks_only_where_its_keys_can_be(spark, tmp_path):
+    """The stored table is scanned within the batch's smallest and largest keys, without being told a period."""
+    path = str(tmp_path / "t")
+    rows = lambda keys: spark.createDataFrame([(k, None if k is None else f"f{k:05}") for k in keys], "k long, f string")
+    sinks.append_new(rows(range(100)), path, ["k", "f"])
+    sinks.append_new(rows([*range(90, 200), 99, None]), path, ["k", "f"])
+    sinks.append_new(rows([None, 150]), path, ["k", "f"])
+    assert sorted(r.k for r in spark.read.parquet(path).filter("k IS NOT NULL").collect()) == list(range(200))
+    assert spark.read.parquet(path).filter("k IS NULL").count() == 1
+    near = sinks.stored_near(rows(range(5000, 5010)), path, ["k", "f"])
+    plan = near._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(k,5000), LessThanOrEqual(k,5009)" in plan and near.count() == 0
+    assert sinks.stored_near(rows([]), path, ["k"]).count() == 0
+    with pytest.raises(ConstraintError):
+        sinks.append_strict(rows([7]), path, ["k"])
+    sinks.append_strict(rows([700]), path, ["k"])
