@@ -24,12 +24,17 @@ def repeated_keys(df: DataFrame, keys: Sequence[str], where: Column | None = Non
 def rule_report(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
     """Violations per rule in one pass; a rule that evaluates to NULL holds."""
     counts = df.agg(
-        *[F.count_if(~F.coalesce(rule, F.lit(True))).alias(name) for name, rule in rules.items()]
+        *[broken_rule(rule).alias(name) for name, rule in rules.items()]
     )
     pairs = F.array(*[F.struct(F.lit(n).alias("rule"), F.col(f"`{n}`").alias("violations")) for n in rules])
     return counts.select(F.inline(pairs))
 
 
+def broken_rule(rule: Column) -> Column:
+    """How many rows break a rule; a rule that evaluates to NULL holds."""
+    return F.count_if(~F.coalesce(rule, F.lit(True)))
+
+
 def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:
     """Non-null child keys without parent, with their row counts."""
     used = child.filter(F.col(child_key).isNotNull()).groupBy(child_key).agg(F.count(F.lit(1)).alias("n"))

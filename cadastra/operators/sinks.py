@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import cut_lineage
 from .keys import keep_first
-from .quality import repeated_keys, require_empty
+from .quality import ConstraintError, broken_rule, repeated_keys, require_empty
 
 BUCKETS = 8
 
@@ -120,6 +121,28 @@ def rebuild(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def load_checked(df: DataFrame, path: str, rules: dict[str, Column], strict: bool = True) -> dict[str, int]:
+    """Replace a table and count, in the pass that writes it, the ``rows`` and what breaks each rule.
+
+    The table is written beside its place and moved there when all rules hold,
+    or whatever they say if not ``strict``; otherwise the old one stays.
+    """
+    spark = df.sparkSession
+    seen, beside = Observation(), f"{path.rstrip('/')}-{os.urandom(8).hex()}"
+    counts = [broken_rule(rule).alias(f"rule{i}") for i, rule in enumerate(rules.values())]
+    df.observe(seen, F.count(F.lit(1)).alias("rows"), *counts).write.parquet(beside)
+    found = {name: seen.get[f"rule{i}"] for i, name in enumerate(rules)}
+    written, place = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (beside, path))
+    files = written.getFileSystem(spark._jsc.hadoopConfiguration())
+    if strict and any(found.values()):
+        files.delete(written, True)
+        raise ConstraintError(f"{path}: {({k: n for k, n in found.items() if n})}")
+    files.delete(place, True)
+    if not files.rename(written, place):
+        raise OSError(f"{beside} can't be moved to {path}")
+    return {"rows": seen.get["rows"], **found}
+
+
 def save_bucketed(df: DataFrame, table: str, key: str, path: str, buckets: int = BUCKETS) -> DataFrame:
     """Hash-bucketed and sorted table, so joins and windows on ``key`` need no shuffle."""
     (

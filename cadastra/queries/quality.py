@@ -249,3 +249,30 @@ def append_by_kind(t: Tables):
     for number, part in ((1, rows.filter("o_orderkey % 2 = 0")), (2, rows)):
         sinks.append_by_kind(part.withColumn("batch", F.lit(number)), "kind", targets, ["o_orderkey"])
     return t.spark.read.parquet(*targets.values())
+
+
+@query(
+    "checked_load",
+    """
+    SELECT 'rows' AS rule, count(*) AS n, sum(l_orderkey) AS stored FROM lineitem
+    UNION ALL SELECT 'discount below quantity', count(*) FILTER (NOT (l_discount * 100 < l_quantity)), sum(l_orderkey) FROM lineitem
+    UNION ALL SELECT 'returned before 1996', count(*) FILTER (l_returnflag = 'R' AND year(l_shipdate) >= 1996), sum(l_orderkey) FROM lineitem
+    UNION ALL SELECT 'has a key', 0, sum(l_orderkey) FROM lineitem
+    """,
+)
+def checked_load(t: Tables):
+    """Rules counted in the pass that writes the table, beside what is stored then; a strict load of it is refused and changes nothing."""
+    path = scratch_path(t.spark, "checked")
+    rules = {
+        "discount below quantity": F.col("l_discount") * 100 < F.col("l_quantity"),
+        "returned before 1996": (F.col("l_returnflag") != "R") | (F.year("l_shipdate") < 1996),
+        "has a key": F.col("l_orderkey").isNotNull(),
+    }
+    found = sinks.load_checked(t.lineitem, path, rules, strict=False)
+    try:
+        sinks.load_checked(t.lineitem.filter("l_quantity > 10"), path, {"few": F.col("l_quantity") <= 10})
+    except qu.ConstraintError:
+        pass
+    stored = t.spark.read.parquet(path).agg(F.sum("l_orderkey").alias("stored"))
+    counts = F.array(*[F.struct(F.lit(k).alias("rule"), F.lit(n).cast("long").alias("n")) for k, n in found.items()])
+    return stored.select(F.inline(counts), "stored")

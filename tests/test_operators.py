@@ -521,3 +521,15 @@ def test_append_looks_only_where_its_keys_can_be(spark, tmp_path):
     with pytest.raises(ConstraintError):
         sinks.append_strict(rows([7]), path, ["k"])
     sinks.append_strict(rows([700]), path, ["k"])
+
+
+def test_load_with_rules(spark, tmp_path):
+    """Rules are counted by the writing pass; a strict load that breaks one leaves the old table and no other."""
+    path, rows = str(tmp_path / "t"), spark.range(10).withColumn("v", F.when(F.col("id") > 2, F.col("id")))
+    rules = {"small": F.col("id") < 8, "v is id": F.col("v") == F.col("id"), "odd `name`": F.col("id") % 2 == 1}
+    assert sinks.load_checked(rows, path, rules, strict=False) == {"rows": 10, "small": 2, "v is id": 0, "odd `name`": 5}
+    with pytest.raises(ConstraintError, match="small.*1"):
+        sinks.load_checked(rows.filter("id IN (1, 9)"), path, {"small": rules["small"]})
+    assert spark.read.parquet(path).count() == 10 and [p.name for p in tmp_path.iterdir()] == ["t"]
+    assert sinks.load_checked(rows.limit(0), path, rules) == {"rows": 0, "small": 0, "v is id": 0, "odd `name`": 0}
+    assert spark.read.parquet(path).count() == 0
