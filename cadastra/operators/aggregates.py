@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import cut_lineage
 from .joins import null_safe_join
 
+#: Seed of the second key that spreads a frequent value over ranges.
+SALT_SEED = 7
 
 def concat_in_order(
     df: DataFrame, keys: Sequence[str], text: str, order: str, out: str, *others: Column
@@ -149,15 +156,54 @@ def group_percentile(df: DataFrame, keys: Sequence[str], value: str, share: floa
     return found.select(*keys, (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * part).alias(out))
 
 
+def _first_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds to the sorted rows of a task its number and the place of the first row with the same value."""
+    task, seen, first, last = TaskContext.get().partitionId(), 0, 0, None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        values = batch.column("_v")
+        before = pa.concat_arrays([last if last is not None else values[:1], values[:-1]])
+        new = pc.not_equal(values, before)
+        if pa.types.is_floating(values.type):
+            new = pc.and_(new, pc.invert(pc.and_(pc.is_nan(values), pc.is_nan(before))))
+        at = np.arange(seen, seen + batch.num_rows)
+        firsts = np.maximum.accumulate(np.where(new.to_numpy(zero_copy_only=False), at, first))
+        seen, first, last = seen + batch.num_rows, int(firsts[-1]), values[-1:]
+        numbers = [pa.array(np.full(batch.num_rows, task, "int32")), pa.array(firsts)]
+        yield pa.RecordBatch.from_arrays([*batch.columns, *numbers], names=[*batch.schema.names, "_slice", "_first"])
+
+
 def global_rank(df: DataFrame, value: str, out: str = "rank") -> DataFrame:
     """``RANK() OVER (ORDER BY value NULLS LAST)`` without sorting the table in one task.
 
-    Values keep their own type, so neighbours beyond 2^53 stay apart.
+    Rows move once, into ranges of the value that are sampled; a random second
+    key lets a value that fills several ranges lie in all of them.  A task
+    streams through its sorted range and notes where each value starts; totals
+    of the ranges (one row each) turn that into a rank.  A value that began in
+    an earlier range takes its place from there.  Values keep their own type,
+    so neighbours beyond 2^53 stay apart; NaN is one value above all others;
+    an empty table gives no rows.
     """
-    hist = df.select(F.col(value).alias("_v")).groupBy("_v").agg(F.count(F.lit(1)).alias("_n"))
-    placed = running_position(hist.filter(F.col("_v").isNotNull()), [], "_v", "_n")
-    ranks = placed.select("_v", (F.col("before") + 1).alias(out))
-    known = df.filter(F.col(value).isNotNull()).withColumn("_v", F.col(value)).join(ranks, "_v").drop("_v")
+    spark = df.sparkSession
+    slices = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    rows = df.filter(F.col(value).isNotNull()).withColumn("_v", F.col(value))
+    ranged = rows.repartitionByRange(slices, F.col("_v"), F.rand(SALT_SEED)).sortWithinPartitions("_v")
+    schema = T.StructType([*rows.schema.fields, T.StructField("_slice", T.IntegerType()), T.StructField("_first", T.LongType())])
+    placed = cut_lineage(ranged.mapInArrow(_first_places, schema), "ranges")
+
+    totals = placed.groupBy("_slice").agg(
+        F.count(F.lit(1)).alias("_n"), F.max("_first").alias("_tail"), F.min("_v").alias("_low"), F.max("_v").alias("_high")
+    )
+    # One row per range: the only window without a key.
+    earlier = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.withColumn("_offset", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+    begun = offsets.groupBy(F.col("_high").alias("_low")).agg(F.min(F.col("_offset") + F.col("_tail")).alias("_begun"))
+    heads = offsets.join(begun, "_low", "left").select(
+        "_slice", "_offset", F.least("_offset", F.coalesce("_begun", "_offset")).alias("_head")
+    )
+    smaller = F.when(F.col("_first") == 0, F.col("_head")).otherwise(F.col("_offset") + F.col("_first"))
+    known = placed.join(F.broadcast(heads), "_slice").select(*df.columns, (smaller + 1).alias(out))
     valued = df.agg((F.count(value) + 1).alias(out))
     return known.unionByName(df.filter(F.col(value).isNull()).join(F.broadcast(valued)))
 
