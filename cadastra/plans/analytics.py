@@ -117,6 +117,73 @@ def best_parcels(
     return keep_first(rows.withColumn("_by", by), [one_per], [oldest("_by"), oldest("property_id"), oldest("land_parcel_id")]).drop("_by")
 
 
+def blocks_mostly_in(
+    blocks: DataFrame, regions: DataFrame, column: str, names: Sequence[str], cell: float, share: float = 0.5
+) -> DataFrame:
+    """Blocks (``mb_code, geometry``) with more than ``share`` of their area in a named region (``area_geometry``), once each."""
+    chosen = named_area(regions, column, names).select("area_geometry")
+    inside = overlap_join(blocks.select("mb_code", "geometry"), chosen, "geometry", "area_geometry", cell, share)
+    # Regions may overlap: a block counts once.
+    return keep_first(inside.select("mb_code", "geometry", "share"), ["mb_code"], [newest("share")]).drop("share")
+
+
+def parcel_blocks(address_detail: DataFrame, address_block: DataFrame, block: DataFrame) -> DataFrame:
+    """The blocks a parcel has addresses in: parcel, address, block id, block code."""
+    chain = (
+        address_detail.select("address_detail_pid", F.col("legal_parcel_id").alias("land_parcel_id"))
+        .filter(F.col("land_parcel_id").isNotNull())
+        .join(address_block.select("address_detail_pid", "mb_pid"), "address_detail_pid")
+        .join(block.select("mb_pid", "mb_code"), "mb_pid")
+    )
+    return chain.select("land_parcel_id", "mb_code").distinct()
+
+
+def described_parcels(
+    best: DataFrame, descriptions: DataFrame, streets: DataFrame, suburbs: DataFrame, blocks: DataFrame
+) -> DataFrame:
+    """The chosen parcels with description, street and suburb names, and the geometry of their block.
+
+    What is not known is null; of several descriptions the first in order of text is shown.
+    """
+    one = keep_first(descriptions.select("property_id", "property_description"), ["property_id"], [oldest("property_description")])
+    return (
+        best.join(one, "property_id", "left")
+        .join(streets.select("street_id", F.col("street_name").alias("street")), "street_id", "left")
+        .join(suburbs.select("suburb_id", F.col("suburb_name").alias("suburb")), "suburb_id", "left")
+        .join(blocks.select("mb_code", "geometry"), "mb_code")
+        .select(
+            "mb_code", "property_description", "land_parcel_id", "property_name", "property_id", "zone_code",
+            F.col("score").alias("rank"), "per_m2", "land_value", "area", F.col("unit_number").alias("unit"),
+            F.col("house_number").alias("house"), "street", "suburb", "postcode", "geometry",
+        )
+    )
+
+
+def best_parcels_in(
+    tables: dict[str, DataFrame],
+    regions: Sequence[str],
+    percentile: float,
+    linear_share: float,
+    cell: float,
+    in_hectares: Sequence = (),
+    one_per: str = "mb_code",
+    order: str = "value",
+    zone_codes: Sequence[str] | None = None,
+) -> DataFrame:
+    """The whole question: blocks lying mostly in named regions, parcels in them, the best parcel per block or property.
+
+    Tables: ``mesh_block, region, property, land_parcel_link, address_detail,
+    address_mesh_block, mb, valuation, property_description, street, suburb``.
+    """
+    t = tables
+    # Read for the choice of parcels and again for their geometry.
+    blocks = cut_lineage(blocks_mostly_in(t["mesh_block"], t["region"], "region_name", regions, cell), "chosen-blocks")
+    places = parcel_blocks(t["address_detail"], t["address_mesh_block"], t["mb"])
+    valued = parcel_values(blocks, t["property"], t["land_parcel_link"], places, t["valuation"], in_hectares)
+    best = best_parcels(valued, percentile, linear_share, one_per, order, zone_codes)
+    return described_parcels(best, t["property_description"], t["street"], t["suburb"], blocks)
+
+
 def top_value_per_block(valued: DataFrame) -> DataFrame:
     """The dearest parcel of each block; an unknown value sorts first, as in the source query."""
     return keep_first(valued, ["mb_code"], [newest("per_m2"), oldest("property_id"), oldest("land_parcel_id")])

@@ -10,6 +10,7 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
+from ..operators.spatial import planar_area
 from ..plans import analytics
 from .base import Tables, day, query
 
@@ -105,6 +106,104 @@ def top_value_per_block(t: Tables):
     return out.select("mb_code", "property_id", "land_parcel_id", F.round("per_m2", 8).alias("per_m2"))
 
 
+# The whole question: nations are regions in a grid of 200 by 200, suppliers blocks of which many cross its lines.
+_WHOLE = """
+    WITH mb AS (SELECT s_suppkey AS mb_code, (s_suppkey * 53) % 997 AS cx, (s_suppkey * 71) % 991 AS cy, 10 + s_suppkey % 30 AS w, 10 + s_suppkey % 40 AS h FROM supplier),
+    region_box AS (SELECT n_nationkey % 5 * 200 AS ax, n_nationkey // 5 * 200 AS ay FROM nation WHERE n_nationkey % 3 > 0),
+    blocks AS (
+      SELECT mb_code, w, h FROM mb, region_box
+      WHERE greatest(least(cx + w, ax + 200) - greatest(cx, ax), 0) * greatest(least(cy + h, ay + 200) - greatest(cy, ay), 0) * 2 > w * h),
+    p AS (SELECT p_partkey AS property_id, p_brand AS zone_code, p_name AS property_name,
+            CASE WHEN p_partkey % 13 <> 0 THEN CAST(p_size AS DOUBLE) END AS area,
+            CASE WHEN p_partkey % 4 = 0 THEN CAST(p_partkey % 30 AS VARCHAR) END AS unit, CAST(p_size AS VARCHAR) AS house,
+            CASE WHEN p_partkey % 7 > 0 THEN p_partkey % 30 END AS street_id, p_partkey % 6 AS suburb_id,
+            CAST(2000 + p_size AS INTEGER) AS postcode FROM part),
+    detail AS (SELECT l_orderkey || '-' || l_linenumber AS pid, l_partkey || '/' || l_linenumber AS land_parcel_id FROM lineitem),
+    address_block AS (SELECT l_orderkey || '-' || l_linenumber AS pid, l_suppkey AS mb_code FROM lineitem),
+    place AS (SELECT DISTINCT land_parcel_id, mb_code FROM detail JOIN address_block USING (pid)),
+    link AS (SELECT DISTINCT l_partkey AS property_id, l_partkey || '/' || l_linenumber AS land_parcel_id FROM lineitem),
+    linked AS (
+      SELECT p.*, land_parcel_id, mb_code, w, h FROM p JOIN link USING (property_id) JOIN place USING (land_parcel_id) JOIN blocks USING (mb_code)
+      QUALIFY row_number() OVER (PARTITION BY property_id, land_parcel_id ORDER BY mb_code) = 1),
+    v AS (SELECT l_partkey AS property_id, l_extendedprice AS land_value FROM lineitem
+      QUALIFY row_number() OVER (PARTITION BY l_partkey ORDER BY l_shipdate DESC, l_extendedprice DESC) = 1),
+    valued AS (
+      SELECT linked.*, land_value, (CASE WHEN area IS NULL THEN 1 ELSE land_value END) /
+        (CASE WHEN property_id IN (3, 77, 1234) THEN area * 10000 WHEN area IS NULL THEN 1 WHEN area < 10 THEN 10 ELSE area END) AS per_m2
+      FROM linked LEFT JOIN v USING (property_id)),
+    best AS (
+      SELECT * FROM valued WHERE per_m2 IS NOT NULL {where}
+      QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY per_m2, property_id, land_parcel_id) = 1)
+    SELECT mb_code, CASE WHEN property_id % 11 > 0 THEN p_type END AS property_description, land_parcel_id, property_name, property_id,
+      zone_code, round(log10(land_value) * (1 - 0.4) + land_value * 0.4, 5) AS rank, round(per_m2, 8) AS per_m2, land_value, area,
+      unit, house, n_name AS street, r_name AS suburb, postcode, CAST(w * h AS DOUBLE) AS block_area
+    FROM best JOIN part ON p_partkey = property_id LEFT JOIN nation ON n_nationkey = street_id LEFT JOIN region ON r_regionkey = suburb_id
+"""
+
+
+def _whole(t: Tables, one_per: str = "mb_code", zone_codes=None):
+    from .spatial import rectangle
+
+    x, y = F.col("s_suppkey") * 53 % 997, F.col("s_suppkey") * 71 % 991
+    west, south = F.col("n_nationkey") % 5 * 200, F.floor(F.col("n_nationkey") / 5) * 200
+    parcel = F.concat_ws("/", F.col("l_partkey").cast("string"), F.col("l_linenumber").cast("string"))
+    address = F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
+    mesh_pid = F.concat(F.lit("MB"), F.col("s_suppkey").cast("string"))
+    names = [r.n_name for r in t.nation.filter("n_nationkey % 3 > 0").select("n_name").collect()]
+    tables = {
+        "mesh_block": t.supplier.select(
+            F.col("s_suppkey").alias("mb_code"),
+            rectangle(x, y, x + 10 + F.col("s_suppkey") % 30, y + 10 + F.col("s_suppkey") % 40).alias("geometry"),
+        ),
+        "region": t.nation.select(
+            F.col("n_name").alias("region_name"), rectangle(west, south, west + 200, south + 200).alias("area_geometry")
+        ),
+        "property": t.part.select(
+            F.col("p_partkey").alias("property_id"), F.col("p_brand").alias("zone_code"), F.col("p_name").alias("property_name"),
+            F.when(F.col("p_partkey") % 13 != 0, F.col("p_size").cast("double")).alias("area"),
+            F.when(F.col("p_partkey") % 4 == 0, (F.col("p_partkey") % 30).cast("string")).alias("unit_number"),
+            F.col("p_size").cast("string").alias("house_number"),
+            F.when(F.col("p_partkey") % 7 > 0, F.col("p_partkey") % 30).alias("street_id"),
+            (F.col("p_partkey") % 6).alias("suburb_id"), (2000 + F.col("p_size")).cast("int").alias("postcode"),
+        ),
+        "land_parcel_link": t.lineitem.select(F.col("l_partkey").alias("property_id"), parcel.alias("land_parcel_id")).distinct(),
+        "address_detail": t.lineitem.select(address.alias("address_detail_pid"), parcel.alias("legal_parcel_id")),
+        "address_mesh_block": t.lineitem.select(
+            address.alias("address_detail_pid"), F.concat(F.lit("MB"), F.col("l_suppkey").cast("string")).alias("mb_pid")
+        ),
+        "mb": t.supplier.select(mesh_pid.alias("mb_pid"), F.col("s_suppkey").alias("mb_code")),
+        "valuation": t.lineitem.select(
+            F.col("l_partkey").alias("property_id"), F.col("l_shipdate").alias("base_date"), F.col("l_extendedprice").alias("land_value")
+        ),
+        "property_description": t.part.filter("p_partkey % 11 > 0").select(
+            F.col("p_partkey").alias("property_id"), F.col("p_type").alias("property_description")
+        ),
+        "street": t.nation.select(F.col("n_nationkey").alias("street_id"), F.col("n_name").alias("street_name")),
+        "suburb": t.region.select(F.col("r_regionkey").alias("suburb_id"), F.col("r_name").alias("suburb_name")),
+    }
+    best = analytics.best_parcels_in(tables, names, 0.75, 0.4, 100.0, HECTARES, one_per, zone_codes=zone_codes)
+    return best.select(
+        *[c for c in best.columns if c not in ("rank", "per_m2", "geometry")],
+        F.round("rank", 5).alias("rank"), F.round("per_m2", 8).alias("per_m2"),
+        F.round(planar_area("geometry"), 6).alias("block_area"),
+    )
+
+
+@query("best_parcel_in_regions", _WHOLE.format(where="", key="mb_code"))
+def best_parcel_in_regions(t: Tables):
+    """Blocks chosen by overlap, parcels by the chain of addresses, the best of each block with its texts."""
+    return _whole(t)
+
+
+@query(
+    "best_property_in_regions",
+    _WHOLE.format(where="AND zone_code IN ('Brand#1', 'Brand#2', 'Brand#3')", key="property_id"),
+)
+def best_property_in_regions(t: Tables):
+    """The same, one row per property of some zones."""
+    return _whole(t, "property_id", ["Brand#1", "Brand#2", "Brand#3"])
+
+
 @query(
     "zoning_as_of",
     """
