@@ -208,6 +208,19 @@ def global_rank(df: DataFrame, value: str, out: str = "rank") -> DataFrame:
     return known.unionByName(df.filter(F.col(value).isNull()).join(F.broadcast(valued)))
 
 
+def numbered_rows(df: DataFrame, order: Sequence[Column | str], out: str) -> DataFrame:
+    """Rows numbered from 0 in an order, by their place in a sampled range and the rows of the ranges before it."""
+    slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    # The id of a row holds its task above bit 33 and its place in the task below.
+    ranged = df.repartitionByRange(slices, *order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
+    placed = cut_lineage(ranged, "numbered").withColumn("_slice", F.shiftright("_at", 33))
+    earlier = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    totals = placed.groupBy("_slice").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = totals.select("_slice", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
+    number = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)) + F.col("_offset")
+    return placed.join(F.broadcast(offsets), "_slice").select(*df.columns, number.alias(out))
+
+
 def equal_segments(df: DataFrame, day: str, n: int) -> DataFrame:
     """First day, last day and row count of ``n`` equal-count segments (NTILE).
 

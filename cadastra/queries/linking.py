@@ -184,3 +184,36 @@ def crowded_shards(t: Tables):
         F.sum("wrong").alias("outside"),
         (F.count(F.lit(1)) > 1).alias("split"),
     )
+
+
+@query(
+    "crowded_day_shards",
+    """
+    WITH r AS (SELECT CAST(date_trunc('quarter', o_orderdate) AS DATE) AS d, CASE WHEN o_orderkey % 9 > 0 THEN o_totalprice END AS v FROM orders),
+    k AS (SELECT count(*) // (count(DISTINCT d) * 2) + 1 AS depth FROM r),
+    crowded AS (SELECT r.* FROM r JOIN (SELECT d FROM r, k GROUP BY d, depth HAVING count(*) > depth) USING (d)),
+    tens AS (SELECT lo, lo * 10 AS hi FROM (SELECT unnest([1.0::DOUBLE, 10, 100, 1000, 10000, 100000]) AS lo)),
+    p1 AS (SELECT d, lo, hi, count(*) AS n FROM crowded JOIN tens ON v >= lo AND v < hi GROUP BY ALL),
+    steps AS (
+      SELECT lo AS up, CASE WHEN i = 0 THEN lo ELSE floor(pow(10, log10(lo) + i / 11.0::DOUBLE)) END AS lo,
+        CASE WHEN i = 10 THEN hi ELSE floor(pow(10, log10(lo) + (i + 1) / 11.0::DOUBLE)) END AS hi FROM tens, range(11) g(i)),
+    p2 AS (
+      SELECT crowded.d, steps.lo, steps.hi, count(*) AS n FROM p1 JOIN k ON n > depth JOIN steps ON up = p1.lo
+      JOIN crowded ON crowded.d = p1.d AND v >= steps.lo AND v < steps.hi GROUP BY ALL)
+    SELECT CAST(d AS VARCHAR) AS d, lo AS value_from, hi AS value_to, FALSE AS value_missing, n AS expected, n AS placed FROM p1, k WHERE n <= depth
+    UNION ALL SELECT CAST(d AS VARCHAR), lo, hi, FALSE, n, n FROM p2
+    UNION ALL SELECT CAST(d AS VARCHAR), NULL, NULL, TRUE, count(*), count(*) FROM crowded WHERE v IS NULL GROUP BY d
+    """,
+)
+def crowded_day_shards(t: Tables):
+    """The shards of crowded days themselves: powers of ten, crowded ones cut in eleven again, and the missing values."""
+    value = F.when(F.col("o_orderkey") % 9 > 0, F.col("o_totalprice"))
+    rows = cut_lineage(t.orders.select(F.trunc("o_orderdate", "quarter").alias("d"), value.alias("v")), "crowded-days")
+    # Half of a mean quarter: its dearest rows are cut once more.
+    depth = rows.count() // (rows.select("d").distinct().count() * 2) + 1
+    plan = cut_lineage(sh.plan_shards(rows, "d", "v", date(1990, 1, 1), date(2003, 1, 1), 1e6, depth), "shards")
+    placed = sh.with_shard(rows, plan, "d", "v").groupBy("shard").agg(F.count(F.lit(1)).alias("placed"))
+    of_values = plan.filter(F.col("value_missing") | F.col("value_from").isNotNull())
+    return of_values.join(placed, "shard", "left").select(
+        F.col("day_from").cast("string").alias("d"), "value_from", "value_to", "value_missing", "expected", "placed"
+    )

@@ -489,6 +489,10 @@ def test_shard_plan_with_a_hot_day(spark):
     assert {r.shard: r.expected for r in shards} == arrived and all(r.expected <= 20 or r.full for r in shards)
     for r in shards[::7]:
         assert df.filter(r.predicate).count() == r.expected
+    assert sorted(r.shard for r in shards) == list(range(len(shards)))
+    order = [(r.day_from, r.value_missing, -math.inf if r.value_from is None else r.value_from) for r in sorted(shards)]
+    assert order == sorted(order)
+    assert sh.plan_shards(df.limit(0), "d", "v", date(2000, 1, 1), date(2030, 1, 1), 1e6, 20).collect() == []
     # Of the hot day's shards, those of one value or of none cannot be split.
     assert plan.filter("full").count() >= 2
     assert sh.shard_pages(plan, 7).agg(F.sum("size")).first()[0] == 900
