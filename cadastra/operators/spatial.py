@@ -126,6 +126,11 @@ def _orient(cleaned: Column) -> Column:
     return F.when(F.size(cleaned) > 0, F.transform(cleaned, oriented))
 
 
+def dealt(df: DataFrame) -> DataFrame:
+    """Rows dealt evenly over tasks: work per shape is large, and a file of shapes, or of keys that shapes derive from, may be one split."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
+
+
 def with_repaired(df: DataFrame, rings: str, out: str) -> DataFrame:
     """Add valid rings: the area is what lies inside an odd number of the given rings.
 
@@ -136,6 +141,7 @@ def with_repaired(df: DataFrame, rings: str, out: str) -> DataFrame:
     in an odd number of the rest.  NULL when no area is left, a coordinate is
     missing or not finite: such rows are rejects (``repair_rejects``).
     """
+    df = dealt(df)
     known = F.forall(F.flatten(F.col(rings)), lambda p: p["x"].isNotNull() & p["y"].isNotNull())
     cleaned = df.withColumn("_cleaned", hold(F.when(known, _clean(F.col(rings)))))
     plain = F.coalesce((F.size("_cleaned") == 0) | is_box("_cleaned"), F.lit(True))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import spatial as sp
 from ..plans import analytics
+from ..session import cut_lineage
 from .base import Tables, query
 
 
@@ -308,7 +309,8 @@ def ring_repair(t: Tables):
     ]
     kind = F.col("p_partkey") % 6
     given = F.coalesce(*(F.when(kind == i, g) for i, g in enumerate(shapes)))
-    fixed = sp.with_repaired(t.part.select("p_partkey", given.alias("given")), "given", "fixed")
+    # Read twice, for the shapes and for those rejected.
+    fixed = cut_lineage(sp.with_repaired(t.part.select("p_partkey", given.alias("given")), "given", "fixed"), "repaired")
     rejects = sp.repair_rejects(fixed, "given", "fixed").select("p_partkey", F.lit(True).alias("rejected"))
     whole = fixed.join(rejects, "p_partkey", "left")
     return whole.select(

@@ -5,6 +5,7 @@ from fractions import Fraction
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from cadastra.operators import rings as rg
 from cadastra.operators import spatial as sp
@@ -98,3 +99,35 @@ def test_a_border_of_many_edges():
     eight = np.stack([np.sin(2 * turn + 0.1), np.sin(turn + 0.05)], axis=1)
     halves = rg.arrange([eight])
     assert len(halves) == 2 and sum(map(rg.signed_area, halves)) == pytest.approx(8 / 3, rel=1e-5)
+
+
+def test_shapes_arranged_together():
+    """Many shapes at a time give what each gives alone, whatever stands beside it and however they are cut up."""
+    rng = random.Random(11)
+    shapes = [[np.array([(rng.randrange(6), rng.randrange(6)) for _ in range(rng.randrange(3, 8))], dtype=float) for _ in range(rng.randrange(1, 4))] for _ in range(200)]
+    shapes[7][0][0, 0] = np.nan
+    rings = [r for s in shapes for r in s]
+    given = np.concatenate(rings), np.array([len(r) for r in rings]), np.array([len(s) for s in shapes])
+    for pairs in (rg.PAIRS, 500):
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(rg, "PAIRS", pairs)
+            points, sizes, owner, kind = rg.repaired_batch(*given)
+        parts = np.split(points, np.cumsum(sizes)[:-1])
+        assert set(kind) == {rg.AS_IS, rg.REPAIRED, rg.BROKEN}
+        for i, shape in enumerate(shapes):
+            got = [p for p, o in zip(parts, owner, strict=True) if o == i]
+            try:
+                want = rg.arrange(shape)
+            except ValueError:
+                assert kind[i] == rg.BROKEN and not got
+                continue
+            assert kind[i] == (rg.AS_IS if want is None else rg.REPAIRED)
+            assert [p.tolist() for p in got] == [p.tolist() for p in want or []]
+
+
+def test_repair_is_dealt_over_tasks(spark):
+    """A table of shapes in one split is repaired in several tasks."""
+    crossing = [(0.0, 0.0), (8.0, 6.0), (8.0, 0.0), (0.0, 10.0), (0.0, 0.0)]
+    table = spark.createDataFrame([(i, [crossing]) for i in range(40)], f"i int, r {sp.GEOMETRY}").coalesce(1)
+    tasks = sp.with_repaired(table, "r", "g").filter("g IS NOT NULL").groupBy(F.spark_partition_id()).count().collect()
+    assert len(tasks) > 1 and sum(r["count"] for r in tasks) == 40
