@@ -490,35 +490,28 @@ def cell_entries(boxes: DataFrame, box: str, cell: float, others: Sequence[int],
     return entered.withColumn("_cell", F.explode(_cells(F.col(box), cell * F.pow(F.lit(2.0), F.col("_at")))))
 
 
-def candidate_pairs(
-    left: DataFrame, right: DataFrame, left_geom: str, right_geom: str, cell: float, target: int = 50_000
-) -> DataFrame:
-    """Pairs whose boxes touch, each pair once, with both boxes as ``_lbox`` and ``_rbox``.
-
-    Cells double in size from level to level and a shape is entered at the level
-    of its own size, so an area over any number of cells has few entries.  Pairs
-    are found over row numbers and boxes alone, by an equi-join on the cell;
-    geometries are attached to the pairs whose boxes touch.  A pair
-    is emitted only in the cell holding the lower-left corner of the boxes'
-    common part, so no duplicate removal (and no shuffle for it) is needed.
-    A cell with more than ``target`` rows of a side is split into as many salts
-    of that side as it needs, the rows of the other side being repeated per salt;
-    a cell crowded on both sides becomes a grid of salts.
-    Shapes that are null or empty touch nothing; repeated rows are rows of their own.
+def _numbered_pairs(
+    left: DataFrame, right: DataFrame, left_geom: str, right_geom: str, cell: float, target: int
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Row numbers ``_lid, _rid`` of the pairs of ``candidate_pairs``, with ``_boxes`` for two plain boxes, and both sides with their numbers.
+
+    All three are written: the sides so that a row keeps its number whatever is
+    computed again, the pairs so that they can be parted by ``_boxes`` without
+    being found twice.
     """
 
-    def numbered(side: DataFrame, geom: str, number: str, box: str) -> DataFrame:
-        # Written, so that a row keeps its number whatever is computed again.
-        rows = side.withColumn(number, F.monotonically_increasing_id()).withColumn(box, hold(bbox(geom)))
-        return cut_lineage(rows.filter(F.col(box)["xmin"].isNotNull()).withColumn("_level", _level(F.col(box), cell)), "shapes")
+    def numbered(side: DataFrame, geom: str, mark: str) -> DataFrame:
+        rows = dealt(side).withColumn(f"_{mark}id", F.monotonically_increasing_id()).withColumn(f"_{mark}box", hold(bbox(geom)))
+        known = rows.filter(F.col(f"_{mark}box")["xmin"].isNotNull()).withColumn(f"_{mark}plain", hold(F.coalesce(is_box(geom), F.lit(False))))
+        return cut_lineage(known.withColumn("_level", _level(F.col(f"_{mark}box"), cell)), "shapes")
 
     def levels(rows: DataFrame) -> list[int]:
         return sorted(r[0] for r in rows.select("_level").distinct().collect())
 
-    lrows, rrows = numbered(left, left_geom, "_lid", "_lbox"), numbered(right, right_geom, "_rid", "_rbox")
+    lrows, rrows = numbered(left, left_geom, "l"), numbered(right, right_geom, "r")
     llevels, rlevels = levels(lrows), levels(rrows)
-    lhs = cell_entries(lrows.select("_lid", "_lbox", "_level"), "_lbox", cell, rlevels, 1, 2).drop("_level")
-    rhs = cell_entries(rrows.select("_rid", "_rbox", "_level"), "_rbox", cell, llevels, 2, 1).drop("_level")
+    lhs = cell_entries(lrows.select("_lid", "_lbox", "_lplain", "_level"), "_lbox", cell, rlevels, 1, 2).drop("_level")
+    rhs = cell_entries(rrows.select("_rid", "_rbox", "_rplain", "_level"), "_rbox", cell, llevels, 2, 1).drop("_level")
     place = ["_at", "_meets", "_cell"]
 
     def salts(side: DataFrame, name: str) -> DataFrame:
@@ -540,28 +533,56 @@ def candidate_pairs(
         F.floor(F.greatest(F.col("_lbox.ymin"), F.col("_rbox.ymin")) / size).alias("y"),
     )
     touching = boxes_touch(F.col("_lbox"), F.col("_rbox")) & (F.col("_cell") == corner)
-    found = pairs.filter(touching).select("_lid", "_rid")
-    return found.join(lrows.drop("_level"), "_lid").join(rrows.drop("_level"), "_rid").drop("_lid", "_rid")
+    found = pairs.filter(touching).select("_lid", "_rid", (F.col("_lplain") & F.col("_rplain")).alias("_boxes"))
+    return cut_lineage(found, "pairs"), lrows.drop("_level", "_lplain"), rrows.drop("_level", "_rplain")
+
+
+def _attached(found: DataFrame, lrows: DataFrame, rrows: DataFrame) -> DataFrame:
+    return found.join(lrows, "_lid").join(rrows, "_rid").drop("_lid", "_rid", "_boxes")
+
+
+def candidate_pairs(
+    left: DataFrame, right: DataFrame, left_geom: str, right_geom: str, cell: float, target: int = 50_000
+) -> DataFrame:
+    """Pairs whose boxes touch, each pair once, with both boxes as ``_lbox`` and ``_rbox``.
 
+    Cells double in size from level to level and a shape is entered at the level
+    of its own size, so an area over any number of cells has few entries.  Pairs
+    are found over row numbers and boxes alone, by an equi-join on the cell;
+    geometries are attached to the pairs whose boxes touch.  A pair
+    is emitted only in the cell holding the lower-left corner of the boxes'
+    common part, so no duplicate removal (and no shuffle for it) is needed.
+    A cell with more than ``target`` rows of a side is split into as many salts
+    of that side as it needs, the rows of the other side being repeated per salt;
+    a cell crowded on both sides becomes a grid of salts.
+    Shapes that are null or empty touch nothing; repeated rows are rows of their own.
+    """
+    return _attached(*_numbered_pairs(left, right, left_geom, right_geom, cell, target))
 
-def intersects_join(left: DataFrame, right: DataFrame, left_geom: str, right_geom: str, cell: float) -> DataFrame:
-    """All pairs whose geometries share a point."""
-    pairs = candidate_pairs(left, right, left_geom, right_geom, cell)
-    return pairs.filter(intersects(left_geom, right_geom)).drop("_lbox", "_rbox")
+
+def intersects_join(
+    left: DataFrame, right: DataFrame, left_geom: str, right_geom: str, cell: float, target: int = 50_000
+) -> DataFrame:
+    """All pairs whose geometries share a point; plain boxes do when they touch, so their geometry is not looked at."""
+    found, lrows, rrows = _numbered_pairs(left, right, left_geom, right_geom, cell, target)
+    boxes = _attached(found.filter("_boxes"), lrows, rrows)
+    shapes = _attached(found.filter("NOT _boxes"), lrows, rrows).filter(intersects(left_geom, right_geom))
+    return boxes.union(shapes).drop("_lbox", "_rbox")
 
 
 def overlap_join(
-    left: DataFrame, right: DataFrame, left_geom: str, right_geom: str, cell: float, min_share: float = 0.5
+    left: DataFrame, right: DataFrame, left_geom: str, right_geom: str, cell: float, min_share: float = 0.5, target: int = 50_000
 ) -> DataFrame:
     """Pairs of which more than ``min_share`` of the left area lies in the right one.
 
-    Box pairs are measured natively; only the others go through numpy.
+    Box pairs are measured natively, from the boxes alone; only the others go
+    through numpy.  The area of a left shape is measured once, not per pair.
     """
-    pairs = candidate_pairs(left, right, left_geom, right_geom, cell).withColumn(
-        "_boxes", is_box(left_geom) & is_box(right_geom)
-    )
-    boxed = F.when(F.col("_boxes"), box_overlap_area(F.col("_lbox"), F.col("_rbox")))
-    shaped = F.when(~F.col("_boxes"), F.col(left_geom)), F.when(~F.col("_boxes"), F.col(right_geom))
-    both = pairs.withColumn("overlap", F.coalesce(boxed, overlap_area(*shaped))).drop("_boxes", "_lbox", "_rbox")
-    area = planar_area(left_geom)
-    return both.withColumn("share", F.col("overlap") / area).filter(F.col("share") > min_share).drop("overlap")
+    measured = left.withColumn("_larea", hold(planar_area(left_geom)))
+    found, lrows, rrows = _numbered_pairs(measured, right, left_geom, right_geom, cell, target)
+    boxes = _attached(found.filter("_boxes"), lrows, rrows)
+    boxes = boxes.withColumn("overlap", box_overlap_area(F.col("_lbox"), F.col("_rbox")))
+    shapes = _attached(found.filter("NOT _boxes"), lrows, rrows)
+    shapes = shapes.withColumn("overlap", overlap_area(left_geom, right_geom))
+    both = boxes.union(shapes).withColumn("share", F.col("overlap") / F.col("_larea"))
+    return both.filter(F.col("share") > min_share).drop("overlap", "_lbox", "_rbox", "_larea")

@@ -258,6 +258,35 @@ def test_area_over_many_cells(spark):
     assert entries.count() <= 9 and set(entries.columns) == {"j", "_box", "_level", "_at", "_meets", "_cell"}
 
 
+def test_boxes_and_other_shapes_in_one_join(spark, monkeypatch):
+    """Pairs of plain boxes are settled without their geometry, in several tasks; all others by geometry; areas are measured once a shape."""
+    rng = random.Random(4)
+
+    def box(x, y, w):
+        return [ring((x, y), (x + w, y), (x + w, y + w), (x, y + w), (x, y))]
+
+    def corner(x, y, w):
+        return [ring((x, y), (x + w, y), (x, y + w), (x, y))]
+
+    at = lambda: rng.randrange(40)
+    left = [(i, (box, corner)[i % 2](at(), at(), 1 + i % 4)) for i in range(80)] + [(900, None), (901, [])]
+    right = [(i, (box, corner)[i % 3 == 0](at(), at(), 12)) for i in range(20)]
+    a = spark.createDataFrame(left, f"i int, g {sp.GEOMETRY}").coalesce(1)
+    b = spark.createDataFrame(right, f"j int, h {sp.GEOMETRY}").coalesce(1)
+    every = a.crossJoin(b).filter("size(g) > 0").withColumn("touch", sp.intersects("g", "h")).withColumn("shared", sp.overlap_area("g", "h"))
+    every = every.select("i", "j", "touch", (F.col("shared") / sp.planar_area("g")).alias("share")).collect()
+    touching = sp.intersects_join(a, b, "g", "h", 5.0)
+    assert sorted((r.i, r.j) for r in touching.collect()) == sorted((r.i, r.j) for r in every if r.touch)
+    over = sp.overlap_join(a, b, "g", "h", 5.0, 0.3)
+    assert over.columns == ["i", "g", "j", "h", "share"]
+    got = {(r.i, r.j): r.share for r in over.collect()}
+    assert got == pytest.approx({(r.i, r.j): r.share for r in every if r.share > 0.3})
+    found = sp._numbered_pairs(a, b, "g", "h", 5.0, 50_000)[0]
+    assert len(found.inputFiles()) > 1
+    looked_at = found.filter("NOT _boxes").count()
+    assert 0 < looked_at < found.count()
+
+
 def test_shapes_of_several_parts(spark):
     square = lambda x, y, w: ring((x, y), (x + w, y), (x + w, y + w), (x, y + w), (x, y))
     two = [square(0, 0, 1), square(20, 20, 2)]
