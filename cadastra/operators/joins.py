@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .keys import keep_first
 
 
@@ -49,6 +50,19 @@ def first_match(
     return left.join(keep_first(right, keys, order), list(keys), how)
 
 
+def with_dimension(facts: DataFrame, dimension: DataFrame, keys: Sequence[str], row_id: str) -> DataFrame:
+    """Left join of facts with a dimension whose keys are unique.
+
+    The dimension is written first: its real size plans the join, so facts need
+    not be dealt by a few names to meet a small one.  A fact lacking a key
+    matches nothing; such facts are dealt by their ``row_id`` instead of meeting in one task.
+    """
+    written = cut_lineage(dimension.withColumn("_dealt", F.lit(0).cast("long")), "dimension")
+    lacking = F.greatest(*[F.col(k).isNull() for k in keys], F.lit(False))
+    dealt = facts.withColumn("_dealt", F.when(lacking, F.xxhash64(row_id)).otherwise(F.lit(0).cast("long")))
+    return dealt.join(written, [*keys, "_dealt"], "left").drop("_dealt")
+
+
 def two_step_lookup(
     facts: DataFrame, outer: DataFrame, inner: DataFrame, outer_key: str, outer_id: str, inner_key: str
 ) -> DataFrame:

@@ -9,7 +9,7 @@ from ..functions.codes import normalised_id
 from ..functions.text import address_line, upper_name
 from ..functions.values import first_date
 from ..operators.history import latest
-from ..operators.joins import union_parents
+from ..operators.joins import union_parents, with_dimension
 from ..operators.keys import keep_first, newest, oldest, small_id
 from .provenance import sourced_land_values, with_source
 
@@ -116,7 +116,8 @@ def full_addresses(address: DataFrame, street: DataFrame, locality: DataFrame) -
     """The latest address per normalised property id with its names and one-line form."""
     keyed = address.withColumn("_lot", F.coalesce("strata_lot_number", F.lit(-1)))
     current = latest(keyed, ["property_id", "_lot"], "effective_date", ["source_id"]).drop("_lot")
-    named = current.join(street, ["street_id", "locality_id"], "left").join(locality, ["locality_id"], "left")
+    on_street = with_dimension(current, street, ["street_id", "locality_id"], "source_id")
+    named = with_dimension(on_street, locality, ["locality_id"], "source_id")
     return named.select(
         "property_id",
         "strata_lot_number",

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.codes import zone_standard
+from ..operators.joins import with_dimension
 from ..operators.legal import derive_parcels, parse_descriptions, split_folio
 from ..operators.steps import read_manifest
 from ..plans import addresses, dims, land_values, layers, legacy, provenance, sales
@@ -253,9 +254,8 @@ def derive_provenance(t: Tables):
 def derive_addresses(t: Tables):
     lv, b = land_value_row(t), ps_row_b(t)
     rows = addresses.addresses(lv, b)
-    named = rows.join(addresses.streets(lv, b), ["street_id", "locality_id"], "left").join(
-        addresses.localities(lv, b), "locality_id", "left"
-    )
+    on_street = with_dimension(rows, addresses.streets(lv, b), ["street_id", "locality_id"], "source_id")
+    named = with_dimension(on_street, addresses.localities(lv, b), ["locality_id"], "source_id")
     return _dated(
         named, "source_id", "effective_date", "property_id", "strata_lot_number", "unit_number", "street_number",
         "street_name", "locality_name", "postcode",

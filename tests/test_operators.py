@@ -1,5 +1,6 @@
 """Operators against brute force on small, skewed inputs."""
 
+import contextlib
 import hashlib
 import itertools
 import math
@@ -587,3 +588,33 @@ def test_load_with_rules(spark, tmp_path):
     assert spark.read.parquet(path).count() == 10 and [p.name for p in tmp_path.iterdir()] == ["t"]
     assert sinks.load_checked(rows.limit(0), path, rules) == {"rows": 0, "small": 0, "v is id": 0, "odd `name`": 0}
     assert spark.read.parquet(path).count() == 0
+
+
+@contextlib.contextmanager
+def with_setting(spark, name, value):
+    old = spark.conf.get(name)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, old)
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_facts_lacking_a_key_of_a_dimension(spark):
+    """They keep their row without names and do not meet in one task; others find theirs."""
+    from cadastra.operators.joins import with_dimension
+
+    facts = spark.range(4000).select("id", F.when(F.col("id") % 4 == 0, F.col("id") % 7).alias("a"), F.when(F.col("id") % 3 > 0, F.lit("x")).alias("b"))
+    names = spark.createDataFrame([(i, "x", f"n{i}") for i in range(5)], "a long, b string, name string")
+    with with_setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"), with_setting(spark, "spark.sql.adaptive.enabled", "false"):
+        out = with_dimension(facts, names, ["a", "b"], "id")
+        assert out.columns == ["a", "b", "id", "name"]
+        lacking = out.filter("a IS NULL").groupBy(F.spark_partition_id()).count().collect()
+        assert len(lacking) > 1 and sum(r["count"] for r in lacking) == 3000
+        assert sorted(map(tuple, out.collect()), key=lambda r: r[2]) == sorted(
+            map(tuple, facts.join(names, ["a", "b"], "left").collect()), key=lambda r: r[2]
+        )
