@@ -121,7 +121,9 @@ def group_percentile(df: DataFrame, keys: Sequence[str], value: str, share: floa
     Mergeable quantile sketches, built on the map side, bracket the wanted
     position of each group from both sides by more than their error.  A second
     pass counts what lies below and keeps only the values inside the bracket,
-    summed up by value: a few ten-thousandths of a group.
+    summed up by value: a few ten-thousandths of a group.  The brackets, one row
+    per group, are written, so that the join is planned on their real size and
+    a group's rows need not meet in one task to be sorted for it.
     """
     keys = list(keys)
     rows = df.select(*keys, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
@@ -135,6 +137,7 @@ def group_percentile(df: DataFrame, keys: Sequence[str], value: str, share: floa
         F.when(narrow | F.lit(low == 0), F.col("_min")).otherwise(F.col("_e")[0]).alias("_from"),
         F.when(narrow | F.lit(high == 1), F.col("_max")).otherwise(F.col("_e")[1]).alias("_to"),
     )
+    bracket = cut_lineage(bracket, "brackets")
     beside = null_safe_join(rows, bracket, keys) if keys else rows.crossJoin(F.broadcast(bracket))
     place = F.when(F.col("_v") < F.col("_from"), F.lit(None)).otherwise(F.col("_v"))
     near = (

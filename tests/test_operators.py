@@ -604,6 +604,18 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_a_large_group_is_not_sorted_for_its_percentile(spark):
+    """The brackets are joined by their real size: rows of a group stay in the tasks that read them."""
+    rows = spark.range(100_000).select((F.col("id") % 10 > 0).cast("int").alias("k"), (F.col("id") * 7 % 99_991).cast("double").alias("v"))
+    rows = rows.withColumn("k", F.when(F.col("v") % 1000 != 0, F.col("k")))
+    with with_setting(spark, "spark.sql.autoBroadcastJoinThreshold", "64k"):
+        out = ag.group_percentile(rows, ["k"], "v", 0.95, "p")
+        assert "BroadcastHashJoin" in plan_of(out) and "SortMergeJoin" not in plan_of(out)
+        got = {r.k: r.p for r in out.collect()}
+    want = rows.groupBy("k").agg(F.percentile("v", 0.95).alias("p")).collect()
+    assert got == pytest.approx({r.k: r.p for r in want})
+
+
 def test_facts_lacking_a_key_of_a_dimension(spark):
     """They keep their row without names and do not meet in one task; others find theirs."""
     from cadastra.operators.joins import with_dimension
