@@ -56,6 +56,30 @@ def unpivot(df: DataFrame, keep: Sequence[str], groups: Sequence[dict[str, str]]
     return df.select(*keep, F.inline(F.array(*structs)))
 
 
+def newest_known(
+    df: DataFrame, keys: Sequence[str], columns: Sequence[str], day: str, ties: Sequence[str] = ()
+) -> DataFrame:
+    """Per key and column the newest row in which the column is known, with the other columns emptied.
+
+    These are the rows that ``latest`` keeps of the columns' ``unpivot``, equal
+    days settled by ``ties`` and then by the value.  The wide rows are reduced
+    as they are, in the tasks that read them, before any of them is multiplied.
+    """
+    order = [day, *ties]
+    # Missing values come first, as in ``newest``.
+    rank = [part for i, c in enumerate(order) for part in (F.col(c).isNull().alias(f"_n{i}"), F.col(c).alias(f"_o{i}"))]
+    best = df.groupBy(*keys).agg(
+        *[F.max(F.when(F.col(c).isNotNull(), F.struct(*rank, F.col(c).alias("_v")))).alias(f"_best{j}") for j, c in enumerate(columns)]
+    )
+
+    def row(j: int) -> Column:
+        own = F.col(f"_best{j}")
+        values = [F.when(F.lit(i == j), F.col(f"_best{i}._v")).alias(c) for i, c in enumerate(columns)]
+        return F.when(own.isNotNull(), F.struct(*[own[f"_o{i}"].alias(c) for i, c in enumerate(order)], *values))
+
+    return best.select(*keys, F.inline(F.array_compact(F.array(*[row(j) for j in range(len(columns))]))))
+
+
 def trailing_rate(
     df: DataFrame,
     keys: Sequence[str],

@@ -111,13 +111,14 @@ def first_sighting(t: Tables):
     """,
 )
 def unpivot_history(t: Tables):
-    wide = t.lineitem.select(
+    values = t.lineitem.select(
         "l_partkey", "l_orderkey", "l_linenumber", "l_shipdate",
-        F.lit("quantity").alias("m1"), F.lit("price").alias("m2"), F.lit("discount").alias("m3"),
-        F.lit("tax").alias("m4"), F.lit("supplier").alias("m5"),
         F.col("l_quantity").alias("v1"), F.col("l_extendedprice").alias("v2"), F.col("l_discount").alias("v3"),
         F.when(F.col("l_tax") > 0, F.col("l_tax")).alias("v4"), F.col("l_suppkey").cast("double").alias("v5"),
     )
+    newest = hi.newest_known(values, ["l_partkey"], [f"v{i}" for i in range(1, 6)], "l_shipdate", ["l_orderkey", "l_linenumber"])
+    names = ("quantity", "price", "discount", "tax", "supplier")
+    wide = newest.withColumns({f"m{i}": F.lit(name) for i, name in enumerate(names, 1)})
     groups = [{"measure": f"m{i}", "v": f"v{i}"} for i in range(1, 6)]
     long = hi.unpivot(wide, ["l_partkey", "l_orderkey", "l_linenumber", "l_shipdate"], groups)
     kept = hi.latest(

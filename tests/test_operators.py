@@ -630,3 +630,19 @@ def test_facts_lacking_a_key_of_a_dimension(spark):
         assert sorted(map(tuple, out.collect()), key=lambda r: r[2]) == sorted(
             map(tuple, facts.join(names, ["a", "b"], "left").collect()), key=lambda r: r[2]
         )
+
+
+def test_newest_known_is_what_latest_keeps_of_an_unpivot(spark):
+    rng = random.Random(3)
+    pick = lambda *values: rng.choice([None, *values])
+    rows = [(pick(1, 2, 3), pick(5, 6), pick(0, 1), pick(1.5, float("nan"), -2.0), pick(4.0), None, i) for i in range(300)]
+    wide = spark.createDataFrame(rows, "k int, d int, t int, v1 double, v2 double, v3 double, other int")
+    groups = [{"m": f"m{i}", "v": f"v{i}"} for i in (1, 2, 3)]
+
+    def kept(df):
+        long = hi.unpivot(df.withColumns({f"m{i}": F.lit(f"c{i}") for i in (1, 2, 3)}), ["k", "d", "t"], groups)
+        chosen = hi.latest(long.filter(F.col("v").isNotNull()), ["k", "m"], "d", ["t", "v"])
+        return sorted(map(repr, chosen.select("k", "m", "d", "t", "v").collect()))
+
+    few = hi.newest_known(wide, ["k"], ["v1", "v2", "v3"], "d", ["t"])
+    assert few.count() == len(kept(wide)) == 8 and kept(few) == kept(wide)
