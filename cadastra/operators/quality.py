@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.readers import unreadable
+from ..session import cut_lineage
 from .hold import hold
 
 
@@ -50,13 +51,14 @@ def require_empty(violations: DataFrame, what: str, sample: int = 5) -> None:
 
 
 def split_rejects(
-    raw: DataFrame, readings: dict[str, tuple[str, Column]], required: Sequence[str] = ()
+    raw: DataFrame, readings: dict[str, tuple[str, Column]], required: Sequence[str] = (), once: bool = False
 ) -> tuple[DataFrame, DataFrame]:
     """Typed rows and rejected rows.
 
     ``readings`` maps output name to (text column, value expression).  A row
     with any unreadable or missing required field goes to the rejects with the
-    names of its bad fields.
+    names of its bad fields.  ``once`` writes the read rows (texts of rejects
+    only), so that two results do not read everything twice.
     """
     texts = list(dict.fromkeys(t for t, _ in readings.values()))
     untouched = [c for c in raw.columns if c not in texts]
@@ -68,6 +70,9 @@ def split_rejects(
     # Held as well: a filter naming dozens of columns would have the optimiser
     # derive one constraint per combination of their later names.
     checked = read.withColumn("bad_fields", hold(F.array_compact(F.array(*bad))))
+    if once:
+        of_rejects = {t: F.when(F.size("bad_fields") > 0, F.col(t)) for t in texts}
+        checked = cut_lineage(checked.withColumns(of_rejects), "checked")
     good = checked.filter(F.size("bad_fields") == 0).select(
         *untouched, *[F.col(f"_read_{name}").alias(name) for name in readings]
     )

@@ -79,7 +79,7 @@ def parse_land_values(numbered: DataFrame) -> tuple[DataFrame, DataFrame]:
     right = F.col("_field_count") == F.col("width").cast("string")
     readings["field_count"] = ("_field_count", F.when(right, F.col("width")))
     fields = fields.withColumn("_postcode", F.when(F.length("_postcode") == 4, F.col("_postcode")))
-    good, rejects = split_rejects(fields, readings, ["district_code", "property_id", "property_type", "suburb_name"])
+    good, rejects = split_rejects(fields, readings, ["district_code", "property_id", "property_type", "suburb_name"], once=True)
     good = good.withColumn("zone_standard", zone_standard("zone_code"))
     schema = table_schema("land_value_row")
     return good.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields]), rejects

@@ -646,3 +646,16 @@ def test_newest_known_is_what_latest_keeps_of_an_unpivot(spark):
 
     few = hi.newest_known(wide, ["k"], ["v1", "v2", "v3"], "d", ["t"])
     assert few.count() == len(kept(wide)) == 8 and kept(few) == kept(wide)
+
+
+def test_rows_with_two_results_are_read_once(spark):
+    from cadastra.functions import readers as rd
+    from cadastra.operators.quality import split_rejects
+
+    raw = spark.createDataFrame([(1, "5", "x"), (2, "z", "y"), (3, "", "w")], "i int, a string, b string")
+    readings = {"a": ("a", rd.read_int("a")), "b": ("b", rd.read_text("b"))}
+    good, rejects = split_rejects(raw, readings, ["a"], once=True)
+    plain = split_rejects(raw, readings, ["a"])
+    assert [good.columns, rejects.columns] == [df.columns for df in plain]
+    assert [sorted(df.collect()) for df in (good, rejects)] == [sorted(df.collect()) for df in plain]
+    assert good.inputFiles() and sorted(good.inputFiles()) == sorted(rejects.inputFiles())
