@@ -374,7 +374,7 @@ def sale_layouts(t: Tables):
     manifest = found.select("file_path").distinct().select("file_path", of["d"].alias("download_date"), of["y"].alias("published_year"))
     records = cut_lineage(sale_files.read_records(found, sale_files.with_layout(manifest)), "records")
     read = {table: sale_files.typed_table(records, table) for table in sale_files.SALE_TABLES}
-    layouts = records.select("file_path", "layout").distinct()
+    layouts = cut_lineage(records.select("file_path", "layout").distinct(), "layouts")
     details = {
         "ps_row_a_legacy": ["year_of_sale", "submitting_user_id", day("date_provided")],
         "ps_row_a": ["year_of_sale", F.coalesce("file_type", blank), "district_code", "submitting_user_id", day("date_provided")],

@@ -110,7 +110,8 @@ def read_records(lines: DataFrame, manifest: DataFrame) -> DataFrame:
     text = F.regexp_replace("text", r"\s+$", "")
     complete = _complete(cut_lineage(whole, "records")).withColumn("text", text)
     ends = complete.filter(F.startswith(F.ltrim("text"), F.lit("Z;"))).groupBy("file_path").agg(F.min("record").alias("_end"))
-    read = complete.join(ends, "file_path", "left").filter(F.col("_end").isNull() | (F.col("record") <= F.col("_end")))
+    # One row a file: of known size, so that no file's records need to meet in one task.
+    read = complete.join(cut_lineage(ends, "ends"), "file_path", "left").filter(F.col("_end").isNull() | (F.col("record") <= F.col("_end")))
     return _cut_fields(read.drop("_end"))
 
 

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 from cadastra.plans.build import build
 from cadastra.session import cut_lineage
+from cadastra.sources.lines import read_lines
 from cadastra.sources.manifest import choose_snapshots, list_files, select_files
-from cadastra.sources.sale_files import SALE_TABLES, joined_records, layout_of, no_layout, read_sale_files, typed_table, with_layout
+from cadastra.sources.sale_files import SALE_TABLES, joined_records, layout_of, no_layout, read_records, read_sale_files, typed_table, with_layout
 from cadastra.streaming.incremental import ingest_sale_files, year_in_path
 
 def record(kind, semicolons, *fields):
@@ -338,3 +339,21 @@ def test_large_file_of_short_records(small_blocks, tmp_path):
     assert len(rows) == 700 and {(r.kind, r.semicolons) for r in rows} == {("C", 7)}
     assert [r.fields[1] for r in rows] == [str(i) for i in range(700)]
     assert "Window" not in records._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_records_of_a_file_do_not_meet_to_find_its_end(spark, tmp_path):
+    """The ends of files, one row each, are joined by their real size; what stands behind an end is not read."""
+    sales = "".join(sale("118", i, i, FIVE_STAMP, "", "DRY CREEK", "20041109", 7 * i, f"D{i}") for i in range(4000))
+    (tmp_path / "a.DAT").write_text(record("A", 4, "118", FIVE_STAMP, "CLERK") + sales + record("Z", 5, 4002, 1, 0, 0) + record("B", 24, "118", 9))
+    (tmp_path / "b.DAT").write_text(sale("118", 1, 1, FIVE_STAMP, "", "DRY CREEK", "20041109", 7, "D"))
+    found = read_lines(spark, str(tmp_path))
+    manifest = found.select("file_path").distinct().select("file_path", F.lit(2002).alias("published_year"), F.lit("2002").alias("layout"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "12k")
+    try:
+        records = read_records(found, manifest)
+        plan = records._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        assert sorted(map(tuple, records.groupBy("kind").count().collect())) == [("A", 1), ("B", 4001), ("Z", 1)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
