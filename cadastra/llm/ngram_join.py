@@ -325,7 +325,8 @@ def link_rows(
     )
     rest = rest.join(near, ["u", "v"], "left_anti")
     more = cut_lineage(_verified(rest, sets, percent), "further-links")
-    label = components(links.unionByName(more))
+    stars = label.select(F.col("node").alias("u"), F.col("label").alias("v"))
+    label = components(stars.unionByName(more))
 
     named = (
         classes.join(label.withColumnRenamed("node", "cls"), "cls", "left")
@@ -353,7 +354,7 @@ def keep_one(docs: DataFrame, linked: DataFrame) -> DataFrame:
     Only ids and hashes move; texts are filtered in place.
     """
     names = distinct_names(docs)
-    known = linked.where("doc_id IS NOT NULL")
+    known = cut_lineage(linked.where("doc_id IS NOT NULL"), "linked-rows")  # used twice
     first = known.where("doc_id = component_id AND label IS NOT NULL").groupBy("label").agg(F.min("row").alias("first"))
     rows = known.groupBy("doc_id", "row").agg(
         F.first("label").alias("label"), F.first("component_id").alias("component_id"), F.count("*").alias("rows")

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import gc
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,9 +27,10 @@ LINE_RATIO = 0.05
 
 
 def _begin(spark: SparkSession) -> None:
-    """Settings of a stage.  Spark frees the driver's broadcasts and shuffle files of finished jobs when their handles are collected."""
+    """Settings of a stage, and memory that the one before left in the driver."""
     prepared(spark)
     gc.collect()
+    pa.default_memory_pool().release_unused()  # what the sample of the language model leaves
     spark.sparkContext._jvm.System.gc()
 
 

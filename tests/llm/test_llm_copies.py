@@ -161,3 +161,15 @@ def test_leaks_of_empty_tables(spark):
     assert decontaminate.find_leaks(docs, bench).collect() == []
     assert decontaminate.without_leaks(docs, bench).count() == 1
     assert decontaminate.find_leaks(docs.where("false"), spark.createDataFrame(BENCH, "item_id long, text string")).collect() == []
+
+
+def test_labels_found_before_take_one_round(spark, monkeypatch):
+    """Stars settle in one round of two tables, so that joining them with further links costs no more rounds than those need."""
+    from cadastra.operators import components as joined
+
+    written, write = [], joined.cut_lineage
+    monkeypatch.setattr(joined, "cut_lineage", lambda df, name: (written.append(name), write(df, name))[1])
+    rows = [(2, 1), (1, 3), (3, 1), (9, 8), (4, 4), (None, 5)]
+    got = joined.components(spark.createDataFrame(rows, "u long, v long")).collect()
+    assert sorted(map(tuple, got)) == [(1, 1), (2, 1), (3, 1), (8, 8), (9, 8)]
+    assert written == ["links", "large-stars", "stars"]
