@@ -15,6 +15,10 @@ components, and only members outside that member's component meet the others.
 Where many are outside, whole fingerprints are indexed by variants instead
 (one bit flipped, one deleted): two that share one are at most three bits apart,
 and two so near share one, so that nothing is left to compare.
+
+Joins are merged and never broadcast: an explode is planned at the size of its
+input, and written variants repeat and pack well, so that Spark takes tables of
+millions of rows for small ones.
 """
 
 from __future__ import annotations
@@ -138,7 +142,7 @@ def link_fingerprints(prints: DataFrame, distance: int = DISTANCE, few: int = FE
     prints = prints.where("fp IS NOT NULL")
     index = _variants(prints, distance)
     pivots = index.groupBy("bit", "rest").agg(F.min("fp").alias("pivot"), F.count("*").alias("members")).where("members > 1")
-    crowds = cut_lineage(index.join(pivots, ["bit", "rest"]).select("bit", "rest", "fp", "pivot"), "variants")
+    crowds = cut_lineage(index.join(pivots.hint("merge"), ["bit", "rest"]).select("bit", "rest", "fp", "pivot"), "variants")
     links = cut_lineage(
         crowds.where((F.col("fp") != F.col("pivot")) & _near(F.col("fp"), F.col("pivot"), distance))
         .select(*_pair("fp", "pivot")).distinct(),
@@ -149,15 +153,15 @@ def link_fingerprints(prints: DataFrame, distance: int = DISTANCE, few: int = FE
     labels = components(links).select(F.col("node").alias("fp"), "label")
     of_pivot = labels.select(F.col("fp").alias("pivot"), F.col("label").alias("main"))
     labelled = cut_lineage(
-        crowds.join(labels, "fp", "left").join(of_pivot, "pivot", "left")
+        crowds.join(labels.hint("merge"), "fp", "left").join(of_pivot.hint("merge"), "pivot", "left")
         .select("bit", "rest", "fp", F.coalesce("label", "fp").alias("label"), F.coalesce("main", "pivot").alias("main")),
         "labelled-variants",
     )
     outside = labelled.where("label <> main")
-    mixed = outside.groupBy("bit", "rest").agg(F.count("*").alias("outside"))
+    mixed = outside.groupBy("bit", "rest").agg(F.count("*").alias("outside")).hint("merge")
     every = labelled.join(mixed.where(F.col("outside") <= few), ["bit", "rest"]).select("bit", "rest", "fp", "label", "main")
     near = (
-        outside.select("bit", "rest", F.col("fp").alias("a"), F.col("label").alias("own")).join(every, ["bit", "rest"])
+        outside.select("bit", "rest", F.col("fp").alias("a"), F.col("label").alias("own")).join(every.hint("merge"), ["bit", "rest"])
         .where((F.col("own") != F.col("label")) & ((F.col("label") == F.col("main")) | (F.col("a") < F.col("fp"))))
         .where(_near(F.col("a"), F.col("fp"), distance))
         .select(*_pair("own", "label"))
@@ -193,10 +197,10 @@ def simhash_copies(docs: DataFrame, shingle: int = SHINGLE, distance: int = DIST
     known = base.where("doc_id IS NOT NULL")
     prints = cut_lineage(known.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct-fingerprints")
     labels = link_fingerprints(prints.select("fp"), distance)
-    named = prints.join(labels, "fp", "left").select("fp", "first_id", F.coalesce("label", "fp").alias("label"))
+    named = prints.join(labels.hint("merge"), "fp", "left").select("fp", "first_id", F.coalesce("label", "fp").alias("label"))
     smallest = named.groupBy("label").agg(F.min("first_id").alias("component_id"))
-    of_print = named.join(smallest, "label").select("fp", "component_id")
+    of_print = named.join(smallest.hint("merge"), "label").select("fp", "component_id")
     digits = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
-    return known.join(of_print, "fp").select("doc_id", digits, "component_id").unionByName(
+    return known.join(of_print.hint("merge"), "fp").select("doc_id", digits, "component_id").unionByName(
         base.where("doc_id IS NULL").select("doc_id", digits, F.lit(None).cast("long").alias("component_id"))
     )

@@ -100,3 +100,20 @@ def test_query_equals_brute_force(spark):
     label = components_by_hand(prints)
     want = [(d, f"{p:016x}", docs[g][0]) for (d, _), p, g in zip(docs, prints, label, strict=True)]
     assert sorted(tuple(r) for r in QUERIES["op13_simhash_copies"](spark, FOLDER).collect()) == want
+
+
+def test_exploded_variants_are_never_broadcast(spark, monkeypatch):
+    """Spark plans an explode at the size of its input, so that millions of variants would pass for a small table."""
+    plans, write = [], simhash.cut_lineage
+
+    def planned(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return df
+
+    monkeypatch.setattr(simhash, "cut_lineage", lambda df, name: write(planned(df), name))
+    assert int(spark.conf.get("spark.sql.autoBroadcastJoinThreshold").rstrip("b")) >= 10 << 20
+    rows = [(i, f"words of text {i} " * 3) for i in range(40)] * 2
+    got = planned(simhash.simhash_copies(spark.createDataFrame(rows, SCHEMA)))
+    assert got.count() == 80
+    joins = [line for plan in plans for line in plan.split("\n") if "Join" in line]
+    assert len(joins) > 8 and not [line for line in joins if "Broadcast" in line]
