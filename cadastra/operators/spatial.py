@@ -12,6 +12,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -314,121 +315,119 @@ EDGE_PAIRS = 1_000_000
 
 
 def _shared_areas(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
-    """Area shared by each pair of ring sets, given as edges (x0, y0, x1, y1).
+    """Area shared by each pair of ring sets, given as edges (x0, y0, x1, y1)."""
 
-    Pairs of like size are measured together; shorter borders are filled up
-    with edges of no length, which contribute nothing.
-    """
+    def flat(sides: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        upright = [edges[edges[:, 0] != edges[:, 2]] for edges in sides]
+        counts = np.array([len(edges) for edges in upright], dtype=np.int64)
+        return np.concatenate(upright).T, np.cumsum(counts) - counts, counts
+
+    return _measured(flat(left), flat(right), np.array([edges[0, :2] for edges in left]).T) if left else np.zeros(0)
 
-    def room(edges: np.ndarray) -> int:
-        return 1 << max(len(edges) - 1, 1).bit_length()
 
-    def filled(edges: np.ndarray, size: int) -> np.ndarray:
-        end = edges[-1, 2:]
-        return np.vstack([edges, np.tile(np.hstack([end, end]), (size - len(edges), 1))])
+def _measured(
+    left: tuple[np.ndarray, np.ndarray, np.ndarray], right: tuple[np.ndarray, np.ndarray, np.ndarray], origin: np.ndarray
+) -> np.ndarray:
+    """Area shared by pairs of ring sets: edges that are not upright (as x0, y0, x1, y1 by edge), the first of each and how many, by pair.
 
-    groups: dict[tuple[int, int], list[int]] = {}
-    for i, (u, v) in enumerate(zip(left, right)):
-        groups.setdefault((room(u), room(v)), []).append(i)
-    out = np.zeros(len(left))
-    for (n, m), members in groups.items():
-        step = max(1, EDGE_PAIRS // (n * m))
+    A closed border is the signed sum of the strips below its edges, so the
+    shared area is the signed sum, over pairs of an edge of either side, of the
+    lower of both over the width they share.  What does not depend on both
+    edges cancels out; half the distance between them, with its sign turned,
+    is left: no border is cut and no point is placed.
+
+    Pairs of like size are measured together; shorter borders are filled up
+    with edges of no width, which contribute nothing.  Pairs lie along the last
+    axis, so that arrays run over many of them even if their borders are short.
+    """
+    (a, a_from, a_count), (b, b_from, b_count) = left, right
+    out = np.zeros(len(a_count))
+    some = np.flatnonzero((a_count > 0) & (b_count > 0))
+    room = np.ceil(np.log2([a_count[some], b_count[some]])).astype(np.int64)
+    kind = room[0] * 64 + room[1]
+    for n, m in (divmod(int(k), 64) for k in np.flatnonzero(np.bincount(kind))):
+        members = some[kind == n * 64 + m]
+        width = min(1 << m, EDGE_PAIRS)
+        height = max(1, min(1 << n, EDGE_PAIRS // width))
+        step = max(1, EDGE_PAIRS // (height * width))
         for at in range(0, len(members), step):
             part = members[at : at + step]
-            a = np.stack([filled(left[i], n) for i in part])
-            b = np.stack([filled(right[i], m) for i in part])
-            origin = a[:, 0, :2]
-            out[part] = _border_parts(a, b, True, origin) + _border_parts(b, a, False, origin)
+            for i in range(0, 1 << n, height):
+                over = _edges_at(a, a_from[part], a_count[part], i, min(height, (1 << n) - i), origin[:, part])
+                for k in range(0, 1 << m, width):
+                    under = _edges_at(b, b_from[part], b_count[part], k, min(width, (1 << m) - k), origin[:, part])
+                    out[part] -= _distances(over, under)
     return out
 
 
-def _border_parts(edges: np.ndarray, other: np.ndarray, keep_shared: bool, origin: np.ndarray) -> np.ndarray:
-    """Green's integral over the parts of each border lying in the other area.
-
-    The border of a shared area consists of the pieces of each border inside
-    the other area; pieces common to both count once, when both run in the same
-    direction.  Arrays are (pair, edge, 4).
-    """
-    total = np.zeros(len(edges))
-    q0, dq = other[..., :2], other[..., 2:] - other[..., :2]
-    step = max(1, EDGE_PAIRS // (other.shape[0] * other.shape[1]))
-    for at in range(0, edges.shape[1], step):
-        p0 = edges[:, at : at + step, :2]
-        r = edges[:, at : at + step, 2:] - p0
-        pair, edge, t0, t1 = _pieces(p0, r, q0, dq)
-        rows = max(1, EDGE_PAIRS // other.shape[1])
-        for cut in range(0, len(pair), rows):
-            i, k = pair[cut : cut + rows], edge[cut : cut + rows]
-            lo, hi = t0[cut : cut + rows, None], t1[cut : cut + rows, None]
-            start, along = p0[i, k], r[i, k]
-            side = _sides(start + along * (lo + hi) / 2, along, q0[i], dq[i])
-            use = (side > 0) | ((side < 0) & keep_shared)
-            s, e = start + along * lo - origin[i], start + along * hi - origin[i]
-            cross = np.where(use, s[:, 0] * e[:, 1] - s[:, 1] * e[:, 0], 0.0)
-            total += np.bincount(i, cross, minlength=len(total))
-    return total / 2
-
-
-def _pieces(p0, r, q0, dq) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Edges cut where the other border meets them: pair, edge, start and end share."""
-    w = q0[:, None] - p0[:, :, None]
-    e, d = r[:, :, None], dq[:, None]
-    den = e[..., 0] * d[..., 1] - e[..., 1] * d[..., 0]
-    e2 = (e * e).sum(axis=-1)
-    flat = np.abs(den) <= 1e-12 * np.sqrt(e2 * (d * d).sum(axis=-1))
-    with np.errstate(divide="ignore", invalid="ignore"):
-        t = (w[..., 0] * d[..., 1] - w[..., 1] * d[..., 0]) / den
-        s = (w[..., 0] * e[..., 1] - w[..., 1] * e[..., 0]) / den
-        start = (w * e).sum(axis=-1) / e2
-        end = start + (d * e).sum(axis=-1) / e2
-    crossing = np.where(~flat & (s > -1e-9) & (s < 1 + 1e-9), t, 0.0)
-    ends = np.broadcast_to([0.0, 1.0], (*p0.shape[:2], 2))
-    cuts = np.concatenate([ends, crossing, np.where(flat, start, 0.0), np.where(flat, end, 0.0)], axis=2)
-    cuts = np.sort(np.clip(np.nan_to_num(cuts), 0.0, 1.0), axis=2)
-    pair, edge, col = np.nonzero(np.diff(cuts, axis=2) > 1e-12)
-    return pair, edge, cuts[pair, edge, col], cuts[pair, edge, col + 1]
-
-
-def _sides(m, along, q0, dq) -> np.ndarray:
-    """1 inside, 0 outside or on an opposite border, -1 on a border of the same direction."""
-    w = m[:, None] - q0
-    length2 = (dq * dq).sum(axis=-1)
-    cross = dq[..., 0] * w[..., 1] - dq[..., 1] * w[..., 0]
-    place = (w * dq).sum(axis=-1)
-    on = (np.abs(cross) <= 1e-9 * length2) & (place >= 0) & (place <= length2) & (length2 > 0)
-    same = (on & ((along[:, None] * dq).sum(axis=-1) > 0)).any(axis=1)
-    y0, y1 = q0[..., 1], q0[..., 1] + dq[..., 1]
+def _edges_at(edges: np.ndarray, first: np.ndarray, count: np.ndarray, at: int, size: int, origin: np.ndarray) -> tuple[np.ndarray, ...]:
+    """``size`` edges of each border from ``at`` on: start, slope, ends of the width and sign; those beyond the border have no width."""
+    place = np.arange(at, at + size)[:, None]
+    there = place < count
+    x0, y0, x1, y1 = edges[:, first + np.where(there, place, 0)]
+    x0, x1, y0, y1 = x0 - origin[0], x1 - origin[0], y0 - origin[1], y1 - origin[1]
     with np.errstate(divide="ignore", invalid="ignore"):
-        x_at = q0[..., 0] + w[..., 1] * dq[..., 0] / dq[..., 1]
-    straddles = (y0 > m[:, None, 1]) != (y1 > m[:, None, 1])
-    odd = (straddles & (m[:, None, 0] < x_at)).sum(axis=1) % 2
-    return np.where(on.any(axis=1), np.where(same, -1, 0), odd)
+        slope = (y1 - y0) / (x1 - x0)
+    return x0, y0, slope, np.where(there, np.minimum(x0, x1), np.inf), np.maximum(x0, x1), np.where(x1 > x0, 0.5, -0.5)
 
 
-def _edge_numbers(rings: Column) -> Column:
-    """Edges as one flat array x0, y0, x1, y1, ..., which Arrow hands to numpy unchanged."""
-    edges = F.flatten(F.transform(rings, _edges))
-    return F.flatten(F.transform(edges, lambda e: F.array(e["a"]["x"], e["a"]["y"], e["b"]["x"], e["b"]["y"])))
+def _distances(over: tuple[np.ndarray, ...], under: tuple[np.ndarray, ...]) -> np.ndarray:
+    """Half the integral of the distance of every two edges over the width they share, negative where they run apart, summed up by pair."""
+    ax, ay, a_slope, a_low, a_high, a_sign = (v[:, None] for v in over)
+    bx, by, b_slope, b_low, b_high, b_sign = (v[None] for v in under)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        low = np.maximum(a_low, b_low)
+        width = np.minimum(a_high, b_high) - low
+        d0 = (low - ax) * a_slope + ay - ((low - bx) * b_slope + by)
+        d1 = d0 + (a_slope - b_slope) * width
+        # Twice the mean of the distance, also where the edges cross.
+        twice = (d0 * d0 + d1 * d1 + 2 * np.maximum(d0 * d1, 0.0)) / (np.abs(d0) + np.abs(d1))
+        value = np.where((width > 0) & (twice > 0), width * twice, 0.0) * (a_sign * b_sign)
+    return value.sum(axis=(0, 1))
+
+
+def _borders(shapes: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Edges of Arrow ring arrays that are not upright, the first of each shape and how many, its first point, and which shapes have edges at all."""
+    rings, of_shape = shapes.values, shapes.offsets.to_numpy().astype(np.int64)
+    points, of_ring = rings.values, rings.offsets.to_numpy().astype(np.int64)
+    fields = dict(zip((f.name for f in points.type), points.flatten()))
+    x, y = (fields[c].to_numpy(zero_copy_only=False).astype(np.float64, copy=False) for c in "xy")
+    follows = np.ones(len(x), dtype=bool)  # a point with a next one in its ring
+    follows[of_ring[1:][np.diff(of_ring) > 0] - 1] = False
+    at = of_ring[of_shape]
+
+    def before(marks: np.ndarray) -> np.ndarray:
+        return np.concatenate([[0], np.cumsum(marks)])
+
+    every = before(follows)
+    known = np.diff(every[at]) > 0
+    if shapes.null_count:
+        known &= shapes.is_valid().to_numpy(zero_copy_only=False)
+    if rings.null_count:
+        known &= np.diff(before(rings.is_null().to_numpy(zero_copy_only=False))[of_shape]) == 0
+    slanted = np.zeros_like(follows)
+    slanted[:-1] = follows[:-1] & (x[1:] != x[:-1])
+    i = np.flatnonzero(slanted)
+    edges = np.stack([x[i], y[i], x[i + 1], y[i + 1]])
+    first = before(slanted)[at]
+    start = np.minimum(at[:-1], max(len(x) - 1, 0))
+    return edges, first[:-1], np.diff(first), np.stack([x[start], y[start]]) if len(x) else np.zeros((2, len(start))), known
 
 
 def overlap_area(a: Column | str, b: Column | str) -> Column:
     """Shared area of two simple polygons with holes; numpy over Arrow batches."""
 
-    @F.pandas_udf("double")
-    def shared(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    def shared(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for left, right in batches:
-            out = pd.Series(np.nan, index=left.index, dtype="float64")
-            known = [i for i, (u, v) in enumerate(zip(left, right)) if u is not None and v is not None and len(u) and len(v)]
-            if known:
-                out.iloc[known] = _shared_areas(
-                    [np.reshape(left.iloc[i], (-1, 4)) for i in known],
-                    [np.reshape(right.iloc[i], (-1, 4)) for i in known],
-                )
-            yield out.where(out.notna(), None)
+            a, a_from, a_count, origin, a_known = _borders(left)
+            b, b_from, b_count, _, b_known = _borders(right)
+            known = a_known & b_known
+            out = _measured((a, a_from, np.where(known, a_count, 0)), (b, b_from, b_count), origin)
+            yield pa.array(out, pa.float64(), mask=~known)
 
     # Not to be run a second time for a filter on the result.
-    once = shared.asNondeterministic()
-    return once(_edge_numbers(_col(a)), _edge_numbers(_col(b)))
+    once = F.arrow_udf(shared, "double").asNondeterministic()
+    return once(_col(a), _col(b))
 
 
 def box_overlap_area(a: Column, b: Column) -> Column:
@@ -490,57 +489,83 @@ def cell_entries(boxes: DataFrame, box: str, cell: float, others: Sequence[int],
     return entered.withColumn("_cell", F.explode(_cells(F.col(box), cell * F.pow(F.lit(2.0), F.col("_at")))))
 
 
-def _numbered_pairs(
-    left: DataFrame, right: DataFrame, left_geom: str, right_geom: str, cell: float, target: int
-) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Row numbers ``_lid, _rid`` of the pairs of ``candidate_pairs``, with ``_boxes`` for two plain boxes, and both sides with their numbers.
+#: Where each side's rows meet: a cell of a level, and which of both sides is the higher.
+_PLACE = ["_at", "_meets", "_cell"]
 
-    All three are written: the sides so that a row keeps its number whatever is
-    computed again, the pairs so that they can be parted by ``_boxes`` without
-    being found twice.
-    """
 
-    def numbered(side: DataFrame, geom: str, mark: str) -> DataFrame:
-        rows = dealt(side).withColumn(f"_{mark}id", F.monotonically_increasing_id()).withColumn(f"_{mark}box", hold(bbox(geom)))
-        known = rows.filter(F.col(f"_{mark}box")["xmin"].isNotNull()).withColumn(f"_{mark}plain", hold(F.coalesce(is_box(geom), F.lit(False))))
-        return cut_lineage(known.withColumn("_level", _level(F.col(f"_{mark}box"), cell)), "shapes")
+def _numbered_side(side: DataFrame, geom: str, mark: str, cell: float) -> DataFrame:
+    """Rows with a box, written with their number, box, whether they are a plain box, and level."""
+    rows = dealt(side).withColumn(f"_{mark}id", F.monotonically_increasing_id()).withColumn(f"_{mark}box", hold(bbox(geom)))
+    known = rows.filter(F.col(f"_{mark}box")["xmin"].isNotNull()).withColumn(f"_{mark}plain", hold(F.coalesce(is_box(geom), F.lit(False))))
+    return cut_lineage(known.withColumn("_level", _level(F.col(f"_{mark}box"), cell)), "shapes")
+
+
+def _entered(lrows: DataFrame, rrows: DataFrame, cell: float) -> tuple[DataFrame, DataFrame]:
+    """The rows of both sides in every cell in which they can meet one of the other side."""
 
     def levels(rows: DataFrame) -> list[int]:
         return sorted(r[0] for r in rows.select("_level").distinct().collect())
 
-    lrows, rrows = numbered(left, left_geom, "l"), numbered(right, right_geom, "r")
     llevels, rlevels = levels(lrows), levels(rrows)
-    lhs = cell_entries(lrows.select("_lid", "_lbox", "_lplain", "_level"), "_lbox", cell, rlevels, 1, 2).drop("_level")
-    rhs = cell_entries(rrows.select("_rid", "_rbox", "_rplain", "_level"), "_rbox", cell, llevels, 2, 1).drop("_level")
-    place = ["_at", "_meets", "_cell"]
+    lhs = cell_entries(lrows, "_lbox", cell, rlevels, 1, 2).drop("_level")
+    return lhs, cell_entries(rrows, "_rbox", cell, llevels, 2, 1).drop("_level")
 
-    def salts(side: DataFrame, name: str) -> DataFrame:
-        counted = side.groupBy(*place).agg(F.ceil(F.count(F.lit(1)) / target).cast("int").alias(name))
-        return counted.filter(F.col(name) > 1)
 
-    of_left, of_right = salts(lhs, "_lsalts"), salts(rhs, "_rsalts")
+def _spread(side: DataFrame, salts: Sequence[DataFrame], own: str, other: str) -> DataFrame:
+    """Rows in one salt of their own side and all salts of the other."""
+    many = side
+    for counted in salts:
+        many = many.join(counted, _PLACE, "left")
+    at = F.pmod(F.xxhash64(f"_{own}id"), F.coalesce(f"_{own}salts", F.lit(1))).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.coalesce(f"_{other}salts", F.lit(1)) - 1))
+    return many.withColumn(f"_{own}salt", at).withColumn(f"_{other}salt", every).drop("_lsalts", "_rsalts")
 
-    def spread(side: DataFrame, own: str, other: str) -> DataFrame:
-        many = side.join(of_left, place, "left").join(of_right, place, "left")
-        at = F.pmod(F.xxhash64(f"_{own}id"), F.coalesce(f"_{own}salts", F.lit(1))).cast("int")
-        every = F.explode(F.sequence(F.lit(0), F.coalesce(f"_{other}salts", F.lit(1)) - 1))
-        return many.withColumn(f"_{own}salt", at).withColumn(f"_{other}salt", every).drop("_lsalts", "_rsalts")
 
-    pairs = spread(lhs, "l", "r").join(spread(rhs, "r", "l"), [*place, "_lsalt", "_rsalt"])
+def _touching(cell: float) -> Column:
+    """Whether two boxes touch, and this is the cell of their common corner."""
     size = cell * F.pow(F.lit(2.0), F.col("_at"))
     corner = F.struct(
         F.floor(F.greatest(F.col("_lbox.xmin"), F.col("_rbox.xmin")) / size).alias("x"),
         F.floor(F.greatest(F.col("_lbox.ymin"), F.col("_rbox.ymin")) / size).alias("y"),
     )
-    touching = boxes_touch(F.col("_lbox"), F.col("_rbox")) & (F.col("_cell") == corner)
-    found = pairs.filter(touching).select("_lid", "_rid", (F.col("_lplain") & F.col("_rplain")).alias("_boxes"))
-    return cut_lineage(found, "pairs"), lrows.drop("_level", "_lplain"), rrows.drop("_level", "_rplain")
+    return boxes_touch(F.col("_lbox"), F.col("_rbox")) & (F.col("_cell") == corner)
+
+
+def _found_pairs(lrows: DataFrame, rrows: DataFrame, cell: float, target: int) -> DataFrame:
+    """``_lid, _rid, _boxes`` of the pairs of rows whose boxes touch, written."""
+    lhs, rhs = _entered(lrows.select("_lid", "_lbox", "_lplain", "_level"), rrows.select("_rid", "_rbox", "_rplain", "_level"), cell)
+
+    def salts(side: DataFrame, name: str) -> DataFrame:
+        counted = side.groupBy(*_PLACE).agg(F.ceil(F.count(F.lit(1)) / target).cast("int").alias(name))
+        return counted.filter(F.col(name) > 1)
+
+    of_both = salts(lhs, "_lsalts"), salts(rhs, "_rsalts")
+    pairs = _spread(lhs, of_both, "l", "r").join(_spread(rhs, of_both, "r", "l"), [*_PLACE, "_lsalt", "_rsalt"])
+    found = pairs.filter(_touching(cell)).select("_lid", "_rid", (F.col("_lplain") & F.col("_rplain")).alias("_boxes"))
+    return cut_lineage(found, "pairs")
+
+
+def _numbered_pairs(
+    left: DataFrame, right: DataFrame, left_geom: str, right_geom: str, cell: float, target: int
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Row numbers ``_lid, _rid`` of the pairs of ``candidate_pairs``, with ``_boxes`` for two plain boxes, and both sides with their numbers.
+
+    All three are written: the sides so that a row keeps its number whatever is
+    computed again, the pairs so that they can be parted by ``_boxes`` without
+    being found twice.
+    """
+    lrows, rrows = _numbered_side(left, left_geom, "l", cell), _numbered_side(right, right_geom, "r", cell)
+    return _found_pairs(lrows, rrows, cell, target), lrows.drop("_level", "_lplain"), rrows.drop("_level", "_rplain")
 
 
 def _attached(found: DataFrame, lrows: DataFrame, rrows: DataFrame) -> DataFrame:
     return found.join(lrows, "_lid").join(rrows, "_rid").drop("_lid", "_rid", "_boxes")
 
 
+# Rows that could meet for each row entered in a cell, from which on rows move with their geometry.
+CROWDED = 4
+
+
 def candidate_pairs(
     left: DataFrame, right: DataFrame, left_geom: str, right_geom: str, cell: float, target: int = 50_000
 ) -> DataFrame:
@@ -548,8 +573,10 @@ def candidate_pairs(
 
     Cells double in size from level to level and a shape is entered at the level
     of its own size, so an area over any number of cells has few entries.  Pairs
-    are found over row numbers and boxes alone, by an equi-join on the cell;
-    geometries are attached to the pairs whose boxes touch.  A pair
+    are found by an equi-join on the cell.  Where they are few, that is over row
+    numbers and boxes alone, and geometries are attached to the pairs whose boxes
+    touch.  Where they may outnumber the entries (``CROWDED``), rows are entered
+    whole, once, and a pair neither moves nor is written.  A pair
     is emitted only in the cell holding the lower-left corner of the boxes'
     common part, so no duplicate removal (and no shuffle for it) is needed.
     A cell with more than ``target`` rows of a side is split into as many salts
@@ -557,7 +584,24 @@ def candidate_pairs(
     a cell crowded on both sides becomes a grid of salts.
     Shapes that are null or empty touch nothing; repeated rows are rows of their own.
     """
-    return _attached(*_numbered_pairs(left, right, left_geom, right_geom, cell, target))
+    lrows, rrows = _numbered_side(left, left_geom, "l", cell), _numbered_side(right, right_geom, "r", cell)
+
+    def counted(side: DataFrame, name: str) -> DataFrame:
+        return side.groupBy(*_PLACE).agg(F.count(F.lit(1)).alias(name))
+
+    lhs, rhs = _entered(lrows.select("_lbox", "_level"), rrows.select("_rbox", "_level"), cell)
+    cells = cut_lineage(counted(lhs, "_ln").join(counted(rhs, "_rn").hint("merge"), _PLACE), "cells")
+    meet, entries = cells.agg(F.sum(F.col("_ln").cast("double") * F.col("_rn")), F.sum(F.col("_ln") + F.col("_rn"))).first()
+    if not meet or meet <= CROWDED * entries:
+        return _attached(_found_pairs(lrows, rrows, cell, target), lrows.drop("_level", "_lplain"), rrows.drop("_level", "_rplain"))
+    # Written, so of known size: a join on them moves no rows as a rule.
+    salts = [F.ceil(F.col(n) / target).cast("int").alias(s) for n, s in (("_ln", "_lsalts"), ("_rn", "_rsalts"))]
+    of_both = [cut_lineage(cells.filter(F.greatest("_ln", "_rn") > target).select(*_PLACE, *salts), "salts")]
+    lhs, rhs = _entered(lrows.drop("_lplain"), rrows.drop("_rplain"), cell)
+    # Entries are merged and never broadcast: they are planned at the size of the rows before these are multiplied.
+    lhs, rhs = _spread(lhs, of_both, "l", "r"), _spread(rhs, of_both, "r", "l").hint("merge")
+    pairs = lhs.join(rhs, [*_PLACE, "_lsalt", "_rsalt"]).filter(_touching(cell))
+    return pairs.select(*[lrows[c] for c in (*left.columns, "_lbox")], *[rrows[c] for c in (*right.columns, "_rbox")])
 
 
 def intersects_join(

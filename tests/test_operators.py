@@ -259,6 +259,64 @@ def test_area_over_many_cells(spark):
     assert entries.count() <= 9 and set(entries.columns) == {"j", "_box", "_level", "_at", "_meets", "_cell"}
 
 
+def test_crowded_pairs_are_neither_written_nor_moved(spark, monkeypatch):
+    """Where pairs outnumber the rows, rows are entered whole; repeated rows, names shared by both sides and missing shapes as ever."""
+    rng = random.Random(8)
+
+    def corner(x, y, w):
+        return [ring((x, y), (x + w, y), (x, y + w), (x, y))]
+
+    at = lambda: rng.randrange(20) / 2
+    left = [(i, corner(at(), at(), 1 + i % 9)) for i in range(60)]
+    left += [left[0], (900, None), (901, []), (None, corner(3, 3, 4))]
+    right = [(i, corner(at(), at(), 2 + i % 5)) for i in range(50)] + [(7, corner(0, 0, 40))]
+    a = spark.createDataFrame(left, f"i int, g {sp.GEOMETRY}")
+    b = spark.createDataFrame(right, f"i int, h {sp.GEOMETRY}")
+    written, write = [], sp.cut_lineage
+    monkeypatch.setattr(sp, "cut_lineage", lambda df, name: written.append(name) or write(df, name))
+
+    def rows(target):
+        written.clear()
+        pairs = sp.candidate_pairs(a, b, "g", "h", 4.0, target)
+        assert pairs.columns == ["i", "g", "_lbox", "i", "h", "_rbox"]
+        plan = pairs._jdf.queryExecution().executedPlan().toString()
+        named = pairs.toDF("i", "g", "lbox", "j", "h", "rbox").withColumn("shared", F.round(sp.overlap_area("g", "h"), 9))
+        return sorted((str(tuple(r)) for r in named.collect())), plan
+
+    want, _ = (monkeypatch.setattr(sp, "CROWDED", 10**9), rows(50_000))[1]
+    assert "pairs" in written and len(want) > 500
+    monkeypatch.setattr(sp, "CROWDED", 4)
+    for target in (50_000, 3):
+        got, plan = rows(target)
+        assert got == want and "pairs" not in written
+        assert "SortMergeJoin" in plan
+
+
+def test_overlap_far_from_the_origin(spark):
+    """The measure does not depend on where shapes lie: no border is cut within a tolerance."""
+    rng = random.Random(3)
+
+    def star(x, y, r, n):
+        turns = [(k + rng.random() * 0.5) * 2 * np.pi / n for k in range(n)]
+        points = [(x + round(r * (0.5 + rng.random()) * np.cos(t) * 1024) / 1024, y + round(r * np.sin(t) * 1024) / 1024) for t in turns]
+        return ring(*points, points[0])
+
+    def moved(shape, by):
+        return [{"x": p["x"] + by, "y": p["y"] + by} for p in shape]
+
+    pairs = [(star(0, 0, 5, rng.randint(5, 40)), star(rng.randrange(4), 2, rng.choice([1, 5, 50]), rng.randint(5, 40))) for _ in range(300)]
+    rows = [(i, [moved(a, by)], [moved(b, by)]) for i, (a, b) in enumerate(pairs) for by in (0.0, float(1 << 23))]
+    rows += [(998, None, [pairs[0][0]]), (999, [pairs[0][0]], []), (999, [[]], [pairs[0][0]]), (998, [pairs[0][0], None], [pairs[0][1]])]
+    table = spark.createDataFrame(rows, f"i int, a {sp.GEOMETRY}, b {sp.GEOMETRY}")
+    shared = [(r.i, r.x) for r in table.select("i", sp.overlap_area("a", "b").alias("x")).collect()]
+    assert [x for i, x in shared if i >= 998] == [None] * 4
+    found = {}
+    for i, x in shared:
+        found.setdefault(i, []).append(x)
+    assert all(x == pytest.approx(y, abs=1e-9) for i, (x, y, *_) in found.items() if i < 998)
+    assert sum(x > 1 for x, *_ in list(found.values())[:300]) > 100
+
+
 def test_boxes_and_other_shapes_in_one_join(spark, monkeypatch):
     """Pairs of plain boxes are settled without their geometry, in several tasks; all others by geometry; areas are measured once a shape."""
     rng = random.Random(4)
