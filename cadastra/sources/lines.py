@@ -8,11 +8,17 @@ held by one task.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamReader
 
 from ..operators.hold import hold
+from ..session import cut_lineage
 
 BLOCK = ["file_path", "_block"]
 
@@ -121,6 +127,99 @@ def number_lines(
     )
 
 
+def line_groups(lines: DataFrame, starts: Column, file_facts: DataFrame) -> DataFrame:
+    """``file_path, group, position, text`` of lines joined from one that starts a group to the next, and the columns of ``file_facts``.
+
+    ``group`` counts the starts of a file and ``position`` is the first line's byte
+    position; with ``group`` 0 are the lines before any start.  A block's first
+    lines may go on with a group of an earlier block: such a part is a row of
+    its own, with ``headed`` false.  Texts are decoded as by ``number_lines``.
+
+    Lines have to come as ``read_lines`` reads them: a block's lines lie in
+    one task, in order.  So they are joined where they are read, and texts are
+    neither shuffled nor sorted; what earlier blocks hold is a table of one row a
+    block, written so that it is joined by its real size.
+    """
+    marked = lines.withColumn("_starts", F.coalesce(starts, F.lit(False)))
+    blocks = marked.groupBy(*BLOCK).agg(
+        F.count_if("_starts").alias("_groups"),
+        F.sum((F.octet_length("value") + 1).cast("long")).alias("_bytes"),
+        F.min(F.is_valid_utf8("value").cast("int")).alias("_valid"),
+    )
+    of_file = Window.partitionBy("file_path")
+    earlier = of_file.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = blocks.select(
+        *BLOCK,
+        *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"{c}_before") for c in ("_groups", "_bytes")],
+        (F.min("_valid").over(of_file) == 1).alias("_utf8"),
+    ).join(file_facts, "file_path", "left")
+    facts = [c for c in file_facts.columns if c != "file_path"]
+    schema = "file_path string, _block long, _group long, _at long, _text binary"
+    joined = marked.select(*BLOCK, "_seq", "_starts", F.col("value").cast("binary").alias("value")).mapInArrow(_joined_lines, schema)
+    # Held, so that a filter on it keeps the join a left one: a block that another split of the files cuts elsewhere must not be lost.
+    lost = F.raise_error(F.lit("files were split anew while they were read"))
+    group = hold(F.when(F.col("_groups_before").isNull(), lost.cast("long")).otherwise(F.col("_groups_before") + F.col("_group")))
+    placed = joined.join(cut_lineage(offsets, "blocks"), BLOCK, "left").withColumn("group", group)
+    return placed.select(
+        "file_path",
+        "group",
+        (F.col("_bytes_before") + F.col("_at")).alias("position"),
+        F.when(F.col("_utf8"), F.col("_text").cast("string")).otherwise(F.decode("_text", "ISO-8859-1")).alias("text"),
+        (F.col("_group") > 0).alias("headed"),
+        *facts,
+    )
+
+
+_GROUPS = pa.schema([("file_path", pa.string()), ("_block", pa.int64()), ("_group", pa.int64()), ("_at", pa.int64()), ("_text", pa.binary())])
+
+
+def _joined_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The groups of each block's lines, with the number of their start and their place in the block; group 0 goes on with an earlier block."""
+    block, last, parts, at, group, end = None, -1, [], 0, 0, 0
+
+    def rows(groups: np.ndarray, places: np.ndarray, texts: pa.Array) -> pa.RecordBatch:
+        columns = [pa.repeat(pa.scalar(block[0], pa.string()), len(texts)), pa.repeat(pa.scalar(block[1], pa.int64()), len(texts))]
+        return pa.RecordBatch.from_arrays([*columns, pa.array(groups, pa.int64()), pa.array(places, pa.int64()), texts], schema=_GROUPS)
+
+    def open_group() -> Iterator[pa.RecordBatch]:
+        if parts:
+            yield rows(np.array([group]), np.array([at]), pa.array([b"\n".join(parts)], pa.binary()))
+
+    for batch in batches:
+        path, blocks, seq, starts, value = batch.columns
+        if not len(value):
+            continue
+        seq, numbers = seq.to_numpy(), blocks.to_numpy()
+        if seq[0] <= last or (np.diff(seq) <= 0).any():
+            raise ValueError("lines have to come in the order in which they were read")
+        last = seq[-1]
+        other = (np.diff(numbers) != 0) | pc.not_equal(path[1:], path[:-1]).to_numpy(zero_copy_only=False).astype(bool)
+        cuts = np.concatenate([[0], np.flatnonzero(other) + 1, [len(value)]])
+        for low, high in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            if block != (here := (path[low].as_py(), int(numbers[low]))):
+                yield from open_group()
+                block, parts, at, group, end = here, [], 0, 0, 0
+            part = value.slice(low, high - low)
+            sizes = pc.binary_length(part).to_numpy(zero_copy_only=False).astype(np.int64) + 1
+            places = end + np.cumsum(sizes) - sizes
+            end += int(sizes.sum())
+            heads = np.flatnonzero(starts.slice(low, high - low).to_numpy(zero_copy_only=False))
+            bounds = np.concatenate([[0], heads, [len(part)]]).astype(np.int32)
+            texts = pc.binary_join(pa.ListArray.from_arrays(pa.array(bounds), part), b"\n")
+            if bounds[1]:
+                if not parts:
+                    at = int(places[0])
+                parts.append(texts[0].as_py())
+            if len(heads):
+                yield from open_group()
+                if len(heads) > 1:
+                    yield rows(group + np.arange(1, len(heads)), places[heads[:-1]], texts.slice(1, len(heads) - 1))
+                group += len(heads)
+                at, parts = int(places[heads[-1]]), [texts[len(heads)].as_py()]
+    if block:
+        yield from open_group()
+
+
 def header_lines(lines: DataFrame) -> DataFrame:
     """The first line of each file."""
     first = lines.filter(F.col("_block") == 0).groupBy("file_path")

@@ -17,7 +17,7 @@ from ..functions.codes import zone_standard
 from ..operators.quality import split_rejects
 from ..schemas import TABLES, table_schema
 from ..session import cut_lineage
-from .lines import number_lines, plain_path, read_lines
+from .lines import line_groups, plain_path, read_lines
 
 # Semicolons per record kind and layout, longest variant first.
 LAYOUTS = {
@@ -96,23 +96,34 @@ def read_records(lines: DataFrame, manifest: DataFrame) -> DataFrame:
     ``manifest`` is unique on file_path with published_year and layout.  A line
     that starts no record continues the one before it, also across blocks.
     """
-    head = F.substring(F.ltrim("value"), 1, 2)
-    starts = head.isin([f"{k};" for k in RECORD_KINDS]).cast("int")
+    starts = F.substring(F.ltrim("value"), 1, 2).isin([f"{k};" for k in RECORD_KINDS])
     facts = manifest.select(plain_path("file_path").alias("file_path"), "published_year", "layout")
-    numbered = number_lines(lines, {"record": starts}, facts)
-    own = numbered.withColumn("record", F.col("record") + starts)
-    live = own.filter(F.col("record") > 0)
-    pieces = F.array_sort(F.collect_list(F.struct("byte_position", "value")))
-    whole = live.groupBy("file_path", "record", "published_year", "layout").agg(
-        F.min("byte_position").alias("position"),
-        F.array_join(F.transform(pieces, lambda p: p["value"]), "\n").alias("text"),
+    groups = line_groups(lines, starts, facts).filter("group > 0").withColumnRenamed("group", "record")
+    # Of records read whole in one block, only ends of files and records that lack semicolons are looked at.
+    marks = groups.withColumn("missing", _missing()).withColumn("end", F.startswith(F.ltrim("text"), F.lit("Z;")))
+    marks = marks.filter("NOT headed OR missing > 0 OR end").select(
+        "file_path", "record", "position", "headed", "missing", "end", _semicolons().alias("found"), F.when(~F.col("headed"), F.col("text")).alias("text")
     )
-    text = F.regexp_replace("text", r"\s+$", "")
-    complete = _complete(cut_lineage(whole, "records")).withColumn("text", text)
-    ends = complete.filter(F.startswith(F.ltrim("text"), F.lit("Z;"))).groupBy("file_path").agg(F.min("record").alias("_end"))
+    marks = cut_lineage(marks, "marks")
+    pieces = F.array_sort(F.collect_list(F.struct("position", "text")))
+    tails = marks.filter("NOT headed").groupBy("file_path", "record").agg(
+        F.sum("found").alias("_more"), F.array_join(F.transform(pieces, lambda p: p["text"]), "\n").alias("_tail")
+    )
+    tails = cut_lineage(tails, "tails")
+    whole = groups.filter("headed").join(tails.drop("_more"), ["file_path", "record"], "left").select(
+        "file_path", "record", "published_year", "layout", "position", F.concat_ws("\n", "text", "_tail").alias("text")
+    )
+    short = marks.filter("headed").join(tails.drop("_tail"), ["file_path", "record"], "left")
+    short = short.filter(F.col("missing") > F.coalesce("_more", F.lit(0)))
+    if short.isEmpty():
+        complete, ended = whole, marks.filter("headed AND end")
+    else:
+        complete = _complete(cut_lineage(whole, "records"))
+        ended = complete.filter(F.startswith(F.ltrim(F.regexp_replace("text", r"\s+$", "")), F.lit("Z;")))
+    ends = ended.groupBy("file_path").agg(F.min("record").alias("_end"))
     # One row a file: of known size, so that no file's records need to meet in one task.
-    read = complete.join(cut_lineage(ends, "ends"), "file_path", "left").filter(F.col("_end").isNull() | (F.col("record") <= F.col("_end")))
-    return _cut_fields(read.drop("_end"))
+    read = complete.withColumn("text", F.regexp_replace("text", r"\s+$", "")).join(cut_lineage(ends, "ends"), "file_path", "left")
+    return _cut_fields(read.filter(F.col("_end").isNull() | (F.col("record") <= F.col("_end"))).drop("_end"))
 
 
 def _by_kind(value: Callable[[tuple[int, ...]], Column]) -> Column:
@@ -122,6 +133,18 @@ def _by_kind(value: Callable[[tuple[int, ...]], Column]) -> Column:
     return F.create_map(*pairs)
 
 
+def _semicolons() -> Column:
+    return F.size(F.split("text", ";")) - 1
+
+
+def _missing() -> Column:
+    """How many semicolons a record has less than any variant of its kind."""
+    least = _by_kind(lambda counts: F.lit(min(counts)))
+    kind = F.trim(F.substring_index("text", ";", 1))
+    needed = F.try_element_at(least, F.concat_ws("/", F.col("layout"), kind))
+    return F.greatest(F.coalesce(needed - _semicolons(), F.lit(0)), F.lit(0))
+
+
 def _complete(records: DataFrame) -> DataFrame:
     """Let a record go on until it has its semicolons.
 
@@ -131,12 +154,8 @@ def _complete(records: DataFrame) -> DataFrame:
     as many as are missing can belong to it.  Files without such a record
     pass untouched; of the others only records that are joined move their texts.
     """
-    least = _by_kind(lambda counts: F.lit(min(counts)))
-    found = F.size(F.split("text", ";")) - 1
-    kind = F.trim(F.substring_index("text", ";", 1))
-    needed = F.try_element_at(least, F.concat_ws("/", F.col("layout"), kind))
-    marked = records.withColumn("_missing", F.greatest(F.coalesce(needed - found, F.lit(0)), F.lit(0)))
-    counted = cut_lineage(marked.select("file_path", "record", found.alias("found"), F.col("_missing").alias("missing")), "semicolons")
+    marked = records.withColumn("_missing", _missing())
+    counted = cut_lineage(marked.select("file_path", "record", _semicolons().alias("found"), F.col("_missing").alias("missing")), "semicolons")
     if counted.filter("missing > 0").isEmpty():
         return records
     touched = counted.filter("missing > 0").select("file_path").distinct()

@@ -1,14 +1,18 @@
 """Sale files of every layout, written by a small generator with invented places, ids and dealings."""
 
+import os
 import random
+import re
 from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from cadastra.plans.build import build
-from cadastra.session import cut_lineage
-from cadastra.sources.lines import read_lines
+from cadastra.queries import QUERIES
+from cadastra.session import cut_lineage, shared_folder
+from cadastra.sources import sale_files
+from cadastra.sources.lines import line_groups, read_lines
 from cadastra.sources.manifest import choose_snapshots, list_files, select_files
 from cadastra.sources.sale_files import SALE_TABLES, joined_records, layout_of, no_layout, read_records, read_sale_files, typed_table, with_layout
 from cadastra.streaming.incremental import ingest_sale_files, year_in_path
@@ -357,3 +361,73 @@ def test_records_of_a_file_do_not_meet_to_find_its_end(spark, tmp_path):
         assert sorted(map(tuple, records.groupBy("kind").count().collect())) == [("A", 1), ("B", 4001), ("Z", 1)]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def records_by_hand(raw):
+    """Position and text of the records of a file's bytes."""
+    text = raw.decode("utf-8") if is_utf8(raw) else raw.decode("latin-1")
+    out, at = [], 0
+    for line, size in zip(text.rstrip("\n").split("\n"), map(len, raw.rstrip(b"\n").split(b"\n")), strict=True):
+        if line.lstrip(" ")[:2] in ("A;", "B;", "C;", "D;", "Z;"):
+            out.append([at, line])
+        elif out:
+            out[-1][1] += "\n" + line
+        at += size + 1
+    return [(a, re.sub(r"\s+$", "", t)) for a, t in out]
+
+
+def is_utf8(raw):
+    try:
+        return raw.decode("utf-8") is not None
+    except UnicodeDecodeError:
+        return False
+
+
+def test_records_are_joined_where_they_are_read(small_blocks, tmp_path, monkeypatch):
+    """Texts over many blocks, empty lines, both encodings: no record is moved, and none is written to be looked at again."""
+    spark, rng = small_blocks, random.Random(11)
+    for name, encoding in (("a", "utf-8"), ("b", "latin-1"), ("c", "utf-8")):
+        body = "lines before\nany record é\n"
+        for n in range(150):
+            lines = [rng.choice(["", "und ü", "more of it", "x" * 40]) for _ in range(rng.choice([0, 0, 0, 1, 3, 40]))]
+            body += ";".join([rng.choice(["C", " C"]), "001", str(n), str(n), NEW_STAMP, "é\n".join([f"text {n}", *lines]), "\n"])
+        (tmp_path / f"{name}_20190520.DAT").write_bytes((body if name != "c" else "no record at all\n" * 60).encode(encoding))
+    found = read_lines(spark, str(tmp_path))
+    manifest = found.select("file_path").distinct().select("file_path", F.lit(2019).alias("published_year"), F.lit("2012").alias("layout"))
+    written, write = [], sale_files.cut_lineage
+    monkeypatch.setattr(sale_files, "cut_lineage", lambda df, name: written.append(name) or write(df, name))
+    records = read_records(found, manifest)
+    plan = records._jdf.queryExecution().executedPlan().toString()
+    assert "records" not in written and "Exchange hashpartitioning" not in plan and "Window" not in plan
+    got = {}
+    for r in records.collect():
+        got.setdefault(r.file_path[-14], []).append((r.position, ";".join([r.kind, *r.fields])))
+    for name in "ab":
+        want = records_by_hand((tmp_path / f"{name}_20190520.DAT").read_bytes())
+        assert sorted(got.pop(name)) == [(at, text.lstrip()) for at, text in want] and len(want) == 150
+    assert got == {}
+
+
+def test_lines_out_of_place_are_refused(small_blocks, tmp_path):
+    """Lines that a task does not read in order, and blocks that are cut elsewhere the second time, end the job."""
+    spark = small_blocks
+    (tmp_path / "x.DAT").write_text("".join(f"C;001;{i};{i};;text\n" for i in range(200)))
+    facts = spark.createDataFrame([], "file_path string, layout string")
+    found = read_lines(spark, str(tmp_path))
+    starts = F.startswith("value", F.lit("C;"))
+    assert line_groups(found, starts, facts).count() == 200
+    with pytest.raises(Exception, match="in the order in which they were read"):
+        line_groups(found.orderBy(F.desc("_seq")), starts, facts).collect()
+    groups = line_groups(found, starts, facts).filter("group > 0")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "170b")
+    with pytest.raises(Exception, match="split anew"):
+        groups.collect()
+
+
+def test_files_of_the_round_trip_go_when_they_are_read(spark):
+    """Sale files, marks and ends are gone once the records are written; what is left gives every row."""
+    before = set(os.listdir(shared_folder(spark)))
+    rows = QUERIES["record_file_roundtrip"](spark, "/root/testdata/sf0.001")
+    assert [name.rsplit("-", 1)[0] for name in set(os.listdir(shared_folder(spark))) - before] == ["records"]
+    tables = [spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet").count() for name in ("orders", "lineitem")]
+    assert rows.count() == tables[0] + 2 * tables[1] + 1
