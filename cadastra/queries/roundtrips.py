@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..operators.keys import stable_id
 from ..operators.spatial import planar_area
 from ..schemas import LAND_VALUE_COLUMNS
-from ..session import Scratch, cut_lineage, scratch_path
+from ..session import Scratch, cut_lineage, free_shuffles, scratch_path
 from ..sources import features, land_values, layers, pages, psv, sale_files, sdmx
 from ..sources.lines import number_lines, read_lines
 from .base import Tables, day, query
@@ -94,6 +94,7 @@ def record_file_roundtrip(t: Tables):
     with Scratch(t.spark) as scratch:
         scratch.paths.append(path)
         _sale_lines(t).write.text(path)
+        free_shuffles(t.spark)
         found = read_lines(t.spark, path)
         manifest = found.select("file_path").distinct().select(
             "file_path", F.lit(2001).alias("published_year"), F.lit("2001-07").alias("layout")

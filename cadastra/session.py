@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 
@@ -67,6 +68,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{os.urandom(8).hex()}"
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Let go of the shuffle files of work that is done; else they stay until the driver happens to collect its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 _scopes: list[Scratch] = []
 
 
