@@ -41,10 +41,7 @@ def provenance_positions(t: Tables):
 
 
 def _sale_lines(t: Tables) -> DataFrame:
-    """Orders as B records, line items as C records (text with a line break) and D records; those of an order follow each other.
-
-    Rows are dealt and sorted by their numbers; texts are made afterwards, so that none moves.
-    """
+    """Orders as B records, line items as C records (text with a line break) and D records."""
     text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
     stamp = F.date_format("o_orderdate", "yyyyMMdd HH:mm")
     compact = F.date_format("o_orderdate", "yyyyMMdd")
@@ -57,7 +54,11 @@ def _sale_lines(t: Tables) -> DataFrame:
         F.round(F.col("o_totalprice") * 100).cast("bigint").cast("string"), F.lit("R2"), F.lit("R"), blank, blank, blank, blank,
         F.lit("0"), F.concat(F.lit("D"), text("o_orderkey")), F.lit(""),
     )
-    head = [(F.col("l_partkey") % 900).cast("string"), text("l_partkey"), text("l_orderkey"), stamp]
+    sales = t.orders.select("o_orderkey", F.lit(0).alias("n"), F.lit(0).alias("m"), b.alias("value"))
+    lines = t.lineitem.join(
+        t.orders.select(F.col("o_orderkey"), stamp.alias("stamp")), F.col("l_orderkey") == F.col("o_orderkey")
+    )
+    head = [(F.col("l_partkey") % 900).cast("string"), text("l_partkey"), text("l_orderkey"), F.col("stamp")]
     c = F.concat_ws(
         ";", F.lit("C"), *head,
         F.concat(text("l_linenumber"), F.lit("/"), text("l_partkey"), F.lit("\nand "), text("l_suppkey")), F.lit(""),
@@ -66,15 +67,11 @@ def _sale_lines(t: Tables) -> DataFrame:
     d_full = F.concat_ws(";", F.lit("D"), *head, F.col("l_returnflag"), *[blank] * 6)
     d_short = F.concat_ws(";", F.lit("D"), head[0], *head[2:], F.col("l_returnflag"), *[blank] * 6)
     d = F.when(F.col("l_partkey") % 3 == 0, d_short).otherwise(d_full)
-    sales = t.orders.select(
-        "o_orderkey", F.lit(0).alias("n"), F.lit(0).cast("long").alias("m"), "o_orderdate", "o_custkey", "o_orderpriority", "o_orderstatus", "o_totalprice"
-    )
     extra = F.xxhash64("l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
-    items = t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", extra.alias("m"))
-    lines = items.join(t.orders.select("o_orderkey", "o_orderdate"), F.col("l_orderkey") == F.col("o_orderkey"))
-    both = sales.unionByName(lines.withColumn("n", F.lit(1)), allowMissingColumns=True)
-    dealt = both.repartition("o_orderkey").sortWithinPartitions("o_orderkey", "n", "l_linenumber", "m")
-    return dealt.select(F.explode(F.when(F.col("n") == 0, F.array(b)).otherwise(F.array(c, d))).alias("value"))
+    pieces = lines.select("o_orderkey", "l_linenumber", extra.alias("m"), F.posexplode(F.array(c, d)).alias("k", "value"))
+    return sales.unionByName(
+        pieces.select("o_orderkey", (F.col("l_linenumber") * 2 + F.col("k")).alias("n"), "m", "value")
+    )
 
 
 @query(
@@ -93,7 +90,7 @@ def record_file_roundtrip(t: Tables):
     path = scratch_path(t.spark, "sale-files")
     with Scratch(t.spark) as scratch:
         scratch.paths.append(path)
-        _sale_lines(t).write.text(path)
+        _sale_lines(t).repartition("o_orderkey").sortWithinPartitions("o_orderkey", "n", "m").select("value").write.text(path)
         free_shuffles(t.spark)
         found = read_lines(t.spark, path)
         manifest = found.select("file_path").distinct().select(
